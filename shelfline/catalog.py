@@ -6,9 +6,11 @@ one operator (or a short chain ending in it) over the whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import batch, staging
 from .sources import fixtures as fx
@@ -87,3 +89,131 @@ def q_sales_summary(spark, d):
 def q_dedupe_rows(spark, d):
     both = fx.raw_sales_file(spark, d, "first").unionByName(fx.raw_sales_file(spark, d, "second"))
     return batch.dedupe_rows(both)
+
+
+# --- events --------------------------------------------------------------------
+from . import schemas as S  # noqa: E402
+from .operators import events as ev  # noqa: E402
+from .operators import inventory as inv  # noqa: E402
+from .operators import realtime as rt  # noqa: E402
+
+
+def _events(spark, d):
+    return fx.stream_sales_events(spark, d)
+
+
+def _as_of(spark, d):
+    return fx.as_of(_events(spark, d))
+
+
+@register("parse_event_json")
+def q_parse_event_json(spark, d):
+    wire = fx.wire_events_json(spark, d)
+    return ev.cast_event_time(ev.parse_event_json(wire, S.EVENT_V2_WIRE))
+
+
+@register("validate_event")
+def q_validate_event(spark, d):
+    return ev.validate_event(_events(spark, d))
+
+
+@register("contract_check")
+def q_contract_check(spark, d):
+    checked = ev.contract_check(_events(spark, d), S.SALES_EVENT_CONTRACT)
+    return checked.select(
+        "event_id",
+        F.array_join("failed_rules", ",").alias("failed_rules"),
+        (F.size("failed_rules") == 0).alias("is_valid"))
+
+
+@register("event_id_dedupe")
+def q_event_id_dedupe(spark, d):
+    events = _events(spark, d)
+    as_of = fx.as_of(events)
+    replayed = events.where(F.col("event_time") >= F.lit(as_of - dt.timedelta(days=1)))
+    return ev.event_id_dedupe(events.unionByName(replayed))
+
+
+@register("event_store_enrich")
+def q_event_store_enrich(spark, d):
+    return ev.event_store_enrich(_events(spark, d), _stores(spark, d))
+
+
+@register("streaming_sales_hourly")
+def q_streaming_sales_hourly(spark, d):
+    return rt.streaming_sales_hourly(fx.stream_events_v1(spark, d))
+
+
+@register("rt_sales_summary")
+def q_rt_sales_summary(spark, d):
+    return rt.rt_sales_summary(_events(spark, d), _as_of(spark, d))
+
+
+@register("hourly_sales_rollup")
+def q_hourly_sales_rollup(spark, d):
+    return rt.hourly_sales_rollup(_events(spark, d))
+
+
+@register("product_velocity")
+def q_product_velocity(spark, d):
+    return rt.product_velocity(_events(spark, d), _as_of(spark, d), "1 hour")
+
+
+@register("inventory_alerts")
+def q_inventory_alerts(spark, d):
+    # The default one-hour look-back yields no alert on the test data; a
+    # seven-day look-back exercises both alert levels.
+    return rt.inventory_alerts(_events(spark, d), _as_of(spark, d), lookback="7 days")
+
+
+@register("customer_metrics")
+def q_customer_metrics(spark, d):
+    return rt.customer_metrics(_events(spark, d), _as_of(spark, d))
+
+
+@register("customer_analytics")
+def q_customer_analytics(spark, d):
+    return rt.customer_analytics(_events(spark, d), _as_of(spark, d))
+
+
+@register("stream_health")
+def q_stream_health(spark, d):
+    return rt.stream_health(_events(spark, d), _as_of(spark, d))
+
+
+@register("hourly_performance")
+def q_hourly_performance(spark, d):
+    return rt.hourly_performance(_events(spark, d), _as_of(spark, d))
+
+
+@register("top_stores")
+def q_top_stores(spark, d):
+    return rt.top_stores(_events(spark, d), _as_of(spark, d))
+
+
+@register("streaming_metrics")
+def q_streaming_metrics(spark, d):
+    return rt.streaming_metrics(_events(spark, d))
+
+
+@register("stock_status")
+def q_stock_status(spark, d):
+    return inv.stock_status(fx.stream_inventory_events(spark, d)).select(
+        "event_id", "current_stock", "reorder_point", "stock_status")
+
+
+@register("inventory_status")
+def q_inventory_status(spark, d):
+    return inv.inventory_status(fx.stream_inventory_events(spark, d))
+
+
+@register("business_hours_flag")
+def q_business_hours_flag(spark, d):
+    return rt.business_hours_flag(_events(spark, d)).select(
+        "event_id", "event_time", "is_business_hours")
+
+
+@register("daypart")
+def q_daypart(spark, d):
+    enriched = ev.event_store_enrich(_events(spark, d), _stores(spark, d))
+    return rt.daypart_sales(enriched)

@@ -191,3 +191,215 @@ SELECT DISTINCT * FROM (SELECT * FROM sales_first UNION ALL SELECT * FROM sales_
 Q["key_unique_check"] = with_(RAW_SALES) + """
 SELECT Store, Dept, Date, COUNT(*) AS row_count FROM raw_sales
 GROUP BY Store, Dept, Date HAVING COUNT(*) > 1"""
+
+# --- events -----------------------------------------------------------------
+_AVG_AMT = avg_dec("total_amount", 2, 14, 6)
+
+Q["parse_event_json"] = with_(SALES_EVENTS) + """
+SELECT event_id, event_time, store_id, dept_id, product_id, customer_id, quantity,
+       CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount,
+       transaction_type, payment_method, promotion_applied
+FROM stream_sales_events"""
+
+Q["validate_event"] = with_(SALES_EVENTS) + """
+SELECT * FROM stream_sales_events
+WHERE quantity > 0 AND unit_price > 0 AND total_amount > 0
+  AND store_id IS NOT NULL AND dept_id IS NOT NULL"""
+
+_NN = ["event_id", "event_time", "store_id", "dept_id", "product_id", "customer_id",
+       "quantity", "unit_price", "total_amount", "transaction_type", "payment_method"]
+_RULES = ([f"CASE WHEN {c} IS NULL THEN 'not_null:{c}' END" for c in _NN] + [
+    "CASE WHEN NOT (quantity > 0) THEN 'quantity_positive' END",
+    "CASE WHEN NOT (unit_price > 0) THEN 'unit_price_positive' END",
+    "CASE WHEN NOT (total_amount > 0) THEN 'total_amount_positive' END",
+    "CASE WHEN NOT (length(event_id) <= 36) THEN 'event_id_length' END",
+    "CASE WHEN NOT (length(product_id) <= 50) THEN 'product_id_length' END",
+    "CASE WHEN NOT (length(customer_id) <= 36) THEN 'customer_id_length' END",
+    "CASE WHEN NOT (transaction_type IN ('SALE', 'RETURN', 'EXCHANGE')) THEN 'enum:transaction_type' END",
+    "CASE WHEN NOT (payment_method IN ('CASH', 'CARD', 'MOBILE')) THEN 'enum:payment_method' END",
+])
+Q["contract_check"] = with_(SALES_EVENTS) + f"""
+SELECT event_id, failed_rules, failed_rules = '' AS is_valid FROM (
+  SELECT event_id, concat_ws(',', {', '.join(_RULES)}) AS failed_rules FROM stream_sales_events) t"""
+
+Q["event_id_dedupe"] = with_(SALES_EVENTS) + "SELECT DISTINCT * FROM stream_sales_events"
+
+Q["event_store_enrich"] = with_(SALES_EVENTS, RAW_STORES) + """
+SELECT e.*, COALESCE(s.t, 'C') AS store_type
+FROM stream_sales_events e
+LEFT JOIN (SELECT Store, MAX(Type) AS t FROM raw_stores GROUP BY Store) s ON e.store_id = s.Store"""
+
+Q["streaming_sales_hourly"] = with_(EVENTS_V1) + """
+SELECT strftime(event_time, '%Y-%m-%d %H:00:00') AS hour_bucket,
+       CAST(SUM(price * quantity) AS DECIMAL(31,2)) AS sales,
+       CAST(SUM(quantity) AS BIGINT) AS qty
+FROM events_v1 GROUP BY 1"""
+
+_HOURLY = f"""
+       COUNT(*) AS transaction_count,
+       CAST(SUM(total_amount) AS DECIMAL(20,2)) AS total_sales,
+       {_AVG_AMT} AS avg_transaction_value,
+       CAST(SUM(CASE WHEN transaction_type = 'SALE' THEN 1 ELSE 0 END) AS BIGINT) AS sale_count,
+       CAST(SUM(CASE WHEN transaction_type = 'RETURN' THEN 1 ELSE 0 END) AS BIGINT) AS return_count,
+       CAST(SUM(CASE WHEN transaction_type = 'EXCHANGE' THEN 1 ELSE 0 END) AS BIGINT) AS exchange_count,
+       CAST(SUM(CASE WHEN promotion_applied THEN 1 ELSE 0 END) AS BIGINT) AS promotional_transactions,
+       MAX(event_time) AS latest_transaction_time"""
+
+Q["rt_sales_summary"] = with_(SALES_EVENTS) + f"""
+SELECT store_id, dept_id, CAST(event_time AS DATE) AS sale_date,
+       CAST(hour(event_time) AS INTEGER) AS sale_hour, {_HOURLY},
+       {AS_OF} AS last_updated
+FROM stream_sales_events
+WHERE event_time >= {AS_OF} - INTERVAL 24 HOUR
+GROUP BY store_id, dept_id, CAST(event_time AS DATE), CAST(hour(event_time) AS INTEGER)"""
+
+Q["hourly_sales_rollup"] = with_(SALES_EVENTS) + f"""
+SELECT store_id, dept_id, CAST(event_time AS DATE) AS sale_date,
+       CAST(hour(event_time) AS INTEGER) AS sale_hour,
+       CAST(COUNT(*) AS INTEGER) AS transaction_count,
+       CAST(SUM(total_amount) AS DECIMAL(12,2)) AS total_sales,
+       CAST({_AVG_AMT} AS DECIMAL(10,2)) AS avg_transaction_value,
+       MAX(event_time) AS last_updated
+FROM stream_sales_events
+GROUP BY store_id, dept_id, CAST(event_time AS DATE), CAST(hour(event_time) AS INTEGER)"""
+
+
+def _velocity(interval: str) -> str:
+    return f"""velocity AS (
+  SELECT store_id, dept_id, product_id,
+         COUNT(*) AS transactions_last_hour,
+         CAST(SUM(quantity) AS BIGINT) AS units_sold_last_hour,
+         CAST(SUM(total_amount) AS DECIMAL(20,2)) AS revenue_last_hour,
+         {_AVG_AMT} AS avg_transaction_value,
+         MAX(event_time) AS last_sale_time
+  FROM stream_sales_events
+  WHERE event_time >= {AS_OF} - INTERVAL {interval} AND transaction_type = 'SALE'
+  GROUP BY store_id, dept_id, product_id)"""
+
+
+Q["product_velocity"] = with_(SALES_EVENTS, _velocity("1 HOUR")) + "SELECT * FROM velocity"
+
+Q["inventory_alerts"] = with_(SALES_EVENTS, _velocity("7 DAY")) + f"""
+SELECT * FROM (
+  SELECT store_id, dept_id, product_id, transactions_last_hour, units_sold_last_hour,
+         revenue_last_hour, avg_transaction_value,
+         CASE WHEN units_sold_last_hour >= 20 THEN 'HIGH_VELOCITY'
+              WHEN units_sold_last_hour >= 10 THEN 'MEDIUM_VELOCITY'
+              WHEN units_sold_last_hour >= 5 THEN 'NORMAL_VELOCITY'
+              ELSE 'LOW_VELOCITY' END AS velocity_category,
+         CASE WHEN units_sold_last_hour >= 20 THEN 'URGENT_RESTOCK'
+              WHEN units_sold_last_hour >= 10 THEN 'MONITOR_STOCK'
+              ELSE 'NO_ACTION' END AS alert_level,
+         last_sale_time, {AS_OF} AS alert_generated_at
+  FROM velocity) a
+WHERE alert_level IN ('URGENT_RESTOCK', 'MONITOR_STOCK')"""
+
+_CUSTOMER_METRICS = f"""customer_metrics AS (
+  SELECT customer_id, store_id,
+         COUNT(*) AS transactions_today,
+         CAST(SUM(total_amount) AS DECIMAL(20,2)) AS total_spent_today,
+         {_AVG_AMT} AS avg_transaction_value,
+         CAST(SUM(quantity) AS BIGINT) AS total_items_purchased,
+         COUNT(DISTINCT dept_id) AS departments_visited,
+         COUNT(DISTINCT product_id) AS unique_products_bought,
+         CAST(SUM(CASE WHEN promotion_applied THEN 1 ELSE 0 END) AS BIGINT) AS promotional_transactions,
+         MIN(event_time) AS first_transaction_today,
+         MAX(event_time) AS last_transaction_today,
+         date_sub('minute', MIN(event_time), MAX(event_time)) AS session_duration_minutes
+  FROM stream_sales_events
+  WHERE CAST(event_time AS DATE) = CAST({AS_OF} AS DATE) AND transaction_type = 'SALE'
+  GROUP BY customer_id, store_id)"""
+
+Q["customer_metrics"] = with_(SALES_EVENTS, _CUSTOMER_METRICS) + "SELECT * FROM customer_metrics"
+
+Q["customer_analytics"] = with_(SALES_EVENTS, _CUSTOMER_METRICS) + f"""
+SELECT customer_id, store_id, transactions_today, total_spent_today, avg_transaction_value,
+       total_items_purchased, departments_visited, unique_products_bought, promotional_transactions,
+       CASE WHEN total_spent_today >= 500 THEN 'HIGH_VALUE'
+            WHEN total_spent_today >= 200 THEN 'MEDIUM_VALUE'
+            WHEN total_spent_today >= 50 THEN 'REGULAR_VALUE'
+            ELSE 'LOW_VALUE' END AS value_segment,
+       CASE WHEN transactions_today >= 5 THEN 'FREQUENT_BUYER'
+            WHEN transactions_today >= 3 THEN 'REGULAR_BUYER'
+            ELSE 'OCCASIONAL_BUYER' END AS frequency_segment,
+       CASE WHEN departments_visited >= 5 THEN 'CROSS_SHOPPER'
+            WHEN departments_visited >= 3 THEN 'MULTI_CATEGORY'
+            ELSE 'FOCUSED_SHOPPER' END AS shopping_behavior,
+       session_duration_minutes, first_transaction_today, last_transaction_today,
+       {AS_OF} AS analysis_timestamp
+FROM customer_metrics"""
+
+Q["stream_health"] = with_(SALES_EVENTS) + f"""
+SELECT *, CASE WHEN recent_records > 0 THEN 'fresh' ELSE 'stale' END AS data_freshness,
+          CASE WHEN recent_records > 0 THEN 'healthy' ELSE 'warning' END AS validation_status
+FROM (
+  SELECT COUNT(*) AS total_records,
+         COUNT(CASE WHEN event_time >= {AS_OF} - INTERVAL 5 MINUTE THEN 1 END) AS recent_records,
+         MAX(event_time) AS latest_record, MIN(event_time) AS earliest_record,
+         COUNT(DISTINCT store_id) AS unique_stores, COUNT(DISTINCT dept_id) AS unique_departments
+  FROM stream_sales_events) h"""
+
+Q["hourly_performance"] = with_(SALES_EVENTS) + f"""
+SELECT CAST(hour(event_time) AS INTEGER) AS hour_of_day, COUNT(*) AS transactions,
+       CAST(SUM(total_amount) AS DECIMAL(20,2)) AS total_revenue,
+       {_AVG_AMT} AS avg_transaction_value
+FROM stream_sales_events
+WHERE CAST(event_time AS DATE) = CAST({AS_OF} AS DATE)
+GROUP BY 1 ORDER BY hour_of_day DESC LIMIT 5"""
+
+Q["top_stores"] = with_(SALES_EVENTS) + f"""
+SELECT store_id, COUNT(*) AS transactions,
+       CAST(SUM(total_amount) AS DECIMAL(20,2)) AS total_revenue,
+       {_AVG_AMT} AS avg_transaction_value
+FROM stream_sales_events
+WHERE event_time >= {AS_OF} - INTERVAL 1 HOUR
+GROUP BY store_id ORDER BY total_revenue DESC, store_id LIMIT 5"""
+
+Q["streaming_metrics"] = with_(SALES_EVENTS) + f"""
+, g AS (
+  SELECT date_trunc('hour', event_time) AS metric_time, store_id, dept_id,
+         CAST(COUNT(*) AS DECIMAL(15,4)) AS transaction_count,
+         CAST(SUM(total_amount) AS DECIMAL(15,4)) AS total_sales,
+         CAST({_AVG_AMT} AS DECIMAL(15,4)) AS avg_transaction_value,
+         CAST(SUM(quantity) AS DECIMAL(15,4)) AS units_sold
+  FROM stream_sales_events GROUP BY 1, 2, 3)
+SELECT metric_time, 'transaction_count' AS metric_name, transaction_count AS metric_value, store_id, dept_id FROM g
+UNION ALL SELECT metric_time, 'total_sales', total_sales, store_id, dept_id FROM g
+UNION ALL SELECT metric_time, 'avg_transaction_value', avg_transaction_value, store_id, dept_id FROM g
+UNION ALL SELECT metric_time, 'units_sold', units_sold, store_id, dept_id FROM g"""
+
+_STOCK_CASE = """CASE WHEN current_stock <= 0 THEN 'OUT_OF_STOCK'
+            WHEN current_stock <= reorder_point THEN 'LOW_STOCK'
+            ELSE 'NORMAL' END"""
+
+Q["stock_status"] = with_(INVENTORY_EVENTS) + f"""
+SELECT event_id, current_stock, reorder_point, {_STOCK_CASE} AS stock_status
+FROM stream_inventory_events"""
+
+Q["inventory_status"] = with_(INVENTORY_EVENTS) + f"""
+SELECT store_id, dept_id, product_id, current_stock, reorder_point, {_STOCK_CASE} AS stock_status,
+       event_time AS last_updated
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id, product_id
+                                   ORDER BY event_time DESC, event_id DESC) AS rn
+      FROM stream_inventory_events) t
+WHERE rn = 1"""
+
+Q["business_hours_flag"] = with_(SALES_EVENTS) + """
+SELECT event_id, event_time,
+       CASE WHEN isodow(event_time) >= 6 THEN hour(event_time) BETWEEN 8 AND 23
+            ELSE hour(event_time) BETWEEN 6 AND 22 END AS is_business_hours
+FROM stream_sales_events"""
+
+Q["daypart"] = with_(SALES_EVENTS, RAW_STORES) + """
+SELECT store_type, daypart, COUNT(*) AS transactions,
+       CAST(SUM(total_amount) AS DECIMAL(20,2)) AS total_revenue,
+       CAST(SUM(quantity) AS BIGINT) AS units
+FROM (
+  SELECT COALESCE(s.t, 'C') AS store_type,
+         CASE WHEN hour(e.event_time) BETWEEN 11 AND 13 OR hour(e.event_time) BETWEEN 17 AND 19 THEN 'RUSH'
+              WHEN hour(e.event_time) BETWEEN 20 AND 22 THEN 'EVENING'
+              ELSE 'NORMAL' END AS daypart,
+         e.total_amount, e.quantity
+  FROM stream_sales_events e
+  LEFT JOIN (SELECT Store, MAX(Type) AS t FROM raw_stores GROUP BY Store) s ON e.store_id = s.Store) x
+GROUP BY store_type, daypart"""
