@@ -217,3 +217,83 @@ def q_business_hours_flag(spark, d):
 def q_daypart(spark, d):
     enriched = ev.event_store_enrich(_events(spark, d), _stores(spark, d))
     return rt.daypart_sales(enriched)
+
+
+# --- loading -------------------------------------------------------------------
+from .operators import incremental as inc  # noqa: E402
+from .operators import upsert as up  # noqa: E402
+from .session import checkpoint_root, scratch_path  # noqa: E402
+from .sources import files  # noqa: E402
+
+# Fixed load times of the two sales extracts (deterministic ingestion_ts).
+LOAD_1 = dt.datetime(2025, 1, 1)
+LOAD_2 = dt.datetime(2025, 1, 8)
+SALES_KEYS = S.RAW_TABLES["raw_sales"]["keys"]
+SALES_UPDATES = S.RAW_TABLES["raw_sales"]["update_cols"]
+
+
+def _first_load(spark, d):
+    first = up.keyed_upsert(None, fx.raw_sales_file(spark, d, "first"), SALES_KEYS,
+                            SALES_UPDATES, ingestion_ts=LOAD_1)
+    # The stored table after the first load: materialised in the shared
+    # checkpoint folder, which also cuts the lineage.
+    checkpoint_root(spark)
+    return first.checkpoint()
+
+
+@register("key_unique_check")
+def q_key_unique_check(spark, d):
+    return up.key_unique_check(_sales(spark, d), SALES_KEYS)
+
+
+@register("keyed_upsert")
+def q_keyed_upsert(spark, d):
+    return up.keyed_upsert(_first_load(spark, d), fx.raw_sales_file(spark, d, "second"),
+                           SALES_KEYS, SALES_UPDATES, ingestion_ts=LOAD_2)
+
+
+@register("load_report")
+def q_load_report(spark, d):
+    return up.load_report(_first_load(spark, d), fx.raw_sales_file(spark, d, "second"),
+                          SALES_KEYS, SALES_UPDATES, file_name="sales.csv")
+
+
+@register("csv_source")
+def q_csv_source(spark, d):
+    path = scratch_path(spark, "features-csv")
+    feats = fx.raw_features(spark, d, with_ts=False)
+    feats.write.option("header", True).option("nullValue", "NA").csv(path)
+    return files.csv_source(spark, path, S.RAW_FEATURES)
+
+
+@register("json_flatten")
+def q_json_flatten(spark, d):
+    path = scratch_path(spark, "products-json")
+    part = fx.table(spark, d, "part")
+    part.select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
+        F.col("p_retailprice").alias("price"),
+        F.struct(F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
+                 F.struct(F.col("p_size").alias("size")).alias("dimensions")).alias("details"),
+    ).write.json(path)
+    return files.json_flatten(files.json_records(spark, path))
+
+
+def _incremental_runs(spark, d, merge):
+    events = _events(spark, d)
+    as_of = fx.as_of(events)
+    split = as_of - dt.timedelta(hours=12)
+    checkpoint_root(spark)
+    run1 = inc.sales_summary_incremental(
+        None, events.where(F.col("event_time") <= F.lit(split)), split).checkpoint()
+    return inc.sales_summary_incremental(run1, events, as_of, merge=merge)
+
+
+@register("sales_summary_incremental")
+def q_sales_summary_incremental(spark, d):
+    return _incremental_runs(spark, d, "additive")
+
+
+@register("sales_summary_incremental_replace")
+def q_sales_summary_incremental_replace(spark, d):
+    return _incremental_runs(spark, d, "replace")

@@ -403,3 +403,73 @@ FROM (
   FROM stream_sales_events e
   LEFT JOIN (SELECT Store, MAX(Type) AS t FROM raw_stores GROUP BY Store) s ON e.store_id = s.Store) x
 GROUP BY store_type, daypart"""
+
+# --- loading ----------------------------------------------------------------
+_FIRST_LOADED = """first_loaded AS (
+  SELECT Store, Dept, Date, Weekly_Sales, IsHoliday, TIMESTAMP '2025-01-01 00:00:00' AS ingestion_ts
+  FROM (SELECT *, row_number() OVER (PARTITION BY Store, Dept, Date
+                                     ORDER BY Weekly_Sales DESC, IsHoliday DESC) AS rn
+        FROM sales_first) t WHERE rn = 1)"""
+_SECOND_LAST = """second_last AS (
+  SELECT Store, Dept, Date, Weekly_Sales, IsHoliday
+  FROM (SELECT *, row_number() OVER (PARTITION BY Store, Dept, Date
+                                     ORDER BY Weekly_Sales DESC, IsHoliday DESC) AS rn
+        FROM sales_second) t WHERE rn = 1)"""
+
+Q["keyed_upsert"] = with_(SALES_FIRST, SALES_SECOND, _FIRST_LOADED, _SECOND_LAST) + """
+SELECT COALESCE(s.Store, f.Store) AS Store, COALESCE(s.Dept, f.Dept) AS Dept,
+       COALESCE(s.Date, f.Date) AS Date,
+       CASE WHEN s.Store IS NOT NULL THEN s.Weekly_Sales ELSE f.Weekly_Sales END AS Weekly_Sales,
+       CASE WHEN s.Store IS NOT NULL THEN s.IsHoliday ELSE f.IsHoliday END AS IsHoliday,
+       CASE WHEN s.Store IS NOT NULL THEN TIMESTAMP '2025-01-08 00:00:00' ELSE f.ingestion_ts END AS ingestion_ts
+FROM first_loaded f
+FULL OUTER JOIN second_last s ON f.Store = s.Store AND f.Dept = s.Dept AND f.Date = s.Date"""
+
+Q["load_report"] = with_(SALES_FIRST, SALES_SECOND, _FIRST_LOADED, _SECOND_LAST) + """
+SELECT (SELECT COUNT(*) FROM first_loaded) AS initial_count,
+       COUNT(*) AS final_count,
+       COUNT(CASE WHEN f.Store IS NULL THEN 1 END) AS new_records,
+       COUNT(CASE WHEN f.Store IS NOT NULL AND s.Store IS NOT NULL
+                   AND (f.Weekly_Sales, f.IsHoliday) IS DISTINCT FROM (s.Weekly_Sales, s.IsHoliday) THEN 1 END) AS updated_records,
+       COUNT(CASE WHEN f.Store IS NOT NULL AND s.Store IS NOT NULL
+                   AND (f.Weekly_Sales, f.IsHoliday) IS NOT DISTINCT FROM (s.Weekly_Sales, s.IsHoliday) THEN 1 END) AS unchanged_records,
+       'sales.csv' AS file_processed
+FROM first_loaded f
+FULL OUTER JOIN second_last s ON f.Store = s.Store AND f.Dept = s.Dept AND f.Date = s.Date"""
+
+Q["csv_source"] = with_(RAW_FEATURES) + """SELECT Store, Date, Temperature, Fuel_Price, MarkDown1, MarkDown2,
+  MarkDown3, MarkDown4, MarkDown5, CPI, Unemployment, IsHoliday FROM raw_features"""
+
+Q["json_flatten"] = """
+SELECT p_partkey AS id, p_name AS title, p_retailprice AS price,
+       p_brand AS "details.brand", p_type AS "details.category",
+       CAST(p_size AS BIGINT) AS "details.dimensions.size"
+FROM part"""
+
+_SPLIT = f"({AS_OF} - INTERVAL 12 HOUR)"
+_HW = f"(SELECT MAX(event_time) FROM stream_sales_events WHERE event_time >= {_SPLIT} - INTERVAL 24 HOUR AND event_time <= {_SPLIT})"
+_KEYS_SQL = "store_id, dept_id, CAST(event_time AS DATE) AS sale_date, CAST(hour(event_time) AS INTEGER) AS sale_hour"
+_GROUP_SQL = "GROUP BY store_id, dept_id, CAST(event_time AS DATE), CAST(hour(event_time) AS INTEGER)"
+
+Q["sales_summary_incremental"] = with_(SALES_EVENTS) + f"""
+SELECT {_KEYS_SQL}, {_HOURLY},
+       CASE WHEN MAX(event_time) > {_HW} THEN {AS_OF} ELSE {_SPLIT} END AS last_updated
+FROM stream_sales_events
+WHERE event_time >= {_SPLIT} - INTERVAL 24 HOUR
+{_GROUP_SQL}"""
+
+Q["sales_summary_incremental_replace"] = with_(SALES_EVENTS) + f"""
+, run1 AS (
+  SELECT {_KEYS_SQL}, {_HOURLY}, {_SPLIT} AS last_updated
+  FROM stream_sales_events
+  WHERE event_time >= {_SPLIT} - INTERVAL 24 HOUR AND event_time <= {_SPLIT}
+  {_GROUP_SQL}),
+run2 AS (
+  SELECT {_KEYS_SQL}, {_HOURLY}, {AS_OF} AS last_updated
+  FROM stream_sales_events WHERE event_time > {_HW}
+  {_GROUP_SQL})
+SELECT * FROM run2
+UNION ALL
+SELECT * FROM run1 WHERE NOT EXISTS (
+  SELECT 1 FROM run2 WHERE run2.store_id = run1.store_id AND run2.dept_id = run1.dept_id
+    AND run2.sale_date = run1.sale_date AND run2.sale_hour = run1.sale_hour)"""
