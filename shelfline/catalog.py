@@ -297,3 +297,35 @@ def q_sales_summary_incremental(spark, d):
 @register("sales_summary_incremental_replace")
 def q_sales_summary_incremental_replace(spark, d):
     return _incremental_runs(spark, d, "replace")
+
+
+# --- streaming -----------------------------------------------------------------
+from .streaming import ingest as sti  # noqa: E402
+from .streaming import sources as sts  # noqa: E402
+from .streaming import windows as stw  # noqa: E402
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, d):
+    """Wire JSON (derived from the events) landed as text files, drained by
+    the ingest stream with ``availableNow``, then the stored table read
+    back (without the arrival stamp, which is the wall-clock time)."""
+    root = scratch_path(spark, "ingest")
+    fx.wire_events_json(spark, d).select(F.col("value").cast("string").alias("value")) \
+        .write.text(f"{root}/inbox")
+    q = sti.stream_ingest(sts.text_file_source(spark, f"{root}/inbox"),
+                          checkpoint=f"{root}/_checkpoint", table_path=f"{root}/events",
+                          quarantine_path=f"{root}/quarantine", available_now=True)
+    q.awaitTermination()
+    stored = sti.read_event_table(spark, f"{root}/events")
+    return stored.select(*[c for c in S.SALES_EVENT_COLUMNS if c != "processed_at"])
+
+
+@register("stream_hourly_sales")
+def q_stream_hourly_sales(spark, d):
+    return stw.stream_hourly_sales(_events(spark, d))
+
+
+@register("stream_inventory_alerts")
+def q_stream_inventory_alerts(spark, d):
+    return stw.stream_inventory_alerts(_events(spark, d))

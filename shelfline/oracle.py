@@ -473,3 +473,44 @@ UNION ALL
 SELECT * FROM run1 WHERE NOT EXISTS (
   SELECT 1 FROM run2 WHERE run2.store_id = run1.store_id AND run2.dept_id = run1.dept_id
     AND run2.sale_date = run1.sale_date AND run2.sale_hour = run1.sale_hour)"""
+
+# --- streaming ----------------------------------------------------------------
+Q["stream_ingest"] = with_(SALES_EVENTS) + """
+SELECT event_id, event_time, store_id, dept_id, product_id, customer_id, quantity, unit_price,
+       total_amount, transaction_type, payment_method, promotion_applied
+FROM stream_sales_events
+WHERE quantity > 0 AND unit_price > 0 AND total_amount > 0
+  AND store_id IS NOT NULL AND dept_id IS NOT NULL"""
+
+Q["stream_hourly_sales"] = with_(SALES_EVENTS) + f"""
+SELECT date_trunc('hour', event_time) AS window_start,
+       date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end,
+       store_id, dept_id, {_HOURLY}
+FROM stream_sales_events
+GROUP BY date_trunc('hour', event_time), store_id, dept_id"""
+
+Q["stream_inventory_alerts"] = with_(SALES_EVENTS) + f"""
+, slid AS (
+  SELECT e.*, time_bucket(INTERVAL 5 MINUTE, e.event_time) - i * INTERVAL 5 MINUTE AS window_start
+  FROM stream_sales_events e, UNNEST(range(12)) AS r(i)
+  WHERE e.transaction_type = 'SALE'),
+g AS (
+  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, store_id, dept_id, product_id,
+         COUNT(*) AS transactions_last_hour,
+         CAST(SUM(quantity) AS BIGINT) AS units_sold_last_hour,
+         CAST(SUM(total_amount) AS DECIMAL(20,2)) AS revenue_last_hour,
+         {_AVG_AMT} AS avg_transaction_value,
+         MAX(event_time) AS last_sale_time
+  FROM slid GROUP BY window_start, store_id, dept_id, product_id)
+SELECT * FROM (
+  SELECT window_start, window_end, store_id, dept_id, product_id, transactions_last_hour,
+         units_sold_last_hour, revenue_last_hour, avg_transaction_value, last_sale_time,
+         CASE WHEN units_sold_last_hour >= 20 THEN 'HIGH_VELOCITY'
+              WHEN units_sold_last_hour >= 10 THEN 'MEDIUM_VELOCITY'
+              WHEN units_sold_last_hour >= 5 THEN 'NORMAL_VELOCITY'
+              ELSE 'LOW_VELOCITY' END AS velocity_category,
+         CASE WHEN units_sold_last_hour >= 20 THEN 'URGENT_RESTOCK'
+              WHEN units_sold_last_hour >= 10 THEN 'MONITOR_STOCK'
+              ELSE 'NO_ACTION' END AS alert_level
+  FROM g) a
+WHERE alert_level IN ('URGENT_RESTOCK', 'MONITOR_STOCK')"""
