@@ -46,7 +46,10 @@ def high_water_mark(target: DataFrame):
 
 def sales_summary_incremental(target: DataFrame | None, events: DataFrame,
                               as_of: dt.datetime, merge: str = "additive",
-                              lookback="24 hours") -> DataFrame:
+                              lookback="24 hours", high_water=None) -> DataFrame:
+    """Merge the events newer than the stored high-water mark into
+    ``target``. ``high_water`` may be given when ``target`` is only the
+    part of the stored table the new events can touch."""
     if target is None:
         return rt_sales_summary(events, as_of, lookback).select(*SUMMARY_COLUMNS)
     # Schemas are known without running anything.
@@ -57,7 +60,7 @@ def sales_summary_incremental(target: DataFrame | None, events: DataFrame,
     if merge == "recompute":
         return _recompute(target, events, as_of)
 
-    hw = high_water_mark(target)
+    hw = high_water if high_water is not None else high_water_mark(target)
     if hw is None:
         # NULL high-water mark: no event compares greater, nothing is added.
         return target

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def overwrite_sink(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet") -> None:
-    """Replace the whole stored table."""
-    w = df.write.mode("overwrite").format(fmt)
+    """Replace the whole stored table (static overwrite, whatever the
+    session's partition overwrite mode)."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)

@@ -1,0 +1,230 @@
+"""Hand-made rows: thresholds, NULLs, ties, malformed input, edge hours."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DecimalType, IntegerType, StringType,
+                               StructField, StructType, TimestampType)
+
+from conftest import rows
+from shelfline import schemas as S
+from shelfline.functions import rules as R
+from shelfline.operators import events as ev
+from shelfline.operators import inventory as inv
+from shelfline.operators import realtime as rt
+
+T0 = dt.datetime(2024, 3, 4, 12, 0, 0)  # a Monday
+
+
+def sales_events(spark, rows_):
+    return spark.createDataFrame(rows_, S.STREAM_SALES_EVENTS)
+
+
+def ev_row(i, t, store=1, dept=1, product="1_1_0", customer="c1", qty=1,
+           amount="10.00", ttype="SALE", promo=False):
+    a = Decimal(amount)
+    return (str(i), t, store, dept, product, customer, qty, a / qty if qty else a, a,
+            ttype, "CARD", promo, t)
+
+
+def test_velocity_and_alert_thresholds(spark):
+    units = [4, 5, 9, 10, 19, 20]
+    data = [ev_row(i, T0, product=f"p{u}", qty=u, amount="1.00") for i, u in enumerate(units)]
+    df = rt.with_alert_levels(rt.product_velocity(sales_events(spark, data), T0, "1 hour"))
+    got = {r["product_id"]: (r["velocity_category"], r["alert_level"]) for r in df.collect()}
+    assert got == {
+        "p4": ("LOW_VELOCITY", "NO_ACTION"), "p5": ("NORMAL_VELOCITY", "NO_ACTION"),
+        "p9": ("NORMAL_VELOCITY", "NO_ACTION"), "p10": ("MEDIUM_VELOCITY", "MONITOR_STOCK"),
+        "p19": ("MEDIUM_VELOCITY", "MONITOR_STOCK"), "p20": ("HIGH_VELOCITY", "URGENT_RESTOCK")}
+    alerts = rt.inventory_alerts(sales_events(spark, data), T0, "1 hour")
+    assert sorted(r["product_id"] for r in alerts.collect()) == ["p10", "p19", "p20"]
+
+
+def test_value_segments_at_boundaries(spark):
+    spends = ["49.99", "50.00", "199.99", "200.00", "499.99", "500.00"]
+    data = [ev_row(i, T0, customer=f"c{s}", amount=s) for i, s in enumerate(spends)]
+    out = rt.customer_analytics(sales_events(spark, data), T0)
+    got = {r["customer_id"]: r["value_segment"] for r in out.collect()}
+    assert got == {"c49.99": "LOW_VALUE", "c50.00": "REGULAR_VALUE",
+                   "c199.99": "REGULAR_VALUE", "c200.00": "MEDIUM_VALUE",
+                   "c499.99": "MEDIUM_VALUE", "c500.00": "HIGH_VALUE"}
+
+
+def test_frequency_and_shopping_segments(spark):
+    data = []
+    i = 0
+    for n in (2, 3, 4, 5):
+        for j in range(n):
+            data.append(ev_row(i, T0 + dt.timedelta(minutes=j), customer=f"c{n}", dept=j + 1))
+            i += 1
+    out = {r["customer_id"]: r for r in rt.customer_analytics(sales_events(spark, data), T0).collect()}
+    assert out["c2"]["frequency_segment"] == "OCCASIONAL_BUYER"
+    assert out["c3"]["frequency_segment"] == "REGULAR_BUYER"
+    assert out["c4"]["frequency_segment"] == "REGULAR_BUYER"
+    assert out["c5"]["frequency_segment"] == "FREQUENT_BUYER"
+    assert out["c2"]["shopping_behavior"] == "FOCUSED_SHOPPER"
+    assert out["c3"]["shopping_behavior"] == "MULTI_CATEGORY"
+    assert out["c5"]["shopping_behavior"] == "CROSS_SHOPPER"
+    assert out["c5"]["session_duration_minutes"] == 4
+
+
+def test_whole_minutes_truncate(spark):
+    a = dt.datetime(2024, 1, 1, 0, 0, 30)
+    data = [ev_row(1, a), ev_row(2, dt.datetime(2024, 1, 1, 0, 2, 29))]
+    out = rt.customer_metrics(sales_events(spark, data), a).first()
+    assert out["session_duration_minutes"] == 1
+
+
+def test_only_today_and_only_sales_count(spark):
+    data = [ev_row(1, T0), ev_row(2, T0 - dt.timedelta(days=1)),
+            ev_row(3, T0, ttype="RETURN")]
+    out = rt.customer_metrics(sales_events(spark, data), T0).first()
+    assert out["transactions_today"] == 1
+
+
+def test_summary_counts_and_return_added(spark):
+    data = [ev_row(1, T0, amount="10.00"), ev_row(2, T0, amount="5.00", ttype="RETURN"),
+            ev_row(3, T0, amount="1.00", ttype="EXCHANGE", promo=True),
+            ev_row(4, T0 - dt.timedelta(hours=25), amount="7.00")]
+    out = rt.rt_sales_summary(sales_events(spark, data), T0).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r["transaction_count"], r["sale_count"], r["return_count"], r["exchange_count"],
+            r["promotional_transactions"]) == (3, 1, 1, 1, 1)
+    assert r["total_sales"] == Decimal("16.00")
+    assert r["avg_transaction_value"] == Decimal("5.333333")
+
+
+def test_trailing_window_has_no_upper_bound(spark):
+    data = [ev_row(1, T0 + dt.timedelta(days=3))]
+    assert rt.rt_sales_summary(sales_events(spark, data), T0).count() == 1
+
+
+def test_top_stores_tie_break_and_k(spark):
+    data = [ev_row(i, T0, store=s, amount="10.00") for i, s in enumerate([3, 1, 2, 4, 5, 6])]
+    out = rt.top_stores(sales_events(spark, data), T0, k=5).collect()
+    assert [r["store_id"] for r in out] == [1, 2, 3, 4, 5]
+
+
+def test_stream_health_stale_and_fresh(spark):
+    data = [ev_row(1, T0 - dt.timedelta(minutes=10))]
+    h = rt.stream_health(sales_events(spark, data), T0).first()
+    assert (h["recent_records"], h["data_freshness"], h["validation_status"]) == (0, "stale", "warning")
+    data.append(ev_row(2, T0 - dt.timedelta(minutes=5)))
+    h = rt.stream_health(sales_events(spark, data), T0).first()
+    assert (h["recent_records"], h["data_freshness"]) == (1, "fresh")
+
+
+def test_stock_status_edges(spark):
+    df = spark.createDataFrame([(0, 10), (1, 10), (10, 10), (11, 10), (5, None), (-3, 10)],
+                               "current_stock int, reorder_point int")
+    got = [r["stock_status"] for r in inv.stock_status(df).collect()]
+    assert got == ["OUT_OF_STOCK", "LOW_STOCK", "LOW_STOCK", "NORMAL", "NORMAL", "OUT_OF_STOCK"]
+
+
+def test_inventory_status_latest_with_tie(spark):
+    schema = S.STREAM_INVENTORY_EVENTS
+    t = T0
+    data = [("a", t, 1, 2, "p", "SALE", -1, 5, 10, None, t),
+            ("b", t, 1, 2, "p", "SALE", -1, 30, 10, None, t),  # same time, larger id wins
+            ("c", t - dt.timedelta(hours=1), 1, 2, "p", "RESTOCK", 5, 0, 10, None, t)]
+    out = inv.inventory_status(spark.createDataFrame(data, schema)).collect()
+    assert len(out) == 1 and out[0]["current_stock"] == 30 and out[0]["stock_status"] == "NORMAL"
+
+
+def test_business_hours_edges(spark):
+    # 2024-03-04 is a Monday, 2024-03-09 a Saturday.
+    times = [dt.datetime(2024, 3, 4, h, 30) for h in (5, 6, 22, 23)] + \
+            [dt.datetime(2024, 3, 9, h, 30) for h in (7, 8, 23)]
+    df = spark.createDataFrame([(t,) for t in times], "event_time timestamp")
+    got = [r["f"] for r in df.select(R.business_hours("event_time").alias("f")).collect()]
+    assert got == [False, True, True, False, False, True, True]
+
+
+def test_daypart(spark):
+    hours = [10, 11, 13, 14, 17, 19, 20, 22, 23]
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 4, h),) for h in hours], "event_time timestamp")
+    got = [r["d"] for r in df.select(R.daypart("event_time").alias("d")).collect()]
+    assert got == ["NORMAL", "RUSH", "RUSH", "NORMAL", "RUSH", "RUSH", "EVENING", "EVENING", "NORMAL"]
+
+
+def test_parse_bad_json_and_types(spark):
+    good = ('{"event_id":"e1","event_time":"2024-01-01T10:00:00","store_id":1,"dept_id":2,'
+            '"product_id":"p","customer_id":"c","quantity":2,"unit_price":1.5,"total_amount":3.0,'
+            '"transaction_type":"SALE","payment_method":"CARD","promotion_applied":true}')
+    bad = ["not json",
+           '{"event_id":"e2","store_id":1}',
+           '{"event_id":"e3","quantity":"x","store_id":4}',
+           '{"event_id":"e4","quantity":2.5,"store_id":5}',
+           '{"event_id":"e5","event_time":"bad","store_id":6}']
+    df = spark.createDataFrame([(v,) for v in [good] + bad], "value string")
+    parsed = ev.cast_event_time(ev.parse_event_json(df)).collect()
+    assert parsed[0]["event_time"] == dt.datetime(2024, 1, 1, 10, 0)
+    assert parsed[1]["event_id"] is None  # malformed -> all NULL
+    assert parsed[3]["quantity"] is None and parsed[3]["store_id"] == 4
+    assert parsed[4]["quantity"] is None
+    assert parsed[5]["event_time"] is None and parsed[5]["store_id"] == 6
+    valid = ev.validate_event(ev.cast_event_time(ev.parse_event_json(df)))
+    assert [r["event_id"] for r in valid.collect()] == ["e1"]
+
+
+def test_contract_check_and_defaults(spark):
+    schema = StructType([StructField("event_id", StringType()), StructField("event_time", TimestampType()),
+                         StructField("store_id", IntegerType()), StructField("dept_id", IntegerType()),
+                         StructField("product_id", StringType()), StructField("customer_id", StringType()),
+                         StructField("quantity", IntegerType()),
+                         StructField("unit_price", DecimalType(10, 2)),
+                         StructField("total_amount", DecimalType(10, 2)),
+                         StructField("transaction_type", StringType())])
+    data = [("e1", T0, 1, 1, "p", "c", 1, Decimal("1.00"), Decimal("1.00"), "SALE"),
+            ("e2", None, 1, 1, "p", "c", 0, Decimal("1.00"), Decimal("0.00"), "REFUND"),
+            ("e3", T0, 1, 1, "p", "c", 1, Decimal("1.00"), Decimal("1.00"), None)]
+    df = spark.createDataFrame(data, schema)
+    withdef = ev.contract_defaults(df, S.SALES_EVENT_CONTRACT, now=T0)
+    # absent column defaulted, explicit NULL kept
+    r = {x["event_id"]: x for x in withdef.collect()}
+    assert r["e1"]["payment_method"] == "CARD" and r["e1"]["promotion_applied"] is False
+    assert r["e3"]["transaction_type"] is None
+    checked = {x["event_id"]: x["failed_rules"] for x in
+               ev.contract_check(withdef, S.SALES_EVENT_CONTRACT).collect()}
+    assert checked["e1"] == []
+    assert set(checked["e2"]) == {"not_null:event_time", "quantity_positive",
+                                  "total_amount_positive", "enum:transaction_type"}
+    assert checked["e3"] == ["not_null:transaction_type"]
+    valid, bad = ev.split_by_contract(withdef, S.SALES_EVENT_CONTRACT)
+    assert [x["event_id"] for x in valid.collect()] == ["e1"]
+    assert bad.count() == 2
+
+
+def test_event_id_dedupe_batch(spark):
+    data = [ev_row(1, T0), ev_row(1, T0), ev_row(2, T0)]
+    assert ev.event_id_dedupe(sales_events(spark, data)).count() == 2
+
+
+def test_event_store_enrich_default(spark):
+    stores = spark.createDataFrame([(1, "A", 100), (2, "B", 50)], "Store int, Type string, Size int")
+    data = [ev_row(1, T0, store=1), ev_row(2, T0, store=9)]
+    out = {r["store_id"]: r["store_type"] for r in
+           ev.event_store_enrich(sales_events(spark, data), stores).collect()}
+    assert out == {1: "A", 9: "C"}
+
+
+def test_streaming_metrics_long_form(spark):
+    data = [ev_row(1, T0, qty=2, amount="4.00"), ev_row(2, T0 + dt.timedelta(minutes=5), amount="2.00")]
+    out = {r["metric_name"]: r["metric_value"] for r in rt.streaming_metrics(sales_events(spark, data)).collect()}
+    assert out == {"transaction_count": Decimal("2.0000"), "total_sales": Decimal("6.0000"),
+                   "avg_transaction_value": Decimal("3.0000"), "units_sold": Decimal("3.0000")}
+
+
+def test_hourly_text(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 13, 22, 11), 1, Decimal("2.50"))],
+                               "event_time timestamp, quantity int, price decimal(10,2)")
+    r = rt.streaming_sales_hourly(df).first()
+    assert r["hour_bucket"] == "2024-01-01 13:00:00" and r["sales"] == Decimal("2.50")
+
+
+def test_bool_rule_types(spark):
+    assert isinstance(spark.range(1).select(R.count_where(F.lit(True))).schema[0].dataType,
+                      type(spark.range(1).select(F.sum(F.lit(1))).schema[0].dataType))
+    assert BooleanType() == spark.range(1).select(R.business_hours(F.lit(T0))).schema[0].dataType
