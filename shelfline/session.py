@@ -54,11 +54,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     setting agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
+    elif root and sc is not None and not sc.getCheckpointDir():
+        # Named in the session conf after the context started: register it
+        # so that DataFrame.checkpoint() writes there too.
+        sc.setCheckpointDir(root)
     if not root:
         root = tempfile.mkdtemp(prefix="shelfline-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
