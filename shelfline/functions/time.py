@@ -57,3 +57,27 @@ def local_time(col: str | Column, tz: str = "UTC") -> Column:
     """Wall-clock time of a UTC timestamp in ``tz``."""
     c = F.col(col) if isinstance(col, str) else col
     return c if tz.upper() == "UTC" else F.from_utc_timestamp(c, tz)
+
+
+PARTITION_DATE = "event_date"
+
+
+def since(df, as_of: dt.datetime, span, col: str = "event_time"):
+    """Rows of ``df`` at or after ``as_of - span``. When the table carries the
+    ``event_date`` partition column, the matching date bound is added so the
+    scan skips older partitions (Catalyst does not derive it from the time
+    predicate)."""
+    lo = as_of - to_timedelta(span)
+    out = df.where(F.col(col) >= F.lit(lo))
+    if PARTITION_DATE in df.columns:
+        out = out.where(F.col(PARTITION_DATE) >= F.lit(lo.date()))
+    return out
+
+
+def on_day(df, as_of: dt.datetime, col: str = "event_time"):
+    """Rows of ``df`` on the calendar day of ``as_of`` (with the partition
+    bound when ``event_date`` is present)."""
+    out = df.where(same_day(col, as_of))
+    if PARTITION_DATE in df.columns:
+        out = out.where(F.col(PARTITION_DATE) == F.lit(as_of.date()))
+    return out

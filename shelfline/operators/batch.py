@@ -82,8 +82,10 @@ def store_performance(sales: DataFrame, stores: DataFrame, features: DataFrame)
 
     per_week = s.groupBy("Store", "Date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("Weekly_Sales").alias("ws"))
-    j = dim_join(per_week, f.select("Store", "Date", "Temperature", "Fuel_Price"),
-                 on=["Store", "Date"], how="left")
+    # Both sides are now one row per store-week: a plain equi-join, planned
+    # by AQE from their runtime sizes (no extra pass to size the features).
+    j = per_week.join(f.select("Store", "Date", "Temperature", "Fuel_Price"),
+                      on=["Store", "Date"], how="left")
     j = dim_join(j, _stores_dim(stores), on="Store", how="left")
     n_t = F.when(F.col("Temperature").isNotNull(), F.col("n"))
     n_f = F.when(F.col("Fuel_Price").isNotNull(), F.col("n"))

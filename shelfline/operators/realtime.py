@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.time import hour_text, same_day, trailing, whole_minutes_between
+from ..functions.time import hour_text, on_day, since, trailing, whole_minutes_between
 
 SALE = "SALE"
 
@@ -58,7 +58,7 @@ def rt_sales_summary(events: DataFrame, as_of: dt.datetime,
                      lookback="24 hours") -> DataFrame:
     """Trailing-window hourly summary (the first hour is cut at
     ``as_of - lookback``)."""
-    return hourly_summary(events.where(trailing("event_time", as_of, lookback)), as_of)
+    return hourly_summary(since(events, as_of, lookback), as_of)
 
 
 def ordered_summary(df: DataFrame) -> DataFrame:
@@ -84,8 +84,7 @@ def hourly_sales_rollup(events: DataFrame) -> DataFrame:
 
 def product_velocity(events: DataFrame, as_of: dt.datetime, lookback="1 hour") -> DataFrame:
     """Recent SALE activity per store, department and product."""
-    recent = events.where(trailing("event_time", as_of, lookback)
-                          & (F.col("transaction_type") == SALE))
+    recent = since(events, as_of, lookback).where(F.col("transaction_type") == SALE)
     return recent.groupBy("store_id", "dept_id", "product_id").agg(
         F.count(F.lit(1)).alias("transactions_last_hour"),
         F.sum("quantity").alias("units_sold_last_hour"),
@@ -117,7 +116,7 @@ def inventory_alerts(events: DataFrame, as_of: dt.datetime, lookback="1 hour",
 
 def customer_metrics(events: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Today's SALE behaviour per customer and store."""
-    today = events.where(same_day("event_time", as_of) & (F.col("transaction_type") == SALE))
+    today = on_day(events, as_of).where(F.col("transaction_type") == SALE)
     m = today.groupBy("customer_id", "store_id").agg(
         F.count(F.lit(1)).alias("transactions_today"),
         F.sum("total_amount").alias("total_spent_today"),
@@ -167,7 +166,7 @@ def stream_health(events: DataFrame, as_of: dt.datetime, recent="5 minutes") ->
 
 def hourly_performance(events: DataFrame, as_of: dt.datetime, k: int = 5) -> DataFrame:
     """Today's figures per hour of day; the ``k`` latest hours (top-k)."""
-    today = events.where(same_day("event_time", as_of))
+    today = on_day(events, as_of)
     g = today.groupBy(F.hour("event_time").alias("hour_of_day")).agg(
         F.count(F.lit(1)).alias("transactions"),
         F.sum("total_amount").alias("total_revenue"),
@@ -177,7 +176,7 @@ def hourly_performance(events: DataFrame, as_of: dt.datetime, k: int = 5) -> Dat
 
 def top_stores(events: DataFrame, as_of: dt.datetime, k: int = 5, lookback="1 hour") -> DataFrame:
     """Best ``k`` stores by revenue over the last hour (store id breaks ties)."""
-    recent = events.where(trailing("event_time", as_of, lookback))
+    recent = since(events, as_of, lookback)
     g = recent.groupBy("store_id").agg(
         F.count(F.lit(1)).alias("transactions"),
         F.sum("total_amount").alias("total_revenue"),
