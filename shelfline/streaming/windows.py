@@ -56,3 +56,51 @@ def stream_inventory_alerts(events: DataFrame, watermark: str | None = "2 hours"
         F.max("event_time").alias("last_sale_time"))
     a = with_alert_levels(g, velocity=velocity, alert=alert).where(F.col("alert_level").isin(*keep))
     return a.select(*_window_cols(), *[c for c in a.columns if c != "w"])
+
+
+WINDOW_DATE = "window_date"
+
+
+def _keyed_window_writer(table_path: str, keys):
+    """``foreachBatch`` writer for update-mode window aggregates: each row
+    carries the window's complete current figures, so it replaces the stored
+    row with the same key. Only the days the batch touches are read and
+    rewritten (dynamic partition overwrite); a replayed epoch writes the
+    same rows again."""
+    from ..plans.loader import table_exists
+    from ..sources.sinks import partition_overwrite_sink
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.withColumn(WINDOW_DATE, F.to_date("window_start")).withColumn("_epoch", F.lit(epoch_id))
+        rest = [c for c in new.columns if c not in keys and c != "_epoch"]
+        if table_exists(spark, table_path):
+            days = new.select(WINDOW_DATE).distinct()
+            stored = (spark.read.parquet(table_path).join(days, WINDOW_DATE, "left_semi")
+                      .withColumn("_epoch", F.lit(-1)))
+            new = stored.select(*new.columns).unionByName(new)
+        merged = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_epoch")).alias("r"))
+        out = merged.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
+        partition_overwrite_sink(out, table_path, WINDOW_DATE)
+    return write
+
+
+def start_window_stream(windowed: DataFrame, keys, checkpoint: str, table_path: str,
+                        processing_time: str | None = "10 seconds",
+                        available_now: bool = False):
+    """Run a window model (``stream_hourly_sales`` / ``stream_inventory_alerts``
+    over a stream) in update mode into a keyed table, so windows still open
+    are visible and refined as events arrive."""
+    if not checkpoint:
+        raise ValueError("a checkpoint location is required")
+    w = (windowed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(_keyed_window_writer(table_path, list(keys))))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+HOURLY_KEYS = ["window_start", "window_end", "store_id", "dept_id"]
+ALERT_KEYS = ["window_start", "window_end", "store_id", "dept_id", "product_id"]
