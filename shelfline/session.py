@@ -17,7 +17,6 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
