@@ -51,9 +51,12 @@ def _aligned(df: DataFrame, columns, types) -> DataFrame:
                        for c in columns])
 
 
+FLAG_COLS = ("_had_target", "_touched", "_changed")
+
+
 def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
                  order_cols=None, ingestion_ts: dt.datetime | None = None,
-                 ts_col: str = S.INGESTION_TS) -> DataFrame:
+                 ts_col: str = S.INGESTION_TS, with_flags: bool = False) -> DataFrame:
     """Insert-or-update ``source`` into ``target`` by ``keys``.
 
     Per key, as a row-by-row ``INSERT ... ON DUPLICATE KEY UPDATE`` would:
@@ -65,6 +68,11 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
 
     Spark has no row order, so load order is the ascending order of
     ``order_cols`` (default: all non-key source columns).
+
+    ``with_flags`` adds per-key booleans ``_had_target``, ``_touched`` and
+    ``_changed`` (update columns differ from the stored ones), computed in
+    the same aggregate, so a load can report what it did without a second
+    pass (see ``plans.loader``).
     """
     stamp = F.lit(ingestion_ts).cast("timestamp") if ingestion_ts else F.current_timestamp()
     keys = list(keys)
@@ -91,9 +99,11 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
     u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     rank = F.struct(F.col(_RANK), F.col(_ORD))
-    aggs = [F.max(_RANK).alias("_touched")]
+    aggs = [F.max(_RANK).alias("_touched"), F.min(_RANK).alias("_min_rank")]
     if present_updates:
         aggs.append(F.max_by(F.struct(*present_updates), rank).alias("_upd"))
+        if with_flags:
+            aggs.append(F.min_by(F.struct(*present_updates), rank).alias("_old"))
     if others:
         aggs.append(F.min_by(F.struct(*others), rank).alias("_keep"))
     g = u.groupBy(*keys).agg(*aggs)
@@ -109,9 +119,28 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
             out.append(F.col(f"_upd.{c}").alias(c))
         else:
             out.append(F.col(f"_keep.{c}").alias(c))
+    if with_flags:
+        had = F.col("_min_rank") == 0
+        touched = F.col("_touched") == 1
+        same = F.col("_upd").eqNullSafe(F.col("_old")) if present_updates else F.lit(True)
+        out += [had.alias("_had_target"), touched.alias("_touched"),
+                (had & touched & ~same).alias("_changed")]
     return g.select(*out)
 
 
+def report_metrics(flagged: DataFrame):
+    """Aggregates over ``keyed_upsert(..., with_flags=True)`` that give the
+    load report (for ``DataFrame.observe`` during the write)."""
+    had, touched, changed = (F.col(c) for c in FLAG_COLS)
+    return [
+        F.count(F.when(had, 1)).alias("initial_keys"),
+        F.count(F.lit(1)).alias("final_count"),
+        F.count(F.when(~had & touched, 1)).alias("new_records"),
+        F.count(F.when(changed, 1)).alias("updated_records"),
+        F.count(F.when(had & touched & ~changed, 1)).alias("unchanged_records"),
+    ]
+
+
 def load_report(target: DataFrame | None, source: DataFrame, keys, update_cols,
                 file_name: str, order_cols=None) -> DataFrame:
     """One row describing what an upsert of ``source`` does to ``target``:

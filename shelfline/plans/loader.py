@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.joins import dim_join
-from ..operators.upsert import key_unique_check, keyed_upsert, load_report
+from ..operators.upsert import FLAG_COLS, key_unique_check, keyed_upsert, report_metrics
 from ..sources.sinks import overwrite_sink, partition_overwrite_sink
 
 
@@ -37,7 +37,12 @@ def load_dataset(spark: SparkSession, source: DataFrame, table_path: str, datase
                  partition_by: str | None = None, file_name: str = "",
                  order_cols=None) -> dict:
     """Load ``source`` into the table at ``table_path``; returns the load
-    report (one row, as a dict) computed before the write."""
+    report as a dict.
+
+    The merge and its report come from one grouped pass: the per-key flags
+    of ``keyed_upsert`` are totalled by an ``Observation`` while the result
+    is written, so the target and the file are read once.
+    """
     cfg = S.RAW_TABLES[dataset]
     keys, updates = cfg["keys"], cfg["update_cols"]
     if partition_by and partition_by not in keys:
@@ -46,29 +51,38 @@ def load_dataset(spark: SparkSession, source: DataFrame, table_path: str, datase
     exists = table_exists(spark, table_path)
     if mode == "create" and exists:
         raise FileExistsError(f"{table_path} already exists")
-    if mode == "full" or not exists:
-        merged = keyed_upsert(None, source, keys, updates, order_cols, ts)
-        report = load_report(None, source, keys, updates, file_name, order_cols).first().asDict()
-        overwrite_sink(merged, table_path, partition_by)
-        return report
-    if mode != "upsert":
+    if mode not in ("create", "upsert", "full"):
         raise ValueError(f"unknown load mode {mode!r}")
 
-    target = spark.read.parquet(table_path)
-    if partition_by:
-        # Only the partitions the file touches: a semi join on the distinct
-        # partition values, which also prunes the partitioned scan.
-        touched = source.select(partition_by).distinct()
-        target = dim_join(target, touched, on=partition_by, how="left_semi")
-    report = load_report(target, source, keys, updates, file_name, order_cols).first().asDict()
-    merged = keyed_upsert(target, source, keys, updates, order_cols, ts)
-    if partition_by:
+    target = None
+    if mode == "upsert" and exists:
+        target = spark.read.parquet(table_path)
+        if partition_by:
+            # Only the partitions the file touches: a semi join on the
+            # distinct partition values, which also prunes the scan.
+            touched = source.select(partition_by).distinct()
+            target = dim_join(target, touched, on=partition_by, how="left_semi")
+    flagged = keyed_upsert(target, source, keys, updates, order_cols, ts, with_flags=True)
+    obs = Observation(f"load_{dataset}")
+    merged = flagged.observe(obs, *report_metrics(flagged)).drop(*FLAG_COLS)
+    untouched = 0
+    if target is not None and partition_by:
         partition_overwrite_sink(merged, table_path, partition_by)
+    elif target is not None:
+        # Unpartitioned: the whole table is replaced, so materialise it in
+        # the checkpoint folder before overwriting what it was read from.
+        overwrite_sink(merged.checkpoint(), table_path)
     else:
-        # Unpartitioned: materialise first, since the whole table is replaced.
-        staged = merged.checkpoint()
-        overwrite_sink(staged, table_path)
-    return report
+        overwrite_sink(merged, table_path, partition_by)
+    m = obs.get
+    initial = m["initial_keys"]
+    if target is not None and partition_by:
+        # Rows of partitions the file does not touch stay as they are
+        # (a count of the stored table, answered from file metadata).
+        untouched = spark.read.parquet(table_path).count() - m["final_count"]
+    return {"initial_count": initial + untouched, "final_count": m["final_count"] + untouched,
+            "new_records": m["new_records"], "updated_records": m["updated_records"],
+            "unchanged_records": m["unchanged_records"], "file_processed": file_name}
 
 
 def duplicate_keys(source: DataFrame, dataset: str) -> DataFrame:
