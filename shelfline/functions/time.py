@@ -81,3 +81,17 @@ def on_day(df, as_of: dt.datetime, col: str = "event_time"):
     if PARTITION_DATE in df.columns:
         out = out.where(F.col(PARTITION_DATE) == F.lit(as_of.date()))
     return out
+
+
+def latest_event_time(df, col: str = "event_time"):
+    """The newest event time, as one scalar for use as ``as_of``.
+
+    On a table partitioned by ``event_date`` only the newest day is scanned
+    for it (the newest day itself comes from the partition column, which
+    reads no data column)."""
+    if PARTITION_DATE in df.columns:
+        day = df.agg(F.max(PARTITION_DATE).alias("d")).first()["d"]
+        if day is None:
+            return None
+        df = df.where(F.col(PARTITION_DATE) == F.lit(day))
+    return df.agg(F.max(col).alias("m")).first()["m"]

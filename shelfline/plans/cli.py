@@ -12,7 +12,6 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..session import CORE_CONF
 
@@ -63,10 +62,11 @@ def main(argv=None) -> None:
                            spark.read.parquet(f"{t}/raw_stores"),
                            spark.read.parquet(f"{t}/raw_features"), a.marts)
     elif a.job == "realtime":
+        from ..functions.time import latest_event_time
         from ..streaming.ingest import read_event_table
         from .models import build_realtime_models, materialize_incremental
         events = read_event_table(spark, a.events)
-        as_of = events.agg(F.max("event_time")).first()[0]
+        as_of = latest_event_time(events)
         build_realtime_models(spark, events, as_of, a.out)
         materialize_incremental(spark, f"{a.out.rstrip('/')}/rt_sales_summary_incremental",
                                 events, as_of, a.merge)

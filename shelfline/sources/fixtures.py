@@ -223,4 +223,5 @@ def as_of(events: DataFrame, col: str = "event_time"):
     One scalar is brought to the driver so it can be used as a literal,
     which lets the time filters reach the scan as pushed predicates.
     """
-    return events.agg(F.max(col).alias("m")).first()["m"]
+    from ..functions.time import latest_event_time
+    return latest_event_time(events, col)
