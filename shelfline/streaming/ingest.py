@@ -7,11 +7,13 @@ The optional ``dedupe_delay`` adds Spark's watermark dedupe, which keeps
 state bounded but *drops* events arriving later than the delay; use it
 only where that loss is acceptable.
 
-Each micro-batch is written by ``foreachBatch`` into its own folder
-``<table>/batch_id=<epoch>/event_date=<day>/`` with overwrite. A replayed
-epoch (after a failure, with the same checkpoint) rewrites exactly its own
-folder, so the sink is idempotent: no loss, no duplicates. Write errors are
-not swallowed; the query stops and the checkpoint does not advance past a
+Each micro-batch is written by ``foreachBatch`` into the partitions
+``<table>/event_date=<day>/batch_id=<epoch>/`` with dynamic partition
+overwrite. A replayed epoch (after a failure, with the same checkpoint)
+rewrites exactly its own partitions, so the sink is idempotent: no loss, no
+duplicates. Days come first in the layout, so a reader filtering on
+``event_date`` lists only that day's folders. Write errors are not
+swallowed; the query stops and the checkpoint does not advance past a
 batch that was not stored.
 """
 
@@ -24,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from ..operators import events as ev
+from ..sources.sinks import partition_overwrite_sink
 
 BATCH_COL = "batch_id"
 DATE_COL = "event_date"
@@ -54,8 +57,8 @@ def _batch_writer(table_path: str, quarantine_path: str | None,
             good = good.dropDuplicates(["event_id"]).withColumn(DATE_COL, F.to_date("event_time"))
             if dedupe_against_table:
                 good = _drop_stored_ids(batch.sparkSession, good, table_path, epoch_id)
-            (good.write.mode("overwrite").partitionBy(DATE_COL)
-                 .parquet(f"{table_path}/{BATCH_COL}={epoch_id}"))
+            partition_overwrite_sink(good.withColumn(BATCH_COL, F.lit(epoch_id)),
+                                     table_path, [DATE_COL, BATCH_COL])
             if quarantine_path:
                 bad = checked.where(F.size("failed_rules") > 0)
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={epoch_id}")
