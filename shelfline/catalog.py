@@ -12,8 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import schemas as S
 from .operators import batch, staging
+from .operators import events as ev
+from .operators import incremental as inc
+from .operators import inventory as inv
+from .operators import realtime as rt
+from .operators import upsert as up
+from .session import checkpoint_root, scratch_path
+from .sources import files
 from .sources import fixtures as fx
+from .streaming import ingest as sti
+from .streaming import sources as sts
+from .streaming import windows as stw
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -92,10 +103,6 @@ def q_dedupe_rows(spark, d):
 
 
 # --- events --------------------------------------------------------------------
-from . import schemas as S  # noqa: E402
-from .operators import events as ev  # noqa: E402
-from .operators import inventory as inv  # noqa: E402
-from .operators import realtime as rt  # noqa: E402
 
 
 def _events(spark, d):
@@ -220,10 +227,6 @@ def q_daypart(spark, d):
 
 
 # --- loading -------------------------------------------------------------------
-from .operators import incremental as inc  # noqa: E402
-from .operators import upsert as up  # noqa: E402
-from .session import checkpoint_root, scratch_path  # noqa: E402
-from .sources import files  # noqa: E402
 
 # Fixed load times of the two sales extracts (deterministic ingestion_ts).
 LOAD_1 = dt.datetime(2025, 1, 1)
@@ -300,9 +303,6 @@ def q_sales_summary_incremental_replace(spark, d):
 
 
 # --- streaming -----------------------------------------------------------------
-from .streaming import ingest as sti  # noqa: E402
-from .streaming import sources as sts  # noqa: E402
-from .streaming import windows as stw  # noqa: E402
 
 
 @register("stream_ingest")

@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from ..operators import events as ev
+from ..operators.joins import dim_join
 from ..sources.sinks import partition_overwrite_sink
 
 BATCH_COL = "batch_id"
@@ -78,10 +79,16 @@ def _drop_stored_ids(spark: SparkSession, good: DataFrame, table_path: str,
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return good
         raise
-    days = good.select(DATE_COL).distinct()
-    prior = (stored.where(F.col(BATCH_COL) != epoch_id)
-             .join(days, DATE_COL, "left_semi").select("event_id", DATE_COL))
-    return good.join(prior, ["event_id", DATE_COL], "left_anti")
+    keys = ["event_id", DATE_COL]
+    batch_ids = good.select(*keys)
+    prior = stored.where(F.col(BATCH_COL) != epoch_id).select(*keys)
+    # The micro-batch is the small side: its ids are broadcast against the
+    # stored ids of the same days (the date is a partition column, so other
+    # days are pruned), which yields the few ids already stored; only those
+    # are then removed from the batch. The stored table is scanned, never
+    # shuffled.
+    seen = dim_join(prior, batch_ids, on=keys, how="left_semi")
+    return dim_join(good, seen, on=keys, how="left_anti")
 
 
 def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
