@@ -228,3 +228,14 @@ def test_bool_rule_types(spark):
     assert isinstance(spark.range(1).select(R.count_where(F.lit(True))).schema[0].dataType,
                       type(spark.range(1).select(F.sum(F.lit(1))).schema[0].dataType))
     assert BooleanType() == spark.range(1).select(R.business_hours(F.lit(T0))).schema[0].dataType
+
+
+def test_business_hours_in_store_time_zone(spark):
+    # 11:30 UTC on a Monday in March is 06:30 in New York (EST, UTC-5):
+    # open in local time; 10:30 UTC is 05:30 local: closed.
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 4, 11, 30),), (dt.datetime(2024, 3, 4, 10, 30),)],
+                               "event_time timestamp")
+    got = [r["f"] for r in df.select(R.business_hours("event_time", "America/New_York").alias("f")).collect()]
+    assert got == [True, False]
+    got = [r["d"] for r in df.select(R.daypart("event_time", "America/New_York").alias("d")).collect()]
+    assert got == ["NORMAL", "NORMAL"]
