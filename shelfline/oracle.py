@@ -75,8 +75,8 @@ _EVENT_BASE = """ev_base AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
          CAST(ts AS TIMESTAMP) AS event_time,
          CAST(user_id % 45 + 1 AS INTEGER) AS store_id,
-         CAST(CAST(regexp_extract(props, '"k"\s*:\s*(-?[0-9]+)', 1) AS INTEGER) % 10 + 1 AS INTEGER) AS dept_id,
-         CAST(regexp_extract(props, '"k"\s*:\s*(-?[0-9]+)', 1) AS INTEGER) AS k,
+         CAST(CAST(regexp_extract(props, '"k"\\s*:\\s*(-?[0-9]+)', 1) AS INTEGER) % 10 + 1 AS INTEGER) AS dept_id,
+         CAST(regexp_extract(props, '"k"\\s*:\\s*(-?[0-9]+)', 1) AS INTEGER) AS k,
          user_id, event_type AS raw_type, value, event_id AS raw_event_id
   FROM events),
 ev AS (

@@ -14,7 +14,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.joins import dim_join

@@ -7,13 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
-                 starting_offsets: str = "latest", options: dict | None = None) -> DataFrame:
+                 starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
+                 options: dict | None = None) -> DataFrame:
     """Subscribe to a topic. ``value`` holds the JSON payload. Needs the
-    Kafka connector on the classpath; credentials go in ``options``."""
+    Kafka connector on the classpath; credentials go in ``options``.
+    ``max_offsets_per_trigger`` bounds a micro-batch, so a backlog is
+    drained in batches of a known size instead of one huge batch."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load()

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DecimalType, IntegerType, StringType,
                                StructField, StructType, TimestampType)
 
-from conftest import rows
 from shelfline import schemas as S
 from shelfline.functions import rules as R
 from shelfline.operators import events as ev
