@@ -108,3 +108,36 @@ def _recompute(target: DataFrame, events: DataFrame, as_of: dt.datetime) -> Data
     again = dim_join(keyed, touched, on=["store_id", "dept_id", "_d", "_h"], how="left_semi")
     new = hourly_summary(again.drop("_d", "_h"), as_of).select(*SUMMARY_COLUMNS)
     return _replace(target, new)
+
+
+EPOCH_COL = "last_epoch"
+
+
+def merge_epoch(touched: DataFrame | None, batch_events: DataFrame, epoch: int) -> DataFrame:
+    """Add one micro-batch of stored events to the summary rows it touches.
+
+    ``touched`` holds the stored summary rows of the dates the batch falls
+    on (or None for an empty table). Every event is counted exactly once,
+    late ones included: the caller skips an epoch already merged (see
+    ``streaming.ingest.summary_hook``).
+    """
+    new = hourly_summary(batch_events, None).select(*SUMMARY_COLUMNS)
+    new = new.withColumn("last_updated", F.col("latest_transaction_time")).withColumn(
+        EPOCH_COL, F.lit(epoch).cast("bigint"))
+    if touched is None:
+        return new
+    u = touched.select(*SUMMARY_COLUMNS, EPOCH_COL).unionByName(new)
+    g = u.groupBy(*HOUR_KEYS).agg(
+        *[F.sum(c).alias(c) for c in SUM_COLS],
+        F.max("latest_transaction_time").alias("latest_transaction_time"),
+        F.max(EPOCH_COL).alias(EPOCH_COL))
+    return g.select(
+        *HOUR_KEYS,
+        F.col("transaction_count").cast("bigint").alias("transaction_count"),
+        F.col("total_sales").cast("decimal(20,2)").alias("total_sales"),
+        weighted_avg(F.col("total_sales"), F.col("transaction_count"), S.MONEY)
+        .alias("avg_transaction_value"),
+        *[F.col(c).cast("bigint").alias(c) for c in SUM_COLS[2:]],
+        "latest_transaction_time",
+        F.col("latest_transaction_time").alias("last_updated"),
+        EPOCH_COL)

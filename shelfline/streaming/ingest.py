@@ -49,8 +49,31 @@ def read_event_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH_COL)
 
 
+def summary_hook(summary_path: str):
+    """An ``after_write`` hook that keeps an hourly summary table (partitioned
+    by ``sale_date``) up to date from each stored micro-batch, exactly once:
+    the summary records the last epoch merged into it and a replayed epoch
+    is skipped. Only the dates the batch touches are read and rewritten, and
+    late events are counted (unlike a high-water-mark refresh)."""
+    from ..operators.incremental import EPOCH_COL, merge_epoch
+    from ..plans.loader import table_exists
+
+    def hook(rows: DataFrame, epoch_id: int) -> None:
+        spark = rows.sparkSession
+        touched = None
+        if table_exists(spark, summary_path):
+            stored = spark.read.parquet(summary_path)
+            done = stored.agg(F.max(EPOCH_COL).alias("e")).first()["e"]
+            if done is not None and done >= epoch_id:
+                return
+            dates = rows.select(F.to_date("event_time").alias("sale_date")).distinct()
+            touched = dim_join(stored, dates, on="sale_date", how="left_semi")
+        partition_overwrite_sink(merge_epoch(touched, rows, epoch_id), summary_path, "sale_date")
+    return hook
+
+
 def _batch_writer(table_path: str, quarantine_path: str | None,
-                  contract: S.Contract, dedupe_against_table: bool):
+                  contract: S.Contract, dedupe_against_table: bool, after_write=None):
     def write(batch: DataFrame, epoch_id: int) -> None:
         checked = ev.contract_check(batch, contract).persist()
         try:
@@ -60,6 +83,11 @@ def _batch_writer(table_path: str, quarantine_path: str | None,
                 good = _drop_stored_ids(batch.sparkSession, good, table_path, epoch_id)
             partition_overwrite_sink(good.withColumn(BATCH_COL, F.lit(epoch_id)),
                                      table_path, [DATE_COL, BATCH_COL])
+            if after_write is not None:
+                # The rows just stored (read back: exactly what the table holds).
+                stored = (batch.sparkSession.read.parquet(table_path)
+                          .where(F.col(BATCH_COL) == epoch_id).drop(BATCH_COL))
+                after_write(stored, epoch_id)
             if quarantine_path:
                 bad = checked.where(F.size("failed_rules") > 0)
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={epoch_id}")
@@ -98,18 +126,19 @@ def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
                   processing_time: str | None = "10 seconds",
                   available_now: bool = False,
                   contract: S.Contract = S.SALES_EVENT_CONTRACT,
-                  query_name: str | None = None) -> StreamingQuery:
+                  query_name: str | None = None, after_write=None) -> StreamingQuery:
     """Start the ingest query. ``checkpoint`` is required and must be on
     shared storage. ``available_now`` drains what is there and stops
     (backfill, tests); otherwise a micro-batch runs every
-    ``processing_time``."""
+    ``processing_time``. ``after_write(rows, epoch)`` runs after each batch
+    is stored, with the stored rows (e.g. ``summary_hook``)."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
     rows = ingest_plan(messages, schema, value_col, dedupe_delay)
     w = (rows.writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(_batch_writer(table_path, quarantine_path, contract,
-                                     dedupe_against_table)))
+                                     dedupe_against_table, after_write)))
     if query_name:
         w = w.queryName(query_name)
     if available_now:
