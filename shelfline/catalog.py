@@ -119,6 +119,13 @@ def q_parse_event_json(spark, d):
     return ev.cast_event_time(ev.parse_event_json(wire, S.EVENT_V2_WIRE))
 
 
+@register("parse_event_json_v1")
+def q_parse_event_json_v1(spark, d):
+    """The first-generation job: parse and type the time, no filters."""
+    wire = fx.wire_events_v1_json(spark, d)
+    return ev.cast_event_time(ev.parse_event_json(wire, S.EVENT_V1_WIRE))
+
+
 @register("validate_event")
 def q_validate_event(spark, d):
     return ev.validate_event(_events(spark, d))

@@ -514,3 +514,6 @@ SELECT * FROM (
               ELSE 'NO_ACTION' END AS alert_level
   FROM g) a
 WHERE alert_level IN ('URGENT_RESTOCK', 'MONITOR_STOCK')"""
+
+Q["parse_event_json_v1"] = with_(EVENTS_V1) + """
+SELECT event_id, event_time, product_id, quantity, CAST(price AS DOUBLE) AS price FROM events_v1"""

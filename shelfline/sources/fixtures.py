@@ -225,3 +225,13 @@ def as_of(events: DataFrame, col: str = "event_time"):
     """
     from ..functions.time import latest_event_time
     return latest_event_time(events, col)
+
+
+def wire_events_v1_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-generation wire form: integer ids, ISO text time, double price."""
+    ev = stream_events_v1(spark, sf_dir)
+    payload = F.struct(
+        "event_id",
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
+        "product_id", "quantity", F.col("price").cast("double").alias("price"))
+    return ev.select(F.to_json(payload).cast("binary").alias("value"))
