@@ -1,6 +1,7 @@
 """Command-line jobs: ``python -m shelfline.plans.cli <job> ...``.
 
 * ``load``     every configured CSV of a folder -> raw tables (explicit mode)
+* ``clean``    one CSV -> exact duplicates dropped -> parquet and/or JDBC
 * ``models``   raw tables -> staging/intermediate views and the marts
 * ``realtime`` event table -> trailing-window tables and the incremental summary
 * ``ingest``   event bus (Kafka or a folder of JSON lines) -> event table
@@ -30,6 +31,13 @@ def main(argv=None) -> None:
     p.add_argument("--raw-dir", required=True)
     p.add_argument("--tables", required=True)
     p.add_argument("--mode", default="upsert", choices=["create", "upsert", "full"])
+    p = sub.add_parser("clean")
+    p.add_argument("--csv", required=True)
+    p.add_argument("--out", help="parquet folder")
+    p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-table")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password-env", help="name of the variable holding the password")
     p = sub.add_parser("models")
     p.add_argument("--tables", required=True)
     p.add_argument("--marts", required=True)
@@ -55,6 +63,19 @@ def main(argv=None) -> None:
         parts = {"raw_sales": "Date", "raw_features": "Date"}
         for rep in load_folder(spark, a.raw_dir, a.tables, a.mode, partitions=parts):
             print(json.dumps(rep, default=str))
+    elif a.job == "clean":
+        import os
+        from ..operators.batch import dedupe_rows
+        from ..sources.files import csv_source
+        from ..sources.sinks import jdbc_sink, overwrite_sink
+        df = dedupe_rows(csv_source(spark, a.csv))
+        if a.out:
+            overwrite_sink(df, a.out)
+        if a.jdbc_url:
+            props = {"user": a.jdbc_user} if a.jdbc_user else {}
+            if a.jdbc_password_env:
+                props["password"] = os.environ[a.jdbc_password_env]
+            jdbc_sink(df, a.jdbc_url, a.jdbc_table, mode="overwrite", properties=props)
     elif a.job == "models":
         from .models import build_batch_models
         t = a.tables.rstrip("/")

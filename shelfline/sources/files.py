@@ -7,18 +7,23 @@ import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas as S
 
 
 def csv_source(spark: SparkSession, path: str, schema: StructType | None = None,
-               null_value: str = "NA") -> DataFrame:
+               null_value: str = "NA", corrupt_col: str | None = None) -> DataFrame:
     """Header CSV -> typed rows. With a schema nothing is inferred (no extra
     pass over the files); ``NA`` and empty fields become NULL; TRUE/FALSE
-    and ISO dates parse to BOOLEAN and DATE."""
+    and ISO dates parse to BOOLEAN and DATE. With ``corrupt_col`` a line
+    that does not fit the schema keeps its raw text in that column (for a
+    quarantine), instead of silently becoming NULL fields."""
     reader = (spark.read.option("header", True).option("nullValue", null_value)
               .option("mode", "PERMISSIVE"))
+    if schema is not None and corrupt_col:
+        schema = StructType(schema.fields + [StructField(corrupt_col, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     if schema is not None:
         reader = reader.schema(schema)
     else:

@@ -152,3 +152,22 @@ def test_observed_report_equals_report_operator(spark):
     assert (got["new_records"], got["updated_records"], got["unchanged_records"]) == (1, 1, 1)
     final = {r["Store"]: (r["Type"], r["Size"]) for r in spark.read.parquet(path).collect()}
     assert final == {1: ("A", 100), 2: ("C", 200), 3: ("C", 300), 4: ("B", 60)}
+
+
+def test_csv_corrupt_rows_kept_aside(spark, tmp_path):
+    p = tmp_path / "stores.csv"
+    p.write_text("Store,Type,Size\n1,A,151315\ntwo,B,200\n3,C,NA\n")
+    df = files.csv_source(spark, str(p), S.RAW_STORES, corrupt_col="_bad")
+    r = {x["Type"]: x for x in df.collect()}
+    assert r["A"]["_bad"] is None and r["C"]["Size"] is None and r["C"]["_bad"] is None
+    assert r["B"]["_bad"] == "two,B,200" and r["B"]["Store"] is None
+
+
+def test_clean_job(spark, tmp_path):
+    from shelfline.plans.cli import main
+    p = tmp_path / "sales.csv"
+    p.write_text("Store,Dept,Date,Weekly_Sales,IsHoliday\n1,1,2010-02-05,24924.5,FALSE\n"
+                 "1,1,2010-02-05,24924.5,FALSE\n1,2,2010-02-05,50605.27,FALSE\n")
+    out = str(tmp_path / "clean")
+    main(["clean", "--csv", str(p), "--out", out])
+    assert spark.read.parquet(out).count() == 2
