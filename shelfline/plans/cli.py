@@ -14,18 +14,24 @@ import json
 
 from pyspark.sql import SparkSession
 
-from ..session import CORE_CONF
+from ..session import CORE_CONF, sizing_conf
 
 
-def _session() -> SparkSession:
+def _session(input_bytes: int | None = None) -> SparkSession:
     spark = SparkSession.builder.appName("shelfline").getOrCreate()
-    for k, v in CORE_CONF.items():
+    conf = dict(CORE_CONF)
+    if input_bytes:
+        cores = spark.sparkContext.defaultParallelism
+        conf.update(sizing_conf(input_bytes, cores))
+    for k, v in conf.items():
         spark.conf.set(k, v)
     return spark
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="shelfline")
+    ap.add_argument("--input-gb", type=float,
+                    help="expected input size, to size shuffles and scan splits")
     sub = ap.add_subparsers(dest="job", required=True)
     p = sub.add_parser("load")
     p.add_argument("--raw-dir", required=True)
@@ -54,7 +60,7 @@ def main(argv=None) -> None:
     p.add_argument("--inbox", help="folder of JSON-lines files instead of Kafka")
     p.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
-    spark = _session()
+    spark = _session(int(a.input_gb * (1 << 30)) if a.input_gb else None)
 
     if a.job == "load":
         from .loader import load_folder

@@ -48,9 +48,10 @@ def build_session(master: str | None = None, app: str = "shelfline",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session. Only when nothing is configured (local tests)
-    is a private folder created and registered, so that later reads of the
-    setting agree.
+    Read from the session. Only when nothing is configured and the master
+    is ``local[...]`` (tests) is a private folder created and registered, so
+    that later reads of the setting agree; on a cluster a missing setting
+    is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -65,6 +66,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         # so that DataFrame.checkpoint() writes there too.
         sc.setCheckpointDir(root)
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            # A machine-local folder is not reachable from other executors
+            # and is lost with them: on a cluster the shared folder is
+            # mandatory.
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(HDFS/object store) for checkpoints and scratch tables")
         root = tempfile.mkdtemp(prefix="shelfline-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -94,3 +102,23 @@ def local_dir(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_dir(path), exist_ok=True)
+
+
+def sizing_conf(input_bytes: int, total_cores: int) -> dict:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    Shuffles start at about one partition per 128 MB of input (at least two
+    per core, at most 200,000) and AQE coalesces them towards 128 MB each
+    at run time, so partitions fit executor memory whatever the filter
+    selectivity; scan splits grow to 256 MB on very large inputs to bound
+    the task count. Skewed join partitions above 256 MB are split.
+    """
+    mb = 1 << 20
+    shuffle = max(2 * total_cores, min(200_000, -(-input_bytes // (128 * mb))))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.files.maxPartitionBytes": str((256 if input_bytes > (1 << 40) else 128) * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+    }

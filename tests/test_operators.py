@@ -238,3 +238,12 @@ def test_business_hours_in_store_time_zone(spark):
     assert got == [True, False]
     got = [r["d"] for r in df.select(R.daypart("event_time", "America/New_York").alias("d")).collect()]
     assert got == ["NORMAL", "NORMAL"]
+
+
+def test_sizing_conf():
+    from shelfline.session import sizing_conf
+    small = sizing_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = sizing_conf(100 << 40, 8000)   # 100 TB on 8,000 cores
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
