@@ -82,7 +82,8 @@ def _batch_writer(table_path: str, quarantine_path: str | None,
             if dedupe_against_table:
                 good = _drop_stored_ids(batch.sparkSession, good, table_path, epoch_id)
             partition_overwrite_sink(good.withColumn(BATCH_COL, F.lit(epoch_id)),
-                                     table_path, [DATE_COL, BATCH_COL])
+                                     table_path, [DATE_COL, BATCH_COL],
+                                     sort_within=["store_id", "event_time"])
             if after_write is not None:
                 # The rows just stored (read back: exactly what the table holds).
                 stored = (batch.sparkSession.read.parquet(table_path)
