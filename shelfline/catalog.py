@@ -19,6 +19,7 @@ from .operators import incremental as inc
 from .operators import inventory as inv
 from .operators import realtime as rt
 from .operators import upsert as up
+from .plans.loader import load_dataset
 from .session import checkpoint_root, scratch_path
 from .sources import files
 from .sources import fixtures as fx
@@ -268,6 +269,21 @@ def q_load_report(spark, d):
                           SALES_KEYS, SALES_UPDATES, file_name="sales.csv")
 
 
+@register("load_sales_table")
+def q_load_sales_table(spark, d):
+    """The stored-table path of the same two loads: create from the first
+    extract, then upsert the second into the table partitioned by week
+    (only the weeks it touches are read and rewritten); the table is read
+    back."""
+    path = scratch_path(spark, "raw_sales")
+    load_dataset(spark, fx.raw_sales_file(spark, d, "first"), path, "raw_sales", "create",
+                 LOAD_1, partition_by="Date", file_name="sales_1.csv")
+    load_dataset(spark, fx.raw_sales_file(spark, d, "second"), path, "raw_sales", "upsert",
+                 LOAD_2, partition_by="Date", file_name="sales_2.csv")
+    return spark.read.parquet(path).select("Store", "Dept", "Date", "Weekly_Sales",
+                                           "IsHoliday", S.INGESTION_TS)
+
+
 @register("csv_source")
 def q_csv_source(spark, d):
     path = scratch_path(spark, "features-csv")
@@ -336,3 +352,23 @@ def q_stream_hourly_sales(spark, d):
 @register("stream_inventory_alerts")
 def q_stream_inventory_alerts(spark, d):
     return stw.stream_inventory_alerts(_events(spark, d))
+
+
+@register("stream_summary")
+def q_stream_summary(spark, d):
+    """The hourly summary kept by the ingest stream itself: the wire events
+    arrive in two drops (the second holds the older half, i.e. late
+    events), each micro-batch is merged into the summary exactly once."""
+    root = scratch_path(spark, "ingest-summary")
+    events = _events(spark, d)
+    split = fx.as_of(events) - dt.timedelta(days=7)
+    wire = fx.wire_events_json(spark, d).select(F.col("value").cast("string").alias("value"))
+    ts = F.to_timestamp(F.get_json_object("value", "$.event_time"))
+    wire.where(ts > F.lit(split)).write.text(f"{root}/inbox/1")
+    kw = dict(checkpoint=f"{root}/_checkpoint", table_path=f"{root}/events",
+              available_now=True, after_write=sti.summary_hook(f"{root}/summary"))
+    src = sts.text_file_source(spark, f"{root}/inbox/*")
+    sti.stream_ingest(src, **kw).awaitTermination()
+    wire.where(ts <= F.lit(split)).write.text(f"{root}/inbox/2")
+    sti.stream_ingest(src, **kw).awaitTermination()
+    return spark.read.parquet(f"{root}/summary").select(*inc.SUMMARY_COLUMNS)

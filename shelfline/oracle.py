@@ -517,3 +517,10 @@ WHERE alert_level IN ('URGENT_RESTOCK', 'MONITOR_STOCK')"""
 
 Q["parse_event_json_v1"] = with_(EVENTS_V1) + """
 SELECT event_id, event_time, product_id, quantity, CAST(price AS DOUBLE) AS price FROM events_v1"""
+
+Q["load_sales_table"] = Q["keyed_upsert"]
+
+Q["stream_summary"] = with_(SALES_EVENTS) + f"""
+SELECT {_KEYS_SQL}, {_HOURLY}, MAX(event_time) AS last_updated
+FROM stream_sales_events
+{_GROUP_SQL}"""

@@ -18,17 +18,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from .. import schemas as S
 from ..operators.joins import dim_join
 from ..operators.upsert import FLAG_COLS, key_unique_check, keyed_upsert, report_metrics
+from ..session import path_exists
 from ..sources.sinks import overwrite_sink, partition_overwrite_sink
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
+    return path_exists(spark, path)
 
 
 def load_dataset(spark: SparkSession, source: DataFrame, table_path: str, dataset: str,

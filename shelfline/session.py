@@ -122,3 +122,24 @@ def sizing_conf(input_bytes: int, total_cores: int) -> dict:
         "spark.sql.files.maxPartitionBytes": str((256 if input_bytes > (1 << 40) else 128) * mb),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
     }
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table exists at ``path``.
+
+    Local paths are checked on the file system; elsewhere a read is
+    attempted and a missing path answers False. Checking first keeps failed
+    reads (and the listener noise they cause) out of normal runs.
+    """
+    if is_local_path(path):
+        d = local_dir(path)
+        # Data files or partition folders; a folder holding only markers
+        # (an empty partitioned write) has no readable table yet.
+        return os.path.isdir(d) and any(not n.startswith((".", "_")) for n in os.listdir(d))
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return False
+        raise

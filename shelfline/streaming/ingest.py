@@ -27,6 +27,7 @@ from pyspark.sql.types import StructType
 from .. import schemas as S
 from ..operators import events as ev
 from ..operators.joins import dim_join
+from ..session import path_exists
 from ..sources.sinks import partition_overwrite_sink
 
 BATCH_COL = "batch_id"
@@ -102,12 +103,9 @@ def _drop_stored_ids(spark: SparkSession, good: DataFrame, table_path: str,
     """Drop ids already stored by *earlier* epochs on the same event days
     (partition-pruned read; this epoch's own folder is excluded so a replay
     rewrites it unchanged)."""
-    try:
-        stored = spark.read.parquet(table_path)
-    except Exception as e:  # first batch: nothing stored yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return good
-        raise
+    if not path_exists(spark, table_path):  # first batch: nothing stored yet
+        return good
+    stored = spark.read.parquet(table_path)
     keys = ["event_id", DATE_COL]
     batch_ids = good.select(*keys)
     prior = stored.where(F.col(BATCH_COL) != epoch_id).select(*keys)
