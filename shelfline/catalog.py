@@ -25,6 +25,7 @@ from .sources import files
 from .sources import fixtures as fx
 from .streaming import ingest as sti
 from .streaming import sources as sts
+from .streaming import state as stst
 from .streaming import windows as stw
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -372,3 +373,19 @@ def q_stream_summary(spark, d):
     wire.where(ts <= F.lit(split)).write.text(f"{root}/inbox/2")
     sti.stream_ingest(src, **kw).awaitTermination()
     return spark.read.parquet(f"{root}/summary").select(*inc.SUMMARY_COLUMNS)
+
+
+@register("inventory_status_stream")
+def q_inventory_status_stream(spark, d):
+    """Current stock kept by a stream of inventory events; the events land
+    in two drops, the older half last (out-of-order arrival)."""
+    root = scratch_path(spark, "inventory-state")
+    inv_events = fx.stream_inventory_events(spark, d)
+    cut = fx.as_of(inv_events) - dt.timedelta(days=10)
+    inv_events.where(F.col("event_time") > F.lit(cut)).write.parquet(f"{root}/inbox/1")
+    src = sts.table_stream(spark, f"{root}/inbox/*", S.STREAM_INVENTORY_EVENTS)
+    kw = dict(checkpoint=f"{root}/_checkpoint", table_path=f"{root}/state", available_now=True)
+    stst.start_inventory_status_stream(src, **kw).awaitTermination()
+    inv_events.where(F.col("event_time") <= F.lit(cut)).write.parquet(f"{root}/inbox/2")
+    stst.start_inventory_status_stream(src, **kw).awaitTermination()
+    return stst.read_inventory_status(spark, f"{root}/state")

@@ -524,3 +524,5 @@ Q["stream_summary"] = with_(SALES_EVENTS) + f"""
 SELECT {_KEYS_SQL}, {_HOURLY}, MAX(event_time) AS last_updated
 FROM stream_sales_events
 {_GROUP_SQL}"""
+
+Q["inventory_status_stream"] = Q["inventory_status"]

@@ -222,3 +222,22 @@ def test_tie_with_stored_max_and_empty_target(spark):
     assert inc.sales_summary_incremental(empty, both, later, "additive").count() == 0
     # ...while recompute rebuilds every key from the events.
     assert inc.sales_summary_incremental(empty, both, later, "recompute").first()["transaction_count"] == 2
+
+
+def test_inventory_status_stream_equals_batch(spark):
+    from shelfline.operators import inventory as inv
+    from shelfline.streaming import state
+    root = scratch_path(spark, "inv_state")
+    inv_events = fx.stream_inventory_events(spark, SF001)
+    as_of = fx.as_of(inv_events)
+    cut = as_of - dt.timedelta(days=10)
+    # Newer events first, older ones later: arrival order must not matter.
+    inv_events.where(F.col("event_time") > F.lit(cut)).write.parquet(f"{root}/in/a")
+    src = sts.table_stream(spark, f"{root}/in/*", S.STREAM_INVENTORY_EVENTS)
+    kw = dict(checkpoint=f"{root}/_ckpt", table_path=f"{root}/state", available_now=True)
+    state.start_inventory_status_stream(src, **kw).awaitTermination()
+    inv_events.where(F.col("event_time") <= F.lit(cut)).write.parquet(f"{root}/in/b")
+    state.start_inventory_status_stream(src, **kw).awaitTermination()
+    got = state.read_inventory_status(spark, f"{root}/state")
+    want = inv.inventory_status(inv_events)
+    assert rows(got, want.columns) == rows(want)
