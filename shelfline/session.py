@@ -10,13 +10,13 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on. Time zone is pinned because DATE()/HOUR()
 # of an event depend on it; AQE re-plans joins and coalesces partitions at
-# run time and splits skewed sort-merge join partitions.
+# run time and splits skewed sort-merge join partitions. (Partition
+# overwrite mode is chosen per write by the sinks, not session-wide.)
 CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
