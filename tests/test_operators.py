@@ -247,3 +247,14 @@ def test_sizing_conf():
     big = sizing_conf(100 << 40, 8000)   # 100 TB on 8,000 cores
     assert big["spark.sql.shuffle.partitions"] == "200000"
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_customer_event_contract(spark):
+    data = [("c1", T0, "cust", 1, None, "ENTRY", None, "s1", T0),
+            ("c2", T0, "cust", 1, 3, "CART_ADD", "p", "s1", T0),
+            ("c3", T0, "cust", 1, 3, "TELEPORT", "p", "s1", T0),
+            ("c4", T0, "cust", 1, None, "EXIT", None, None, T0)]
+    df = spark.createDataFrame(data, S.STREAM_CUSTOMER_EVENTS)
+    got = {r["event_id"]: r["failed_rules"] for r in
+           ev.contract_check(df, S.CUSTOMER_EVENT_CONTRACT).collect()}
+    assert got == {"c1": [], "c2": [], "c3": ["enum:event_type"], "c4": ["not_null:session_id"]}
