@@ -8,20 +8,33 @@ from pyspark.sql import DataFrame
 def overwrite_sink(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet") -> None:
     """Replace the whole stored table (static overwrite, whatever the
     session's partition overwrite mode)."""
+    if partition_by:
+        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        df = rebalanced(df, cols)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        w = w.partitionBy(*cols)
     w.save(path)
 
 
+def rebalanced(df: DataFrame, cols) -> DataFrame:
+    """Bring the rows of each partition value together before a partitioned
+    write, so every value gets a few files of useful size instead of one
+    small file per task and value. ``rebalance`` lets AQE split a skewed
+    value over several tasks and coalesce small ones."""
+    return df.hint("rebalance", *cols)
+
+
 def partition_overwrite_sink(df: DataFrame, path: str, partition_by, fmt: str = "parquet",
-                             sort_within=None) -> None:
+                             sort_within=None, rebalance: bool = True) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition
     overwrite): an upsert or incremental merge rewrites what it touched.
     The new files are staged and swapped in at job commit, so a lost
     executor only re-runs its tasks and never leaves a half-written
     partition."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    if rebalance:
+        df = rebalanced(df, cols)
     if sort_within:
         # Clustered files: parquet min/max statistics per row group then let
         # filters on these columns skip row groups (the columnar stand-in for

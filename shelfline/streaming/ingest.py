@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from ..operators import events as ev
-from ..operators.joins import dim_join
+from ..operators.joins import dim_join, fits_broadcast
 from ..session import path_exists
 from ..sources.sinks import partition_overwrite_sink
 
@@ -77,9 +77,15 @@ def _batch_writer(table_path: str, quarantine_path: str | None,
                   contract: S.Contract, dedupe_against_table: bool, after_write=None):
     def write(batch: DataFrame, epoch_id: int) -> None:
         checked = ev.contract_check(batch, contract).persist()
+        deduped = None
         try:
             good = checked.where(F.size("failed_rules") == 0).drop("failed_rules")
-            good = good.dropDuplicates(["event_id"]).withColumn(DATE_COL, F.to_date("event_time"))
+            # Deduplicated once and kept for the size checks, the lookup of
+            # stored ids and the write (a micro-batch is bounded by the
+            # trigger, e.g. maxOffsetsPerTrigger).
+            deduped = (good.dropDuplicates(["event_id"])
+                       .withColumn(DATE_COL, F.to_date("event_time")).persist())
+            good = deduped
             if dedupe_against_table:
                 good = _drop_stored_ids(batch.sparkSession, good, table_path, epoch_id)
             partition_overwrite_sink(good.withColumn(BATCH_COL, F.lit(epoch_id)),
@@ -95,6 +101,8 @@ def _batch_writer(table_path: str, quarantine_path: str | None,
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={epoch_id}")
         finally:
             checked.unpersist()
+            if deduped is not None:
+                deduped.unpersist()
     return write
 
 
@@ -114,8 +122,13 @@ def _drop_stored_ids(spark: SparkSession, good: DataFrame, table_path: str,
     # days are pruned), which yields the few ids already stored; only those
     # are then removed from the batch. The stored table is scanned, never
     # shuffled.
-    seen = dim_join(prior, batch_ids, on=keys, how="left_semi")
-    return dim_join(good, seen, on=keys, how="left_anti")
+    if fits_broadcast(good):
+        # One count of the (cached) batch bounds both broadcast sides: the
+        # ids already stored are a subset of the batch's ids.
+        seen = prior.join(F.broadcast(batch_ids), keys, "left_semi")
+        return good.join(F.broadcast(seen), keys, "left_anti")
+    seen = prior.join(batch_ids, keys, "left_semi")
+    return good.join(seen, keys, "left_anti")
 
 
 def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
