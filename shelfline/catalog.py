@@ -363,14 +363,16 @@ def q_stream_summary(spark, d):
     root = scratch_path(spark, "ingest-summary")
     events = _events(spark, d)
     split = fx.as_of(events) - dt.timedelta(days=7)
-    wire = fx.wire_events_json(spark, d).select(F.col("value").cast("string").alias("value"))
-    ts = F.to_timestamp(F.get_json_object("value", "$.event_time"))
-    wire.where(ts > F.lit(split)).write.text(f"{root}/inbox/1")
+
+    def wire(part):
+        return fx.to_wire_json(part).select(F.col("value").cast("string").alias("value"))
+
+    wire(events.where(F.col("event_time") > F.lit(split))).write.text(f"{root}/inbox/1")
     kw = dict(checkpoint=f"{root}/_checkpoint", table_path=f"{root}/events",
               available_now=True, after_write=sti.summary_hook(f"{root}/summary"))
     src = sts.text_file_source(spark, f"{root}/inbox/*")
     sti.stream_ingest(src, **kw).awaitTermination()
-    wire.where(ts <= F.lit(split)).write.text(f"{root}/inbox/2")
+    wire(events.where(F.col("event_time") <= F.lit(split))).write.text(f"{root}/inbox/2")
     sti.stream_ingest(src, **kw).awaitTermination()
     return spark.read.parquet(f"{root}/summary").select(*inc.SUMMARY_COLUMNS)
 

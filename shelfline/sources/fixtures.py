@@ -204,7 +204,11 @@ def wire_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales events as they arrive on the bus: one JSON text per row in
     ``value`` (binary, as a message payload), event_time as ISO text and
     money as JSON numbers."""
-    ev = stream_sales_events(spark, sf_dir)
+    return to_wire_json(stream_sales_events(spark, sf_dir))
+
+
+def to_wire_json(ev: DataFrame) -> DataFrame:
+    """Stored sales events -> bus messages (``key``, JSON ``value``)."""
     payload = F.struct(
         "event_id",
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
