@@ -523,6 +523,8 @@ Q["load_sales_table"] = Q["keyed_upsert"]
 Q["stream_summary"] = with_(SALES_EVENTS) + f"""
 SELECT {_KEYS_SQL}, {_HOURLY}, MAX(event_time) AS last_updated
 FROM stream_sales_events
+WHERE quantity > 0 AND unit_price > 0 AND total_amount > 0
+  AND store_id IS NOT NULL AND dept_id IS NOT NULL
 {_GROUP_SQL}"""
 
 Q["inventory_status_stream"] = Q["inventory_status"]

@@ -78,8 +78,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
         res["status"] = f"COLUMNS DIFFER spark={ac} duck={bc}"
         return res
     if a != b:
-        diff_a = [r for r in a if r not in set(b)][:3]
-        diff_b = [r for r in b if r not in set(a)][:3]
+        sa, sb = set(a), set(b)
+        diff_a = [r for r in a if r not in sb][:3]
+        diff_b = [r for r in b if r not in sa][:3]
         res["status"] = "VALUES DIFFER"
         res["spark_only"] = diff_a
         res["duck_only"] = diff_b
