@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, sharding, token_count
+from . import chat, mixing, quality_rules, sharding, token_count
 from .common import table
 
 
@@ -16,6 +16,13 @@ def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_count.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    ids, n = quality_rules.trusted_documents(spark, d)
+    return quality_rules.quality(table(spark, d, "documents"), ids, n).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "mean_log_ratio", "kept")
+
+
 def op5_chat_format(spark: SparkSession, d: str) -> DataFrame:
     conv = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], conv.schema)
@@ -31,7 +38,7 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "epoch")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op5_chat_format, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op5_chat_format, op9_sharding, op10_mixing)}
 
 ORACLES = {"op5_chat_format": chat.ORACLE_SQL, "op9_sharding": sharding.ORACLE_SQL,
            "op10_mixing": mixing.ORACLE_SQL}
