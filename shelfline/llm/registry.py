@@ -6,8 +6,9 @@ Each runs one operator with production parameters over its whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, mixing, quality_rules, sharding, token_count
+from . import chat, mixing, quality_rules, sharding, simhash, token_count
 from .common import table
 
 
@@ -23,6 +24,11 @@ def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
         "mean_log_ratio", "kept")
 
 
+def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.simhash_components(table(spark, d, "documents"), size=3, max_bits=3)
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op5_chat_format(spark: SparkSession, d: str) -> DataFrame:
     conv = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], conv.schema)
@@ -38,7 +44,7 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "epoch")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op5_chat_format, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op9_sharding, op10_mixing)}
 
 ORACLES = {"op5_chat_format": chat.ORACLE_SQL, "op9_sharding": sharding.ORACLE_SQL,
            "op10_mixing": mixing.ORACLE_SQL}
