@@ -1,24 +1,50 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread."""
+"""The corpus pipeline: stages over ``documents``, each written and reread.
+
+Quality rules, near-duplicate removal, benchmark decontamination and source
+mixing filter the documents and keep their columns; sharding ends with one
+manifest row per document that is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import mixing, sharding
+from shelfline.llm import decontamination, mixing, quality_rules, sharding, simhash
 from shelfline.llm.common import stored, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    ids, n = quality_rules.trusted_documents(spark, sf_dir)
+    names = docs.columns
+    return quality_rules.quality(docs, ids, n).where("kept").select(*[f"`{c}`" for c in names])
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.deduplicate(docs, size=3, max_bits=3)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents taken by the mix, once each (one epoch)."""
-    return mixing.mix(docs, max_epochs=1).select(*docs.columns)
+    return mixing.mix(docs, max_epochs=1).select(*[f"`{c}`" for c in docs.columns])
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The manifest of the shards."""
     return sharding.shard_manifest(docs, n_shards=16)
 
 
-STAGES = [("mixing", mixing_stage), ("sharding", sharding_stage)]
+STAGES = [("quality_rules", quality_stage), ("simhash", simhash_stage),
+          ("decontamination", decontamination_stage), ("mixing", mixing_stage),
+          ("sharding", sharding_stage)]
 
+# XXH64 and the edit distance to a substring are not in SQL.
 ORACLE_SQL = None
 
 

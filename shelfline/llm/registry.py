@@ -8,10 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality_rules, sharding, simhash, token_count
+from . import chat, decontamination, mixing, quality_rules, sharding, simhash, token_count
 from .common import table
 
 
+def op1_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.find_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
     import public_tokenizers
     return token_count.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -44,7 +48,7 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "epoch")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op9_sharding, op10_mixing)}
 
 ORACLES = {"op5_chat_format": chat.ORACLE_SQL, "op9_sharding": sharding.ORACLE_SQL,
            "op10_mixing": mixing.ORACLE_SQL}
