@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +54,23 @@ def carried(df: DataFrame, added: list[str]) -> list[Column]:
     whose names (in any case) it is about to add."""
     taken = {c.lower() for c in added}
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+
+
+class Memo(dict):
+    """Computed values of recent string keys, in two bounded generations: a
+    full one becomes the old one. Keys over 64 characters are not kept."""
+
+    def __init__(self, compute: Callable[[str], object], limit: int):
+        super().__init__()
+        self.compute, self.limit, self.old = compute, limit, {}
+
+    def __missing__(self, key: str) -> object:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= 64:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value

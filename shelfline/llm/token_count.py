@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Memo
+
 MARK = "▁"  # the space mark of sentencepiece
 CACHE_CHUNKS = 400_000  # per generation and Python worker
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"  # Latin
@@ -55,33 +57,14 @@ def load_pieces(model_path: str) -> dict[str, int]:
     return {p: rank[s] for p, s in scores.items()}
 
 
-class _Memo(dict):
-    """Counts of recent keys: a full generation becomes the old one."""
-
-    def __init__(self, compute, limit: int):
-        super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
-
-    def __missing__(self, key: str) -> int:
-        c = self.old.get(key)
-        if c is None:
-            c = self.compute(key)
-        if len(key) <= 64:
-            if len(self) >= self.limit:
-                self.old = dict(self)
-                self.clear()
-            self[key] = c
-        return c
-
-
 class Counter:
     """Token counts of texts under one vocabulary."""
 
     def __init__(self, pieces: dict[str, int], cache_chunks: int = CACHE_CHUNKS):
         self.pieces = pieces
         self.size_bits = max(map(len, pieces), default=1).bit_length()
-        self.words = _Memo(self._count_word, cache_chunks)
-        self.inner = _Memo(self.count_chunk, cache_chunks // 4)
+        self.words = Memo(self._count_word, cache_chunks)
+        self.inner = Memo(self.count_chunk, cache_chunks // 4)
         pairs = {pair for p in pieces for pair in zip(p, p[1:])}
         # Does every space mark after another character start a chunk?
         self.by_word = not any(b == MARK != a for a, b in pairs)
