@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontamination, mixing, quality_rules, sharding, simhash, token_count
+from . import chat, classifier, decontamination, lm_scoring, mixing, quality_rules, sharding, simhash, token_count
 from .common import table
 
 
@@ -44,6 +44,11 @@ def op7_classifier(spark: SparkSession, d: str) -> DataFrame:
     return classifier.classify(table(spark, d, "documents"), labels)
 
 
+def op8_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+    return lm_scoring.score_documents(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, d, "documents"), n_shards=16)
 
@@ -53,7 +58,7 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "epoch")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op7_classifier, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op7_classifier, op8_lm_scoring, op9_sharding, op10_mixing)}
 
 ORACLES = {"op5_chat_format": chat.ORACLE_SQL, "op9_sharding": sharding.ORACLE_SQL,
            "op10_mixing": mixing.ORACLE_SQL}
