@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontamination, lm_scoring, mixing, quality_rules, sharding, simhash, token_count
+from . import chat, classifier, decontamination, lm_scoring, mixing, quality_rules, sharding, simhash, suffix_dedup, token_count
 from .common import table
 
 
@@ -39,6 +39,11 @@ def op5_chat_format(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(chat.expand_examples(conv.unionByName(probe)))
 
 
+def op6_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, d, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_classifier(spark: SparkSession, d: str) -> DataFrame:
     labels = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
     return classifier.classify(table(spark, d, "documents"), labels)
@@ -58,7 +63,7 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "epoch")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op7_classifier, op8_lm_scoring, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op6_suffix_dedup, op7_classifier, op8_lm_scoring, op9_sharding, op10_mixing)}
 
 ORACLES = {"op5_chat_format": chat.ORACLE_SQL, "op9_sharding": sharding.ORACLE_SQL,
            "op10_mixing": mixing.ORACLE_SQL}
