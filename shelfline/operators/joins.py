@@ -1,35 +1,35 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers: plain dimension joins, literal partition filters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension, in rows, that is shipped whole to every task. A store
-# or week-by-store dimension is far below it; anything above it goes
-# through a shuffle join that AQE may still convert or split at run time.
-BROADCAST_MAX_ROWS = 2_000_000
+# Partition values that are filtered by literals. A run that touches more
+# partitions than this reads most of the table anyway and joins instead.
+MAX_PARTITION_VALUES = 10_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a fact table to a dimension.
 
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    passed, so the check costs at most ``max_rows`` rows of a small
-    dimension scan, never a pass over a fact table.
+    No hint and no probe: Spark broadcasts a dimension whose size in bytes
+    it knows to be small, AQE does so when the run shows it, and otherwise
+    the shuffle join stays, whose skewed partitions AQE splits.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return fact.join(dim, on=on, how=how)
 
 
-def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension.
+def in_partitions(stored: DataFrame, rows: DataFrame, col: str) -> DataFrame:
+    """The part of ``stored`` (partitioned by ``col``) whose partition value
+    occurs in ``rows``.
 
-    The dimension is broadcast only after its row count is checked against
-    ``max_rows``; otherwise a regular equi-join is planned, which AQE turns
-    into a broadcast if the runtime size allows and whose skewed partitions
-    it splits (``spark.sql.adaptive.skewJoin.enabled``).
+    The distinct values are fetched first and become literals, so only the
+    touched partitions are listed and read, whatever ``rows`` is made from.
     """
-    if fits_broadcast(dim, max_rows):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on=on, how=how)
+    values = [r[0] for r in rows.select(col).distinct().limit(MAX_PARTITION_VALUES + 1).collect()]
+    if len(values) > MAX_PARTITION_VALUES:
+        return stored.join(rows.select(col).distinct(), col, "left_semi")
+    known = [v for v in values if v is not None]
+    cond = F.col(col).isin(known) if known else F.lit(False)
+    return stored.where(cond | F.col(col).isNull() if len(known) < len(values) else cond)

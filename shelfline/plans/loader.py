@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .. import schemas as S
-from ..operators.joins import dim_join
+from ..operators.joins import in_partitions
 from ..operators.upsert import FLAG_COLS, key_unique_check, keyed_upsert, report_metrics
 from ..session import path_exists
 from ..sources.sinks import overwrite_sink, partition_overwrite_sink
@@ -52,10 +52,7 @@ def load_dataset(spark: SparkSession, source: DataFrame, table_path: str, datase
     if mode == "upsert" and exists:
         target = spark.read.parquet(table_path)
         if partition_by:
-            # Only the partitions the file touches: a semi join on the
-            # distinct partition values, which also prunes the scan.
-            touched = source.select(partition_by).distinct()
-            target = dim_join(target, touched, on=partition_by, how="left_semi")
+            target = in_partitions(target, source, partition_by)
     flagged = keyed_upsert(target, source, keys, updates, order_cols, ts, with_flags=True)
     obs = Observation(f"load_{dataset}")
     merged = flagged.observe(obs, *report_metrics(flagged)).drop(*FLAG_COLS)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batch, incremental, realtime, staging
-from ..operators.joins import dim_join
+from ..operators.joins import in_partitions
 from ..sources.sinks import overwrite_sink, partition_overwrite_sink
 from .loader import table_exists
 
@@ -79,8 +79,7 @@ def materialize_incremental(spark: SparkSession, path: str, events: DataFrame,
         touched_src = events
     else:
         touched_src = events.where(F.col("event_time") > F.lit(hw))
-    dates = touched_src.select(F.to_date("event_time").alias("sale_date")).distinct()
-    target = dim_join(stored, dates, on="sale_date", how="left_semi")
+    target = in_partitions(stored, touched_src.select(F.to_date("event_time").alias("sale_date")), "sale_date")
     target = target.select(*incremental.SUMMARY_COLUMNS)
     merged = incremental.sales_summary_incremental(target, events, as_of, merge, high_water=hw)
     partition_overwrite_sink(merged, path, "sale_date")

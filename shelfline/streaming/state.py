@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.inventory import stock_status
-from ..operators.joins import dim_join
+from ..operators.joins import in_partitions
 from ..session import path_exists
 from ..sources.sinks import partition_overwrite_sink
 
@@ -33,9 +33,8 @@ def keyed_state_writer(table_path: str, keys, order_cols, value_cols, partition_
         spark = batch.sparkSession
         new = latest_by_key(batch, keys, order_cols, value_cols)
         if path_exists(spark, table_path):
-            parts = new.select(partition_col).distinct()
-            stored = dim_join(spark.read.parquet(table_path), parts, on=partition_col,
-                              how="left_semi")
+            new = new.persist()
+            stored = in_partitions(spark.read.parquet(table_path), new, partition_col)
             new = latest_by_key(stored.select(*keys, *value_cols).unionByName(new),
                                 keys, order_cols, value_cols)
         partition_overwrite_sink(new, table_path, partition_col)
