@@ -117,7 +117,7 @@ def _as_of(spark, d):
 
 @register("parse_event_json")
 def q_parse_event_json(spark, d):
-    wire = fx.wire_events_json(spark, d)
+    wire = fx.dirty_wire_json(spark, d)
     return ev.cast_event_time(ev.parse_event_json(wire, S.EVENT_V2_WIRE))
 
 
@@ -130,12 +130,12 @@ def q_parse_event_json_v1(spark, d):
 
 @register("validate_event")
 def q_validate_event(spark, d):
-    return ev.validate_event(_events(spark, d))
+    return ev.validate_event(fx.dirty_sales_events(spark, d))
 
 
 @register("contract_check")
 def q_contract_check(spark, d):
-    checked = ev.contract_check(_events(spark, d), S.SALES_EVENT_CONTRACT)
+    checked = ev.contract_check(fx.dirty_sales_events(spark, d), S.SALES_EVENT_CONTRACT)
     return checked.select(
         "event_id",
         F.array_join("failed_rules", ",").alias("failed_rules"),
@@ -329,22 +329,44 @@ def q_sales_summary_incremental_replace(spark, d):
 # --- streaming -----------------------------------------------------------------
 
 
+def _ingested(spark, d) -> str:
+    """Wire messages, some of them spoiled, landed as text files in two
+    drops. The second drop comes with a new checkpoint on the same table and
+    replays stored ids with another time; none of it may change what the
+    first one stored."""
+    root = scratch_path(spark, "ingest")
+    wire = fx.dirty_wire_json(spark, d)
+    key = F.col("key").cast("bigint")
+    later = fx.to_wire_json(_events(spark, d).withColumn(
+        "event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY")))
+    clean = key % fx.BAD_EVERY > 5
+    text = F.col("value").cast("string").alias("value")
+    wire.where(key % 2 == 0).select(text).write.text(f"{root}/inbox/1")
+    (wire.where(key % 2 == 1).unionByName(later.where((key % 10 == 4) & clean)).select(text)
+     .write.text(f"{root}/inbox/2"))
+    for drop in (1, 2):
+        sti.stream_ingest(sts.text_file_source(spark, f"{root}/inbox/{drop}"),
+                          checkpoint=f"{root}/_checkpoint/{drop}", table_path=f"{root}/events",
+                          quarantine_path=f"{root}/quarantine", available_now=True).awaitTermination()
+    return root
+
+
 @register("stream_ingest")
 def q_stream_ingest(spark, d):
-    """Wire JSON (derived from the events) landed as text files, drained by
-    the ingest stream with ``availableNow``, then the stored table read
-    back (without the arrival stamp, which is the wall-clock time)."""
-    root = scratch_path(spark, "ingest")
-    fx.wire_events_json(spark, d).select(F.col("value").cast("string").alias("value")) \
-        .write.text(f"{root}/inbox")
-    q = sti.stream_ingest(sts.text_file_source(spark, f"{root}/inbox"),
-                          checkpoint=f"{root}/_checkpoint", table_path=f"{root}/events",
-                          quarantine_path=f"{root}/quarantine", available_now=True)
-    q.awaitTermination()
-    stored = sti.read_event_table(spark, f"{root}/events")
+    """The event table after both drops (without the arrival stamp, which is
+    the wall-clock time)."""
+    stored = sti.read_event_table(spark, f"{_ingested(spark, d)}/events")
     return stored.select(*[c for c in S.SALES_EVENT_COLUMNS if c != "processed_at"])
 
 
+@register("stream_quarantine")
+def q_stream_quarantine(spark, d):
+    """The rejected messages of both drops."""
+    bad = spark.read.parquet(f"{_ingested(spark, d)}/quarantine")
+    return bad.select("event_id", F.array_join("failed_rules", ",").alias("failed_rules"),
+                      (F.length("raw") > 0).alias("has_raw"))
+
+
 @register("stream_hourly_sales")
 def q_stream_hourly_sales(spark, d):
     return stw.stream_hourly_sales(_events(spark, d))
@@ -374,7 +396,7 @@ def q_stream_summary(spark, d):
     sti.stream_ingest(src, **kw).awaitTermination()
     wire(events.where(F.col("event_time") <= F.lit(split))).write.text(f"{root}/inbox/2")
     sti.stream_ingest(src, **kw).awaitTermination()
-    return spark.read.parquet(f"{root}/summary").select(*inc.SUMMARY_COLUMNS)
+    return sti.read_summary(spark, f"{root}/summary").select(*inc.SUMMARY_COLUMNS)
 
 
 @register("inventory_status_stream")

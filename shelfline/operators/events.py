@@ -39,9 +39,11 @@ def validate_event(events: DataFrame) -> DataFrame:
     return events.where(valid_event())
 
 
-def event_projection(events: DataFrame, processed_at=None) -> DataFrame:
+def event_projection(events: DataFrame, processed_at=None, keep: tuple = ()) -> DataFrame:
     """The stored event row: fixed 13-column order, money as DECIMAL(10,2),
-    ``processed_at`` stamped (a given time or the current one)."""
+    ``processed_at`` stamped (a given time or the current one). An amount
+    that does not fit is NULL, so that the contract rejects the row instead
+    of the job failing. ``keep`` passes more columns through."""
     stamp = F.lit(processed_at) if processed_at is not None else F.current_timestamp()
     out = events
     if "processed_at" not in events.columns:
@@ -50,9 +52,9 @@ def event_projection(events: DataFrame, processed_at=None) -> DataFrame:
         F.col("event_id").cast("string").alias("event_id"),
         F.col("event_time").cast("timestamp").alias("event_time"),
         "store_id", "dept_id", "product_id", "customer_id", "quantity",
-        F.col("unit_price").cast(S.MONEY).alias("unit_price"),
-        F.col("total_amount").cast(S.MONEY).alias("total_amount"),
-        "transaction_type", "payment_method", "promotion_applied", "processed_at")
+        F.col("unit_price").try_cast(S.MONEY).alias("unit_price"),
+        F.col("total_amount").try_cast(S.MONEY).alias("total_amount"),
+        "transaction_type", "payment_method", "promotion_applied", "processed_at", *keep)
 
 
 def contract_defaults(df: DataFrame, contract: S.Contract, now=None) -> DataFrame:
@@ -133,8 +135,8 @@ def event_id_dedupe(events: DataFrame, key: str = "event_id",
 def event_store_enrich(events: DataFrame, stores: DataFrame,
                        default_type: str = "C") -> DataFrame:
     """Attach the store's type to each event; unknown stores get
-    ``default_type``. The store table is a static dimension (size-checked
-    broadcast), so this is also a stream-static join. A store listed twice
+    ``default_type``. The store table is a static dimension, so this is
+    also a stream-static join. A store listed twice
     is looked up once (one type per store, the greatest), so events never
     fan out."""
     dim = (stores.groupBy(F.col("Store").alias("store_id"))

@@ -103,34 +103,22 @@ def _recompute(target: DataFrame, events: DataFrame, as_of: dt.datetime) -> Data
         F.hour("event_time").alias("sale_hour")).distinct()
     keyed = events.select("*", F.to_date("event_time").alias("_d"), F.hour("event_time").alias("_h"))
     touched = touched.withColumnRenamed("sale_date", "_d").withColumnRenamed("sale_hour", "_h")
-    # The touched keys are small next to the events (at most one row per
-    # store, department and hour of new arrivals): size-checked broadcast.
     again = dim_join(keyed, touched, on=["store_id", "dept_id", "_d", "_h"], how="left_semi")
     new = hourly_summary(again.drop("_d", "_h"), as_of).select(*SUMMARY_COLUMNS)
     return _replace(target, new)
 
 
-EPOCH_COL = "last_epoch"
+def summary_partials(events: DataFrame) -> DataFrame:
+    """Summary rows of some events alone, mergeable with those of others."""
+    return (hourly_summary(events, None).select(*SUMMARY_COLUMNS)
+            .withColumn("last_updated", F.col("latest_transaction_time")))
 
 
-def merge_epoch(touched: DataFrame | None, batch_events: DataFrame, epoch: int) -> DataFrame:
-    """Add one micro-batch of stored events to the summary rows it touches.
-
-    ``touched`` holds the stored summary rows of the dates the batch falls
-    on (or None for an empty table). Every event is counted exactly once,
-    late ones included: the caller skips an epoch already merged (see
-    ``streaming.ingest.summary_hook``).
-    """
-    new = hourly_summary(batch_events, None).select(*SUMMARY_COLUMNS)
-    new = new.withColumn("last_updated", F.col("latest_transaction_time")).withColumn(
-        EPOCH_COL, F.lit(epoch).cast("bigint"))
-    if touched is None:
-        return new
-    u = touched.select(*SUMMARY_COLUMNS, EPOCH_COL).unionByName(new)
-    g = u.groupBy(*HOUR_KEYS).agg(
+def merged_summary(partials: DataFrame) -> DataFrame:
+    """The summary of all events behind ``partials``: one row per key."""
+    g = partials.groupBy(*HOUR_KEYS).agg(
         *[F.sum(c).alias(c) for c in SUM_COLS],
-        F.max("latest_transaction_time").alias("latest_transaction_time"),
-        F.max(EPOCH_COL).alias(EPOCH_COL))
+        F.max("latest_transaction_time").alias("latest_transaction_time"))
     return g.select(
         *HOUR_KEYS,
         F.col("transaction_count").cast("bigint").alias("transaction_count"),
@@ -139,5 +127,4 @@ def merge_epoch(touched: DataFrame | None, batch_events: DataFrame, epoch: int)
         .alias("avg_transaction_value"),
         *[F.col(c).cast("bigint").alias(c) for c in SUM_COLS[2:]],
         "latest_transaction_time",
-        F.col("latest_transaction_time").alias("last_updated"),
-        EPOCH_COL)
+        F.col("latest_transaction_time").alias("last_updated"))

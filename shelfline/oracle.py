@@ -16,7 +16,7 @@ from __future__ import annotations
 LOAD_TS = "TIMESTAMP '2025-01-01 00:00:00'"
 
 RAW_SALES = f"""raw_sales AS (
-  SELECT CAST(l_suppkey % 45 + 1 AS INTEGER) AS Store,
+  SELECT CAST(l_suppkey + 1 AS INTEGER) AS Store,
          CAST(l_partkey % 20 + 1 AS INTEGER) AS Dept,
          CAST(date_trunc('week', l_shipdate) AS DATE) AS Date,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS Weekly_Sales,
@@ -25,7 +25,7 @@ RAW_SALES = f"""raw_sales AS (
   FROM lineitem)"""
 
 SALES_FIRST = """sales_first AS (
-  SELECT CAST(l_suppkey % 45 + 1 AS INTEGER) AS Store,
+  SELECT CAST(l_suppkey + 1 AS INTEGER) AS Store,
          CAST(l_partkey % 20 + 1 AS INTEGER) AS Dept,
          CAST(date_trunc('week', l_shipdate) AS DATE) AS Date,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS Weekly_Sales,
@@ -33,7 +33,7 @@ SALES_FIRST = """sales_first AS (
   FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01 00:00:00')"""
 
 SALES_SECOND = """sales_second AS (
-  SELECT CAST(l_suppkey % 45 + 1 AS INTEGER) AS Store,
+  SELECT CAST(l_suppkey + 1 AS INTEGER) AS Store,
          CAST(l_partkey % 20 + 1 AS INTEGER) AS Dept,
          CAST(date_trunc('week', l_shipdate) AS DATE) AS Date,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS Weekly_Sales,
@@ -41,11 +41,11 @@ SALES_SECOND = """sales_second AS (
   FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00')"""
 
 RAW_STORES = f"""raw_stores AS (
-  SELECT CAST(s_suppkey + 1 AS INTEGER) AS Store,
+  SELECT CAST(s_suppkey + 6 AS INTEGER) AS Store,
          CASE s_nationkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS Type,
          CAST(30000 + (s_suppkey * 7919) % 190000 AS INTEGER) AS Size,
          {LOAD_TS} AS ingestion_ts
-  FROM supplier WHERE s_suppkey < 40)"""
+  FROM supplier)"""
 
 RAW_FEATURES = f"""raw_features AS (
   SELECT Store, Date,
@@ -61,7 +61,7 @@ RAW_FEATURES = f"""raw_features AS (
          urgent AS IsHoliday,
          {LOAD_TS} AS ingestion_ts
   FROM (
-    SELECT CAST(o_custkey % 50 + 1 AS INTEGER) AS Store,
+    SELECT CAST(o_custkey // 15 + 1 AS INTEGER) AS Store,
            CAST(date_trunc('week', o_orderdate) AS DATE) AS Date,
            MAX(CAST(o_totalprice AS DECIMAL(18,2))) AS max_p,
            MIN(CAST(o_totalprice AS DECIMAL(18,2))) AS min_p,
@@ -96,6 +96,25 @@ stream_sales_events AS (
          event_time AS processed_at
   FROM ev)"""
 
+# The spoiled messages, by event id modulo 97.
+DIRTY_EVENTS = SALES_EVENTS + """,
+dirty_wire AS (
+  SELECT CASE WHEN m <> 0 THEN event_id END AS event_id,
+         CASE WHEN m NOT IN (0, 2) THEN event_time END AS event_time,
+         CASE WHEN m <> 0 THEN store_id END AS store_id, CASE WHEN m <> 0 THEN dept_id END AS dept_id,
+         CASE WHEN m <> 0 THEN product_id END AS product_id, CASE WHEN m <> 0 THEN customer_id END AS customer_id,
+         CASE WHEN m NOT IN (0, 1) THEN quantity END AS quantity,
+         CASE WHEN m <> 0 THEN CAST(unit_price AS DOUBLE) END AS unit_price,
+         CASE m WHEN 0 THEN NULL WHEN 3 THEN 0.0 WHEN 5 THEN 1e9 ELSE CAST(total_amount AS DOUBLE) END AS total_amount,
+         CASE m WHEN 0 THEN NULL WHEN 4 THEN 'GIFT' ELSE transaction_type END AS transaction_type,
+         CASE WHEN m <> 0 THEN payment_method END AS payment_method,
+         CASE WHEN m <> 0 THEN promotion_applied END AS promotion_applied
+  FROM (SELECT *, CAST(event_id AS BIGINT) % 97 AS m FROM stream_sales_events) s),
+dirty_events AS (
+  SELECT * REPLACE (CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
+                    TRY_CAST(total_amount AS DECIMAL(10,2)) AS total_amount), event_time AS processed_at
+  FROM dirty_wire)"""
+
 EVENTS_V1 = _EVENT_BASE + """,
 events_v1 AS (
   SELECT CAST(raw_event_id AS INTEGER) AS event_id, event_time, k AS product_id,
@@ -195,14 +214,11 @@ GROUP BY Store, Dept, Date HAVING COUNT(*) > 1"""
 # --- events -----------------------------------------------------------------
 _AVG_AMT = avg_dec("total_amount", 2, 14, 6)
 
-Q["parse_event_json"] = with_(SALES_EVENTS) + """
-SELECT event_id, event_time, store_id, dept_id, product_id, customer_id, quantity,
-       CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount,
-       transaction_type, payment_method, promotion_applied
-FROM stream_sales_events"""
+Q["parse_event_json"] = with_(DIRTY_EVENTS) + """
+SELECT * FROM dirty_wire"""
 
-Q["validate_event"] = with_(SALES_EVENTS) + """
-SELECT * FROM stream_sales_events
+Q["validate_event"] = with_(DIRTY_EVENTS) + """
+SELECT * FROM dirty_events
 WHERE quantity > 0 AND unit_price > 0 AND total_amount > 0
   AND store_id IS NOT NULL AND dept_id IS NOT NULL"""
 
@@ -218,9 +234,9 @@ _RULES = ([f"CASE WHEN {c} IS NULL THEN 'not_null:{c}' END" for c in _NN] + [
     "CASE WHEN NOT (transaction_type IN ('SALE', 'RETURN', 'EXCHANGE')) THEN 'enum:transaction_type' END",
     "CASE WHEN NOT (payment_method IN ('CASH', 'CARD', 'MOBILE')) THEN 'enum:payment_method' END",
 ])
-Q["contract_check"] = with_(SALES_EVENTS) + f"""
+Q["contract_check"] = with_(DIRTY_EVENTS) + f"""
 SELECT event_id, failed_rules, failed_rules = '' AS is_valid FROM (
-  SELECT event_id, concat_ws(',', {', '.join(_RULES)}) AS failed_rules FROM stream_sales_events) t"""
+  SELECT event_id, concat_ws(',', {', '.join(_RULES)}) AS failed_rules FROM dirty_events) t"""
 
 Q["event_id_dedupe"] = with_(SALES_EVENTS) + "SELECT DISTINCT * FROM stream_sales_events"
 
@@ -475,12 +491,16 @@ SELECT * FROM run1 WHERE NOT EXISTS (
     AND run2.sale_date = run1.sale_date AND run2.sale_hour = run1.sale_hour)"""
 
 # --- streaming ----------------------------------------------------------------
-Q["stream_ingest"] = with_(SALES_EVENTS) + """
+Q["stream_ingest"] = with_(DIRTY_EVENTS) + f"""
 SELECT event_id, event_time, store_id, dept_id, product_id, customer_id, quantity, unit_price,
        total_amount, transaction_type, payment_method, promotion_applied
-FROM stream_sales_events
-WHERE quantity > 0 AND unit_price > 0 AND total_amount > 0
-  AND store_id IS NOT NULL AND dept_id IS NOT NULL"""
+FROM (SELECT *, concat_ws(',', {', '.join(_RULES)}) AS failed FROM dirty_events) c
+WHERE failed = ''"""
+
+Q["stream_quarantine"] = with_(DIRTY_EVENTS) + f"""
+SELECT event_id, failed AS failed_rules, true AS has_raw
+FROM (SELECT *, concat_ws(',', {', '.join(_RULES)}) AS failed FROM dirty_events) c
+WHERE failed <> ''"""
 
 Q["stream_hourly_sales"] = with_(SALES_EVENTS) + f"""
 SELECT date_trunc('hour', event_time) AS window_start,

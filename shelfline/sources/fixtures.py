@@ -33,7 +33,7 @@ def raw_sales(spark: SparkSession, sf_dir: str, with_ts: bool = True) -> DataFra
     """Weekly sales rows, one per lineitem. Key (Store, Dept, Date) repeats."""
     li = table(spark, sf_dir, "lineitem")
     cols = [
-        (F.col("l_suppkey") % 45 + 1).cast("int").alias("Store"),
+        (F.col("l_suppkey") + 1).cast("int").alias("Store"),
         (F.col("l_partkey") % 20 + 1).cast("int").alias("Dept"),
         _week("l_shipdate").alias("Date"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("Weekly_Sales"),
@@ -53,7 +53,7 @@ def raw_sales_file(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem")
     base = [
-        (F.col("l_suppkey") % 45 + 1).cast("int").alias("Store"),
+        (F.col("l_suppkey") + 1).cast("int").alias("Store"),
         (F.col("l_partkey") % 20 + 1).cast("int").alias("Dept"),
         _week("l_shipdate").alias("Date"),
     ]
@@ -75,10 +75,11 @@ def raw_sales_file(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
 
 
 def raw_stores(spark: SparkSession, sf_dir: str, with_ts: bool = True) -> DataFrame:
-    """Store dimension: 40 stores; stores 41-45 have sales but no row here."""
+    """Store dimension: one store per supplier. Its keys are shifted, so that
+    the first five stores with sales have no row here."""
     su = table(spark, sf_dir, "supplier")
     cols = [
-        (F.col("s_suppkey") + 1).cast("int").alias("Store"),
+        (F.col("s_suppkey") + 6).cast("int").alias("Store"),
         F.when(F.col("s_nationkey") % 3 == 0, "A")
          .when(F.col("s_nationkey") % 3 == 1, "B")
          .otherwise("C").alias("Type"),
@@ -86,15 +87,16 @@ def raw_stores(spark: SparkSession, sf_dir: str, with_ts: bool = True) -> DataFr
     ]
     if with_ts:
         cols.append(F.lit(FIXTURE_LOAD_TS).alias(S.INGESTION_TS))
-    return su.where(F.col("s_suppkey") < 40).select(*cols)
+    return su.select(*cols)
 
 
 def raw_features(spark: SparkSession, sf_dir: str, with_ts: bool = True) -> DataFrame:
-    """Weekly store features, one row per (Store, Date) seen in orders."""
+    """Weekly store features, one row per (Store, Date) seen in orders;
+    fifteen customers make a store."""
     o = table(spark, sf_dir, "orders")
     price = F.col("o_totalprice")
     g = (o.select(
-            (F.col("o_custkey") % 50 + 1).cast("int").alias("Store"),
+            (F.floor(F.col("o_custkey") / 15) + 1).cast("int").alias("Store"),
             _week("o_orderdate").alias("Date"),
             price.alias("p"),
             price.cast("decimal(18,2)").alias("p_dec"),
@@ -221,6 +223,34 @@ def to_wire_json(ev: DataFrame) -> DataFrame:
                      F.to_json(payload).cast("binary").alias("value"))
 
 
+# Of every 97 event ids, the messages of the first six are spoiled.
+BAD_EVERY = 97
+
+
+def dirty_wire_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bus messages with some spoiled by event id: broken JSON, a
+    quantity that is no number, an unreadable time, a zero amount, an
+    unknown transaction type, an amount that does not fit its column."""
+    rule = F.col("key").cast("bigint") % BAD_EVERY
+    text = F.col("value").cast("string")
+    amount = r'"total_amount":[-0-9.E]+'
+    spoiled = (F.when(rule == 0, F.substring(text, 1, 20))
+               .when(rule == 1, F.regexp_replace(text, r'"quantity":-?[0-9]+', '"quantity":"many"'))
+               .when(rule == 2, F.regexp_replace(text, r'"event_time":"[^"]*"', '"event_time":"yesterday"'))
+               .when(rule == 3, F.regexp_replace(text, amount, '"total_amount":0.0'))
+               .when(rule == 4, F.regexp_replace(text, r'"transaction_type":"[A-Z]+"', '"transaction_type":"GIFT"'))
+               .when(rule == 5, F.regexp_replace(text, amount, '"total_amount":1.0E9'))
+               .otherwise(text))
+    return wire_events_json(spark, sf_dir).select("key", spoiled.cast("binary").alias("value"))
+
+
+def dirty_sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spoiled messages as typed rows (``processed_at`` = event time)."""
+    from ..operators import events as ev
+    parsed = ev.cast_event_time(ev.parse_event_json(dirty_wire_json(spark, sf_dir), S.EVENT_V2_WIRE))
+    return ev.event_projection(parsed.withColumn("processed_at", F.col("event_time")))
+
+
 def as_of(events: DataFrame, col: str = "event_time"):
     """The report time of a run: the newest event time.
 

@@ -1,24 +1,30 @@
-"""Stream ingest: parse -> type -> validate -> contract -> dedupe -> store.
+"""Stream ingest: parse -> type -> contract -> dedupe -> store.
 
-Duplicates: each batch is deduplicated on ``event_id`` and anti-joined
-against the ids already stored for the event days it touches (a
-partition-pruned read of one column). That is exact and loses nothing.
-The optional ``dedupe_delay`` adds Spark's watermark dedupe, which keeps
-state bounded but *drops* events arriving later than the delay; use it
-only where that loss is acceptable.
+Nothing is dropped silently: every parsed row is checked against the
+contract, and rows that fail it (malformed JSON included) go to the
+quarantine with their raw text.
+
+An event id is stored once, whatever its time: of the copies in one batch
+the first to arrive is kept, and ids already in the table are left out (a
+read of one column; ``dedupe_days`` bounds it to the event days around the
+batch where older replays cannot occur). The optional ``dedupe_delay`` adds
+Spark's watermark dedupe, which keeps state bounded but *drops* events
+arriving later than the delay; use it only where that loss is acceptable.
 
 Each micro-batch is written by ``foreachBatch`` into the partitions
-``<table>/event_date=<day>/batch_id=<epoch>/`` with dynamic partition
-overwrite. A replayed epoch (after a failure, with the same checkpoint)
-rewrites exactly its own partitions, so the sink is idempotent: no loss, no
-duplicates. Days come first in the layout, so a reader filtering on
-``event_date`` lists only that day's folders. Write errors are not
-swallowed; the query stops and the checkpoint does not advance past a
-batch that was not stored.
+``<table>/event_date=<day>/batch_id=<query>-<epoch>/`` with dynamic
+partition overwrite. The query part is the streaming query's id, which its
+checkpoint keeps: a replayed epoch rewrites exactly its own partitions, and
+a run with another checkpoint never touches the partitions of an earlier
+one. Days come first in the layout, so a filter on ``event_date`` reads
+only that day's folders. Write errors are not swallowed; the query stops
+and the checkpoint does not advance past a batch that was not stored.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,20 +32,22 @@ from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from ..operators import events as ev
-from ..operators.joins import dim_join, fits_broadcast
+from ..operators.incremental import merged_summary, summary_partials
 from ..session import path_exists
 from ..sources.sinks import partition_overwrite_sink
 
 BATCH_COL = "batch_id"
 DATE_COL = "event_date"
+RAW_COL = "raw"
 
 
 def ingest_plan(messages: DataFrame, schema: StructType = S.EVENT_V2_WIRE,
                 value_col: str = "value", dedupe_delay: str | None = None) -> DataFrame:
-    """The per-row part of the ingest, for batch or stream input."""
-    parsed = ev.cast_event_time(ev.parse_event_json(messages, schema, value_col))
-    valid = ev.validate_event(parsed)
-    rows = ev.event_projection(valid)
+    """The per-row part of the ingest, for batch or stream input: the stored
+    columns and the raw text of every message."""
+    texts = messages.withColumn(RAW_COL, F.col(value_col).cast("string"))
+    parsed = ev.cast_event_time(ev.parse_event_json(texts, schema, value_col, keep=(RAW_COL,)))
+    rows = ev.event_projection(parsed, keep=(RAW_COL,))
     if dedupe_delay and rows.isStreaming:
         rows = ev.event_id_dedupe(rows, delay=dedupe_delay)
     return rows
@@ -51,54 +59,60 @@ def read_event_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def summary_hook(summary_path: str):
-    """An ``after_write`` hook that keeps an hourly summary table (partitioned
-    by ``sale_date``) up to date from each stored micro-batch, exactly once:
-    the summary records the last epoch merged into it and a replayed epoch
-    is skipped. Only the dates the batch touches are read and rewritten, and
-    late events are counted (unlike a high-water-mark refresh)."""
-    from ..operators.incremental import EPOCH_COL, merge_epoch
-    from ..plans.loader import table_exists
-
-    def hook(rows: DataFrame, epoch_id: int) -> None:
-        spark = rows.sparkSession
-        touched = None
-        if table_exists(spark, summary_path):
-            stored = spark.read.parquet(summary_path)
-            done = stored.agg(F.max(EPOCH_COL).alias("e")).first()["e"]
-            if done is not None and done >= epoch_id:
-                return
-            dates = rows.select(F.to_date("event_time").alias("sale_date")).distinct()
-            touched = dim_join(stored, dates, on="sale_date", how="left_semi")
-        partition_overwrite_sink(merge_epoch(touched, rows, epoch_id), summary_path, "sale_date")
+    """An ``after_write`` hook that adds the hourly summary of each stored
+    micro-batch to a table of partial summaries, partitioned by
+    ``sale_date`` and batch. A replayed batch overwrites its own partials and
+    nothing is read back, so a commit that was torn is repaired by the
+    replay; late events count. ``read_summary`` adds the partials up."""
+    def hook(rows: DataFrame, batch_key) -> None:
+        part = summary_partials(rows).withColumn(BATCH_COL, F.lit(f"b{batch_key}"))
+        partition_overwrite_sink(part, summary_path, ["sale_date", BATCH_COL])
     return hook
 
 
-def _batch_writer(table_path: str, quarantine_path: str | None,
-                  contract: S.Contract, dedupe_against_table: bool, after_write=None):
+def read_summary(spark: SparkSession, summary_path: str) -> DataFrame:
+    """The summary kept by ``summary_hook``."""
+    return merged_summary(spark.read.parquet(summary_path).drop(BATCH_COL))
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint keeps for its query across restarts."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"].replace("-", "")
+
+
+def _first_arrivals(good: DataFrame) -> DataFrame:
+    """One row per event id: the first in the order the source gave them."""
+    cols = good.columns
+    placed = good.withColumn("_arrival", F.monotonically_increasing_id())
+    return (placed.groupBy("event_id").agg(F.min_by(F.struct(*cols), "_arrival").alias("r"))
+            .select("r.*"))
+
+
+def _batch_writer(checkpoint: str, table_path: str, quarantine_path: str | None, contract: S.Contract,
+                  dedupe_against_table: bool, dedupe_days: int | None, after_write=None):
     def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        key = f"q{_query_id(spark, checkpoint)}-{epoch_id}"
         checked = ev.contract_check(batch, contract).persist()
         deduped = None
         try:
-            good = checked.where(F.size("failed_rules") == 0).drop("failed_rules")
-            # Deduplicated once and kept for the size checks, the lookup of
-            # stored ids and the write (a micro-batch is bounded by the
-            # trigger, e.g. maxOffsetsPerTrigger).
-            deduped = (good.dropDuplicates(["event_id"])
-                       .withColumn(DATE_COL, F.to_date("event_time")).persist())
-            good = deduped
+            ok = F.size("failed_rules") == 0
+            good = checked.where(ok).drop("failed_rules", RAW_COL)
+            # Kept for the lookup of stored ids and the write (a micro-batch
+            # is bounded by the trigger, e.g. maxOffsetsPerTrigger).
+            deduped = _first_arrivals(good).withColumn(DATE_COL, F.to_date("event_time")).persist()
+            new = deduped
             if dedupe_against_table:
-                good = _drop_stored_ids(batch.sparkSession, good, table_path, epoch_id)
-            partition_overwrite_sink(good.withColumn(BATCH_COL, F.lit(epoch_id)),
+                new = _drop_stored_ids(spark, new, table_path, key, dedupe_days)
+            partition_overwrite_sink(new.withColumn(BATCH_COL, F.lit(key)),
                                      table_path, [DATE_COL, BATCH_COL],
                                      sort_within=["store_id", "event_time"])
-            if after_write is not None:
+            if after_write is not None and path_exists(spark, table_path):
                 # The rows just stored (read back: exactly what the table holds).
-                stored = (batch.sparkSession.read.parquet(table_path)
-                          .where(F.col(BATCH_COL) == epoch_id).drop(BATCH_COL))
-                after_write(stored, epoch_id)
+                after_write(spark.read.parquet(table_path).where(F.col(BATCH_COL) == key).drop(BATCH_COL), key)
             if quarantine_path:
-                bad = checked.where(F.size("failed_rules") > 0)
-                bad.write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={epoch_id}")
+                checked.where(~ok).write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={key}")
         finally:
             checked.unpersist()
             if deduped is not None:
@@ -106,35 +120,25 @@ def _batch_writer(table_path: str, quarantine_path: str | None,
     return write
 
 
-def _drop_stored_ids(spark: SparkSession, good: DataFrame, table_path: str,
-                     epoch_id: int) -> DataFrame:
-    """Drop ids already stored by *earlier* epochs on the same event days
-    (partition-pruned read; this epoch's own folder is excluded so a replay
-    rewrites it unchanged)."""
+def _drop_stored_ids(spark: SparkSession, good: DataFrame, table_path: str, key: str,
+                     days: int | None) -> DataFrame:
+    """Drop ids already stored by other batches (this batch's own folder is
+    left out, so that a replay rewrites it unchanged). Only the id column of
+    the table is read; the stored ids that the batch holds too are few."""
     if not path_exists(spark, table_path):  # first batch: nothing stored yet
         return good
-    stored = spark.read.parquet(table_path)
-    keys = ["event_id", DATE_COL]
-    batch_ids = good.select(*keys)
-    prior = stored.where(F.col(BATCH_COL) != epoch_id).select(*keys)
-    # The micro-batch is the small side: its ids are broadcast against the
-    # stored ids of the same days (the date is a partition column, so other
-    # days are pruned), which yields the few ids already stored; only those
-    # are then removed from the batch. The stored table is scanned, never
-    # shuffled.
-    if fits_broadcast(good):
-        # One count of the (cached) batch bounds both broadcast sides: the
-        # ids already stored are a subset of the batch's ids.
-        seen = prior.join(F.broadcast(batch_ids), keys, "left_semi")
-        return good.join(F.broadcast(seen), keys, "left_anti")
-    seen = prior.join(batch_ids, keys, "left_semi")
-    return good.join(seen, keys, "left_anti")
+    stored = spark.read.parquet(table_path).where(F.col(BATCH_COL) != key)
+    if days is not None:
+        lo, hi = good.agg(F.date_sub(F.min(DATE_COL), days), F.date_add(F.max(DATE_COL), days)).first()
+        stored = stored.where(F.col(DATE_COL).between(lo, hi))
+    seen = stored.select("event_id").join(good.select("event_id"), "event_id", "left_semi")
+    return good.join(seen, "event_id", "left_anti")
 
 
 def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
                   schema: StructType = S.EVENT_V2_WIRE, value_col: str = "value",
                   quarantine_path: str | None = None, dedupe_delay: str | None = None,
-                  dedupe_against_table: bool = True,
+                  dedupe_against_table: bool = True, dedupe_days: int | None = None,
                   processing_time: str | None = "10 seconds",
                   available_now: bool = False,
                   contract: S.Contract = S.SALES_EVENT_CONTRACT,
@@ -142,15 +146,15 @@ def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
     """Start the ingest query. ``checkpoint`` is required and must be on
     shared storage. ``available_now`` drains what is there and stops
     (backfill, tests); otherwise a micro-batch runs every
-    ``processing_time``. ``after_write(rows, epoch)`` runs after each batch
-    is stored, with the stored rows (e.g. ``summary_hook``)."""
+    ``processing_time``. ``after_write(rows, batch key)`` runs after each
+    batch is stored, with the stored rows (e.g. ``summary_hook``)."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
     rows = ingest_plan(messages, schema, value_col, dedupe_delay)
     w = (rows.writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_batch_writer(table_path, quarantine_path, contract,
-                                     dedupe_against_table, after_write)))
+         .foreachBatch(_batch_writer(checkpoint, table_path, quarantine_path, contract,
+                                     dedupe_against_table, dedupe_days, after_write)))
     if query_name:
         w = w.queryName(query_name)
     if available_now:

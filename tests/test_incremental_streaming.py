@@ -130,7 +130,10 @@ def test_ingest_quarantines_bad_rows(spark):
                       available_now=True, dedupe_delay=None).awaitTermination()
     assert [r["event_id"] for r in sti.read_event_table(spark, f"{root}/events").collect()] == ["e1"]
     bad = {r["event_id"]: r["failed_rules"] for r in spark.read.parquet(f"{root}/bad").collect()}
+    assert bad.pop(None)[0] == "not_null:event_id"
     assert bad == {"e2": ["enum:transaction_type"], "e3": ["not_null:event_time"]}
+    raw = {r["event_id"]: r["raw"] for r in spark.read.parquet(f"{root}/bad").collect()}
+    assert raw == {"e2": bad_enum, "e3": no_time, None: "not json"}
 
 
 def test_stream_metrics_and_late_rows(spark):
@@ -181,7 +184,7 @@ def test_summary_hook_counts_every_event_once_including_late(spark):
     sti.stream_ingest(src, **kw).awaitTermination()
     # A restart with nothing new must not count anything twice.
     sti.stream_ingest(src, **kw).awaitTermination()
-    got = spark.read.parquet(f"{root}/summary").select(*COLS)
+    got = sti.read_summary(spark, f"{root}/summary").select(*COLS)
     want = rt.hourly_summary(events, as_of).select(*COLS)
     assert rows(got, COLS) == rows(want, COLS)
 
@@ -195,7 +198,7 @@ def test_summary_hook_replayed_epoch_is_skipped(spark):
     hook(a, 0)
     hook(b, 1)
     hook(b, 1)  # the same epoch again after a failure
-    got = spark.read.parquet(path).select(*COLS)
+    got = sti.read_summary(spark, path).select(*COLS)
     want = rt.hourly_summary(events, None).select(*COLS)
     assert rows(got, COLS) == rows(want, COLS)
 
@@ -241,3 +244,47 @@ def test_inventory_status_stream_equals_batch(spark):
     got = state.read_inventory_status(spark, f"{root}/state")
     want = inv.inventory_status(inv_events)
     assert rows(got, want.columns) == rows(want)
+
+
+GOOD = ('{"event_id":"%s","event_time":"%s","store_id":1,"dept_id":2,"product_id":"p","customer_id":"c",'
+        '"quantity":2,"unit_price":1.5,"total_amount":%s,"transaction_type":"SALE",'
+        '"payment_method":"CARD","promotion_applied":true}')
+
+
+def _drop(spark, root, name, *messages):
+    spark.createDataFrame([(m,) for m in messages], "value string").coalesce(1).write.text(f"{root}/{name}")
+    sti.stream_ingest(sts.text_file_source(spark, f"{root}/{name}"), checkpoint=f"{root}/_ckpt/{name}",
+                      table_path=f"{root}/events", quarantine_path=f"{root}/bad",
+                      available_now=True).awaitTermination()
+    return {(r["event_id"], str(r["event_time"])) for r in sti.read_event_table(spark, f"{root}/events").collect()}
+
+
+def test_new_checkpoint_keeps_stored_events_and_ids_are_unique(spark):
+    root = scratch_path(spark, "ingest_new_ckpt")
+    day1, day2 = "2024-01-01 10:00:00", "2024-01-02 10:00:00"
+    assert _drop(spark, root, "a", GOOD % ("a1", day1, "3.0"), GOOD % ("a2", day1, "3.0")) == {("a1", day1), ("a2", day1)}
+    # Another checkpoint starts at epoch 0 again; a2 comes back on another day.
+    assert _drop(spark, root, "b", GOOD % ("b1", day1, "3.0"), GOOD % ("a2", day2, "3.0")) == {
+        ("a1", day1), ("a2", day1), ("b1", day1)}
+
+
+def test_first_arrival_wins_and_an_oversized_amount_is_quarantined(spark):
+    root = scratch_path(spark, "ingest_first")
+    got = _drop(spark, root, "a", GOOD % ("e1", "2024-01-01 12:00:00", "3.0"),
+                GOOD % ("e1", "2024-01-01 10:00:00", "3.0"), GOOD % ("e2", "2024-01-01 10:00:00", "1e9"))
+    assert got == {("e1", "2024-01-01 12:00:00")}
+    bad = spark.read.parquet(f"{root}/bad").first()
+    assert (bad["event_id"], bad["failed_rules"]) == ("e2", ["not_null:total_amount"])
+
+
+def test_torn_summary_commit_is_repaired_by_the_replay(spark):
+    path = scratch_path(spark, "summary_torn")
+    hook = sti.summary_hook(path)
+    events = fx.stream_sales_events(spark, SF001)
+    a, b = (events.where(F.col("store_id") % 2 == i) for i in (0, 1))
+    hook(a, 0)
+    # Only some days of the second batch were committed before the crash.
+    hook(b.where(F.dayofmonth("event_time") % 2 == 0), 1)
+    hook(b, 1)
+    got = sti.read_summary(spark, path).select(*COLS)
+    assert rows(got, COLS) == rows(rt.hourly_summary(events, None).select(*COLS), COLS)
