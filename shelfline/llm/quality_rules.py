@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, with_small_side, words
+from .common import carried, table, with_small_side, words
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -38,49 +38,57 @@ THRESHOLD = -0.25  # mean log ratio (natural logarithm) per n-gram
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body
+    reads it and wherever the optimizer moves the whole expression."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` as a struct ``row`` with the base counts beside it."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def _repeat_words(words_: Column) -> Column:
+    """Words in five-word windows that occur at least twice."""
+    last = F.size(words_) - WINDOW
+    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
+        *[F.get(words_, i + j) for j in range(WINDOW)]))
+
+    def count(ordered: Column) -> Column:
+        found = F.filter(ordered, lambda x, j: (
+            (F.get(ordered, j - 1)["h"] == x["h"]) | (F.get(ordered, j + 1)["h"] == x["h"])))
+        start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+        return F.aggregate(F.sort_array(F.transform(found, lambda x: x["i"])), start, lambda a, p: F.struct(
+            (p + WINDOW).alias("end"),
+            (a["n"] + p + WINDOW - F.greatest(p, a["end"])).alias("n")), lambda a: a["n"])
+
+    # Only texts with a repeated window sort their windows.
+    repeats = _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) < F.size(w), _let(
+        F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), count)))
+    return F.coalesce(F.when(last >= 0, repeats), F.lit(0).cast("long"))
+
+
+def base_counts(text: Column) -> Column:
+    """Struct of the base counts of a text."""
     has_word = lambda line: F.length(_without(line, SPACES)) > 0
-    counted = docs.select(
-        F.struct("*").alias("row"), words(text).alias("w"),
+    text = F.coalesce(text, F.lit(""))
+    return _let(words(text), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
         F.length(_without(text, SPACES)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
-        F.filter(F.split(text, "\n"), has_word).alias("lines"))
-    # The words are read many times: they stay a column of their own.
-    last = F.size("w") - WINDOW
-    windows = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(
-        *[F.get("w", i + j) for j in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
-    counted = counted.select(
-        "row", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        windows.alias("windows"))
-    # Only texts with a repeated window sort their windows.
-    repeated = F.size(F.array_distinct("windows")) < F.size("windows")
-    ordered = F.when(repeated, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    counted = counted.withColumn("o", ordered).drop("windows")
-    found = F.filter("o", lambda x, j: (
-        (F.get("o", j - 1)["h"] == x["h"]) | (F.get("o", j + 1)["h"] == x["h"])))
-    places = F.sort_array(F.transform(found, lambda x: x["i"]))
-    start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate(places, start, lambda a, p: F.struct(
-        (p + WINDOW).alias("end"),
-        (a["n"] + p + WINDOW - F.greatest(p, a["end"])).alias("n")), lambda a: a["n"])
-    return counted.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("o")
-
-
-def with_buckets(df: DataFrame, text: Column, buckets: int = BUCKETS) -> DataFrame:
-    """``df`` with the hashed tokens (``ones``) and token pairs (``twos``)."""
-    df = df.withColumn("tokens", F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)))
+        _let(F.filter(F.split(text, "\n"), has_word),
+             lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
+        _repeat_words(w).alias("n_repeat_words")))
+
+
+def grams(text: Column, buckets: int = BUCKETS) -> Column:
+    """Buckets of the tokens of a text and of the pairs of neighbours."""
     bucket = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
-    pairs = F.when(F.size("tokens") > 1, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("tokens") - 2, F.lit(0))),
-        lambda i: bucket(F.get("tokens", i), F.get("tokens", i + 1)))).otherwise(F.array().cast("array<int>"))
-    return df.select("*", F.concat(F.transform("tokens", lambda t: bucket(t)), pairs).alias("grams")).drop("tokens")
+    pairs = lambda t: F.when(F.size(t) > 1, F.transform(
+        F.sequence(F.lit(0), F.size(t) - 2),
+        lambda i: bucket(F.get(t, i), F.get(t, i + 1)))).otherwise(F.array().cast("array<int>"))
+    return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)),
+                lambda t: F.concat(F.transform(t, lambda x: bucket(x)), pairs(t)))
 
 
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, n_trusted: int, buckets: int = BUCKETS,
@@ -92,8 +100,8 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, n_trusted: int, buckets:
     marked = (docs.select("doc_id", "text")
               .join(with_small_side(trusted_ids.select("doc_id", F.lit(1).alias("trusted")), n_trusted), "doc_id", "left"))
     # The outer form, as the plain one would tokenise once more to filter.
-    grams = with_buckets(marked, F.col("text"), buckets).select("trusted", F.explode_outer("grams").alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
+    seen = marked.select("trusted", F.explode_outer(grams(F.col("text"), buckets)).alias("bucket"))
+    counts = seen.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     counts = every.join(counts, "bucket", "left").na.fill(0)
     packed = counts.groupBy().agg(
@@ -111,16 +119,17 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, n_trusted: int, buckets: in
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
              "mean_log_ratio", "kept"]
     ratios = log_ratios(docs, trusted_ids, n_trusted, buckets, prior)
-    rows = with_buckets(base_counts(docs), F.col("row.text"), buckets)
     # One row of a fixed size; as a folded constant it is not copied by row.
     by_bucket = F.split(F.lit(",".join(map(repr, ratios.first()["ratios"]))), ",").cast("array<double>")
-    total = F.aggregate("grams", F.lit(0.0), lambda a, b: a + F.get(by_bucket, b))
-    rows = rows.withColumn("mean_log_ratio", F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(F.lit(0.0)))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = rows.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("mean_log_ratio") >= threshold))
-    keep = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in added]
-    return rows.select(*keep, *added)
+    mean = _let(grams(F.col("text"), buckets), lambda g: F.when(F.size(g) > 0, F.aggregate(
+        g, F.lit(0.0), lambda a, b: a + F.get(by_bucket, b)) / F.size(g)).otherwise(F.lit(0.0)))
+    failed = lambda c: (c["n_words"] < MIN_WORDS) | (
+        100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
+    verdict = _let(F.struct(base_counts(F.col("text")).alias("c"), mean.alias("m")), lambda v: F.struct(
+        *[v["c"][name].alias(name) for name in added[:5]], failed(v["c"]).alias("base_failed"),
+        v["m"].alias("mean_log_ratio"), (~failed(v["c"]) & (v["m"] >= threshold)).alias("kept")))
+    return docs.select(*carried(docs, added), verdict.alias("verdict_")).select(
+        *carried(docs, added), *[F.col(f"verdict_.{name}").alias(name) for name in added])
 
 
 def trusted_documents(spark, sf_dir: str) -> tuple[DataFrame, int]:
