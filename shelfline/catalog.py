@@ -197,6 +197,12 @@ def q_stream_health(spark, d):
     return rt.stream_health(_events(spark, d), _as_of(spark, d))
 
 
+@register("stream_health_stale")
+def q_stream_health_stale(spark, d):
+    """The report an hour after the newest event."""
+    return rt.stream_health(_events(spark, d), _as_of(spark, d) + dt.timedelta(hours=1))
+
+
 @register("hourly_performance")
 def q_hourly_performance(spark, d):
     return rt.hourly_performance(_events(spark, d), _as_of(spark, d))
@@ -285,6 +291,26 @@ def q_load_sales_table(spark, d):
                                            "IsHoliday", S.INGESTION_TS)
 
 
+@register("csv_upsert_partial_columns")
+def q_csv_upsert_partial_columns(spark, d):
+    """Two store files: the second has its columns in another order, lacks
+    one, and holds each key twice; its later row wins though it is smaller.
+    The files are written in the order of a sequence number."""
+    root = scratch_path(spark, "stores-csv")
+    stores = _stores(spark, d).drop(S.INGESTION_TS)
+    stores.write.option("header", True).csv(f"{root}/1")
+    later = (stores.where(F.col("Store") % 2 == 0)
+             .select("Store", "Size", F.explode(F.array(F.lit(2), F.lit(1))).alias("add"))
+             .select((F.col("Size") + F.col("add")).alias("Size"), "Store",
+                     (F.col("Store") * 2 - F.col("add")).alias("seq")))
+    (later.repartitionByRange(4, "seq").sortWithinPartitions("seq").select("Size", "Store")
+     .write.option("header", True).csv(f"{root}/2"))
+    for part, mode, at in (("1", "create", LOAD_1), ("2", "upsert", LOAD_2)):
+        src = files.csv_source(spark, f"{root}/{part}", S.RAW_STORES, load_order=True)
+        load_dataset(spark, src, f"{root}/table", "raw_stores", mode, at, file_name="stores.csv")
+    return spark.read.parquet(f"{root}/table").select("Store", "Type", "Size", S.INGESTION_TS)
+
+
 @register("csv_source")
 def q_csv_source(spark, d):
     path = scratch_path(spark, "features-csv")

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType, TimestampType
 
 from .. import schemas as S
 
+LOAD_ORDER = "_load_order"  # as added by the CSV source
 _RANK = "_src_rank"
 _ORD = "_src_order"
 
@@ -51,6 +52,14 @@ def _aligned(df: DataFrame, columns, types) -> DataFrame:
                        for c in columns])
 
 
+def _order_cols(source: DataFrame, keys, order_cols, ts_col: str) -> list:
+    if order_cols:
+        return list(order_cols)
+    if LOAD_ORDER in source.columns:
+        return [LOAD_ORDER]
+    return [c for c in source.columns if c not in keys and c != ts_col]
+
+
 FLAG_COLS = ("_had_target", "_touched", "_changed")
 
 
@@ -67,7 +76,8 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
     key the source touches. Keys absent from the source are unchanged.
 
     Spark has no row order, so load order is the ascending order of
-    ``order_cols`` (default: all non-key source columns).
+    ``order_cols``: by default the ``_load_order`` column of the CSV source
+    (which is not stored), or else all non-key source columns.
 
     ``with_flags`` adds per-key booleans ``_had_target``, ``_touched`` and
     ``_changed`` (update columns differ from the stored ones), computed in
@@ -76,7 +86,7 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
     """
     stamp = F.lit(ingestion_ts).cast("timestamp") if ingestion_ts else F.current_timestamp()
     keys = list(keys)
-    order_cols = list(order_cols or [c for c in source.columns if c not in keys and c != ts_col])
+    order_cols = _order_cols(source, keys, order_cols, ts_col)
     present_updates = [c for c in update_cols if c in source.columns]
 
     types = {f.name: f.dataType for f in source.schema.fields}
@@ -84,17 +94,19 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
         types.update({f.name: f.dataType for f in target.schema.fields})
     types[ts_col] = TimestampType()
     columns = list(dict.fromkeys(
-        (list(target.columns) if target is not None else []) + list(source.columns)))
+        (list(target.columns) if target is not None else [])
+        + [c for c in source.columns if c != LOAD_ORDER]))
     if ts_col not in columns:
         columns.append(ts_col)
     others = [c for c in columns if c not in keys and c not in present_updates]
 
-    src = _aligned(source.withColumn(ts_col, stamp), columns, types)
-    src = src.withColumn(_RANK, F.lit(1)).withColumn(_ORD, F.struct(*order_cols))
+    src = _aligned(source.withColumn(ts_col, stamp).withColumn(_ORD, F.struct(*order_cols)),
+                   [*columns, _ORD], types)
+    src = src.withColumn(_RANK, F.lit(1))
     parts = [src]
     if target is not None:
         tgt = _aligned(target, columns, types).withColumn(_RANK, F.lit(0))
-        tgt = tgt.withColumn(_ORD, F.lit(None).cast(src.schema[_ORD].dataType))
+        tgt = tgt.withColumn(_ORD, F.lit(None).cast(src.schema[_ORD].dataType)).select(*src.columns)
         parts.insert(0, tgt)
     u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
@@ -152,7 +164,7 @@ def load_report(target: DataFrame | None, source: DataFrame, keys, update_cols,
     """
     keys = list(keys)
     present = [c for c in update_cols if c in source.columns]
-    order_cols = list(order_cols or [c for c in source.columns if c not in keys and c != S.INGESTION_TS])
+    order_cols = _order_cols(source, keys, order_cols, S.INGESTION_TS)
     vals = F.struct(*present) if present else F.lit(None)
     s = source.select(*keys, vals.alias("_v"), F.struct(*order_cols).alias("_o"),
                       F.lit(1).alias("_s"), F.lit(0).alias("_t"))

@@ -355,6 +355,16 @@ FROM (
          COUNT(DISTINCT store_id) AS unique_stores, COUNT(DISTINCT dept_id) AS unique_departments
   FROM stream_sales_events) h"""
 
+Q["stream_health_stale"] = with_(SALES_EVENTS) + f"""
+SELECT *, CASE WHEN recent_records > 0 THEN 'fresh' ELSE 'stale' END AS data_freshness,
+          CASE WHEN recent_records > 0 THEN 'healthy' ELSE 'warning' END AS validation_status
+FROM (
+  SELECT COUNT(*) AS total_records,
+         COUNT(CASE WHEN event_time >= {AS_OF} + INTERVAL 1 HOUR - INTERVAL 5 MINUTE THEN 1 END) AS recent_records,
+         MAX(event_time) AS latest_record, MIN(event_time) AS earliest_record,
+         COUNT(DISTINCT store_id) AS unique_stores, COUNT(DISTINCT dept_id) AS unique_departments
+  FROM stream_sales_events) h"""
+
 Q["hourly_performance"] = with_(SALES_EVENTS) + f"""
 SELECT CAST(hour(event_time) AS INTEGER) AS hour_of_day, COUNT(*) AS transactions,
        CAST(SUM(total_amount) AS DECIMAL(20,2)) AS total_revenue,
@@ -548,3 +558,8 @@ WHERE quantity > 0 AND unit_price > 0 AND total_amount > 0
 {_GROUP_SQL}"""
 
 Q["inventory_status_stream"] = Q["inventory_status"]
+
+Q["csv_upsert_partial_columns"] = with_(RAW_STORES) + """
+SELECT Store, Type, CAST(CASE WHEN Store % 2 = 0 THEN Size + 1 ELSE Size END AS INTEGER) AS Size,
+       CASE WHEN Store % 2 = 0 THEN TIMESTAMP '2025-01-08 00:00:00' ELSE TIMESTAMP '2025-01-01 00:00:00' END AS ingestion_ts
+FROM raw_stores"""

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
@@ -28,6 +29,15 @@ def _session(input_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+def _time(text: str) -> dt.datetime:
+    t = dt.datetime.fromisoformat(text)
+    return t.astimezone(dt.timezone.utc).replace(tzinfo=None) if t.tzinfo else t
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="shelfline")
     ap.add_argument("--input-gb", type=float,
@@ -51,6 +61,11 @@ def main(argv=None) -> None:
     p.add_argument("--events", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--merge", default="additive", choices=["additive", "replace", "recompute"])
+    p.add_argument("--as-of", type=_time, help="report time, ISO (default: the clock, UTC)")
+    p = sub.add_parser("monitor")
+    p.add_argument("--events", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--as-of", type=_time, help="report time, ISO (default: the clock, UTC)")
     p = sub.add_parser("ingest")
     p.add_argument("--table", required=True)
     p.add_argument("--checkpoint", required=True)
@@ -89,14 +104,19 @@ def main(argv=None) -> None:
                            spark.read.parquet(f"{t}/raw_stores"),
                            spark.read.parquet(f"{t}/raw_features"), a.marts)
     elif a.job == "realtime":
-        from ..functions.time import latest_event_time
         from ..streaming.ingest import read_event_table
         from .models import build_realtime_models, materialize_incremental
-        events = read_event_table(spark, a.events)
-        as_of = latest_event_time(events)
+        events, as_of = read_event_table(spark, a.events), a.as_of or _now()
         build_realtime_models(spark, events, as_of, a.out)
         materialize_incremental(spark, f"{a.out.rstrip('/')}/rt_sales_summary_incremental",
                                 events, as_of, a.merge)
+    elif a.job == "monitor":
+        from ..operators import realtime
+        from ..sources.sinks import overwrite_sink
+        from ..streaming.ingest import read_event_table
+        events, as_of = read_event_table(spark, a.events), a.as_of or _now()
+        for name in ("stream_health", "hourly_performance", "top_stores"):
+            overwrite_sink(getattr(realtime, name)(events, as_of), f"{a.out.rstrip('/')}/{name}")
     elif a.job == "ingest":
         from ..streaming import ingest, sources
         if a.inbox:

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from .. import schemas as S
 from ..operators.joins import in_partitions
 from ..operators.upsert import FLAG_COLS, key_unique_check, keyed_upsert, report_metrics
-from ..session import path_exists
-from ..sources.sinks import overwrite_sink, partition_overwrite_sink
+from ..session import checkpoint_root, path_exists
+from ..sources.sinks import overwrite_sink, partition_overwrite_sink, rebalanced
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -54,17 +54,22 @@ def load_dataset(spark: SparkSession, source: DataFrame, table_path: str, datase
         if partition_by:
             target = in_partitions(target, source, partition_by)
     flagged = keyed_upsert(target, source, keys, updates, order_cols, ts, with_flags=True)
+    if partition_by:
+        flagged = rebalanced(flagged, [partition_by])
+    # Observed directly under the write: a map task that runs again after a
+    # lost executor is not counted twice.
     obs = Observation(f"load_{dataset}")
     merged = flagged.observe(obs, *report_metrics(flagged)).drop(*FLAG_COLS)
     untouched = 0
     if target is not None and partition_by:
-        partition_overwrite_sink(merged, table_path, partition_by)
+        partition_overwrite_sink(merged, table_path, partition_by, rebalance=False)
     elif target is not None:
         # Unpartitioned: the whole table is replaced, so materialise it in
         # the checkpoint folder before overwriting what it was read from.
+        checkpoint_root(spark)
         overwrite_sink(merged.checkpoint(), table_path)
     else:
-        overwrite_sink(merged, table_path, partition_by)
+        overwrite_sink(merged, table_path, partition_by, rebalance=False)
     m = obs.get
     initial = m["initial_keys"]
     if target is not None and partition_by:
@@ -90,7 +95,7 @@ def load_folder(spark: SparkSession, folder: str, tables_root: str, mode: str =
         table = route_csv(path)
         if table is None:
             continue
-        src = csv_source(spark, path, S.RAW_SCHEMAS.get(table))
+        src = csv_source(spark, path, S.RAW_SCHEMAS.get(table), load_order=True)
         rep = load_dataset(spark, src, f"{tables_root.rstrip('/')}/{table}", table, mode,
                            ingestion_ts, (partitions or {}).get(table),
                            file_name=path.rsplit("/", 1)[-1])

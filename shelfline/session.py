@@ -86,24 +86,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can create the folder."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir(path), exist_ok=True)
-
-
 def sizing_conf(input_bytes: int, total_cores: int) -> dict:
     """Shuffle and scan sizing for a job reading ``input_bytes``.
 
@@ -125,21 +107,15 @@ def sizing_conf(input_bytes: int, total_cores: int) -> dict:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a stored table exists at ``path``.
+    """Whether a stored table exists at ``path``: a folder that holds more
+    than markers (an empty partitioned write has no readable table yet).
 
-    Local paths are checked on the file system; elsewhere a read is
-    attempted and a missing path answers False. Checking first keeps failed
-    reads (and the listener noise they cause) out of normal runs.
+    Asked of the file system that Spark itself resolves the path against, so
+    a path without a scheme means the cluster's default file system.
     """
-    if is_local_path(path):
-        d = local_dir(path)
-        # Data files or partition folders; a folder holding only markers
-        # (an empty partitioned write) has no readable table yet.
-        return os.path.isdir(d) and any(not n.startswith((".", "_")) for n in os.listdir(d))
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return False
+    return any(not s.getPath().getName().startswith((".", "_")) for s in fs.listStatus(at))

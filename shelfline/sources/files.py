@@ -3,6 +3,7 @@ landed JSON with struct flattening, registered tables."""
 
 from __future__ import annotations
 
+import csv
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,25 +11,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas as S
+from ..operators.upsert import LOAD_ORDER
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the first line of a CSV file (none if it is empty)."""
+    line = spark.read.text(path).first()
+    return next(csv.reader([line[0].lstrip("\ufeff")])) if line and line[0] else []
 
 
 def csv_source(spark: SparkSession, path: str, schema: StructType | None = None,
-               null_value: str = "NA", corrupt_col: str | None = None) -> DataFrame:
+               null_value: str = "NA", corrupt_col: str | None = None,
+               load_order: bool = False) -> DataFrame:
     """Header CSV -> typed rows. With a schema nothing is inferred (no extra
-    pass over the files); ``NA`` and empty fields become NULL; TRUE/FALSE
-    and ISO dates parse to BOOLEAN and DATE. With ``corrupt_col`` a line
-    that does not fit the schema keeps its raw text in that column (for a
-    quarantine), instead of silently becoming NULL fields."""
+    pass over the files): the header is read first and each column gets the
+    type declared for its *name*, in whatever order the file has them. A
+    declared column the file lacks stays absent; a column that is not
+    declared, and files with different headers under one path, are errors.
+    ``NA`` and empty fields become NULL; TRUE/FALSE and ISO dates parse to
+    BOOLEAN and DATE. With ``corrupt_col`` a line that does not fit keeps its
+    raw text in that column (for a quarantine), instead of silently becoming
+    NULL fields. ``load_order`` adds a column that orders the rows as the
+    files hold them (file, block in the file, row)."""
     reader = (spark.read.option("header", True).option("nullValue", null_value)
               .option("mode", "PERMISSIVE"))
-    if schema is not None and corrupt_col:
-        schema = StructType(schema.fields + [StructField(corrupt_col, StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    if schema is not None:
-        reader = reader.schema(schema)
+    if schema is None:
+        rows = reader.option("inferSchema", True).csv(path)
     else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+        header, declared = csv_header(spark, path), {f.name: f for f in schema.fields}
+        unknown = [c for c in header if c not in declared]
+        if unknown:
+            raise ValueError(f"{path}: columns not in the schema: {unknown}")
+        typed = [declared[c] for c in header] if header else schema.fields
+        if corrupt_col:
+            typed = typed + [StructField(corrupt_col, StringType())]
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+        rows = reader.option("enforceSchema", False).schema(StructType(typed)).csv(path)
+    if load_order:
+        rows = rows.withColumn(LOAD_ORDER, F.struct(
+            "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")))
+    return rows
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> list[str]:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def overwrite_sink(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet") -> None:
+def overwrite_sink(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet",
+                   rebalance: bool = True) -> None:
     """Replace the whole stored table (static overwrite, whatever the
     session's partition overwrite mode)."""
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        df = rebalanced(df, cols)
+        df = rebalanced(df, cols) if rebalance else df
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         w = w.partitionBy(*cols)
