@@ -339,7 +339,9 @@ def _incremental_runs(spark, d, merge):
     checkpoint_root(spark)
     run1 = inc.sales_summary_incremental(
         None, events.where(F.col("event_time") <= F.lit(split)), split).checkpoint()
-    return inc.sales_summary_incremental(run1, events, as_of, merge=merge)
+    # Events arrive at their event time, so the first run's arrival mark is
+    # the split (used by recompute only).
+    return inc.sales_summary_incremental(run1, events, as_of, merge=merge, arrived_since=split)
 
 
 @register("sales_summary_incremental")
@@ -352,6 +354,11 @@ def q_sales_summary_incremental_replace(spark, d):
     return _incremental_runs(spark, d, "replace")
 
 
+@register("sales_summary_incremental_recompute")
+def q_sales_summary_incremental_recompute(spark, d):
+    return _incremental_runs(spark, d, "recompute")
+
+
 # --- streaming -----------------------------------------------------------------
 
 

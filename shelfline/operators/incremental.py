@@ -46,10 +46,16 @@ def high_water_mark(target: DataFrame):
 
 def sales_summary_incremental(target: DataFrame | None, events: DataFrame,
                               as_of: dt.datetime, merge: str = "additive",
-                              lookback="24 hours", high_water=None) -> DataFrame:
+                              lookback="24 hours", high_water=None, arrived_since=None) -> DataFrame:
     """Merge the events newer than the stored high-water mark into
     ``target``. ``high_water`` may be given when ``target`` is only the
-    part of the stored table the new events can touch."""
+    part of the stored table the new events can touch.
+
+    ``recompute`` rebuilds the keys of the events that arrived
+    (``processed_at``) after ``arrived_since``, the arrival mark of the last
+    run, which has nothing to do with event times. Without a mark the
+    greatest ``last_updated`` stands in; that is right only if report times
+    were clock times."""
     if target is None:
         return rt_sales_summary(events, as_of, lookback).select(*SUMMARY_COLUMNS)
     # Schemas are known without running anything.
@@ -58,7 +64,7 @@ def sales_summary_incremental(target: DataFrame | None, events: DataFrame,
     target = target.select(*SUMMARY_COLUMNS)
 
     if merge == "recompute":
-        return _recompute(target, events, as_of)
+        return _recompute(target, events, as_of, arrived_since)
 
     hw = high_water if high_water is not None else high_water_mark(target)
     if hw is None:
@@ -95,8 +101,8 @@ def _additive(target: DataFrame, new: DataFrame) -> DataFrame:
         "latest_transaction_time", "last_updated")
 
 
-def _recompute(target: DataFrame, events: DataFrame, as_of: dt.datetime) -> DataFrame:
-    last_run = target.agg(F.max("last_updated").alias("m")).first()["m"]
+def _recompute(target: DataFrame, events: DataFrame, as_of: dt.datetime, arrived_since=None) -> DataFrame:
+    last_run = arrived_since or target.agg(F.max("last_updated").alias("m")).first()["m"]
     arrived = events if last_run is None else events.where(F.col("processed_at") > F.lit(last_run))
     touched = arrived.select(
         "store_id", "dept_id", F.to_date("event_time").alias("sale_date"),

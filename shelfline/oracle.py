@@ -500,6 +500,25 @@ SELECT * FROM run1 WHERE NOT EXISTS (
   SELECT 1 FROM run2 WHERE run2.store_id = run1.store_id AND run2.dept_id = run1.dept_id
     AND run2.sale_date = run1.sale_date AND run2.sale_hour = run1.sale_hour)"""
 
+Q["sales_summary_incremental_recompute"] = with_(SALES_EVENTS) + f"""
+, run1 AS (
+  SELECT {_KEYS_SQL}, {_HOURLY}, {_SPLIT} AS last_updated
+  FROM stream_sales_events
+  WHERE event_time >= {_SPLIT} - INTERVAL 24 HOUR AND event_time <= {_SPLIT}
+  {_GROUP_SQL}),
+run2 AS (
+  SELECT {_KEYS_SQL}, {_HOURLY}, {AS_OF} AS last_updated
+  FROM stream_sales_events e
+  WHERE EXISTS (SELECT 1 FROM stream_sales_events n WHERE n.event_time > {_SPLIT}
+    AND n.store_id = e.store_id AND n.dept_id = e.dept_id
+    AND date_trunc('hour', n.event_time) = date_trunc('hour', e.event_time))
+  {_GROUP_SQL})
+SELECT * FROM run2
+UNION ALL
+SELECT * FROM run1 WHERE NOT EXISTS (
+  SELECT 1 FROM run2 WHERE run2.store_id = run1.store_id AND run2.dept_id = run1.dept_id
+    AND run2.sale_date = run1.sale_date AND run2.sale_hour = run1.sale_hour)"""
+
 # --- streaming ----------------------------------------------------------------
 Q["stream_ingest"] = with_(DIRTY_EVENTS) + f"""
 SELECT event_id, event_time, store_id, dept_id, product_id, customer_id, quantity, unit_price,

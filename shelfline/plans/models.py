@@ -63,23 +63,35 @@ def build_realtime_models(spark: SparkSession, events: DataFrame, as_of: dt.date
     }
 
 
+def _arrival_mark(spark: SparkSession, path: str):
+    """Newest ``processed_at`` that the last run has seen, or None."""
+    mark = f"{path.rstrip('/')}/_arrival_mark"
+    return spark.read.parquet(f"{mark}/*.parquet").first()["m"] if table_exists(spark, mark) else None
+
+
 def materialize_incremental(spark: SparkSession, path: str, events: DataFrame,
                             as_of: dt.datetime, merge: str = "additive") -> None:
     """Run the incremental summary against the stored table at ``path``
     (partitioned by ``sale_date``): the high-water mark comes from the whole
     table, but only the dates the new events fall on are read and
-    rewritten."""
+    rewritten. The arrival mark for ``recompute`` lies beside the partitions
+    and moves after them, so a run that broke off is repeated."""
+    mark = events.agg(F.max("processed_at").alias("m")).first()["m"]
     if not table_exists(spark, path):
-        first = incremental.sales_summary_incremental(None, events, as_of)
-        overwrite_sink(first, path, "sale_date")
-        return
-    stored = spark.read.parquet(path)
-    hw = incremental.high_water_mark(stored)
-    if merge == "recompute" or hw is None:
-        touched_src = events
+        overwrite_sink(incremental.sales_summary_incremental(None, events, as_of), path, "sale_date")
     else:
-        touched_src = events.where(F.col("event_time") > F.lit(hw))
-    target = in_partitions(stored, touched_src.select(F.to_date("event_time").alias("sale_date")), "sale_date")
-    target = target.select(*incremental.SUMMARY_COLUMNS)
-    merged = incremental.sales_summary_incremental(target, events, as_of, merge, high_water=hw)
-    partition_overwrite_sink(merged, path, "sale_date")
+        stored = spark.read.parquet(path)
+        hw, since = incremental.high_water_mark(stored), None
+        if merge == "recompute":
+            since = _arrival_mark(spark, path)
+            new = events if since is None else events.where(F.col("processed_at") > F.lit(since))
+        else:
+            new = events if hw is None else events.where(F.col("event_time") > F.lit(hw))
+        target = in_partitions(stored, new.select(F.to_date("event_time").alias("sale_date")), "sale_date")
+        target = target.select(*incremental.SUMMARY_COLUMNS)
+        merged = incremental.sales_summary_incremental(target, events, as_of, merge, high_water=hw,
+                                                       arrived_since=since)
+        partition_overwrite_sink(merged, path, "sale_date")
+    if mark is not None:
+        overwrite_sink(spark.createDataFrame([(mark,)], "m timestamp").coalesce(1),
+                       f"{path.rstrip('/')}/_arrival_mark")

@@ -8,10 +8,12 @@ per micro-batch, kept by Spark on the driver), not from the data.
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections import deque
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField,
                                StructType, TimestampType)
 
@@ -47,7 +49,37 @@ def progress_rows(progress: dict) -> list:
     return out
 
 
+class ProgressLog(StreamingQueryListener):
+    """Every progress report of the session's queries as metric rows.
+
+    Register it with ``spark.streams.addListener`` before the queries start.
+    ``drain`` hands over the rows since the last call, for a job to append to
+    the metrics table; what is held is bounded by the time between calls
+    (``recentProgress`` keeps only the last hundred reports).
+    """
+
+    def __init__(self):
+        self._rows: deque = deque()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self._rows.extend(progress_rows(json.loads(event.progress.json)))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def drain(self, spark: SparkSession) -> DataFrame:
+        rows = [self._rows.popleft() for _ in range(len(self._rows))]
+        return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+
 def stream_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """All recent progress reports of ``query`` as metric rows."""
+    """The progress reports that ``query`` still holds as metric rows (the
+    last hundred; see ``ProgressLog`` for all)."""
     rows = [r for p in query.recentProgress for r in progress_rows(p)]
     return spark.createDataFrame(rows, METRICS_SCHEMA)

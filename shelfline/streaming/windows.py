@@ -17,12 +17,17 @@ def _window_cols():
 
 
 def _watermarked(events: DataFrame, watermark: str | None) -> DataFrame:
-    if watermark and events.isStreaming:
-        return events.withWatermark("event_time", watermark)
-    return events
+    """On a stream a watermark must be chosen: events that arrive later than
+    it are dropped from the windows (the monitor counts them). To count them
+    all, use the batch form over the event table, or ``summary_hook``."""
+    if not events.isStreaming:
+        return events
+    if not watermark:
+        raise ValueError("a stream needs a watermark: later events are dropped")
+    return events.withWatermark("event_time", watermark)
 
 
-def stream_hourly_sales(events: DataFrame, watermark: str | None = "2 hours",
+def stream_hourly_sales(events: DataFrame, watermark: str | None = None,
                         size: str = "1 hour") -> DataFrame:
     """Tumbling-window sales per store and department (same measures as the
     hourly summary)."""
@@ -39,7 +44,7 @@ def stream_hourly_sales(events: DataFrame, watermark: str | None = "2 hours",
     return g.select(*_window_cols(), *[c for c in g.columns if c != "w"])
 
 
-def stream_inventory_alerts(events: DataFrame, watermark: str | None = "2 hours",
+def stream_inventory_alerts(events: DataFrame, watermark: str | None = None,
                             size: str = "1 hour", slide: str = "5 minutes",
                             velocity=R.VELOCITY_TIERS, alert=R.ALERT_TIERS,
                             keep=R.ALERT_KEEP) -> DataFrame:
