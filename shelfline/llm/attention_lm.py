@@ -85,13 +85,48 @@ class Model:
         z /= z.sum(axis=2, keepdims=True)
         return {"e": e, "s": s, "v": v, "h": h, "a": a, "o": o, "gate": z}
 
+    def _mixed(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The same as ``forward``, for scoring: the probability of each
+        target in fewer passes over memory. Rows of all windows go through
+        one product; where the numbers show that exp() cannot overflow no
+        maximum is taken; sums are products with ones, divided out last."""
+        p, (n, _) = self.p, y.shape
+        e = p["emb"][x]
+        e += p["pos"]
+        kv = (e.reshape(-1, DIM) @ np.concatenate([p["k"], p["v"]], 1)).reshape(n, WINDOW, KEY + DIM)
+        k, v = kv[..., :KEY], kv[..., KEY:]
+        own = np.ascontiguousarray(e[:, CONTEXT:]).reshape(-1, DIM)
+        q = own @ (p["q"] * np.float32(1 / np.sqrt(KEY)))
+        if not n or (q * q).sum(1).max() * (k * k).sum(2).max() > 40 ** 2:
+            return (self.forward(x)["gate"] * self.experts[np.maximum(y, 0)]).sum(2)
+        s = q.reshape(n, STRIDE, KEY) @ k.transpose(0, 2, 1)
+        s += self.mask
+        pad = x == self.vocab
+        rows = np.nonzero(pad.any(1))[0]
+        s[rows] += np.where(pad[rows], np.float32(-1e9), np.float32(0))[:, None]
+        np.exp(s, out=s)
+        h = (s @ v).reshape(-1, DIM)
+        h /= (s @ np.ones(WINDOW, np.float32)).reshape(-1, 1)
+        h += own
+        a = h @ p["w1"]
+        a += p["b1"]
+        np.maximum(a, 0, out=a)
+        z = (h + a @ p["w2"]) @ p["g"]
+        z += p["bg"]
+        if z.max() > 60 or z.min() < -60:
+            z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        ones = np.ones(EXPERTS, np.float32)
+        total = z @ ones
+        z *= self.experts[np.maximum(y, 0).ravel()]
+        return (z @ ones / total).reshape(n, STRIDE)
+
     def log_prob(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log10 probability of each window's targets, summed by window."""
-        gate = self.forward(x)["gate"]
-        p = np.einsum("nsk,nsk->ns", gate, self.experts[np.maximum(y, 0)])
+        p = self._mixed(x, y)
         return np.where(y >= 0, np.log10(np.maximum(p, 1e-30)), 0).sum(axis=1, dtype=np.float64)
 
-    def score(self, texts: list[np.ndarray], batch: int = 1024) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], batch: int = 128) -> np.ndarray:
         """Log10 probability of each text of subword ids."""
         x, y, counts = windows(texts, self.vocab)
         out = np.concatenate([self.log_prob(x[i:i + batch], y[i:i + batch])

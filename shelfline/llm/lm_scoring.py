@@ -36,11 +36,10 @@ from .common import stored, words
 
 FREQUENT = 200_000
 SAMPLE_DOCS = 1_500
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000  # per generation and Python worker
 CHUNK_WORDS = 40_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 END = ""  # no word is empty
-TO_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def _crc(doc_id: Column) -> Column:
@@ -54,13 +53,19 @@ def held_out(doc_id: Column) -> Column:
 def split_words(text: str | None) -> list[str]:
     """Words of a text, A-Z in lower case; other white space than ASCII's
     belongs to the words."""
-    return [w.decode("utf-8", "replace") for w in (text or "").translate(TO_LOWER).encode("utf-8", "replace").split()]
+    words_ = (text or "").encode("utf-8", "replace").lower().split()  # bytes: only A-Z
+    return b"\n".join(words_).decode("utf-8").split("\n") if words_ else []
+
+
+def ascii_lower(word: Column) -> Column:
+    """A-Z in lower case; ``lower`` does just that where all is ASCII."""
+    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over ``docs``, with one END token per document."""
-    tokens = F.array_append(words(F.translate("text", UPPER, LOWER)), END)
-    return docs.select(F.explode_outer(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    tokens = docs.select(F.explode_outer(F.array_append(words(F.col("text")), END)).alias("word"))
+    return tokens.select(ascii_lower(F.col("word")).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
 
 
 class Subwords:

@@ -149,6 +149,12 @@ def test_lm_scores_every_token_once_and_causally():
     # Probabilities of the next token sum to one.
     gate = model.forward(x)["gate"]
     assert np.allclose((gate @ model.experts.T).sum(2), 1, atol=1e-4)
+    # Scoring takes fewer passes to the same probabilities.
+    slow = (gate * model.experts[np.maximum(y, 0)]).sum(2)
+    assert np.allclose(model._mixed(x, y), slow, rtol=1e-4)
+    model.p["q"] *= 1000  # beyond the bound: the plain way
+    assert np.allclose(model._mixed(x, y), (model.forward(x)["gate"] * model.experts[np.maximum(y, 0)]).sum(2), rtol=1e-4)
+    model.p["q"] /= 1000
     # A later token changes no earlier score.
     changed = text.copy()
     changed[60] = (changed[60] + 1) % 47 + 3
