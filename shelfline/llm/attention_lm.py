@@ -6,7 +6,8 @@ gates computed from the hidden state: p(y | context) = sum_k g_k P_k(y).
 This sums to one over the whole vocabulary and costs a few dozen operations
 per token, where a full softmax would cost a million. Gates and attention
 are trained by Adam on the gradient of the log likelihood, the experts by
-online expectation-maximisation.
+online expectation-maximisation. Both need only sums over the texts of a
+round (``Sums``), which tasks can make apart and add up.
 
 Texts are scored in overlapping windows: each window of ``CONTEXT + STRIDE``
 inputs scores only its last ``STRIDE`` tokens, so each token is scored once,
@@ -16,6 +17,8 @@ of many texts form one batch with a causal mask that also hides padding.
 
 from __future__ import annotations
 
+from copy import copy
+
 import numpy as np
 
 DIM, KEY, HIDDEN, EXPERTS = 16, 8, 32, 32
@@ -45,6 +48,48 @@ def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray,
     return x[rows[:, None] + np.arange(WINDOW)], y.reshape(n, STRIDE), counts
 
 
+def by_subword(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids and the sums of their rows."""
+    if not len(ids):
+        return np.zeros(0, np.int64), rows
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.concatenate([[0], np.nonzero(ids[1:] != ids[:-1])[0] + 1])
+    return ids[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+class Sums:
+    """What a round of texts adds up to, of a size bounded by the model: by
+    subword the gradient of its embedding and its responsibilities by
+    expert, the gradients of the other parameters, the predicted tokens."""
+
+    def __init__(self, model: Model):
+        self.rows = np.zeros((model.vocab + 1, DIM + EXPERTS))
+        self.seen = np.zeros(model.vocab + 1, bool)
+        self.dense = {k: np.zeros(v.shape) for k, v in model.p.items() if k != "emb"}
+        self.tokens = 0
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and rows to add up by key: subwords, and below 0 the rest."""
+        rest = np.concatenate([*(d.ravel() for d in self.dense.values()), [self.tokens]])
+        rest = np.pad(rest, (0, -len(rest) % (DIM + EXPERTS))).reshape(-1, DIM + EXPERTS)
+        at = np.nonzero(self.seen)[0]
+        return np.concatenate([-1 - np.arange(len(rest)), at]), np.concatenate([rest, self.rows[at]])
+
+    def add_flat(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        at = keys >= 0
+        self.rows[keys[at]] += rows[at]
+        self.seen[keys[at]] = True
+        rest = np.zeros((int((~at).sum()), DIM + EXPERTS))
+        rest[-1 - keys[~at]] = rows[~at]
+        rest, done = rest.ravel(), 0
+        if len(rest):
+            for d in self.dense.values():
+                d += rest[done:done + d.size].reshape(d.shape)
+                done += d.size
+            self.tokens += int(round(rest[done]))
+
+
 class Model:
     """Parameters of one vocabulary; the id ``vocab`` is padding."""
 
@@ -67,19 +112,23 @@ class Model:
     def forward(self, x: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
         e = p["emb"][x] + p["pos"]
-        own = e[:, CONTEXT:]
-        s = (own @ p["q"]) @ (e @ p["k"]).transpose(0, 2, 1)
+        n = len(x)
+        own = np.ascontiguousarray(e[:, CONTEXT:])
+        flat = own.reshape(-1, DIM)
+        q, k = (flat @ p["q"]).reshape(n, STRIDE, KEY), (e.reshape(-1, DIM) @ p["k"]).reshape(n, WINDOW, KEY)
+        s = q @ k.transpose(0, 2, 1)
         s *= np.float32(1 / np.sqrt(KEY))
         s += self.mask
         s += np.where(x == self.vocab, np.float32(-1e9), np.float32(0))[:, None]
         s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
         s /= s.sum(axis=2, keepdims=True)
-        v = e @ p["v"]
+        v = (e.reshape(-1, DIM) @ p["v"]).reshape(n, WINDOW, DIM)
         h = own + s @ v
-        a = np.maximum(h @ p["w1"] + p["b1"], 0)
-        o = h + a @ p["w2"]
-        z = o @ p["g"] + p["bg"]
+        a = np.maximum(h.reshape(-1, DIM) @ p["w1"] + p["b1"], 0)
+        o = h.reshape(-1, DIM) + a @ p["w2"]
+        z = (o @ p["g"] + p["bg"]).reshape(n, STRIDE, EXPERTS)
+        a, o = a.reshape(n, STRIDE, HIDDEN), o.reshape(n, STRIDE, DIM)
         z -= z.max(axis=2, keepdims=True)
         np.exp(z, out=z)
         z /= z.sum(axis=2, keepdims=True)
@@ -135,61 +184,133 @@ class Model:
 
     def _gradients(self, x, y, f, responsibility) -> dict[str, np.ndarray]:
         """Gradient of the mean log likelihood, by hand."""
-        p, g = self.p, {}
-        live = (y >= 0)[..., None].astype(np.float32)
-        dz = (responsibility - f["gate"]) * live / max(1.0, live.sum())
+        n = max(1.0, float((y >= 0).sum()))
+        g = {k: d / np.float32(n) for k, d in self._gradient_sums(x, y, f, responsibility).items()}
+        de = g.pop("e")
+        g["emb"] = np.zeros_like(self.p["emb"])
+        at, sums = by_subword(x.ravel(), de.reshape(-1, DIM))
+        g["emb"][at] = sums
+        return g
+
+    def _gradient_sums(self, x, y, f, responsibility) -> dict[str, np.ndarray]:
+        """Gradient of the summed log likelihood; "e" is that of each input
+        of each window. Rows of all windows go through one product."""
+        p, g, n = self.p, {}, len(x)
+        scale = np.float32(1 / np.sqrt(KEY))
         flat = lambda t: t.reshape(-1, t.shape[-1])
-        g["g"], g["bg"] = flat(f["o"]).T @ flat(dz), dz.sum((0, 1))
+        dz = flat(responsibility - f["gate"])
+        dz *= (y >= 0).reshape(-1, 1)
+        o, a, h, e = flat(f["o"]), flat(f["a"]), flat(f["h"]), flat(f["e"])
+        g["g"], g["bg"] = o.T @ dz, dz.sum(0)
         do = dz @ p["g"].T
-        da = (do @ p["w2"].T) * (f["a"] > 0)
-        g["w2"] = flat(f["a"]).T @ flat(do)
-        g["w1"], g["b1"] = flat(f["h"]).T @ flat(da), da.sum((0, 1))
+        da = do @ p["w2"].T
+        da *= a > 0
+        g["w2"] = a.T @ do
+        g["w1"], g["b1"] = h.T @ da, da.sum(0)
         dh = do + da @ p["w1"].T
-        ds = dh @ f["v"].transpose(0, 2, 1)
-        dv = f["s"].transpose(0, 2, 1) @ dh
-        ds = f["s"] * (ds - (ds * f["s"]).sum(2, keepdims=True)) * np.float32(1 / np.sqrt(KEY))
-        own = f["e"][:, CONTEXT:]
-        q, k = own @ p["q"], f["e"] @ p["k"]
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g["q"], g["k"], g["v"] = flat(own).T @ flat(dq), flat(f["e"]).T @ flat(dk), flat(f["e"]).T @ flat(dv)
-        de = dk @ p["k"].T + dv @ p["v"].T
-        de[:, CONTEXT:] += dh + dq @ p["q"].T
-        g["pos"] = de.sum(0)
-        g["emb"] = np.zeros_like(p["emb"])
-        np.add.at(g["emb"], x, de)
+        dh3, s = dh.reshape(n, STRIDE, DIM), f["s"]
+        ds = dh3 @ f["v"].transpose(0, 2, 1)
+        turned = s.transpose(0, 2, 1)
+        dv = flat(turned @ dh3)
+        # The sum over a row of ds * s is dh . (s @ v), and s @ v is h - own.
+        own = np.ascontiguousarray(f["e"][:, CONTEXT:]).reshape(-1, DIM)
+        ds -= ((h - own) * dh).sum(1).reshape(n, STRIDE, 1)
+        ds *= s
+        ds *= scale
+        q, k = (own @ p["q"]).reshape(n, STRIDE, KEY), (e @ p["k"]).reshape(n, WINDOW, KEY)
+        dq, dk = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q)
+        g["q"], g["k"], g["v"] = own.T @ dq, e.T @ dk, e.T @ dv
+        de = (dk @ p["k"].T + dv @ p["v"].T).reshape(n, WINDOW, DIM)
+        de[:, CONTEXT:] += (dh + dq @ p["q"].T).reshape(n, STRIDE, DIM)
+        g["pos"], g["e"] = de.sum(0), de
         return g
 
+    def _responsibility(self, f: dict[str, np.ndarray], y: np.ndarray) -> np.ndarray:
+        joint = f["gate"] * self.experts[np.maximum(y, 0)]
+        joint /= np.maximum(joint.sum(2, keepdims=True), 1e-30)
+        return joint
+
+    def add_sums(self, texts: list[np.ndarray], sums: Sums, batch: int = 256) -> None:
+        """Add what one update needs of ``texts``: gradients and, by expert
+        and subword, responsibilities."""
+        x, y, _ = windows(texts, self.vocab)
+        for i in range(0, len(x), batch):
+            bx, by = x[i:i + batch], y[i:i + batch]
+            f = self.forward(bx)
+            responsibility = self._responsibility(f, by)
+            live = by >= 0
+            g = self._gradient_sums(bx, by, f, responsibility)
+            at, rows = by_subword(bx.ravel(), g.pop("e").reshape(-1, DIM))
+            sums.rows[at, :DIM] += rows
+            sums.seen[at] = True
+            at, rows = by_subword(by[live], responsibility[live])
+            sums.rows[at, DIM:] += rows
+            sums.seen[at] = True
+            sums.tokens += int(live.sum())
+            for k, d in g.items():
+                sums.dense[k] += d
+
+    def start(self, counts: np.ndarray, steps: int, rate: float, seed: int = 11) -> None:
+        """Prepare for ``steps`` updates: every expert starts near the
+        subword ``counts`` of all training texts."""
+        r = np.random.default_rng(seed)
+        self.counts, self.steps, self.step, self.rate = counts.astype(np.float64), steps, 0, rate
+        start = self.counts[:, None] * np.exp(r.standard_normal((self.vocab, EXPERTS))) + 1e-9
+        self.total = start / start.sum(0) * 1_000
+        self._set_experts(self.total)
+        self.m = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.u = {k: np.zeros_like(v) for k, v in self.p.items()}
+
+    def _ascend(self, gradients: dict[str, np.ndarray]) -> None:
+        step, m, u = self.step, self.m, self.u
+        for k, d in gradients.items():
+            m[k] += 0.1 * (d - m[k])
+            u[k] += 0.01 * (d * d - u[k])
+            scale = self.rate * (1 - step / self.steps) / (1 - 0.9 ** (step + 1))
+            self.p[k] += (scale * m[k] / (np.sqrt(u[k] / (1 - 0.99 ** (step + 1))) + 1e-8)).astype(np.float32)
+
+    def _smooth_experts(self) -> None:
+        self._set_experts(self.total + 0.01 * self.counts[:, None] / self.counts.sum() * self.total.sum(0) * 0.1)
+
+    def update(self, sums: Sums) -> None:
+        """One step with the sums of a round of texts. The weight of a round
+        falls by its age, to 1 / step for the first one and never to 0."""
+        if sums.tokens:
+            gradients = {k: (d / sums.tokens).astype(np.float32) for k, d in sums.dense.items()}
+            self._ascend({**gradients, "emb": (sums.rows[:, :DIM] / sums.tokens).astype(np.float32)})
+            self.total *= 1 - 1 / (2 + self.step)
+            self.total += sums.rows[:self.vocab, DIM:]
+            self._smooth_experts()
+        self.step += 1
+
+    def bare(self) -> Model:
+        """A view of this model without what only updates need."""
+        out = copy(self)
+        for k in ("counts", "total", "m", "u"):
+            out.__dict__.pop(k, None)
+        return out
+
     def fit(self, texts: list[np.ndarray], steps: int = 250, batch: int = 256, rate: float = 0.01,
             seed: int = 11) -> None:
-        """Train on the windows of ``texts`` in a seeded order."""
-        r = np.random.default_rng(seed)
-        counts = np.bincount(np.concatenate([*texts, [EOS] * max(1, len(texts))]).astype(np.int64),
-                             minlength=self.vocab).astype(np.float64)
-        start = counts[:, None] * np.exp(r.standard_normal((self.vocab, EXPERTS))) + 1e-9
-        total = start / start.sum(0) * 1_000
-        self._set_experts(total)
+        """Train on the windows of ``texts`` in memory, in a seeded order."""
+        self.start(np.bincount(np.concatenate([*texts, [EOS] * max(1, len(texts))]).astype(np.int64),
+                               minlength=self.vocab), steps, rate, seed)
         x, y, _ = windows(texts, self.vocab)
         if not len(x):
             return
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        u = {k: np.zeros_like(v) for k, v in self.p.items()}
+        r = np.random.default_rng(seed + 1)
         order = np.concatenate([r.permutation(len(x)) for _ in range(-(-steps * batch // len(x)))])
         for step in range(steps):
             rows = order[step * batch:(step + 1) * batch]
             bx, by = x[rows], y[rows]
             f = self.forward(bx)
-            joint = f["gate"] * self.experts[np.maximum(by, 0)]
-            responsibility = joint / np.maximum(joint.sum(2, keepdims=True), 1e-30)
-            for k, d in self._gradients(bx, by, f, responsibility).items():
-                m[k] += 0.1 * (d - m[k])
-                u[k] += 0.01 * (d * d - u[k])
-                scale = rate * (1 - step / steps) / (1 - 0.9 ** (step + 1))
-                self.p[k] += (scale * m[k] / (np.sqrt(u[k] / (1 - 0.99 ** (step + 1))) + 1e-8)).astype(np.float32)
+            responsibility = self._responsibility(f, by)
+            self._ascend(self._gradients(bx, by, f, responsibility))
             live = by >= 0
-            decay = 1 - 1 / (2 + step) ** 0.6 if step < 50 else 0.99
-            total *= decay
-            np.add.at(total, by[live], responsibility[live])
-            self._set_experts(total + 0.01 * counts[:, None] / counts.sum() * total.sum(0) * 0.1)
+            self.total *= 1 - 1 / (2 + step) ** 0.6 if step < 50 else 0.99
+            np.add.at(self.total, by[live], responsibility[live])
+            self._smooth_experts()
+            self.step += 1
 
     def _set_experts(self, total: np.ndarray) -> None:
         p = total / total.sum(0)

@@ -38,14 +38,15 @@ def with_small_side(side: DataFrame, rows: int, max_rows: int = 2_000_000) -> Da
     return F.broadcast(side) if rows <= max_rows else side
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def stored(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder, in folders ``by`` columns,
+    and read it back.
 
     Cuts the lineage with files that survive lost executors.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

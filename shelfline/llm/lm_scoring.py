@@ -13,8 +13,13 @@ corpus. The one pass over the texts adds up their terms and hands on the
 other words, which meet their counts in a shuffle join; by their definition
 none of them is a hot key.
 
-The model is trained on the documents whose id hashes lowest, at most
-``SAMPLE_DOCS``; the tokenizer is a given public file.
+The model learns from every training document. Their subword ids are
+stored in rounds dealt by hash, each a little larger than the one before.
+For a round the parameters are broadcast, the tasks add up gradients and the
+responsibilities by subword and expert, these sums are added by key with a
+partial aggregation, and the driver, which only ever holds the model and
+one such sum, makes the step. The experts start from the subword counts of
+all training documents. The tokenizer is a given public file.
 
 Defined cases: a null or empty text is just the end token; a null id is
 hashed as the empty string; repeated rows are scored one by one; without
@@ -31,11 +36,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .attention_lm import Model
+from .attention_lm import DIM, EOS, EXPERTS, Model, Sums
 from .common import stored, words
 
 FREQUENT = 200_000
-SAMPLE_DOCS = 1_500
+MIN_ROUNDS, MAX_ROUNDS = 48, 96
+ROUND_WORDS = 1_000_000  # a round more for each, between the two bounds
+RATE = 0.1
+TASK_TOKENS = 500_000  # subwords that make a task of a round worth while
 CACHE_WORDS = 500_000  # per generation and Python worker
 CHUNK_WORDS = 40_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,26 +109,95 @@ def subwords(model_path: str) -> Subwords:
     return _SUBWORDS[model_path]
 
 
-def train_model(docs: DataFrame, model_path: str, sample_docs: int = SAMPLE_DOCS, **fit) -> Model:
-    """The attention model, trained on a bounded sample of ``docs``."""
-    order = F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    chosen = (docs.select("doc_id", order.alias("place")).where("doc_id is not null")
-              .orderBy("place", "doc_id").limit(sample_docs).distinct())
+def _ids(column: pd.Series) -> list[np.ndarray]:
+    return [np.frombuffer(i, "<u2").astype(np.int32) for i in column]
+
+
+def _encoded(docs: DataFrame, model_path: str, rounds: int) -> DataFrame:
+    """round and subword ids of every document; round r gets a share
+    proportional to r + 1."""
+    place = F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    share = F.pmod(place, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    number = F.floor((F.sqrt(1 + 4 * share * F.lit(float(rounds * (rounds + 1)))) - 1) / 2)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = subwords(model_path)
         for batch in batches:
-            ids = own.ids([split_words(t) for t in batch["text"]])
-            yield pd.DataFrame({"place": batch["place"], "ids": [i.astype("<u2").tobytes() for i in ids]})
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .mapInPandas(encode, "place long, ids binary").toPandas().sort_values(["place", "ids"]))
-    model = Model(subwords(model_path).model.get_piece_size())
-    model.fit([np.frombuffer(i, "<u2").astype(np.int32) for i in rows["ids"][:sample_docs]], **fit)
-    return model
+            for a in range(0, len(batch), 512):
+                rows = batch.iloc[a:a + 512]
+                ids = own.ids([split_words(t) for t in rows["text"]])
+                yield pd.DataFrame({"round": rows["round"], "ids": [i.astype("<u2").tobytes() for i in ids]})
+    numbered = docs.select(F.least(number, F.lit(rounds - 1)).cast("int").alias("round"), "text")
+    return stored(numbered.mapInPandas(encode, "round int, ids binary"), "lm-ids", by=("round",))
+
 
+def _subword_counts(encoded: DataFrame, vocab: int) -> np.ndarray:
+    """Counts of the targets: subwords, and an end of each document."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros(vocab, np.int64)
+        for batch in batches:
+            for i in _ids(batch["ids"]):
+                np.add.at(out, i, 1)
+            out[EOS] += len(batch)
+        at = np.nonzero(out)[0]
+        yield pd.DataFrame({"subword": at.astype(np.int32), "c": out[at]})
+    found = (encoded.select("ids").mapInPandas(count, "subword int, c long")
+             .groupBy("subword").agg(F.sum("c").alias("c")).collect())
+    counts = np.zeros(vocab, np.int64)
+    for subword, c in found:
+        counts[subword] = c
+    return counts
 
-def _chunks(texts: list[list[str]]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about CHUNK_WORDS words."""
+
+SUM_COLUMNS = [f"s{i}" for i in range(DIM + EXPERTS)]
+
+
+def _round_sums(texts: DataFrame, model: Model) -> Sums:
+    """The sums of one round under the present parameters."""
+    shared = texts.sparkSession.sparkContext.broadcast(model.bare())
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        sums = Sums(own)
+        for batch in batches:
+            ids = _ids(batch["ids"])
+            for i, j in _chunks(ids):
+                own.add_sums(ids[i:j], sums)
+        if sums.tokens:
+            keys, rows = sums.flat()
+            yield pd.DataFrame(rows, columns=SUM_COLUMNS).assign(subword=keys.astype(np.int32))[["subword", *SUM_COLUMNS]]
+    schema = "subword int, " + ", ".join(f"{c} double" for c in SUM_COLUMNS)
+    # At most a row per subword of the vocabulary, whatever the corpus.
+    found = (texts.mapInPandas(add, schema).groupBy("subword")
+             .agg(*[F.sum(c).alias(c) for c in SUM_COLUMNS]).toArrow())
+    shared.destroy()
+    sums = Sums(model)
+    values = np.array([found.column(c).to_numpy() for c in ["subword", *SUM_COLUMNS]], np.float64)
+    sums.add_flat(values[0].astype(np.int64), values[1:].T)
+    return sums
+
+
+def train_model(docs: DataFrame, model_path: str, sample_docs: int | None = None, steps: int = MAX_ROUNDS,
+                rate: float = RATE) -> Model:
+    """The attention model, trained on all of ``docs`` in ``steps`` rounds.
+    (``sample_docs`` is there for older callers: nothing is sampled.)"""
+    vocab = subwords(model_path).model.get_piece_size()
+    encoded = _encoded(docs, model_path, steps)
+    counts = _subword_counts(encoded, vocab)
+    tokens = int(counts.sum())
+    model = Model(vocab)
+    if not tokens:
+        counts[EOS] = 1
+    model.start(counts, steps, rate)
+    for r in range(steps if tokens else 0):
+        share = 2 * (r + 1) / (steps * (steps + 1))
+        texts = encoded.where(F.col("round") == r).select("ids").coalesce(-int(-tokens * share // TASK_TOKENS))
+        model.update(_round_sums(texts, model))
+    return model.bare()
+
+
+def _chunks(texts: list) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about CHUNK_WORDS words or ids."""
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t) + 1
@@ -136,17 +213,19 @@ SCORED = ("row_id long, doc_id long, held_out boolean, n_tokens long, n_frequent
 
 
 def score_documents(docs: DataFrame, model_path: str, frequent: int = FREQUENT,
-                    sample_docs: int = SAMPLE_DOCS, **fit) -> DataFrame:
+                    sample_docs: int | None = None, steps: int | None = None, **fit) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and
-    score of every document."""
+    score of every document. The model takes ``steps`` rounds (by default
+    more on more words, within bounds)."""
     spark = docs.sparkSession
     training = docs.where(~held_out(F.col("doc_id")))
     counts = stored(word_counts(training), "lm-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    steps = steps or min(MAX_ROUNDS, max(MIN_ROUNDS, n // ROUND_WORDS))
     # At most ``frequent`` rows, by the share that each of them holds.
     top = {w: c for w, c in counts.where(F.col("c") * frequent > n).collect()}
     shared = spark.sparkContext.broadcast((
-        train_model(training, model_path, sample_docs, **fit),
+        train_model(training, model_path, sample_docs, steps, **fit),
         {w: float(np.log10((c + 1) / (n + v + 1))) for w, c in top.items()}))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -185,3 +185,31 @@ def test_lm_gradients_and_learning():
     before = model.score(texts).sum()
     model.fit(texts, steps=150, batch=32)
     assert model.score(texts).sum() > 0.5 * before
+
+
+def test_lm_learns_from_every_training_document(spark):
+    words = ["apple", "river", "window", "garden", "music", "paper", "silver", "forest", "doctor", "winter",
+             "bridge", "market", "candle", "engine", "island", "pencil"]
+    rows = [(i, f"{words[i % 16]} {words[i * 7 % 16]} ") for i in range(60)]
+    rows += [(100 + i, w * 3) for i, w in enumerate(["zebra ", "quartz ", "lagoon ", "tundra ", "violin "])]
+    docs = docs_frame(spark, rows)
+    model = lm_scoring.train_model(docs, MODEL, 5, steps=4)
+    seen = np.unique(np.concatenate(lm_scoring.subwords(MODEL).ids([lm_scoring.split_words(t) for _, t in rows])))
+    # Every subword of every document is above the share that all have.
+    assert (model.experts[seen].max(1) > 2 * lm.FLOOR / model.vocab).all()
+
+
+def test_lm_sums_of_tasks_are_those_of_all_texts(spark):
+    r = np.random.default_rng(4)
+    texts = [r.integers(3, 200, r.integers(0, 90)).astype(np.int32) for _ in range(50)]
+    model = lm.Model(200, seed=2)
+    model.start(np.bincount(np.concatenate(texts), minlength=200) + 1, 3, 0.1)
+    whole = lm.Sums(model)
+    model.add_sums(texts, whole)
+    rows = spark.createDataFrame([(t.astype("<u2").tobytes(),) for t in texts], "ids binary")
+    for parts in (1, 6):
+        got = lm_scoring._round_sums(rows.repartition(parts), model)
+        assert got.tokens == whole.tokens == sum(len(t) + 1 for t in texts)
+        assert (got.seen == whole.seen).all() and np.allclose(got.rows, whole.rows, rtol=1e-3, atol=1e-3)
+        assert all(np.allclose(got.dense[k], whole.dense[k], rtol=1e-3, atol=1e-2) for k in whole.dense)
+    assert math.isclose(whole.rows[:, lm.DIM:].sum(), whole.tokens, rel_tol=1e-4)
