@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import hex_long
 
 BUCKET_DIGITS = 3  # 4096 slot buckets in a shard
+CHUNK_SLOTS = 65_536  # slots of one counted row that one row expands to
 
 
 def jump_hash(keys: np.ndarray, n_shards: int) -> np.ndarray:
@@ -83,11 +84,17 @@ def shard_manifest(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     inside = (Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")
               .rowsBetween(Window.unboundedPreceding, -1))
     first = F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
-    return (rows.join(F.broadcast(offsets), ["shard", "bucket"])
-            .withColumn("first", first)
+    # A count expands in two steps, chunks and their slots, so that the slots
+    # of a hot row are made by many tasks.
+    chunks = (rows.join(F.broadcast(offsets), ["shard", "bucket"])
+              .withColumn("first", first).withColumn("end", F.col("first") + F.col("n"))
+              .select("doc_id", "size", "text_crc32", "shard", "key", "end",
+                      F.explode(F.sequence("first", F.col("end") - 1, F.lit(CHUNK_SLOTS).cast("long"))).alias("first"))
+              .repartition("doc_id", "size", "text_crc32", "first"))
+    last = F.least(F.col("first") + CHUNK_SLOTS, F.col("end")) - 1
+    return (chunks
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-                    F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"),
-                    "key")
+                    F.explode(F.sequence("first", last)).alias("slot"), "key")
             .withColumn("grown_shard", shard_of(F.col("key"), n_shards + 1))
             .drop("key"))
 

@@ -165,6 +165,21 @@ def test_sharding_against_brute_force(spark):
     assert sharding.shard_manifest(docs_frame(spark, []), 8).count() == 0
 
 
+def test_slots_of_a_hot_row_are_made_by_many_tasks(spark):
+    n, name = 300_000, "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = spark.range(n + 3).select(F.when(F.col("id") >= n, F.col("id")).alias("doc_id"), F.lit("").alias("text"))
+    spark.conf.set(name, "false")
+    try:
+        got = sharding.shard_manifest(rows, 16).where("doc_id is null")
+        parts = got.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("*").alias("n"), F.min("slot").alias("a"), F.max("slot").alias("b"), F.sum("slot").alias("s")).collect()
+    finally:
+        spark.conf.unset(name)
+    assert len(parts) > 1 and sum(p.n for p in parts) == n
+    a, b = min(p.a for p in parts), max(p.b for p in parts)
+    assert b - a == n - 1 and sum(p.s for p in parts) == (a + b) * n // 2
+
+
 def test_written_shards_hold_every_row(spark, tmp_path):
     df = docs_frame(spark, odd_rows())
     sharding.write_shards(df, f"{tmp_path}/out", 4, files_per_shard=2)
