@@ -8,16 +8,22 @@ manifest row per document that is left.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.llm import decontamination, mixing, quality_rules, sharding, simhash
-from shelfline.llm.common import stored, table
+from shelfline.llm.common import carried, stored, table
+
+
+def _whole(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names`` and the whole row as one column ``doc_``, out
+    of reach of the names that an operator adds."""
+    return docs.select(F.struct(*carried(docs, [])).alias("doc_"), *names)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     ids, n = quality_rules.trusted_documents(spark, sf_dir)
-    names = docs.columns
-    return quality_rules.quality(docs, ids, n).where("kept").select(*[f"`{c}`" for c in names])
+    return quality_rules.quality(_whole(docs, "doc_id", "text"), ids, n).where("kept").select("doc_.*")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +38,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents taken by the mix, once each (one epoch)."""
-    return mixing.mix(docs, max_epochs=1).select(*[f"`{c}`" for c in docs.columns])
+    whole = _whole(docs, "doc_id", "text", "lang", "source")
+    return mixing.mix(whole, max_epochs=1).select("doc_.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """The corpus pipeline against plain-Python versions of its stages."""
 
 import brute
-from conftest_llm import SF001, docs_frame, odd_rows, table
+from conftest_llm import CLASHES, SF001, docs_frame, odd_rows, table
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfline.llm import decontamination, mixing, quality_rules
@@ -46,3 +47,12 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark):
             if name != "sharding":
                 assert out.columns == frame.columns, name
                 assert len(rows) <= frame.count()
+
+
+def test_stages_keep_the_values_of_clashing_columns(spark):
+    extra = {**CLASHES, "base_failed": "b", "mean_log_ratio": "m", "n_tokens": "n", "leaf_budget": "e", "doc_": "d"}
+    docs = table(spark, "documents").select("*", *[F.lit(v).alias(k) for k, v in extra.items()])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        assert out.columns == docs.columns
+        assert [tuple(r) for r in out.select(*extra).distinct().collect()] == [tuple(extra.values())], name
