@@ -28,7 +28,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -223,6 +223,7 @@ def deduplicate(docs: DataFrame, size: int = 3, max_bits: int = 3) -> DataFrame:
     rows = docs.select(F.struct(*carried(docs, [])).alias("row"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    # Repeated rows of the kept document: one of them.
-    turn = F.row_number().over(Window.partitionBy("id", "h").orderBy("id"))
-    return rows.join(first, ["id", "h"]).withColumn("turn", turn).where("turn = 1").select("row.*")
+    # Repeated rows of the kept document: one of them, reduced in each task
+    # before the shuffle.
+    return (rows.join(first, ["id", "h"]).groupBy("id", "h").agg(F.first("row").alias("row"))
+            .select("row.*"))

@@ -5,7 +5,7 @@ from conftest_llm import CLASHES, SF001, docs_frame, odd_rows, table
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import decontamination, mixing, quality_rules
+from shelfline.llm import decontamination, mixing, quality_rules, simhash
 from test_table_operators import _domain, _weight
 
 
@@ -56,3 +56,12 @@ def test_stages_keep_the_values_of_clashing_columns(spark):
         out = stage(spark, docs, SF001)
         assert out.columns == docs.columns
         assert [tuple(r) for r in out.select(*extra).distinct().collect()] == [tuple(extra.values())], name
+
+
+def test_repeated_rows_are_reduced_before_the_shuffle(spark, capsys):
+    docs = docs_frame(spark, [(None, "the same text of many rows")] * 50 + [(1, "another one, quite different")])
+    out = simhash.deduplicate(docs)
+    assert out.count() == 2
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "partial_first" in plan and "row_number" not in plan
