@@ -7,7 +7,8 @@ features, and a pair of equal tokens counts as one more n-gram of its own. A fea
 of n-grams, so a score is one sparse dot product per text.
 
 Training runs over at most ``MAX_TRAIN`` labelled rows (those whose id
-hashes lowest, the same for every run); the features are made on the
+hashes lowest, the same for every run; equal rows of a document count once,
+other texts under its id fall under the same bound); the features are made on the
 cluster, the updates are sequential and take a few seconds. Scoring is a
 pass over all documents with the weights broadcast (one float per feature).
 
@@ -91,14 +92,17 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, epochs
     order = F.xxhash64(F.lit("train"), "doc_id", "label")
     chosen = (labels.where("label is not null and doc_id is not null").select("doc_id", "label", order.alias("place"))
               .orderBy("place", "doc_id", "label").limit(max_train))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Equal rows of a document become one before they meet its labels.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").distinct()
+    rows = texts.join(F.broadcast(chosen), "doc_id")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Hasher(features)
         for batch in batches:
             yield pd.DataFrame({"place": batch["place"], "doc_id": batch["doc_id"], "label": batch["label"],
                                 "grams": [own.features(t).astype("<i4").tobytes() for t in batch["text"]]})
-    sample = rows.mapInPandas(hashed, "place long, doc_id long, label int, grams binary").toPandas()
+    sample = (rows.mapInPandas(hashed, "place long, doc_id long, label int, grams binary")
+              .orderBy("place", "doc_id", "label", "grams").limit(max_train).toPandas())
     sample = sample.sort_values(["place", "doc_id", "label", "grams"])
     vectors = [vector(np.frombuffer(g, "<i4"), features) for g in sample["grams"]]
     model = Ftrl(features)

@@ -107,6 +107,18 @@ def test_classifier_scores_depend_on_the_text_alone(spark):
     assert classifier.classify(docs_frame(spark, []), labels).count() == 0
 
 
+def test_classifier_training_rows_are_bounded(spark, monkeypatch):
+    rows = [(1, "one good text")] * 200 + [(2, f"text number {i}") for i in range(200)] + [(3, "bad one")]
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, label int")
+    sizes, plain = [], classifier.Ftrl.update
+    monkeypatch.setattr(classifier.Ftrl, "update", lambda self, at, x, y: (sizes.append(y), plain(self, at, x, y)))
+    classifier.train(docs_frame(spark, rows), labels, max_train=20, epochs=1)
+    assert len(sizes) == 20
+    sizes.clear()
+    classifier.train(docs_frame(spark, rows[:200] + rows[-1:]), labels, max_train=20, epochs=1)
+    assert sorted(sizes) == [0, 1]
+
+
 # --- language model ------------------------------------------------------------------
 def _base(rows):
     toks = {i: [*brute.words(brute.lower(t)), None] for i, t in rows}
