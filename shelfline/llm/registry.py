@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontamination, lm_scoring, mixing, quality_rules, sharding, simhash, suffix_dedup, token_count
+from . import chat, classifier, conversation_repair, decontamination, fill_middle, line_dedup, lm_scoring, mixing
+from . import quality_rules, sharding, simhash, suffix_dedup, token_count
 from .common import table
 
 
@@ -63,7 +64,25 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "leaf_budget", "epoch")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op6_suffix_dedup, op7_classifier, op8_lm_scoring, op9_sharding, op10_mixing)}
+def op11_fill_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fill_middle.digests(table(spark, d, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    return conversation_repair.digests(table(spark, d, "conversations"))
+
+
+def op13_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return line_dedup.deduplicate(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontamination, op2_token_counts, op3_quality_rules, op4_simhash, op5_chat_format, op6_suffix_dedup,
+    op7_classifier, op8_lm_scoring, op9_sharding, op10_mixing, op11_fill_middle, op12_conversation_repair,
+    op13_line_dedup)}
 
 ORACLES = {"op5_chat_format": chat.ORACLE_SQL, "op9_sharding": sharding.ORACLE_SQL,
-           "op10_mixing": mixing.ORACLE_SQL}
+           "op10_mixing": mixing.ORACLE_SQL, "op11_fill_middle": fill_middle.ORACLE_SQL,
+           "op13_line_dedup": line_dedup.ORACLE_SQL}
