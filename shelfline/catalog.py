@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import schemas as S
 from .operators import batch, staging
@@ -20,10 +21,14 @@ from .operators import inventory as inv
 from .operators import realtime as rt
 from .operators import upsert as up
 from .plans.loader import load_dataset
+from .plans.models import materialize, materialize_incremental, read_incremental
 from .session import checkpoint_root, scratch_path
 from .sources import files
 from .sources import fixtures as fx
+from .sources.snapshots import read_table
 from .streaming import ingest as sti
+from .streaming import late as stl
+from .streaming import partials as stp
 from .streaming import sources as sts
 from .streaming import state as stst
 from .streaming import windows as stw
@@ -95,7 +100,11 @@ def q_daily_sales(spark, d):
 
 @register("sales_summary")
 def q_sales_summary(spark, d):
-    return batch.sales_summary(_sales(spark, d))
+    """The mart as a stored table, built twice (the second snapshot replaces
+    the first) and read back."""
+    path = scratch_path(spark, "marts")
+    materialize(batch.sales_summary(_sales(spark, d)).where("total_transactions > 1"), "fct_sales_summary", "table", path)
+    return materialize(batch.sales_summary(_sales(spark, d)), "fct_sales_summary", "table", path)
 
 
 @register("dedupe_rows")
@@ -276,19 +285,27 @@ def q_load_report(spark, d):
                           SALES_KEYS, SALES_UPDATES, file_name="sales.csv")
 
 
+def _loaded_sales(spark, d, **layout):
+    path = scratch_path(spark, "raw_sales")
+    for part, mode, at in (("first", "create", LOAD_1), ("second", "upsert", LOAD_2)):
+        load_dataset(spark, fx.raw_sales_file(spark, d, part), path, "raw_sales", mode, at,
+                     file_name=f"sales_{part}.csv", **layout)
+    return read_table(spark, path).select("Store", "Dept", "Date", "Weekly_Sales", "IsHoliday", S.INGESTION_TS)
+
+
 @register("load_sales_table")
 def q_load_sales_table(spark, d):
     """The stored-table path of the same two loads: create from the first
-    extract, then upsert the second into the table partitioned by week
-    (only the weeks it touches are read and rewritten); the table is read
-    back."""
-    path = scratch_path(spark, "raw_sales")
-    load_dataset(spark, fx.raw_sales_file(spark, d, "first"), path, "raw_sales", "create",
-                 LOAD_1, partition_by="Date", file_name="sales_1.csv")
-    load_dataset(spark, fx.raw_sales_file(spark, d, "second"), path, "raw_sales", "upsert",
-                 LOAD_2, partition_by="Date", file_name="sales_2.csv")
-    return spark.read.parquet(path).select("Store", "Dept", "Date", "Weekly_Sales",
-                                           "IsHoliday", S.INGESTION_TS)
+    extract, then upsert the second into the table, which lies in sorted
+    buckets of its keys; the table is read back."""
+    return _loaded_sales(spark, d, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@register("load_sales_by_week")
+def q_load_sales_by_week(spark, d):
+    """The same into a table partitioned by week: only the weeks that the
+    second extract touches are read and rewritten."""
+    return _loaded_sales(spark, d, partition_by="Date")
 
 
 @register("csv_upsert_partial_columns")
@@ -308,7 +325,7 @@ def q_csv_upsert_partial_columns(spark, d):
     for part, mode, at in (("1", "create", LOAD_1), ("2", "upsert", LOAD_2)):
         src = files.csv_source(spark, f"{root}/{part}", S.RAW_STORES, load_order=True)
         load_dataset(spark, src, f"{root}/table", "raw_stores", mode, at, file_name="stores.csv")
-    return spark.read.parquet(f"{root}/table").select("Store", "Type", "Size", S.INGESTION_TS)
+    return read_table(spark, f"{root}/table").select("Store", "Type", "Size", S.INGESTION_TS)
 
 
 @register("csv_source")
@@ -332,6 +349,20 @@ def q_json_flatten(spark, d):
     return files.json_flatten(files.json_records(spark, path))
 
 
+@register("json_flatten_drift")
+def q_json_flatten_drift(spark, d):
+    """Product records of two API versions with other fields and nesting."""
+    path, part = scratch_path(spark, "products-drift"), fx.table(spark, d, "part")
+    key = F.col("p_partkey")
+    old = F.struct(key.alias("id"), F.col("p_name").alias("title"), F.struct(
+        F.col("p_brand").alias("brand"), F.struct(F.col("p_size").alias("size")).alias("dimensions")).alias("details"))
+    new = F.struct(key.alias("id"), F.col("p_retailprice").alias("price"), F.struct(
+        F.col("p_type").alias("category"), F.struct(F.lit("cm").alias("unit")).alias("dimensions")).alias("details"))
+    part.where(key % 2 == 0).select(F.to_json(old).alias("value")).write.text(f"{path}/1")
+    part.where(key % 2 == 1).select(F.to_json(new).alias("value")).write.text(f"{path}/2")
+    return files.json_flatten(files.json_drifting(spark, f"{path}/*"))
+
+
 def _incremental_runs(spark, d, merge):
     events = _events(spark, d)
     as_of = fx.as_of(events)
@@ -359,6 +390,43 @@ def q_sales_summary_incremental_recompute(spark, d):
     return _incremental_runs(spark, d, "recompute")
 
 
+@register("stored_sales_summary")
+def q_stored_sales_summary(spark, d):
+    """The stored form of the additive runs: a log of two runs, resolved on
+    read."""
+    events, path = _events(spark, d), scratch_path(spark, "summary-log")
+    as_of = fx.as_of(events)
+    split = as_of - dt.timedelta(hours=12)
+    materialize_incremental(spark, path, events.where(F.col("event_time") <= F.lit(split)), split)
+    materialize_incremental(spark, path, events, as_of)
+    return read_incremental(spark, path)
+
+
+@register("inventory_alerts_ordered")
+def q_inventory_alerts_ordered(spark, d):
+    """The ten alerts presented first."""
+    return rt.presented(q_inventory_alerts(spark, d), "rt_inventory_alerts", k=10).select(
+        "units_sold_last_hour", "revenue_last_hour")
+
+
+@register("customer_analytics_ordered")
+def q_customer_analytics_ordered(spark, d):
+    """The ten customers presented first."""
+    return rt.presented(q_customer_analytics(spark, d), "rt_customer_analytics", k=10).select(
+        "total_spent_today", "transactions_today")
+
+
+@register("contract_defaults")
+def q_contract_defaults(spark, d):
+    """The ingest chain over messages of a producer that sends no type,
+    payment method or promotion flag: absent columns take their defaults."""
+    absent = ("transaction_type", "payment_method", "promotion_applied")
+    schema = StructType([f for f in S.EVENT_V2_WIRE.fields if f.name not in absent])
+    rows = sti.ingest_plan(fx.dirty_wire_json(spark, d), schema)
+    ok, _ = ev.split_by_contract(rows, S.SALES_EVENT_CONTRACT)
+    return ok.select(*[c for c in S.SALES_EVENT_COLUMNS if c != "processed_at"])
+
+
 # --- streaming -----------------------------------------------------------------
 
 
@@ -410,6 +478,88 @@ def q_stream_inventory_alerts(spark, d):
     return stw.stream_inventory_alerts(_events(spark, d))
 
 
+def _two_drops(spark, events, root: str, cut: dt.timedelta):
+    """Stored events in two drops; the second one holds the older part."""
+    split = fx.as_of(events) - cut
+    newer = F.col("event_time") > F.lit(split)
+    return [lambda: events.where(newer).write.parquet(f"{root}/inbox/1"),
+            lambda: events.where(~newer).write.parquet(f"{root}/inbox/2")]
+
+
+@register("stream_late_events")
+def q_stream_late_events(spark, d):
+    """Hourly sales of a stream with a watermark: the second drop is mostly
+    late, goes to the side table and is folded in."""
+    root, events = scratch_path(spark, "late"), _events(spark, d)
+    src = sts.table_stream(spark, f"{root}/inbox/*", S.STREAM_SALES_EVENTS)
+    for drop in _two_drops(spark, events, root, dt.timedelta(days=7)):
+        drop()
+        stl.start_hourly_stream(src, "2 hours", f"{root}/_checkpoint", f"{root}/hours", f"{root}/late",
+                                available_now=True).awaitTermination()
+    stl.fold_late(spark, f"{root}/hours", f"{root}/late")
+    return stl.read_hourly(spark, f"{root}/hours")
+
+
+def _kept_partials(spark, d, name: str, partials, merge, cut: dt.timedelta, partition_by=()) -> str:
+    root, events = scratch_path(spark, name), _events(spark, d)
+    src = sts.table_stream(spark, f"{root}/inbox/*", S.STREAM_SALES_EVENTS)
+    for drop in _two_drops(spark, events, root, cut):
+        drop()
+        stp.start_partials_stream(src, f"{root}/_checkpoint", f"{root}/partials", partials, merge, partition_by,
+                                  available_now=True).awaitTermination()
+    return f"{root}/partials"
+
+
+@register("stream_alert_panes")
+def q_stream_alert_panes(spark, d):
+    """Sliding-window alerts from the 5-minute panes that a stream keeps."""
+    return stp.read_alerts(spark, _kept_partials(spark, d, "panes", stp.alert_panes, stp.merge_panes, dt.timedelta(days=7)))
+
+
+@register("stream_customer_analytics")
+def q_stream_customer_analytics(spark, d):
+    """Customer analytics from the partial rows that a stream keeps; the
+    day's events arrive in two out-of-order drops."""
+    path = _kept_partials(spark, d, "customers", stp.customer_partials, stp.merge_customers, dt.timedelta(hours=6),
+                          ("sale_date",))
+    return stp.read_customers(spark, path, _as_of(spark, d))
+
+
+def _mixed_bus(spark, d) -> str:
+    """Both wire versions on one bus, in two drops."""
+    root = scratch_path(spark, "mixed")
+    v1 = fx.wire_events_v1_json(spark, d).select(F.col("value").cast("string").alias("value"))
+    v2 = fx.dirty_wire_json(spark, d).select(F.col("value").cast("string").alias("value"))
+    half = F.xxhash64("value") % 2 == 0
+    src = sts.text_file_source(spark, f"{root}/inbox/*")
+    for i, part in enumerate((half, ~half)):
+        v1.where(part).unionByName(v2.where(part)).write.text(f"{root}/inbox/{i}")
+        sti.stream_mixed_ingest(src, f"{root}/_checkpoint", f"{root}/events", f"{root}/events_v1",
+                                quarantine_path=f"{root}/quarantine", available_now=True).awaitTermination()
+    return root
+
+
+@register("stream_v1_hourly")
+def q_stream_v1_hourly(spark, d):
+    """The first-generation mart over its own stored stream table."""
+    return rt.streaming_sales_hourly(read_table(spark, f"{_mixed_bus(spark, d)}/events_v1"))
+
+
+@register("stream_mixed_events")
+def q_stream_mixed_events(spark, d):
+    """The second-generation events of the mixed bus."""
+    stored = sti.read_event_table(spark, f"{_mixed_bus(spark, d)}/events")
+    return stored.select(*[c for c in S.SALES_EVENT_COLUMNS if c != "processed_at"])
+
+
+@register("stream_compacted")
+def q_stream_compacted(spark, d):
+    """The event table of both drops after its small files were merged."""
+    path = f"{_ingested(spark, d)}/events"
+    sti.compact_events(spark, path)
+    return sti.read_event_table(spark, path).select(*[c for c in S.SALES_EVENT_COLUMNS if c != "processed_at"])
+
+
 @register("stream_summary")
 def q_stream_summary(spark, d):
     """The hourly summary kept by the ingest stream itself: the wire events

@@ -17,9 +17,12 @@ def parse_event_json(df: DataFrame, schema: StructType = S.EVENT_V2_WIRE,
 
     Malformed JSON gives an all-NULL row; a field of the wrong type is NULL
     on its own. ``keep`` passes message metadata (offsets, keys) through.
+    The parsed record is bound by a one-row generator: a filter on its fields
+    then reads them, where a plain projection is copied into the filter once
+    per field and parses the message again each time.
     """
-    data = F.from_json(F.col(value_col).cast("string"), schema).alias("data")
-    return df.select(*keep, data).select(*keep, "data.*")
+    data = F.from_json(F.col(value_col).cast("string"), schema)
+    return df.select(*keep, F.inline_outer(F.array(data)))
 
 
 def cast_event_time(df: DataFrame, col: str = "event_time") -> DataFrame:

@@ -101,16 +101,18 @@ def _additive(target: DataFrame, new: DataFrame) -> DataFrame:
         "latest_transaction_time", "last_updated")
 
 
+def touched_events(events: DataFrame, arrived: DataFrame) -> DataFrame:
+    """All events of the summary keys that the ``arrived`` ones belong to."""
+    touched = arrived.select("store_id", "dept_id", F.to_date("event_time").alias("_d"),
+                             F.hour("event_time").alias("_h")).distinct()
+    keyed = events.select("*", F.to_date("event_time").alias("_d"), F.hour("event_time").alias("_h"))
+    return dim_join(keyed, touched, on=["store_id", "dept_id", "_d", "_h"], how="left_semi").drop("_d", "_h")
+
+
 def _recompute(target: DataFrame, events: DataFrame, as_of: dt.datetime, arrived_since=None) -> DataFrame:
     last_run = arrived_since or target.agg(F.max("last_updated").alias("m")).first()["m"]
     arrived = events if last_run is None else events.where(F.col("processed_at") > F.lit(last_run))
-    touched = arrived.select(
-        "store_id", "dept_id", F.to_date("event_time").alias("sale_date"),
-        F.hour("event_time").alias("sale_hour")).distinct()
-    keyed = events.select("*", F.to_date("event_time").alias("_d"), F.hour("event_time").alias("_h"))
-    touched = touched.withColumnRenamed("sale_date", "_d").withColumnRenamed("sale_hour", "_h")
-    again = dim_join(keyed, touched, on=["store_id", "dept_id", "_d", "_h"], how="left_semi")
-    new = hourly_summary(again.drop("_d", "_h"), as_of).select(*SUMMARY_COLUMNS)
+    new = hourly_summary(touched_events(events, arrived), as_of).select(*SUMMARY_COLUMNS)
     return _replace(target, new)
 
 

@@ -42,14 +42,15 @@ def _hourly_measures():
 HOUR_KEYS = ["store_id", "dept_id", "sale_date", "sale_hour"]
 
 
-def hourly_summary(events: DataFrame, as_of: dt.datetime | None) -> DataFrame:
+def hourly_summary(events: DataFrame, as_of: dt.datetime | None, *more) -> DataFrame:
     """Group events by store, department, date and hour with the summary
-    measures (RETURN amounts are added, as in the source model)."""
+    measures (RETURN amounts are added, as in the source model), and ``more``
+    aggregates."""
     out = events.groupBy(
         "store_id", "dept_id",
         F.to_date("event_time").alias("sale_date"),
         F.hour("event_time").alias("sale_hour"),
-    ).agg(*_hourly_measures())
+    ).agg(*_hourly_measures(), *more)
     stamp = F.lit(as_of) if as_of is not None else F.current_timestamp()
     return out.withColumn("last_updated", stamp.cast("timestamp"))
 
@@ -61,10 +62,22 @@ def rt_sales_summary(events: DataFrame, as_of: dt.datetime,
     return hourly_summary(since(events, as_of, lookback), as_of)
 
 
-def ordered_summary(df: DataFrame) -> DataFrame:
-    """Presentation order of the summary (newest hour first, then sales).
-    Apply on read only; stored tables carry no order."""
-    return df.orderBy(F.desc("sale_date"), F.desc("sale_hour"), F.desc("total_sales"))
+# Orders in which the stored models are presented: (column, descending), by
+# model. Stored tables carry no order; a read that wants one asks for it.
+PRESENTATION = {
+    "rt_sales_summary": [("sale_date", True), ("sale_hour", True), ("total_sales", True)],
+    "rt_inventory_alerts": [("units_sold_last_hour", True), ("revenue_last_hour", True)],
+    "rt_customer_analytics": [("total_spent_today", True), ("transactions_today", True)],
+}
+
+
+def presented(df: DataFrame, model: str, k: int | None = None) -> DataFrame:
+    """``df`` in the presentation order of ``model``; its first ``k`` rows
+    (a top-k, which sorts no more than ``k`` rows per task)."""
+    if model not in PRESENTATION:
+        raise ValueError(f"no presentation order for {model!r}")
+    out = df.orderBy(*[F.desc(c) if down else F.asc(c) for c, down in PRESENTATION[model]])
+    return out if k is None else out.limit(k)
 
 
 def hourly_sales_rollup(events: DataFrame) -> DataFrame:
@@ -135,7 +148,12 @@ def customer_analytics(events: DataFrame, as_of: dt.datetime,
                        value=R.VALUE_SEGMENTS, frequency=R.FREQUENCY_SEGMENTS,
                        shopping=R.SHOPPING_SEGMENTS) -> DataFrame:
     """Customer metrics plus value, frequency and shopping segments."""
-    m = customer_metrics(events, as_of)
+    return customer_segments(customer_metrics(events, as_of), as_of, value, frequency, shopping)
+
+
+def customer_segments(m: DataFrame, as_of: dt.datetime, value=R.VALUE_SEGMENTS, frequency=R.FREQUENCY_SEGMENTS,
+                      shopping=R.SHOPPING_SEGMENTS) -> DataFrame:
+    """Segments from customer metrics."""
     return m.select(
         "customer_id", "store_id", "transactions_today", "total_spent_today",
         "avg_transaction_value", "total_items_purchased", "departments_visited",

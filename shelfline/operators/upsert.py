@@ -140,6 +140,44 @@ def keyed_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols,
     return g.select(*out)
 
 
+def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, order_cols=None,
+                 ingestion_ts: dt.datetime | None = None, ts_col: str = S.INGESTION_TS,
+                 with_flags: bool = False) -> DataFrame:
+    """``keyed_upsert`` into a target that holds each key once, as a join:
+    the source is reduced to one row per key and merged with the target by a
+    full outer join. On a target bucketed and sorted by ``keys`` only the
+    source is shuffled. A NULL in a key equals no stored key, as in a SQL
+    unique key (``keyed_upsert`` groups NULLs together)."""
+    stamp = F.lit(ingestion_ts).cast("timestamp") if ingestion_ts else F.current_timestamp()
+    keys = list(keys)
+    order = F.struct(*_order_cols(source, keys, order_cols, ts_col))
+    updates = [c for c in update_cols if c in source.columns]
+    others = [c for c in source.columns if c not in (*keys, *updates, LOAD_ORDER, ts_col)]
+    last, first = F.struct(F.lit(1).alias("_"), *updates), F.struct(F.lit(1).alias("_"), *others)
+    s = source.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.max_by(last, order).alias("_new"), F.min_by(first, order).alias("_first"))
+    match = [F.col(k) == F.col(f"_k_{k}") for k in keys]
+    j = target.withColumn("_had", F.lit(True)).join(s, match, "full_outer")
+    had, touched = F.coalesce("_had", F.lit(False)), F.col("_new").isNotNull()
+    out = []
+    for c in dict.fromkeys([*target.columns, *others, *updates, ts_col]):
+        stored = F.col(c) if c in target.columns else F.lit(None).cast(source.schema[c].dataType) if c != ts_col else F.lit(None)
+        if c in keys:
+            out.append(F.when(had, stored).otherwise(F.col(f"_k_{c}")).alias(c))
+        elif c == ts_col:
+            out.append(F.when(touched, stamp).otherwise(stored).alias(c))
+        elif c in updates:
+            out.append(F.when(touched, F.col(f"_new.{c}")).otherwise(stored).alias(c))
+        else:
+            out.append((F.when(had, stored).otherwise(F.col(f"_first.{c}")) if c in others else stored).alias(c))
+    if with_flags:
+        same = F.lit(True)
+        for c in updates:
+            same = same & (F.col(c).eqNullSafe(F.col(f"_new.{c}")) if c in target.columns else F.col(f"_new.{c}").isNull())
+        out += [had.alias("_had_target"), touched.alias("_touched"), (had & touched & ~same).alias("_changed")]
+    return j.select(*out)
+
+
 def report_metrics(flagged: DataFrame):
     """Aggregates over ``keyed_upsert(..., with_flags=True)`` that give the
     load report (for ``DataFrame.observe`` during the write)."""

@@ -582,3 +582,37 @@ Q["csv_upsert_partial_columns"] = with_(RAW_STORES) + """
 SELECT Store, Type, CAST(CASE WHEN Store % 2 = 0 THEN Size + 1 ELSE Size END AS INTEGER) AS Size,
        CASE WHEN Store % 2 = 0 THEN TIMESTAMP '2025-01-08 00:00:00' ELSE TIMESTAMP '2025-01-01 00:00:00' END AS ingestion_ts
 FROM raw_stores"""
+
+# Stored forms of queries above: the same rows, kept by another way.
+Q["load_sales_by_week"] = Q["keyed_upsert"]
+Q["stored_sales_summary"] = Q["sales_summary_incremental"]
+Q["stream_late_events"] = Q["stream_hourly_sales"]
+Q["stream_alert_panes"] = Q["stream_inventory_alerts"]
+Q["stream_customer_analytics"] = Q["customer_analytics"]
+Q["stream_v1_hourly"] = Q["streaming_sales_hourly"]
+Q["stream_mixed_events"] = Q["stream_ingest"]
+Q["stream_compacted"] = Q["stream_ingest"]
+
+Q["inventory_alerts_ordered"] = f"""
+SELECT units_sold_last_hour, revenue_last_hour FROM ({Q["inventory_alerts"]}) a
+ORDER BY units_sold_last_hour DESC, revenue_last_hour DESC LIMIT 10"""
+
+Q["customer_analytics_ordered"] = f"""
+SELECT total_spent_today, transactions_today FROM ({Q["customer_analytics"]}) a
+ORDER BY total_spent_today DESC, transactions_today DESC LIMIT 10"""
+
+_NO_TYPE = [r for r in _RULES if "enum:" not in r and "'not_null:transaction_type'" not in r and "'not_null:payment_method'" not in r]
+Q["contract_defaults"] = with_(DIRTY_EVENTS) + f"""
+SELECT event_id, event_time, store_id, dept_id, product_id, customer_id, quantity, unit_price,
+       total_amount, 'SALE' AS transaction_type, 'CARD' AS payment_method, false AS promotion_applied
+FROM (SELECT *, concat_ws(',', {', '.join(_NO_TYPE)}) AS failed FROM dirty_events) c
+WHERE failed = ''"""
+
+Q["json_flatten_drift"] = """
+SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS title,
+       CASE WHEN p_partkey % 2 = 1 THEN p_retailprice END AS price,
+       CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS "details.brand",
+       CASE WHEN p_partkey % 2 = 1 THEN p_type END AS "details.category",
+       CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS "details.dimensions.size",
+       CASE WHEN p_partkey % 2 = 1 THEN 'cm' END AS "details.dimensions.unit"
+FROM part"""

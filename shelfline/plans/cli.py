@@ -4,7 +4,9 @@
 * ``clean``    one CSV -> exact duplicates dropped -> parquet and/or JDBC
 * ``models``   raw tables -> staging/intermediate views and the marts
 * ``realtime`` event table -> trailing-window tables and the incremental summary
+* ``monitor``  event table -> freshness and top-k reports
 * ``ingest``   event bus (Kafka or a folder of JSON lines) -> event table
+* ``compact``  merge the small files of the event table and its id index
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ def main(argv=None) -> None:
     p.add_argument("--raw-dir", required=True)
     p.add_argument("--tables", required=True)
     p.add_argument("--mode", default="upsert", choices=["create", "upsert", "full"])
+    p.add_argument("--buckets", type=int, help="hash buckets of the tables' keys, in place of partitions by week")
     p = sub.add_parser("clean")
     p.add_argument("--csv", required=True)
     p.add_argument("--out", help="parquet folder")
@@ -74,6 +77,13 @@ def main(argv=None) -> None:
     p.add_argument("--topic", default="sales_events")
     p.add_argument("--inbox", help="folder of JSON-lines files instead of Kafka")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=1_000_000, help="messages of a micro-batch (Kafka)")
+    p.add_argument("--max-files-per-trigger", type=int, default=1000, help="files of a micro-batch (inbox)")
+    p.add_argument("--v1-table", help="the bus carries both wire versions; table of the first one")
+    p.add_argument("--summary", help="table of the hourly summary kept by the stream")
+    p = sub.add_parser("compact")
+    p.add_argument("--table", required=True)
+    p.add_argument("--target-mb", type=int, default=256)
     a = ap.parse_args(argv)
     spark = _session(int(a.input_gb * (1 << 30)) if a.input_gb else None)
 
@@ -81,8 +91,8 @@ def main(argv=None) -> None:
         from .loader import load_folder
         # Sales and features are partitioned by their week so that a new
         # file rewrites only the weeks it contains.
-        parts = {"raw_sales": "Date", "raw_features": "Date"}
-        for rep in load_folder(spark, a.raw_dir, a.tables, a.mode, partitions=parts):
+        parts = {} if a.buckets else {"raw_sales": "Date", "raw_features": "Date"}
+        for rep in load_folder(spark, a.raw_dir, a.tables, a.mode, partitions=parts, buckets=a.buckets):
             print(json.dumps(rep, default=str))
     elif a.job == "clean":
         import os
@@ -98,11 +108,10 @@ def main(argv=None) -> None:
                 props["password"] = os.environ[a.jdbc_password_env]
             jdbc_sink(df, a.jdbc_url, a.jdbc_table, mode="overwrite", properties=props)
     elif a.job == "models":
+        from ..sources.snapshots import read_table
         from .models import build_batch_models
-        t = a.tables.rstrip("/")
-        build_batch_models(spark, spark.read.parquet(f"{t}/raw_sales"),
-                           spark.read.parquet(f"{t}/raw_stores"),
-                           spark.read.parquet(f"{t}/raw_features"), a.marts)
+        raw = [read_table(spark, f"{a.tables.rstrip('/')}/raw_{t}") for t in ("sales", "stores", "features")]
+        build_batch_models(spark, *raw, a.marts)
     elif a.job == "realtime":
         from ..streaming.ingest import read_event_table
         from .models import build_realtime_models, materialize_incremental
@@ -112,20 +121,29 @@ def main(argv=None) -> None:
                                 events, as_of, a.merge)
     elif a.job == "monitor":
         from ..operators import realtime
-        from ..sources.sinks import overwrite_sink
+        from ..sources.snapshots import SnapshotTable
         from ..streaming.ingest import read_event_table
         events, as_of = read_event_table(spark, a.events), a.as_of or _now()
         for name in ("stream_health", "hourly_performance", "top_stores"):
-            overwrite_sink(getattr(realtime, name)(events, as_of), f"{a.out.rstrip('/')}/{name}")
+            SnapshotTable(spark, f"{a.out.rstrip('/')}/{name}").overwrite(getattr(realtime, name)(events, as_of))
     elif a.job == "ingest":
         from ..streaming import ingest, sources
         if a.inbox:
-            src = sources.text_file_source(spark, a.inbox)
+            src = sources.text_file_source(spark, a.inbox, a.max_files_per_trigger)
+        else:
+            src = sources.kafka_source(spark, a.kafka_servers, a.topic,
+                                       max_offsets_per_trigger=a.max_offsets_per_trigger)
+        hook = ingest.summary_hook(a.summary) if a.summary else None
+        if a.v1_table:
+            q = ingest.stream_mixed_ingest(src, a.checkpoint, a.table, a.v1_table, quarantine_path=a.quarantine,
+                                           available_now=a.available_now, after_write=hook)
         else:
-            src = sources.kafka_source(spark, a.kafka_servers, a.topic)
-        q = ingest.stream_ingest(src, a.checkpoint, a.table, quarantine_path=a.quarantine,
-                                 available_now=a.available_now)
+            q = ingest.stream_ingest(src, a.checkpoint, a.table, quarantine_path=a.quarantine,
+                                     available_now=a.available_now, after_write=hook)
         q.awaitTermination()
+    elif a.job == "compact":
+        from ..streaming.ingest import compact_events
+        print(json.dumps({"merged": compact_events(spark, a.table, a.target_mb << 20)}))
 
 
 if __name__ == "__main__":

@@ -7,25 +7,25 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators import batch, incremental, realtime, staging
-from ..operators.joins import in_partitions
-from ..sources.sinks import overwrite_sink, partition_overwrite_sink
-from .loader import table_exists
+from ..operators import batch, realtime, staging
+from ..sources.snapshots import SnapshotTable
+from .summary_log import SummaryLog
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
-    """``view``: a lazy temp view; ``table``: the result written (overwrite)
-    and read back, so later models start from stored data."""
+    """``view``: a lazy temp view; ``table``: the result written as a new
+    snapshot of the stored table and read back, so later models start from
+    stored data. A write that breaks off leaves the table as it was."""
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
     if kind == "table":
         if not path:
             raise ValueError("a table needs a path")
-        overwrite_sink(df, path)
-        out = df.sparkSession.read.parquet(path)
+        table = SnapshotTable(df.sparkSession, path)
+        table.overwrite(df)
+        out = table.read()
         out.createOrReplaceTempView(name)
         return out
     raise ValueError(f"unknown materialization {kind!r}")
@@ -63,35 +63,13 @@ def build_realtime_models(spark: SparkSession, events: DataFrame, as_of: dt.date
     }
 
 
-def _arrival_mark(spark: SparkSession, path: str):
-    """Newest ``processed_at`` that the last run has seen, or None."""
-    mark = f"{path.rstrip('/')}/_arrival_mark"
-    return spark.read.parquet(f"{mark}/*.parquet").first()["m"] if table_exists(spark, mark) else None
-
-
 def materialize_incremental(spark: SparkSession, path: str, events: DataFrame,
                             as_of: dt.datetime, merge: str = "additive") -> None:
-    """Run the incremental summary against the stored table at ``path``
-    (partitioned by ``sale_date``): the high-water mark comes from the whole
-    table, but only the dates the new events fall on are read and
-    rewritten. The arrival mark for ``recompute`` lies beside the partitions
-    and moves after them, so a run that broke off is repeated."""
-    mark = events.agg(F.max("processed_at").alias("m")).first()["m"]
-    if not table_exists(spark, path):
-        overwrite_sink(incremental.sales_summary_incremental(None, events, as_of), path, "sale_date")
-    else:
-        stored = spark.read.parquet(path)
-        hw, since = incremental.high_water_mark(stored), None
-        if merge == "recompute":
-            since = _arrival_mark(spark, path)
-            new = events if since is None else events.where(F.col("processed_at") > F.lit(since))
-        else:
-            new = events if hw is None else events.where(F.col("event_time") > F.lit(hw))
-        target = in_partitions(stored, new.select(F.to_date("event_time").alias("sale_date")), "sale_date")
-        target = target.select(*incremental.SUMMARY_COLUMNS)
-        merged = incremental.sales_summary_incremental(target, events, as_of, merge, high_water=hw,
-                                                       arrived_since=since)
-        partition_overwrite_sink(merged, path, "sale_date")
-    if mark is not None:
-        overwrite_sink(spark.createDataFrame([(mark,)], "m timestamp").coalesce(1),
-                       f"{path.rstrip('/')}/_arrival_mark")
+    """Run the incremental summary against the stored log of runs at
+    ``path``; ``read_incremental`` resolves it."""
+    SummaryLog(spark, path).run(events, as_of, merge)
+
+
+def read_incremental(spark: SparkSession, path: str) -> DataFrame:
+    """The stored incremental summary, one row per key."""
+    return SummaryLog(spark, path).read()

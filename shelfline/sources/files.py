@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import csv
 import posixpath
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,8 +119,28 @@ def json_records(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.json(path)
 
 
-def table_source(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
-    """A registered catalog table by name, or a stored table by path."""
-    if "/" in name_or_path or ":" in name_or_path:
-        return spark.read.format(fmt).load(name_or_path)
-    return spark.table(name_or_path)
+def json_schema(texts: DataFrame, value_col: str = "value") -> str | None:
+    """DDL of the one struct that all JSON records of ``texts`` fit, merged in
+    one pass over all of them (a partial aggregate; no sample). Fields that
+    some records lack are part of it; numbers with a fraction are DOUBLE, a
+    field that is always null is STRING, one of conflicting types VARIANT."""
+    objects = texts.where(F.ltrim(value_col).startswith("{"))
+    merged = objects.agg(F.expr(f"schema_of_variant_agg(try_parse_json({value_col}))")).first()[0]
+    if merged is None or not merged.startswith("OBJECT<"):
+        return None
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", merged)
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)(?=[,>])", "DOUBLE", ddl)
+    return re.sub(r"\bVOID(?=[,>])", "STRING", ddl)
+
+
+def json_drifting(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
+    """Landed JSON lines whose records drift: files with other fields, other
+    nesting or none of them. One typed row per record, absent fields NULL; a
+    line that is no JSON object gives a row of NULLs. ``ddl`` (see
+    ``json_schema``) saves the pass that finds the schema."""
+    texts = spark.read.text(path)
+    ddl = ddl or json_schema(texts)
+    if ddl is None:
+        return texts.select()
+    record = F.try_variant_get(F.try_parse_json("value"), "$", ddl)
+    return texts.select(F.inline_outer(F.array(record)))

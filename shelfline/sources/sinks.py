@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 
 def overwrite_sink(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet",
                    rebalance: bool = True) -> None:
-    """Replace the whole stored table (static overwrite, whatever the
-    session's partition overwrite mode)."""
+    """Replace a whole parquet folder (static overwrite, whatever the
+    session's partition overwrite mode). The folder is emptied first: for an
+    export that nothing reads meanwhile. Stored tables are snapshots."""
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         df = rebalanced(df, cols) if rebalance else df

@@ -5,26 +5,25 @@ contract, and rows that fail it (malformed JSON included) go to the
 quarantine with their raw text.
 
 An event id is stored once, whatever its time: of the copies in one batch
-the first to arrive is kept, and ids already in the table are left out (a
-read of one column; ``dedupe_days`` bounds it to the event days around the
-batch where older replays cannot occur). The optional ``dedupe_delay`` adds
-Spark's watermark dedupe, which keeps state bounded but *drops* events
-arriving later than the delay; use it only where that loss is acceptable.
-
-Each micro-batch is written by ``foreachBatch`` into the partitions
-``<table>/event_date=<day>/batch_id=<query>-<epoch>/`` with dynamic
-partition overwrite. The query part is the streaming query's id, which its
-checkpoint keeps: a replayed epoch rewrites exactly its own partitions, and
-a run with another checkpoint never touches the partitions of an earlier
-one. Days come first in the layout, so a filter on ``event_date`` reads
-only that day's folders. Write errors are not swallowed; the query stops
-and the checkpoint does not advance past a batch that was not stored.
+the first to arrive is kept, and ids already stored are left out by the
+id index (``id_index``), of which a batch reads its own buckets only. The
+optional ``dedupe_delay`` adds Spark's watermark dedupe, which keeps state
+bounded but *drops* events arriving later than the delay; use it only where
+that loss is acceptable.
+
+The event table is a snapshot table (``sources.snapshots``) partitioned by
+``event_date``. A micro-batch is stored under the key ``<query>-<epoch>``; the
+query part is the streaming query's id, which its checkpoint keeps. Quarantine,
+hooks and index are written first, each replacing what the same key held
+before; publishing the events is the commit. A replayed epoch that was
+committed is skipped, one that was not is written again, and a run with
+another checkpoint never touches what an earlier one stored. Write errors are
+not swallowed; the query stops and the checkpoint does not advance past a
+batch that was not stored.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,9 +31,11 @@ from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from ..operators import events as ev
+from ..operators import wire
 from ..operators.incremental import merged_summary, summary_partials
-from ..session import path_exists
-from ..sources.sinks import partition_overwrite_sink
+from ..sources.snapshots import SnapshotTable, compact
+from .epochs import epoch_key, started
+from .id_index import IdIndex
 
 BATCH_COL = "batch_id"
 DATE_COL = "event_date"
@@ -42,43 +43,41 @@ RAW_COL = "raw"
 
 
 def ingest_plan(messages: DataFrame, schema: StructType = S.EVENT_V2_WIRE,
-                value_col: str = "value", dedupe_delay: str | None = None) -> DataFrame:
+                value_col: str = "value", dedupe_delay: str | None = None,
+                contract: S.Contract = S.SALES_EVENT_CONTRACT) -> DataFrame:
     """The per-row part of the ingest, for batch or stream input: the stored
-    columns and the raw text of every message."""
+    columns and the raw text of every message. Columns that ``schema`` lacks
+    take the contract's defaults (a field missing in a message stays NULL)."""
     texts = messages.withColumn(RAW_COL, F.col(value_col).cast("string"))
     parsed = ev.cast_event_time(ev.parse_event_json(texts, schema, value_col, keep=(RAW_COL,)))
-    rows = ev.event_projection(parsed, keep=(RAW_COL,))
+    rows = ev.event_projection(ev.contract_defaults(parsed, contract), keep=(RAW_COL,))
     if dedupe_delay and rows.isStreaming:
         rows = ev.event_id_dedupe(rows, delay=dedupe_delay)
     return rows
 
 
 def read_event_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored events (batch folders are an implementation detail)."""
-    return spark.read.parquet(path).drop(BATCH_COL)
+    """The stored events, with their partition column ``event_date``."""
+    return SnapshotTable(spark, path).read()
 
 
 def summary_hook(summary_path: str):
-    """An ``after_write`` hook that adds the hourly summary of each stored
-    micro-batch to a table of partial summaries, partitioned by
-    ``sale_date`` and batch. A replayed batch overwrites its own partials and
-    nothing is read back, so a commit that was torn is repaired by the
-    replay; late events count. ``read_summary`` adds the partials up."""
+    """An ``after_write`` hook that adds the hourly summary of each
+    micro-batch to a table of partial summaries, partitioned by ``sale_date``.
+    A replayed batch replaces its own partials and nothing is read back; late
+    events count. ``read_summary`` adds the partials up."""
     def hook(rows: DataFrame, batch_key) -> None:
-        part = summary_partials(rows).withColumn(BATCH_COL, F.lit(f"b{batch_key}"))
-        partition_overwrite_sink(part, summary_path, ["sale_date", BATCH_COL])
+        SnapshotTable(rows.sparkSession, summary_path).put(summary_partials(rows), f"{batch_key}", ["sale_date"])
     return hook
 
 
-def read_summary(spark: SparkSession, summary_path: str) -> DataFrame:
-    """The summary kept by ``summary_hook``."""
-    return merged_summary(spark.read.parquet(summary_path).drop(BATCH_COL))
-
-
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that the checkpoint keeps for its query across restarts."""
-    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
-    return json.loads(line)["id"].replace("-", "")
+def read_summary(spark: SparkSession, summary_path: str, table_path: str | None = None) -> DataFrame:
+    """The summary kept by ``summary_hook``; with ``table_path`` only of the
+    batches that the event table holds (an abandoned checkpoint may have left
+    partials of a batch it never committed)."""
+    committed = SnapshotTable(spark, table_path).keys() if table_path else None
+    partials = SnapshotTable(spark, summary_path).read(lambda e: committed is None or e["key"] in committed)
+    return merged_summary(partials)
 
 
 def _first_arrivals(good: DataFrame) -> DataFrame:
@@ -89,56 +88,90 @@ def _first_arrivals(good: DataFrame) -> DataFrame:
             .select("r.*"))
 
 
+def id_index(spark: SparkSession, table_path: str) -> IdIndex:
+    """The index of the ids stored in an event table."""
+    return IdIndex(spark, f"{table_path.rstrip('/')}/_ids")
+
+
+def _store_batch(rows: DataFrame, key: str, table_path: str, quarantine_path: str | None, contract: S.Contract,
+                 dedupe_against_table: bool, after_write=None) -> None:
+    """Check, dedupe and store one micro-batch of typed rows under ``key``."""
+    spark = rows.sparkSession
+    table, index = SnapshotTable(spark, table_path), id_index(spark, table_path)
+    committed = table.keys()
+    if key in committed:
+        return
+    checked = ev.contract_check(rows, contract).persist()
+    new = None
+    try:
+        ok = F.size("failed_rules") == 0
+        if quarantine_path:
+            checked.where(~ok).write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={key}")
+        new = _first_arrivals(checked.where(ok).drop("failed_rules", RAW_COL)).withColumn(DATE_COL, F.to_date("event_time"))
+        if dedupe_against_table:
+            # Kept for the lookup of stored ids and the writes (a micro-batch
+            # is bounded by the trigger, e.g. maxOffsetsPerTrigger).
+            first = new.persist()
+            new = index.drop_stored(first, committed)
+            index.add(new, key)
+        if after_write is not None:
+            after_write(new, key)
+        table.put(new, key, [DATE_COL], sort_within=["store_id", "event_time"])
+    finally:
+        checked.unpersist()
+        if dedupe_against_table and new is not None:
+            first.unpersist()
+
+
 def _batch_writer(checkpoint: str, table_path: str, quarantine_path: str | None, contract: S.Contract,
-                  dedupe_against_table: bool, dedupe_days: int | None, after_write=None):
+                  dedupe_against_table: bool, after_write=None):
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        key = epoch_key(batch.sparkSession, checkpoint, epoch_id)
+        _store_batch(batch, key, table_path, quarantine_path, contract, dedupe_against_table, after_write)
+    return write
+
+
+def _mixed_writer(checkpoint: str, table_path: str, v1_path: str, quarantine_path: str | None, contract: S.Contract,
+                  after_write=None):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        key = f"q{_query_id(spark, checkpoint)}-{epoch_id}"
-        checked = ev.contract_check(batch, contract).persist()
-        deduped = None
+        key = epoch_key(batch.sparkSession, checkpoint, epoch_id)
+        messages = batch.persist()
         try:
-            ok = F.size("failed_rules") == 0
-            good = checked.where(ok).drop("failed_rules", RAW_COL)
-            # Kept for the lookup of stored ids and the write (a micro-batch
-            # is bounded by the trigger, e.g. maxOffsetsPerTrigger).
-            deduped = _first_arrivals(good).withColumn(DATE_COL, F.to_date("event_time")).persist()
-            new = deduped
-            if dedupe_against_table:
-                new = _drop_stored_ids(spark, new, table_path, key, dedupe_days)
-            partition_overwrite_sink(new.withColumn(BATCH_COL, F.lit(key)),
-                                     table_path, [DATE_COL, BATCH_COL],
-                                     sort_within=["store_id", "event_time"])
-            if after_write is not None and path_exists(spark, table_path):
-                # The rows just stored (read back: exactly what the table holds).
-                after_write(spark.read.parquet(table_path).where(F.col(BATCH_COL) == key).drop(BATCH_COL), key)
-            if quarantine_path:
-                checked.where(~ok).write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={key}")
+            first = wire.events_v1(messages).withColumn(DATE_COL, F.to_date("event_time"))
+            SnapshotTable(batch.sparkSession, v1_path).put(first, key, [DATE_COL])
+            rest = messages.where(F.coalesce(F.col(wire.VERSION) != 1, F.lit(True)))
+            parsed = rest.select(RAW_COL, *wire.wire_columns(S.EVENT_V2_WIRE))
+            rows = ev.event_projection(ev.cast_event_time(parsed), keep=(RAW_COL,))
+            _store_batch(rows, key, table_path, quarantine_path, contract, True, after_write)
         finally:
-            checked.unpersist()
-            if deduped is not None:
-                deduped.unpersist()
+            messages.unpersist()
     return write
 
 
-def _drop_stored_ids(spark: SparkSession, good: DataFrame, table_path: str, key: str,
-                     days: int | None) -> DataFrame:
-    """Drop ids already stored by other batches (this batch's own folder is
-    left out, so that a replay rewrites it unchanged). Only the id column of
-    the table is read; the stored ids that the batch holds too are few."""
-    if not path_exists(spark, table_path):  # first batch: nothing stored yet
-        return good
-    stored = spark.read.parquet(table_path).where(F.col(BATCH_COL) != key)
-    if days is not None:
-        lo, hi = good.agg(F.date_sub(F.min(DATE_COL), days), F.date_add(F.max(DATE_COL), days)).first()
-        stored = stored.where(F.col(DATE_COL).between(lo, hi))
-    seen = stored.select("event_id").join(good.select("event_id"), "event_id", "left_semi")
-    return good.join(seen, "event_id", "left_anti")
+def stream_mixed_ingest(messages: DataFrame, checkpoint: str, table_path: str, v1_path: str, value_col: str = "value",
+                        quarantine_path: str | None = None, processing_time: str | None = "10 seconds",
+                        available_now: bool = False, contract: S.Contract = S.SALES_EVENT_CONTRACT,
+                        query_name: str | None = None, after_write=None) -> StreamingQuery:
+    """Ingest a bus that carries both wire versions. Each message is parsed
+    once; first-generation events go to their own table as they are (that
+    job had no checks), all others take the way of ``stream_ingest``."""
+    texts = messages.withColumn(RAW_COL, F.col(value_col).cast("string"))
+    rows = wire.parse_wire(texts, value_col, keep=(RAW_COL,))
+    writer = _mixed_writer(checkpoint, table_path, v1_path, quarantine_path, contract, after_write)
+    return started(rows.writeStream.foreachBatch(writer), checkpoint, processing_time, available_now, query_name=query_name)
+
+
+def compact_events(spark: SparkSession, table_path: str, target_bytes: int = 256 << 20) -> int:
+    """Merge the small files of each day and of each bucket of the id index;
+    the number of file groups that went."""
+    n = compact(spark, table_path, target_bytes, ["store_id", "event_time"])
+    return n + id_index(spark, table_path).compact(SnapshotTable(spark, table_path).keys())
 
 
 def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
                   schema: StructType = S.EVENT_V2_WIRE, value_col: str = "value",
                   quarantine_path: str | None = None, dedupe_delay: str | None = None,
-                  dedupe_against_table: bool = True, dedupe_days: int | None = None,
+                  dedupe_against_table: bool = True,
                   processing_time: str | None = "10 seconds",
                   available_now: bool = False,
                   contract: S.Contract = S.SALES_EVENT_CONTRACT,
@@ -146,19 +179,8 @@ def stream_ingest(messages: DataFrame, checkpoint: str, table_path: str,
     """Start the ingest query. ``checkpoint`` is required and must be on
     shared storage. ``available_now`` drains what is there and stops
     (backfill, tests); otherwise a micro-batch runs every
-    ``processing_time``. ``after_write(rows, batch key)`` runs after each
-    batch is stored, with the stored rows (e.g. ``summary_hook``)."""
-    if not checkpoint:
-        raise ValueError("a checkpoint location is required")
-    rows = ingest_plan(messages, schema, value_col, dedupe_delay)
-    w = (rows.writeStream.outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(_batch_writer(checkpoint, table_path, quarantine_path, contract,
-                                     dedupe_against_table, dedupe_days, after_write)))
-    if query_name:
-        w = w.queryName(query_name)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    ``processing_time``. ``after_write(rows, batch key)`` gets the rows of
+    each batch that are about to be stored (e.g. ``summary_hook``)."""
+    rows = ingest_plan(messages, schema, value_col, dedupe_delay, contract)
+    writer = _batch_writer(checkpoint, table_path, quarantine_path, contract, dedupe_against_table, after_write)
+    return started(rows.writeStream.foreachBatch(writer), checkpoint, processing_time, available_now, query_name=query_name)

@@ -1,10 +1,10 @@
 """Current-state tables kept by a stream (latest row per key).
 
 Each micro-batch is reduced to its newest row per key (``max_by`` over the
-event order, a partial aggregate), merged with the stored rows of the
-partitions it touches, and those partitions are rewritten (dynamic
-overwrite). Because the newest row by event order wins, a replayed epoch or
-an out-of-order arrival gives the same table.
+event order, a partial aggregate) and appended as rows of its epoch; the
+reader takes the newest row per key over all epochs (``epochs``). Because
+event order decides, a replayed epoch or an out-of-order arrival gives the
+same table.
 """
 
 from __future__ import annotations
@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.inventory import stock_status
-from ..operators.joins import in_partitions
-from ..session import path_exists
-from ..sources.sinks import partition_overwrite_sink
+from ..sources.snapshots import SnapshotTable
+from .epochs import append_epoch, epoch_key, started
 
 INVENTORY_KEYS = ["store_id", "product_id"]
 INVENTORY_ORDER = ["event_time", "event_id"]
@@ -28,16 +27,12 @@ def latest_by_key(df: DataFrame, keys, order_cols, value_cols) -> DataFrame:
     return g.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in value_cols])
 
 
-def keyed_state_writer(table_path: str, keys, order_cols, value_cols, partition_col: str):
+def keyed_state_writer(checkpoint: str, table_path: str, keys, order_cols, value_cols):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        new = latest_by_key(batch, keys, order_cols, value_cols)
-        if path_exists(spark, table_path):
-            new = new.persist()
-            stored = in_partitions(spark.read.parquet(table_path), new, partition_col)
-            new = latest_by_key(stored.select(*keys, *value_cols).unionByName(new),
-                                keys, order_cols, value_cols)
-        partition_overwrite_sink(new, table_path, partition_col)
+        def newest(rows):
+            return latest_by_key(rows, keys, order_cols, value_cols)
+        key = epoch_key(batch.sparkSession, checkpoint, epoch_id)
+        append_epoch(SnapshotTable(batch.sparkSession, table_path), newest(batch), key, newest)
     return write
 
 
@@ -45,24 +40,16 @@ def start_inventory_status_stream(inventory_events: DataFrame, checkpoint: str,
                                   processing_time: str | None = "10 seconds",
                                   available_now: bool = False):
     """Keep the current stock per (store, product) from a stream of
-    inventory events, partitioned by store."""
-    if not checkpoint:
-        raise ValueError("a checkpoint location is required")
-    w = (inventory_events.writeStream.outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(keyed_state_writer(table_path, INVENTORY_KEYS, INVENTORY_ORDER,
-                                          INVENTORY_STATE_COLS, "store_id")))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    inventory events."""
+    writer = keyed_state_writer(checkpoint, table_path, INVENTORY_KEYS, INVENTORY_ORDER, INVENTORY_STATE_COLS)
+    return started(inventory_events.writeStream.foreachBatch(writer), checkpoint, processing_time, available_now)
 
 
 def read_inventory_status(spark, table_path: str) -> DataFrame:
     """The stored state with its stock status (derived on read, as a
     generated column would be)."""
-    cur = spark.read.parquet(table_path).select(
+    rows = SnapshotTable(spark, table_path).read()
+    cur = latest_by_key(rows, INVENTORY_KEYS, INVENTORY_ORDER, INVENTORY_STATE_COLS).select(
         "store_id", "dept_id", "product_id", "current_stock", "reorder_point",
         F.col("event_time").alias("last_updated"))
     return stock_status(cur).select("store_id", "dept_id", "product_id", "current_stock",

@@ -5,11 +5,13 @@ emitted once the watermark passes its end."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..operators.realtime import with_alert_levels
+from ..sources.snapshots import SnapshotTable
+from .epochs import append_epoch, epoch_key, started
 
 
 def _window_cols():
@@ -63,30 +65,24 @@ def stream_inventory_alerts(events: DataFrame, watermark: str | None = None,
     return a.select(*_window_cols(), *[c for c in a.columns if c != "w"])
 
 
-WINDOW_DATE = "window_date"
+SEQUENCE = "_sequence"
 
 
-def _keyed_window_writer(table_path: str, keys):
-    """``foreachBatch`` writer for update-mode window aggregates: each row
-    carries the window's complete current figures, so it replaces the stored
-    row with the same key. Only the days the batch touches are read and
-    rewritten (dynamic partition overwrite); a replayed epoch writes the
-    same rows again."""
-    from ..plans.loader import table_exists
-    from ..sources.sinks import partition_overwrite_sink
+def _latest_windows(rows: DataFrame, keys) -> DataFrame:
+    rest = [c for c in rows.columns if c not in keys]
+    merged = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(SEQUENCE)).alias("r"))
+    return merged.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
+
 
+def _keyed_window_writer(checkpoint: str, table_path: str, keys):
+    """``foreachBatch`` writer for update-mode window aggregates: each row
+    carries the window's complete current figures, so the one written last
+    counts. Epochs only append; ``read_windows`` resolves them."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.withColumn(WINDOW_DATE, F.to_date("window_start")).withColumn("_epoch", F.lit(epoch_id))
-        rest = [c for c in new.columns if c not in keys and c != "_epoch"]
-        if table_exists(spark, table_path):
-            days = new.select(WINDOW_DATE).distinct()
-            stored = (spark.read.parquet(table_path).join(days, WINDOW_DATE, "left_semi")
-                      .withColumn("_epoch", F.lit(-1)))
-            new = stored.select(*new.columns).unionByName(new)
-        merged = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_epoch")).alias("r"))
-        out = merged.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
-        partition_overwrite_sink(out, table_path, WINDOW_DATE)
+        table = SnapshotTable(spark, table_path)
+        rows = batch.withColumn(SEQUENCE, F.lit(table.number() + 1).cast("long"))
+        append_epoch(table, rows, epoch_key(spark, checkpoint, epoch_id), lambda r: _latest_windows(r, keys))
     return write
 
 
@@ -96,15 +92,13 @@ def start_window_stream(windowed: DataFrame, keys, checkpoint: str, table_path:
     """Run a window model (``stream_hourly_sales`` / ``stream_inventory_alerts``
     over a stream) in update mode into a keyed table, so windows still open
     are visible and refined as events arrive."""
-    if not checkpoint:
-        raise ValueError("a checkpoint location is required")
-    w = (windowed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(_keyed_window_writer(table_path, list(keys))))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    writer = _keyed_window_writer(checkpoint, table_path, list(keys))
+    return started(windowed.writeStream.foreachBatch(writer), checkpoint, processing_time, available_now, mode="update")
+
+
+def read_windows(spark: SparkSession, table_path: str, keys) -> DataFrame:
+    """The current row of each window of ``start_window_stream``."""
+    return _latest_windows(SnapshotTable(spark, table_path).read(), list(keys)).drop(SEQUENCE)
 
 
 HOURLY_KEYS = ["window_start", "window_end", "store_id", "dept_id"]

@@ -10,7 +10,7 @@ from conftest import SF001, rows
 from shelfline import schemas as S
 from shelfline.operators import incremental as inc
 from shelfline.operators import realtime as rt
-from shelfline.plans.models import materialize_incremental
+from shelfline.plans.models import materialize_incremental, read_incremental
 from shelfline.session import scratch_path
 from shelfline.sources import fixtures as fx
 from shelfline.streaming import ingest as sti
@@ -69,7 +69,7 @@ def test_materialize_incremental_partitions(spark):
     cut = as_of - dt.timedelta(hours=6)
     materialize_incremental(spark, path, events.where(F.col("event_time") <= F.lit(cut)), cut)
     materialize_incremental(spark, path, events, as_of)
-    stored = spark.read.parquet(path).select(*COLS)
+    stored = read_incremental(spark, path).select(*COLS)
     start = cut - dt.timedelta(hours=24)
     full = rt.hourly_summary(events.where(F.col("event_time") >= F.lit(start)), as_of)
     assert rows(stored, COLS) == rows(full.select(*COLS), COLS)
@@ -301,7 +301,7 @@ def test_recompute_counts_a_late_arrival_after_a_future_dated_event(spark):
     late = [*first, _ev(3, now, "2.00", now + dt.timedelta(minutes=1))]
     for _ in range(2):  # the second run finds nothing new
         materialize_incremental(spark, path, spark.createDataFrame(late, S.STREAM_SALES_EVENTS), future, "recompute")
-        got = {r["sale_date"].year: r["transaction_count"] for r in spark.read.parquet(path).collect()}
+        got = {r["sale_date"].year: r["transaction_count"] for r in read_incremental(spark, path).collect()}
         assert got[2024] == 2
 
 

@@ -8,6 +8,7 @@ from shelfline.plans.loader import load_folder
 from shelfline.plans.models import build_batch_models, build_realtime_models
 from shelfline.session import scratch_path
 from shelfline.sources import fixtures as fx
+from shelfline.sources.snapshots import read_table
 
 
 def test_csv_folder_to_marts(spark):
@@ -32,9 +33,9 @@ def test_csv_folder_to_marts(spark):
                        partitions={"raw_sales": "Date", "raw_features": "Date"})
     assert sorted(r["table"] for r in reps) == ["raw_features", "raw_sales", "raw_stores"]
     t = f"{root}/tables"
-    sales = spark.read.parquet(f"{t}/raw_sales")
-    stores = spark.read.parquet(f"{t}/raw_stores")
-    feats = spark.read.parquet(f"{t}/raw_features")
+    sales = read_table(spark, f"{t}/raw_sales")
+    stores = read_table(spark, f"{t}/raw_stores")
+    feats = read_table(spark, f"{t}/raw_features")
     out = build_batch_models(spark, sales, stores, feats, f"{root}/marts")
     # The loaded sales are deduplicated by key, so compare with the models
     # computed on the same loaded tables.
@@ -48,7 +49,7 @@ def test_csv_folder_to_marts(spark):
                        partitions={"raw_sales": "Date", "raw_features": "Date"})
     assert all(r["new_records"] == 0 and r["updated_records"] == 0 for r in reps)
     # (re-read: the reload replaced the files the earlier DataFrame listed)
-    assert spark.read.parquet(f"{t}/raw_sales").count() == n_sales
+    assert read_table(spark, f"{t}/raw_sales").count() == n_sales
 
 
 def test_realtime_tables(spark):

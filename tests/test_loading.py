@@ -12,6 +12,7 @@ from shelfline.operators import upsert as up
 from shelfline.plans.loader import load_dataset
 from shelfline.session import scratch_path
 from shelfline.sources import files
+from shelfline.sources.snapshots import read_table
 
 T1 = dt.datetime(2025, 1, 1)
 T2 = dt.datetime(2025, 1, 2)
@@ -132,11 +133,11 @@ def test_load_modes_and_partition_overwrite(spark):
     assert (rep["initial_count"], rep["final_count"], rep["new_records"],
             rep["updated_records"], rep["unchanged_records"]) == (2, 3, 1, 1, 0)
     got = {(r["Store"], r["Date"]): (r["Weekly_Sales"], r["ingestion_ts"])
-           for r in spark.read.parquet(path).collect()}
+           for r in read_table(spark, path).collect()}
     assert got == {(1, d1): (Decimal("1.00"), T1), (1, d2): (Decimal("5.00"), T2),
                    (2, d2): (Decimal("3.00"), T2)}
     load_dataset(spark, b, path, "raw_sales", "full", T2, partition_by="Date")
-    assert spark.read.parquet(path).count() == 2
+    assert read_table(spark, path).count() == 2
     assert os.path.isdir(path)
 
 
@@ -145,12 +146,12 @@ def test_observed_report_equals_report_operator(spark):
     first = stores(spark, [(1, "A", 100), (2, "B", 200), (3, "C", 300)])
     load_dataset(spark, first, path, "raw_stores", "create", T1, file_name="stores.csv")
     second = stores(spark, [(1, "A", 100), (2, "C", 200), (4, "A", 50), (4, "B", 60)])
-    stored = spark.read.parquet(path).checkpoint()
+    stored = read_table(spark, path).checkpoint()
     want = up.load_report(stored, second, KEYS, UPD, "stores.csv").first().asDict()
     got = load_dataset(spark, second, path, "raw_stores", "upsert", T2, file_name="stores.csv")
     assert got == want
     assert (got["new_records"], got["updated_records"], got["unchanged_records"]) == (1, 1, 1)
-    final = {r["Store"]: (r["Type"], r["Size"]) for r in spark.read.parquet(path).collect()}
+    final = {r["Store"]: (r["Type"], r["Size"]) for r in read_table(spark, path).collect()}
     assert final == {1: ("A", 100), 2: ("C", 200), 3: ("C", 300), 4: ("B", 60)}
 
 
