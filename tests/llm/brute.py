@@ -197,7 +197,8 @@ def manifest(docs, n):
         data = (text or "").encode()
         h = hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()
         key = int(h[:16], 16)
-        rows.append((jump(key, n), int(h[16:19], 16), -1 if i is None else i, len(data) + 1,
+        place = hashlib.md5(f"{'' if i is None else i}:{len(data) + 1}:{zlib.crc32(data)}".encode()).hexdigest()
+        rows.append((jump(key, n), int(place[:3], 16), -1 if i is None else i, len(data) + 1,
                      zlib.crc32(data), jump(key, n + 1), i))
     out, slots = [], Counter()
     for shard, _, _, size, crc, grown, i in sorted(rows, key=lambda r: r[:5]):

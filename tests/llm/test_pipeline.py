@@ -58,10 +58,17 @@ def test_stages_keep_the_values_of_clashing_columns(spark):
         assert [tuple(r) for r in out.select(*extra).distinct().collect()] == [tuple(extra.values())], name
 
 
-def test_repeated_rows_are_reduced_before_the_shuffle(spark, capsys):
-    docs = docs_frame(spark, [(None, "the same text of many rows")] * 50 + [(1, "another one, quite different")])
+def test_repeated_rows_are_reduced_before_the_shuffle(spark):
+    docs = docs_frame(spark, [(None, "the same text of many rows")] * 400 + [(1, "another one, quite different")]).repartition(8)
     out = simhash.deduplicate(docs)
     assert out.count() == 2
-    out.explain()
-    plan = capsys.readouterr().out
-    assert "partial_first" in plan and "row_number" not in plan
+    tree = out._jdf.queryExecution().executedPlan().toString()
+    # From the documents up: partial reduction, shuffle, final reduction; the
+    # join above has no shuffle of its own on that side.
+    lines = [x.strip(" :+-*()0123456789") for x in tree.splitlines()]
+    partial = next(i for i, x in enumerate(lines) if "partial_first" in x)
+    final = max(i for i, x in enumerate(lines[:partial]) if "functions=[first(" in x)
+    between = [x for x in lines[final + 1:partial] if x.startswith("Exchange")]
+    assert len(between) == 1 and "hashpartitioning(id" in between[0]
+    join = max(i for i, x in enumerate(lines[:final]) if "Join" in x)
+    assert not [x for x in lines[join:final] if x.startswith("Exchange")]

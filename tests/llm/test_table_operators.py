@@ -56,8 +56,19 @@ def test_decontamination_of_odd_rows(spark):
     hit = Counter(r.doc_id for r in got)
     assert hit[1] == 6 and hit[2] == 3 and hit[6] == 6 and hit[10] == 3 and hit[None] == 3
     assert set(hit) == {1, 2, None, 6, 9, 10}
+    clashing = docs_frame(spark, odd_rows(), extra=True).withColumn("item_id", F.lit("i")).withColumn("distance", F.lit(0))
+    again = decontamination.find_items(clashing, bench, 100).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
     none = bench.where("false")
     assert decontamination.find_items(docs_frame(spark, odd_rows()), none).count() == 0
+
+
+def test_one_block_of_the_benchmark_in_a_task(spark):
+    items, docs = _items_and_docs(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    n, _ = decontamination.blocks(bench, 200)
+    kept = decontamination.decontaminate(docs_frame(spark, docs), bench, 200)
+    assert n > 2 and "ArrowEvalPython" not in kept._jdf.queryExecution().executedPlan().toString()
     assert decontamination.decontaminate(docs_frame(spark, odd_rows()), none).count() == len(odd_rows())
     assert decontamination.find_items(docs_frame(spark, []), bench).count() == 0
 
@@ -154,6 +165,17 @@ def test_prefix_target_expansion(spark):
 
 
 # --- sharding ----------------------------------------------------------------------------
+def test_different_texts_of_one_id_do_not_share_a_slot_bucket(spark):
+    rows = docs_frame(spark, [(None, f"text {i}") for i in range(3000)])
+    done = sharding.shard_manifest(rows, 16)
+    assert sorted(r.slot for r in done.collect()) == list(range(3000))
+    tree = done._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(shard#" in tree and "bucket#" in tree
+    row = F.concat_ws(":", F.lit(""), "size", "text_crc32")
+    buckets = done.select(F.substring(F.md5(row.cast("binary")), 1, 3).alias("b")).groupBy("b").count()
+    assert buckets.agg(F.max("count")).first()[0] < 12
+
+
 def test_sharding_against_brute_force(spark):
     rows = [r[:2] for r in odd_rows()] + [(i, f"text {i % 7}") for i in range(20, 400)] + [(50, "hot")] * 200
     got = [(r.doc_id, r.size, r.text_crc32, r.shard, r.slot, r.grown_shard)
