@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.sources.snapshots import read_table
 from shelfline import schemas as S
 from shelfline.operators.joins import in_partitions
 from shelfline.plans.loader import load_dataset, load_folder
@@ -19,7 +20,7 @@ def _file(tmp_path, name, text):
 
 
 def _stores(spark, root):
-    return sorted(tuple(r) for r in spark.read.parquet(f"{root}/raw_stores").select("Store", "Type", "Size").collect())
+    return sorted(tuple(r) for r in read_table(spark, f"{root}/raw_stores").select("Store", "Type", "Size").collect())
 
 
 def test_missing_and_reordered_columns(spark, tmp_path):
