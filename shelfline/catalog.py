@@ -336,6 +336,23 @@ def q_csv_source(spark, d):
     return files.csv_source(spark, path, S.RAW_FEATURES)
 
 
+@register("csv_routing")
+def q_csv_routing(spark, d):
+    """A landing folder with files of two configured tables and one that is
+    none: rows and distinct stores of each routed table."""
+    root = scratch_path(spark, "landing")
+    frames = {"stores": _stores(spark, d), "Features": _features(spark, d), "notes": _stores(spark, d)}
+    for name, df in frames.items():
+        files.land_csv(df.drop(S.INGESTION_TS), f"{root}/{name}.csv")
+    routed = [df.groupBy(F.lit(table).alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("Store").alias("n_stores"))
+        for table, df in sorted(files.csv_routing(spark, root).items())]
+    out = routed[0]
+    for more in routed[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 @register("json_flatten")
 def q_json_flatten(spark, d):
     path = scratch_path(spark, "products-json")

@@ -125,12 +125,18 @@ def event_id_dedupe(events: DataFrame, key: str = "event_id",
                     delay: str | None = None, time_col: str = "event_time") -> DataFrame:
     """One row per event id.
 
-    Batch: a distinct on the key (partial aggregation first, so replays of
-    one id collapse before the shuffle). Stream: with ``delay`` the state is
+    Batch: the row that comes first by time and then by its other columns, so
+    the survivor does not depend on the run (``min_by`` reduces replays of one
+    id in each task before the shuffle). Stream: with ``delay`` the state is
     bounded by a watermark (``dropDuplicatesWithinWatermark``); without it
     the state keeps every id ever seen.
     """
-    if events.isStreaming and delay:
+    if not events.isStreaming:
+        rest = [c for c in events.columns if c != key]
+        order = [time_col, *[c for c in rest if c != time_col]]
+        first = events.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+        return first.select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in events.columns])
+    if delay:
         return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
     return events.dropDuplicates([key])
 

@@ -616,3 +616,7 @@ SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS title,
        CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS "details.dimensions.size",
        CASE WHEN p_partkey % 2 = 1 THEN 'cm' END AS "details.dimensions.unit"
 FROM part"""
+
+Q["csv_routing"] = with_(RAW_STORES, RAW_FEATURES) + """
+SELECT 'raw_features' AS table_name, COUNT(*) AS n_rows, COUNT(DISTINCT Store) AS n_stores FROM raw_features
+UNION ALL SELECT 'raw_stores', COUNT(*), COUNT(DISTINCT Store) FROM raw_stores"""

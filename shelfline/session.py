@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +49,28 @@ def build_session(master: str | None = None, app: str = "shelfline",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session's executors, as
+    ``--py-files`` would, so that functions run there whatever folder or path
+    the driver was started with. Once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="shelfline-package-")
+    path = os.path.join(folder, f"{os.path.basename(here)}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(root, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

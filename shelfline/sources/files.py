@@ -54,6 +54,20 @@ def csv_source(spark: SparkSession, path: str, schema: StructType | None = None,
     return rows
 
 
+def land_csv(df: DataFrame, path: str) -> None:
+    """Write ``df`` as the one CSV file ``path`` (header, NA for NULL), as a
+    source system lands an extract. For small tables: one task writes it."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder, target = hadoop.Path(f"{path}-parts"), hadoop.Path(path)
+    df.coalesce(1).write.option("header", True).option("nullValue", "NA").csv(folder.toString())
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    if not fs.rename(part, target):
+        raise OSError(f"{path} could not be put in place")
+    fs.delete(folder, True)
+
+
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> list[str]:
     """Paths of the files in ``folder`` matching ``glob``, on any file
     system Spark reads. Only the file listing is read (the content column

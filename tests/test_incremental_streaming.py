@@ -334,3 +334,40 @@ def test_window_stream_needs_a_watermark(spark):
     src = spark.readStream.format("rate").load().withColumnRenamed("timestamp", "event_time")
     with pytest.raises(ValueError, match="watermark"):
         stw.stream_hourly_sales(src)
+
+
+def test_micro_batches_on_a_trigger(spark):
+    """Files that arrive while the query runs, in batches of a bounded size."""
+    root = scratch_path(spark, "trigger")
+    messages = [GOOD % (f"e{i}", "2024-01-01 10:00:00", "3.0") for i in range(6)]
+
+    def land(*some):
+        spark.createDataFrame([(m,) for m in some], "value string").repartition(len(some)).write.mode("append").text(f"{root}/in")
+    land(*messages[:4])
+    q = sti.stream_ingest(sts.text_file_source(spark, f"{root}/in", max_files_per_trigger=2), checkpoint=f"{root}/_ckpt",
+                          table_path=f"{root}/events", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert sti.read_event_table(spark, f"{root}/events").count() == 4
+        land(*messages[3:])  # one of them again
+        q.processAllAvailable()
+        assert sti.read_event_table(spark, f"{root}/events").count() == 6
+        sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+        assert len(sizes) >= 3
+    finally:
+        q.stop()
+
+
+def test_nothing_stays_cached_after_a_stream(spark):
+    from shelfline.streaming import state
+    root = scratch_path(spark, "cached")
+    before = spark._jsc.getPersistentRDDs().size()
+    inv = fx.stream_inventory_events(spark, SF001)
+    inv.write.parquet(f"{root}/in")
+    src = sts.table_stream(spark, f"{root}/in", S.STREAM_INVENTORY_EVENTS)
+    state.start_inventory_status_stream(src, f"{root}/_a", f"{root}/state", available_now=True).awaitTermination()
+    wire = fx.wire_events_json(spark, SF001).select(F.col("value").cast("string").alias("value"))
+    wire.limit(50).write.text(f"{root}/wire")
+    sti.stream_ingest(sts.text_file_source(spark, f"{root}/wire"), f"{root}/_b", f"{root}/events",
+                      available_now=True).awaitTermination()
+    assert spark._jsc.getPersistentRDDs().size() <= before

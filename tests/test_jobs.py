@@ -59,3 +59,29 @@ def test_realtime_tables(spark):
     out = build_realtime_models(spark, ev, as_of, root)
     assert set(out) == {"rt_sales_summary", "rt_inventory_alerts", "rt_customer_analytics"}
     assert out["rt_sales_summary"].count() > 0
+
+
+def test_workers_import_the_package_from_any_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    from conftest import ROOT
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {ROOT!r})
+        import __spark_entry__ as E
+        from shelfline.session import build_session
+        spark = build_session("local[2]", extra={{"spark.ui.enabled": "false"}})
+        E._prepare(spark)
+
+        def columns(batches):
+            from shelfline import schemas
+            for b in batches:
+                yield b.assign(n=len(schemas.SALES_EVENT_COLUMNS))[["n"]]
+        print("found", spark.range(1).mapInPandas(columns, "n long").first()[0])
+    """)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "found 13" in out.stdout, out.stderr[-2000:]

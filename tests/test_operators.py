@@ -258,3 +258,13 @@ def test_customer_event_contract(spark):
     got = {r["event_id"]: r["failed_rules"] for r in
            ev.contract_check(df, S.CUSTOMER_EVENT_CONTRACT).collect()}
     assert got == {"c1": [], "c2": [], "c3": ["enum:event_type"], "c4": ["not_null:session_id"]}
+
+
+def test_dedupe_keeps_the_first_event_whatever_the_partitions(spark):
+    from shelfline.operators import events as ev
+    rows_ = [("a", 3, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", 2, None), (None, 1, "n"), (None, 2, "n")]
+    df = spark.createDataFrame(rows_, "event_id string, event_time int, v string")
+    for parts in (1, 3, 6):
+        got = ev.event_id_dedupe(df.repartition(parts))
+        assert got.columns == df.columns
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted([("a", 1, "y"), ("b", 2, None), (None, 1, "n")], key=repr)
