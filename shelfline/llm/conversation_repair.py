@@ -14,7 +14,9 @@ tie is decided in logarithmic steps: both ends are lifted to one depth, then
 the ancestors with unequal hashes are followed down to the first difference.
 Equal hashes of different nodes are verified character by character, so a
 collision never decides. Edits are a function of state and initial, so the
-audit alone gives the repaired rows.
+audit alone gives the repaired rows. What all cells share is settled: it is
+written out from time to time and its nodes are let go, so the nodes held are
+those in which the cells still differ, not one for each row.
 
 Rows of a conversation are one sequence in one task, in order of turn (nulls
 first), role and text; its texts and its audit must fit there together. Equal
@@ -46,6 +48,7 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 WANTED = "uuau"  # initial that each state inserts or reroles to
 AFTER = [USER, USER, ASSISTANT, USER]
 ENDS = (START, ASSISTANT)
+NODES = 4096  # audit nodes that are made before the shared part is settled
 RESULT = ("conv_id {}, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, "
           "repaired array<struct<role:string,text:string>>")
 
@@ -110,13 +113,40 @@ class Audits:
             node = self.up[node][0]
         return "".join(reversed(out))
 
+    def common(self, nodes: list[int]) -> int:
+        """The deepest node that all of ``nodes`` descend from."""
+        top = nodes[0]
+        for node in nodes[1:]:
+            depth = min(self.depth[top], self.depth[node])
+            x, y = self.ancestor(top, depth), self.ancestor(node, depth)
+            for k in range(len(self.up[x]) - 1, -1, -1):
+                if k < len(self.up[x]) and self.up[x][k] != self.up[y][k]:
+                    x, y = self.up[x][k], self.up[y][k]
+            top = x if x == y else self.up[x][0]
+        return top
+
+    def without(self, top: int, nodes: list[int]) -> tuple[Audits, list[int]]:
+        """What ``nodes`` hold below their ancestor ``top``, as audits of
+        their own, and the nodes there."""
+        out, made = Audits(self.modulus, self.base), {top: 0}
+        for node in nodes:
+            path = []
+            while node not in made:
+                path.append(node)
+                node = self.up[node][0]
+            for old in reversed(path):
+                made[old] = out.child(made[self.up[old][0]], self.char[old])
+        return out, [made[n] for n in nodes]
+
 
 class Repair:
     """The cells of one conversation; ``row`` feeds its rows in order."""
 
-    def __init__(self, audits: Audits | None = None):
+    def __init__(self, audits: Audits | None = None, nodes: int = NODES):
         self.audits = audits or Audits()
         self.cells: dict[int, tuple[int, int]] = {START: (0, 0)}
+        self.settled: list[str] = []
+        self.nodes = self.limit = nodes
         self._insert()
 
     def _offer(self, cells: dict, state: int, cost: int, node: int, edit: str) -> None:
@@ -153,6 +183,24 @@ class Repair:
             self._offer(new, AFTER[state], cost + 2 + truncated, node, "R")
         self.cells = new
         self._insert()
+        # Whatever follows from the start can follow from ASSISTANT at up to 3
+        # more (a system row that only the start keeps is deleted), and from
+        # SYSTEM at no more: a dearer cell cannot win.
+        cost = new[ASSISTANT][0]
+        for state, more in ((START, 3), (SYSTEM, 0)):
+            if state in new and cost + more < new[state][0]:
+                del new[state]
+        if len(self.audits.up) > self.limit:
+            self._settle()
+
+    def _settle(self) -> None:
+        """Write out the part that all audits share; keep the rest."""
+        states, ends = zip(*((s, node) for s, (_, node) in self.cells.items()), strict=True)
+        top = self.audits.common(list(ends))
+        self.settled.append(self.audits.text(top))
+        self.audits, ends = self.audits.without(top, list(ends))
+        self.cells = {s: (self.cells[s][0], node) for s, node in zip(states, ends, strict=True)}
+        self.limit = self.nodes + 2 * len(self.audits.up)
 
     def best(self) -> tuple[int, str]:
         """Cost and audit of the cheapest repair of the rows so far."""
@@ -161,7 +209,7 @@ class Repair:
             c, other = self.cells.get(s, (cost + 1, 0))
             if c == cost and other != node and self.audits.less(other, node):
                 node = other
-        return cost, self.audits.text(node)
+        return cost, "".join(self.settled) + self.audits.text(node)
 
 
 def kept(state: int, initial: str) -> int | None:

@@ -149,17 +149,28 @@ def test_repair_of_odd_rows(spark):
     assert cr.digests(df.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("modulus", [(1 << 61) - 1, 3])
-def test_audits_with_and_without_hash_collisions(modulus):
+@pytest.mark.parametrize(("modulus", "nodes"), [((1 << 61) - 1, 4096), (3, 4096), ((1 << 61) - 1, 1), (3, 20)])
+def test_audits_with_and_without_hash_collisions(modulus, nodes):
     r = random.Random(7)
     for _ in range(1500):
         rows = [(r.choice("suaax"), r.random() < .2, r.random() < .3) for _ in range(r.randint(0, 14))]
-        program = cr.Repair(cr.Audits(modulus))
+        program = cr.Repair(cr.Audits(modulus), nodes)
         for row in rows:
             program.row(*row)
         assert program.best() == cheapest(rows), rows
 
 
+def test_long_conversations_hold_few_nodes():
+    r = random.Random(8)
+    rows = [(r.choice("uua"), r.random() < .1, r.random() < .2) for _ in range(20_000)]
+    whole, settled, most = cr.Repair(nodes=10**9), cr.Repair(), 0
+    for row in rows:
+        whole.row(*row)
+        settled.row(*row)
+        most = max(most, len(settled.audits.up))
+    assert settled.best() == whole.best() and most < 10_000 < len(whole.audits.up)
+
+
 # --- line deduplication ------------------------------------------------------------------
 def lines_brute(rows, min_docs=5, min_chars=40):
     """Sorted (doc_id, lines, dropped, kept text) of (doc_id, text) rows."""
