@@ -530,7 +530,8 @@ def _kept_partials(spark, d, name: str, partials, merge, cut: dt.timedelta, part
 @register("stream_alert_panes")
 def q_stream_alert_panes(spark, d):
     """Sliding-window alerts from the 5-minute panes that a stream keeps."""
-    return stp.read_alerts(spark, _kept_partials(spark, d, "panes", stp.alert_panes, stp.merge_panes, dt.timedelta(days=7)))
+    return stp.read_alerts(spark, _kept_partials(spark, d, "panes", stp.alert_panes, stp.merge_panes, dt.timedelta(days=7),
+                                                 (stp.PANE_DATE,)))
 
 
 @register("stream_customer_analytics")

@@ -1,8 +1,8 @@
 """The incremental hourly summary as a log of runs.
 
 Each run commits, in one manifest, its rows (partitioned by ``sale_date``)
-and a note of what it saw: the newest event time of every date, the newest
-arrival and the lower bound of the first run. Nothing is merged on write; the
+and a note of what the log has seen: the newest event time of every date, the
+newest arrival and the lower bound of the first run. Nothing is merged on write; the
 reader adds runs up, starting for each key at the last run that replaces it.
 A run that breaks off leaves no note and no rows, so the next one finds the
 same new events.
@@ -26,8 +26,9 @@ from ..operators.batch import weighted_avg
 from ..operators.incremental import SUM_COLS, SUMMARY_COLUMNS, touched_events
 from ..operators.realtime import HOUR_KEYS, hourly_summary
 from ..sources.snapshots import SnapshotTable
+from ..streaming.epochs import fold_parts
 
-FOLD = 32  # runs that are read as they are; beyond, they are folded into one
+FOLD = 32  # runs of a date that are read as they are; beyond, they are folded into one
 MAX_INTERVALS = 1000
 DAY = dt.timedelta(days=1)
 RUN, REPLACES, ARRIVED = "_run", "_replaces", "_arrived"
@@ -64,17 +65,14 @@ class SummaryLog:
     def __init__(self, spark: SparkSession, path: str):
         self.table = SnapshotTable(spark, path)
 
-    def _notes(self) -> list[dict]:
-        return sorted((n for n in self.table.meta().values() if "run" in n), key=lambda n: n["run"])
+    def _note(self) -> dict | None:
+        """What the runs have noted; the last one carries the others'."""
+        return max((n for n in self.table.meta().values() if "run" in n), key=lambda n: n["run"], default=None)
 
     def marks(self) -> dict[dt.date, dt.datetime]:
         """Newest event time of each date over all runs."""
-        out: dict[dt.date, dt.datetime] = {}
-        for note in self._notes():
-            for d, t in note["marks"].items():
-                day, at = dt.date.fromisoformat(d), dt.datetime.fromisoformat(t)
-                out[day] = max(at, out.get(day, at))
-        return out
+        marks = (self._note() or {"marks": {}})["marks"]
+        return {dt.date.fromisoformat(d): dt.datetime.fromisoformat(t) for d, t in marks.items()}
 
     def run(self, events: DataFrame, as_of: dt.datetime, merge: str = "additive", lookback="24 hours") -> None:
         """Add the events that are new since the last run.
@@ -84,36 +82,35 @@ class SummaryLog:
         *arrived* (``processed_at``) after the last run from all events."""
         if merge not in ("additive", "replace", "recompute"):
             raise ValueError(f"unknown merge mode {merge!r}")
-        notes, arrival = self._notes(), F.max("processed_at").alias(ARRIVED)
-        arrived = max((n["arrived"] for n in notes if n["arrived"]), default=None)
-        if not notes:
+        last, arrival = self._note(), F.max("processed_at").alias(ARRIVED)
+        before = self.marks()
+        if not last:
             floor = as_of - to_timedelta(lookback)
             rows = hourly_summary(since(events, as_of, lookback), as_of, arrival)
         elif merge == "recompute":
-            floor = dt.datetime.fromisoformat(notes[0]["floor"])
-            fresh = events
-            if arrived:
-                fresh = events.where(F.col("processed_at") > F.lit(dt.datetime.fromisoformat(arrived)))
+            floor, fresh = dt.datetime.fromisoformat(last["floor"]), events
+            if last["arrived"]:
+                fresh = events.where(F.col("processed_at") > F.lit(dt.datetime.fromisoformat(last["arrived"])))
             rows = hourly_summary(touched_events(events, fresh), as_of, arrival)
         else:
-            floor = dt.datetime.fromisoformat(notes[0]["floor"])
-            rows = hourly_summary(new_events(events, self.marks(), floor), as_of, arrival)
-        n = notes[-1]["run"] + 1 if notes else 1
+            floor = dt.datetime.fromisoformat(last["floor"])
+            rows = hourly_summary(new_events(events, before, floor), as_of, arrival)
+        n = last["run"] + 1 if last else 1
 
         def note(written: DataFrame) -> dict:
             dates = written.groupBy("sale_date").agg(F.max("latest_transaction_time").alias("m"), F.max(ARRIVED).alias("a")).collect()
-            last = [r["a"].isoformat() for r in dates if r["a"]]
+            arrived = [r["a"].isoformat() for r in dates if r["a"]]
+            if last and last["arrived"]:
+                arrived.append(last["arrived"])
+            marks = {**before, **{r["sale_date"]: max(r["m"], before.get(r["sale_date"], r["m"])) for r in dates if r["sale_date"]}}
             return {"run": n, "merge": merge, "as_of": as_of.isoformat(), "floor": floor.isoformat(),
-                    "arrived": max([*last, *([arrived] if arrived else [])], default=None),
-                    "marks": {r["sale_date"].isoformat(): r["m"].isoformat() for r in dates if r["sale_date"]}}
+                    "arrived": max(arrived, default=None), "marks": {d.isoformat(): t.isoformat() for d, t in sorted(marks.items())}}
         rows = rows.select(*SUMMARY_COLUMNS, ARRIVED).withColumn(RUN, F.lit(n))
-        self.table.put(rows.withColumn(REPLACES, F.lit(bool(notes) and merge != "additive")), f"run-{n:08d}",
-                       ["sale_date"], meta=note)
-        entries = self.table.entries()
-        if len({e["key"] for e in entries}) > FOLD:
-            folded = (_resolve(self.table.read(entries=entries)).withColumn(ARRIVED, F.lit(None).cast("timestamp"))
-                      .withColumn(RUN, F.lit(n)).withColumn(REPLACES, F.lit(False)))
-            self.table.replace(entries, folded)
+        self.table.put(rows.withColumn(REPLACES, F.lit(bool(last) and merge != "additive")), f"run-{n:08d}",
+                       ["sale_date"], meta=note, forget=[f"run-{n - 1:08d}"])
+        fold_parts(self.table, lambda r: (
+            _resolve(r).withColumn(ARRIVED, F.lit(None).cast("timestamp")).withColumn(RUN, F.lit(n))
+            .withColumn(REPLACES, F.lit(False))), FOLD)
 
     def read(self) -> DataFrame:
         """One row per key."""

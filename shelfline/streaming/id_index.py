@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.snapshots import SnapshotTable, compact
+from ..sources.snapshots import COMPACTED, Keys, SnapshotTable, compact
 
 BUCKET = "id_bucket"
 
@@ -31,18 +31,18 @@ class IdIndex:
         """Note the ids of an epoch (again: in place of its earlier ones)."""
         self.table.put(rows.select(self.key, self._bucket()), epoch, [BUCKET], sort_within=[self.key])
 
-    def stored(self, rows: DataFrame, committed: set[str]) -> DataFrame | None:
+    def stored(self, rows: DataFrame, committed: Keys) -> DataFrame | None:
         """The index restricted to the buckets of ``rows`` and to epochs in
         ``committed``; None if it holds nothing there."""
         wanted = sorted(r[0] for r in rows.select(self._bucket()).distinct().collect())
         parts = {f"{BUCKET}={b}" for b in wanted}
         found = [e for e in self.table.entries()
-                 if e["part"] in parts and (e["key"] in committed or e["key"].startswith("compact-"))]
+                 if e["part"] in parts and (e["key"] in committed or e["key"].startswith(COMPACTED))]
         if not found:
             return None
         return self.table.read(entries=found).where(F.col(BUCKET).isin(wanted))
 
-    def drop_stored(self, rows: DataFrame, committed: set[str]) -> DataFrame:
+    def drop_stored(self, rows: DataFrame, committed: Keys) -> DataFrame:
         """``rows`` whose id no committed epoch holds. The stored ids that
         the batch has too are few: they are found first, then left out."""
         stored = self.stored(rows, committed)
@@ -51,7 +51,7 @@ class IdIndex:
         seen = stored.select(self.key).join(rows.select(self.key), self.key, "left_semi")
         return rows.join(seen, self.key, "left_anti")
 
-    def compact(self, committed: set[str], target_bytes: int = 64 << 20) -> int:
+    def compact(self, committed: Keys, target_bytes: int = 64 << 20) -> int:
         """Merge the small files of each bucket (committed epochs only)."""
-        ready = committed | {e["key"] for e in self.table.entries() if e["key"].startswith("compact-")}
-        return compact(self.table.spark, self.table.path, target_bytes, [self.key], lambda e: e["key"] in ready)
+        return compact(self.table.spark, self.table.path, target_bytes, [self.key],
+                       lambda e: e["key"] in committed or e["key"].startswith(COMPACTED))

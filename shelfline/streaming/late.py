@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import rules as R
 from ..operators.batch import weighted_avg
-from ..sources.snapshots import SnapshotTable
+from ..sources.snapshots import SnapshotTable, held, hold
 from .epochs import append_epoch, epoch_key, started
 
-KEYS = ["window_start", "store_id", "dept_id"]
+SALE_DATE = "sale_date"
+KEYS = [SALE_DATE, "window_start", "store_id", "dept_id"]
 SUMS = ["transaction_count", "total_sales", "sale_count", "return_count", "exchange_count", "promotional_transactions"]
 MISSED = "missed_watermark"
 
@@ -41,7 +42,8 @@ def query_watermark(spark: SparkSession, checkpoint: str, epoch: int) -> dt.date
 
 def hour_partials(events: DataFrame) -> DataFrame:
     """Sums per hour, store and department, mergeable with those of others."""
-    return events.groupBy(F.date_trunc("hour", "event_time").alias("window_start"), "store_id", "dept_id").agg(
+    return events.groupBy(F.to_date("event_time").alias(SALE_DATE), F.date_trunc("hour", "event_time").alias("window_start"),
+                          "store_id", "dept_id").agg(
         F.count(F.lit(1)).alias("transaction_count"), F.sum("total_amount").cast("decimal(20,2)").alias("total_sales"),
         *[R.count_where(F.col("transaction_type") == t).alias(f"{t.lower()}_count") for t in S.TRANSACTION_TYPES],
         R.count_where(F.col("promotion_applied")).alias("promotional_transactions"),
@@ -68,7 +70,7 @@ def start_hourly_stream(events: DataFrame, watermark: str, checkpoint: str, tabl
         rows = batch.persist()
         try:
             SnapshotTable(spark, late_path).put(rows.where(late).withColumn(MISSED, mark_col), key)
-            append_epoch(SnapshotTable(spark, table_path), hour_partials(rows.where(~late)), key, merge_hours)
+            append_epoch(SnapshotTable(spark, table_path), hour_partials(rows.where(~late)), key, merge_hours, (SALE_DATE,))
         finally:
             rows.unpersist()
     stream = events.withWatermark("event_time", watermark)
@@ -82,13 +84,17 @@ def read_late(spark: SparkSession, late_path: str) -> DataFrame:
 
 def fold_late(spark: SparkSession, table_path: str, late_path: str) -> int:
     """Add the late batches that are not folded yet; how many there were.
-    The key names them, so a fold that is repeated replaces itself."""
+    The rows and the note of what was folded are one commit: per query the
+    last batch, as batches are stored in order."""
     table, late = SnapshotTable(spark, table_path), SnapshotTable(spark, late_path)
-    folded = {k for m in table.meta().values() for k in m.get("late", [])}
-    new = sorted({e["key"] for e in late.entries()} - folded)
+    notes = {k: n for k, n in table.meta().items() if "late" in n}
+    folded: dict[str, int] = {}
+    for n in notes.values():
+        folded = hold(folded, (f"{q}-{e}" for q, e in n["late"].items()))
+    new = sorted({e["key"] for e in late.entries() if not held(folded, e["key"])})
     if new:
-        rows = late.read(lambda e: e["key"] in new)
-        table.put(hour_partials(rows), f"late-{new[0]}-{len(new)}", meta={"late": new})
+        rows, done = late.read(lambda e: e["key"] in new), hold(folded, new)
+        table.put(hour_partials(rows), f"late-{table.number():012d}", (SALE_DATE,), meta={"late": done}, forget=notes)
     return len(new)
 
 

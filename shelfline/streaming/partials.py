@@ -31,7 +31,8 @@ from ..operators.realtime import SALE, customer_segments, with_alert_levels
 from ..sources.snapshots import SnapshotTable
 from .epochs import append_epoch, epoch_key, started
 
-PANE_KEYS = ["pane", "store_id", "dept_id", "product_id"]
+PANE_DATE = "pane_date"
+PANE_KEYS = [PANE_DATE, "pane", "store_id", "dept_id", "product_id"]
 _PANE_SUMS = ["n", "units", "revenue"]
 CUSTOMER_KEYS = ["sale_date", "customer_id", "store_id", "dept_id", "product_id"]
 _CUSTOMER_SUMS = ["n", "spent", "units", "promoted"]
@@ -48,9 +49,10 @@ def _merged(rows: DataFrame, keys, sums, lows=(), highs=()) -> DataFrame:
 def alert_panes(events: DataFrame, pane: str = "5 minutes") -> DataFrame:
     """SALE activity per pane, store, department and product."""
     sales = events.where(F.col("transaction_type") == SALE)
-    return sales.groupBy(F.window("event_time", pane).start.alias("pane"), "store_id", "dept_id", "product_id").agg(
+    rows = sales.groupBy(F.window("event_time", pane).start.alias("pane"), "store_id", "dept_id", "product_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("units"),
         F.sum("total_amount").cast("decimal(20,2)").alias("revenue"), F.max("event_time").alias("last"))
+    return rows.withColumn(PANE_DATE, F.to_date("pane"))
 
 
 def merge_panes(panes: DataFrame) -> DataFrame:
@@ -114,7 +116,7 @@ def partials_hook(table_path: str, partials: Callable[[DataFrame], DataFrame], m
 
 
 def pane_hook(table_path: str):
-    return partials_hook(table_path, alert_panes, merge_panes)
+    return partials_hook(table_path, alert_panes, merge_panes, (PANE_DATE,))
 
 
 def customer_hook(table_path: str):

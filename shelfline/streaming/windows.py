@@ -65,7 +65,7 @@ def stream_inventory_alerts(events: DataFrame, watermark: str | None = None,
     return a.select(*_window_cols(), *[c for c in a.columns if c != "w"])
 
 
-SEQUENCE = "_sequence"
+SEQUENCE, WINDOW_DATE = "_sequence", "_window_date"
 
 
 def _latest_windows(rows: DataFrame, keys) -> DataFrame:
@@ -81,8 +81,9 @@ def _keyed_window_writer(checkpoint: str, table_path: str, keys):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         table = SnapshotTable(spark, table_path)
-        rows = batch.withColumn(SEQUENCE, F.lit(table.number() + 1).cast("long"))
-        append_epoch(table, rows, epoch_key(spark, checkpoint, epoch_id), lambda r: _latest_windows(r, keys))
+        rows = (batch.withColumn(SEQUENCE, F.lit(table.number() + 1).cast("long"))
+                .withColumn(WINDOW_DATE, F.to_date("window_start")))
+        append_epoch(table, rows, epoch_key(spark, checkpoint, epoch_id), lambda r: _latest_windows(r, keys), (WINDOW_DATE,))
     return write
 
 
@@ -98,7 +99,7 @@ def start_window_stream(windowed: DataFrame, keys, checkpoint: str, table_path:
 
 def read_windows(spark: SparkSession, table_path: str, keys) -> DataFrame:
     """The current row of each window of ``start_window_stream``."""
-    return _latest_windows(SnapshotTable(spark, table_path).read(), list(keys)).drop(SEQUENCE)
+    return _latest_windows(SnapshotTable(spark, table_path).read(), list(keys)).drop(SEQUENCE, WINDOW_DATE)
 
 
 HOURLY_KEYS = ["window_start", "window_end", "store_id", "dept_id"]
