@@ -268,16 +268,15 @@ def anchor_table(docs: DataFrame, spec: Spec) -> DataFrame:
 def _edges(docs: DataFrame, needed: DataFrame, spec: Spec) -> DataFrame:
     """The places of ``needed`` (tid, n, pos, class, hot) with their bytes."""
     per_text = needed.groupBy("tid", "n").agg(F.collect_list(F.struct("pos", "class", "hot")).alias("places"))
-    texts = docs.select(*_text_key(F.col("text")), "text").where(F.col("n") >= spec.length)
+    # Copies of a text are reduced in each task, before the shuffle.
+    texts = (docs.select(*_text_key(F.col("text")), "text").where(F.col("n") >= spec.length)
+             .groupBy("tid", "n").agg(F.first("text").alias("text")))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = None
         for batch in batches:
             rows = []
             for tid, n, text, places in zip(batch["tid"], batch["n"], batch["text"], batch["places"]):
-                if (tid, n) == last:  # copies follow each other in the join
-                    continue
-                last, text = (tid, n), text.encode("utf-8", "replace")
+                text = text.encode("utf-8", "replace")
                 rows += [(tid, n, p["pos"], p["class"], p["hot"], *spec.context(text, p["pos"])) for p in places]
             yield pd.DataFrame(rows, columns=["tid", "n", "pos", "class", "hot", "left", "right"])
     return texts.join(per_text, ["tid", "n"]).mapInPandas(
@@ -359,20 +358,24 @@ def _hot_spans(edges: DataFrame, spec: Spec) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, spec: Spec = Spec(), hot: int = HOT) -> DataFrame:
     """(tid, n, spans) of the texts with repeated strings; the spans of
-    (start, end) bytes may overlap."""
+    (start, end) bytes may overlap.
+
+    Aggregates are stored before the rows they came from are joined to them:
+    both sides of a join are then plain exchanges, whose hot partitions (a
+    class, a neighbourhood, a text of very many places) AQE splits."""
     rows = anchor_table(docs, spec)
     classes = rows.groupBy("class").agg(F.count("*").alias("m"), F.min("around").alias("a"), F.max("around").alias("b"))
-    rows = stored(rows.join(classes.where("m > 1").select("class", (F.col("a") != F.col("b")).alias("mixed")), "class"),
-                  "suffix-rows")
+    classes = stored(classes.where("m > 1").select("class", (F.col("a") != F.col("b")).alias("mixed")), "suffix-classes")
+    rows = stored(rows.join(classes, "class"), "suffix-rows")
     # Neighbourhoods found twice: every window in them is repeated.
     key = ["class", "around"]
-    seen = rows.groupBy(*key).agg(F.count("*").alias("m"))
-    whole = rows.join(seen.where("m > 1").select(*key), key, "left_semi").select(
+    seen = stored(rows.groupBy(*key).agg(F.count("*").alias("m")).where("m > 1").select(*key), "suffix-seen")
+    whole = rows.join(seen, key, "left_semi").select(
         "tid", "n", F.greatest(F.lit(0), F.col("pos") - spec.offsets + 1).alias("start"),
         F.least(F.col("n"), F.col("pos") + spec.length).alias("end"))
     # One place of each neighbourhood, in classes that have several.
-    one = rows.where("mixed").groupBy(*key).agg(F.min(F.struct("tid", "n", "pos")).alias("p"))
-    sizes = one.groupBy("class").agg((F.count("*") > hot).alias("hot"))
+    one = stored(rows.where("mixed").groupBy(*key).agg(F.min(F.struct("tid", "n", "pos")).alias("p")), "suffix-places")
+    sizes = stored(one.groupBy("class").agg((F.count("*") > hot).alias("hot")), "suffix-sizes")
     needed = one.join(sizes, "class").select("p.tid", "p.n", "p.pos", "class", "hot")
     edges = stored(_edges(docs, needed, spec), "suffix-edges")
     spans = whole.union(_indexed_spans(edges.where("not hot"), spec)).union(_hot_spans(edges.where("hot"), spec))
@@ -405,7 +408,8 @@ def deduplicate(docs: DataFrame, spec: Spec = Spec(), hot: int = HOT) -> DataFra
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n"], "kept": kept,
                                 "n_removed": removed, "n_spans": count})
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *_text_key(F.col("text")))
-    return texts.join(repeated_spans(docs, spec, hot), ["tid", "n"], "left").mapInPandas(
+    spans = stored(repeated_spans(docs, spec, hot), "suffix-spans")
+    return texts.join(spans, ["tid", "n"], "left").mapInPandas(
         remove, "doc_id long, n_bytes long, kept binary, n_removed long, n_spans long")
 
 

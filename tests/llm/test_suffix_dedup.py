@@ -68,3 +68,20 @@ def test_index_levels_are_geometric():
 
 def test_empty_table(spark):
     assert S.deduplicate(docs_frame(spark, [])).count() == 0
+
+
+def test_registered_sizes_null_ids_and_clashing_columns(spark):
+    """Passages of over 50 words on either side of 400 bytes: what is under it
+    stays by contract, what is over it goes wherever it stands."""
+    r = random.Random(6)
+    prose = lambda words: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(words))
+    short, long = prose(55), prose(140)
+    assert len(short) < 400 < len(long)
+    rows = [(i, f"{prose(40)} {[short, long, prose(60)][i % 3]} {prose(30)}") for i in range(30)]
+    rows += [(None, prose(20) + long + prose(5)), (None, None), (None, prose(90)), (40, long * 3), (40, ""), (41, rows[0][1]), (41, rows[0][1])]
+    got = S.deduplicate(docs_frame(spark, rows, extra=True)).collect()
+    want = brute([t for _, t in rows], 400)
+    assert sorted(map(repr, ((g.doc_id, g.n_bytes, g.n_removed, g.n_spans, hashlib.sha256(g.kept).hexdigest()) for g in got))) == \
+        sorted(map(repr, ((i, *w) for (i, _), w in zip(rows, want))))
+    removed = {g.doc_id: g.n_removed for g in got if g.doc_id is not None and g.doc_id < 30}
+    assert all(removed[i] >= len(long) for i in range(1, 30, 3)) and not any(removed[i] for i in range(3, 30, 3))
