@@ -81,6 +81,8 @@ def main(argv=None) -> None:
     p.add_argument("--max-files-per-trigger", type=int, default=1000, help="files of a micro-batch (inbox)")
     p.add_argument("--v1-table", help="the bus carries both wire versions; table of the first one")
     p.add_argument("--summary", help="table of the hourly summary kept by the stream")
+    p.add_argument("--panes", help="table of the alert panes kept by the stream")
+    p.add_argument("--customers", help="table of the customer partials kept by the stream")
     p = sub.add_parser("compact")
     p.add_argument("--table", required=True)
     p.add_argument("--target-mb", type=int, default=256)
@@ -127,13 +129,15 @@ def main(argv=None) -> None:
         for name in ("stream_health", "hourly_performance", "top_stores"):
             SnapshotTable(spark, f"{a.out.rstrip('/')}/{name}").overwrite(getattr(realtime, name)(events, as_of))
     elif a.job == "ingest":
-        from ..streaming import ingest, sources
+        from ..streaming import ingest, partials, sources
         if a.inbox:
             src = sources.text_file_source(spark, a.inbox, a.max_files_per_trigger)
         else:
             src = sources.kafka_source(spark, a.kafka_servers, a.topic,
                                        max_offsets_per_trigger=a.max_offsets_per_trigger)
-        hook = ingest.summary_hook(a.summary) if a.summary else None
+        kept = ((a.summary, ingest.summary_hook), (a.panes, partials.pane_hook), (a.customers, partials.customer_hook))
+        hooks = [make(path) for path, make in kept if path]
+        hook = ingest.all_hooks(*hooks) if hooks else None
         if a.v1_table:
             q = ingest.stream_mixed_ingest(src, a.checkpoint, a.table, a.v1_table, quarantine_path=a.quarantine,
                                            available_now=a.available_now, after_write=hook)

@@ -130,18 +130,3 @@ def sizing_conf(input_bytes: int, total_cores: int) -> dict:
         "spark.sql.files.maxPartitionBytes": str((256 if input_bytes > (1 << 40) else 128) * mb),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
     }
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a stored table exists at ``path``: a folder that holds more
-    than markers (an empty partitioned write has no readable table yet).
-
-    Asked of the file system that Spark itself resolves the path against, so
-    a path without a scheme means the cluster's default file system.
-    """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    at = hadoop.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(at):
-        return False
-    return any(not s.getPath().getName().startswith((".", "_")) for s in fs.listStatus(at))

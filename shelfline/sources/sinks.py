@@ -1,4 +1,4 @@
-"""Sinks: whole-table overwrite, partition overwrite, JDBC."""
+"""Sinks: folder export, JDBC. Stored tables are in ``snapshots``."""
 
 from __future__ import annotations
 
@@ -27,25 +27,6 @@ def rebalanced(df: DataFrame, cols) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def partition_overwrite_sink(df: DataFrame, path: str, partition_by, fmt: str = "parquet",
-                             sort_within=None, rebalance: bool = True) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite): an upsert or incremental merge rewrites what it touched.
-    The new files are staged and swapped in at job commit, so a lost
-    executor only re-runs its tasks and never leaves a half-written
-    partition."""
-    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    if rebalance:
-        df = rebalanced(df, cols)
-    if sort_within:
-        # Clustered files: parquet min/max statistics per row group then let
-        # filters on these columns skip row groups (the columnar stand-in for
-        # a secondary index). A local sort per task, no shuffle.
-        df = df.sortWithinPartitions(*cols, *sort_within)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*cols).format(fmt).save(path))
-
-
 def jdbc_sink(df: DataFrame, url: str, table: str, mode: str = "append",
               properties: dict | None = None, batch_size: int = 10000,
               num_partitions: int | None = None) -> None:

@@ -71,6 +71,18 @@ def summary_hook(summary_path: str):
     return hook
 
 
+def all_hooks(*hooks):
+    """One ``after_write`` hook that calls several; the rows are kept for them."""
+    def hook(rows: DataFrame, batch_key) -> None:
+        kept = rows.persist()
+        try:
+            for each in hooks:
+                each(kept, batch_key)
+        finally:
+            kept.unpersist()
+    return hook
+
+
 def read_summary(spark: SparkSession, summary_path: str, table_path: str | None = None) -> DataFrame:
     """The summary kept by ``summary_hook``; with ``table_path`` only of the
     batches that the event table holds (an abandoned checkpoint may have left

@@ -6,11 +6,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.sources.snapshots import read_table
+from shelfline.sources.snapshots import SnapshotTable, read_table
 from shelfline import schemas as S
 from shelfline.operators.joins import in_partitions
 from shelfline.plans.loader import load_dataset, load_folder
-from shelfline.session import path_exists, scratch_path
+from shelfline.session import scratch_path
 from shelfline.sources import files
 
 
@@ -64,14 +64,19 @@ def test_table_lookup_uses_the_default_file_system(spark, tmp_path):
     conf = spark._jsc.hadoopConfiguration()
     old = conf.get("fs.defaultFS")
     root = scratch_path(spark, "default-fs")
-    spark.range(3).write.parquet(f"{root}/t")
+    SnapshotTable(spark, f"{root}/t").overwrite(spark.range(3))
     bare = root.removeprefix("file://").removeprefix("file:")
-    assert path_exists(spark, f"{bare}/t") and not path_exists(spark, f"{bare}/none")
+
+    def exists(path):
+        return SnapshotTable(spark, path).exists()
+    assert exists(f"{bare}/t") and not exists(f"{bare}/none")
     try:
         conf.set("fs.defaultFS", "viewfs://shop/")
         conf.set("fs.viewfs.mounttable.shop.link./tables", f"file://{bare}")
-        assert path_exists(spark, "/tables/t")
-        assert not path_exists(spark, f"{bare}/t")  # on the local disk only
+        assert exists("/tables/t")
+        assert not exists(f"{bare}/t")  # on the local disk only
+        SnapshotTable(spark, "/tables/u").put(spark.range(2).withColumn("d", F.col("id") % 2), "k", ["d"])
+        assert SnapshotTable(spark, "/tables/u").read().count() == 2
     finally:
         conf.set("fs.defaultFS", old)
 

@@ -201,3 +201,21 @@ def test_drifting_records(spark):
     empty = scratch_path(spark, "nodrift")
     spark.createDataFrame([("x",)], "value string").write.text(empty)
     assert files.json_drifting(spark, empty).columns == []
+
+
+def test_an_ingest_job_keeps_its_models(spark):
+    from shelfline.plans.cli import main
+    root, events = scratch_path(spark, "job"), fx.stream_sales_events(spark, SF001)
+    as_of = fx.as_of(events)
+    fx.to_wire_json(events).select(F.col("value").cast("string").alias("value")).write.text(f"{root}/in")
+    main(["ingest", "--inbox", f"{root}/in", "--table", f"{root}/events", "--checkpoint", f"{root}/_c", "--available-now",
+          "--summary", f"{root}/summary", "--panes", f"{root}/panes", "--customers", f"{root}/customers",
+          "--v1-table", f"{root}/v1"])
+    main(["compact", "--table", f"{root}/events"])
+    want = rt.customer_analytics(events, as_of)
+    assert rows(partials.read_customers(spark, f"{root}/customers", as_of), want.columns) == rows(want)
+    assert partials.read_alerts(spark, f"{root}/panes").count() == stw.stream_inventory_alerts(events).count()
+    cols = [c for c in rt.hourly_summary(events, None).columns if c != "last_updated"]
+    got = sti.read_summary(spark, f"{root}/summary", f"{root}/events")
+    assert rows(got, cols) == rows(rt.hourly_summary(events, None), cols)
+    assert read_table(spark, f"{root}/v1").count() == 0
