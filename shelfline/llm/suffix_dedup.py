@@ -324,10 +324,10 @@ def _hot_spans(edges: DataFrame, spec: Spec) -> DataFrame:
                 out.loc[~all_fit[rows, block], "whole"] = pd.NA
                 yield out
     made = stored(edges.mapInPandas(blocks, "tid long, n int, pos int, block int, core long, whole long"), "suffix-blocks")
-    shared = made.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core")
+    shared = stored(made.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core"), "suffix-cores")
     made = stored(made.join(shared, "core", "left_semi"), "suffix-shared")
-    twice = (made.where("whole is not null").groupBy("whole")
-             .agg(F.count("*").alias("m"), F.min(F.struct(*place, "block")).alias("one")).where("m > 1"))
+    twice = stored(made.where("whole is not null").groupBy("whole")
+                   .agg(F.count("*").alias("m"), F.min(F.struct(*place, "block")).alias("one")).where("m > 1"), "suffix-twice")
     done = made.join(twice.select("whole"), "whole", "left_semi").select(
         "tid", "n", (F.col("pos") - F.least(F.col("block") * BLOCK + BLOCK, F.lit(spec.offsets)) + 1).alias("start"),
         (F.col("pos") - F.col("block") * BLOCK + spec.length).alias("end"))
@@ -348,7 +348,7 @@ def _hot_spans(edges: DataFrame, spec: Spec) -> DataFrame:
                 yield part[place].iloc[rows].assign(offset=offset.astype(np.int32), key=h[rows, offset].view(np.int64))
     counted = stored(edges.drop("hot").join(open_, place)
                      .mapInPandas(windows, "tid long, n int, pos int, offset int, key long"), "suffix-windows")
-    again = counted.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    again = stored(counted.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "suffix-again")
     rest = (counted.join(again, "key", "left_semi").groupBy(*place)
             .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
             .select("tid", "n", (F.col("pos") - F.col("hi")).alias("start"),
