@@ -12,8 +12,9 @@ leaves the table as it was. Two layouts keep an upsert cheap: with
 ``partition_by`` only the partitions the file touches are read and rewritten
 (extracts of a few weeks); with ``buckets`` the table lies in sorted hash
 buckets of its keys, and an upsert shuffles only the file (extracts that touch
-all of it). A file with other columns than the table's is merged by name; one
-that would change a column's type is refused.
+all of it). Columns are matched by name: one that the file lacks keeps its
+stored values, a new one is added (refused with ``partition_by``, as old
+partitions would lack it), and a change of a column's type is refused.
 """
 
 from __future__ import annotations
