@@ -12,19 +12,29 @@ places with equal anchors ("a class"). Per class:
   found twice needs no comparison: all of it goes. Exact copies and the
   inside of long repeats end here, by counting alone.
 * One place of each other neighbourhood carries its bytes to a shard of
-  the index, dealt by class. A shard takes its suffixes in batches. A batch
-  is sorted into a suffix array and merge-scanned against the existing
-  levels for suffixes with the same anchor; their windows are compared;
-  then levels of equal rank merge, so there are never more than about
-  log2(batches) of them.
+  the index, dealt by class. A shard takes its places in batches. A batch is
+  sorted into a suffix array (by the bytes from the anchor) and a prefix
+  array (by the bytes before it, read backwards), and merge-scanned against
+  the existing levels for places of its classes. In the merged order, places
+  whose neighbours have common prefixes of x bytes or more form an interval,
+  so two places hold the same window with its anchor at offset o if they
+  share an interval of the suffixes for ``length - o`` bytes and one of the
+  prefixes for ``o`` bytes. Then levels of equal rank merge, so there are
+  never more than about log2(batches) of them.
 * A class with more than ``hot`` neighbourhoods never meets in a task. Its
   windows are counted instead, in two steps: blocks of 16 windows are
   decided by the string they all share (seen once: none repeats) and by
   the string that holds them all (seen twice: all repeat); only the blocks
   between, at the edges of repeats, are counted window by window.
 
-Windows and neighbourhoods are compared by 64-bit hashes of their bytes and
-texts by a 64-bit hash and their length. Matches never cross documents.
+In the index, bytes are compared; neighbourhoods and the windows of hot
+classes are compared by 64-bit hashes of their bytes, texts by a 64-bit hash
+and their length. Matches never cross documents.
+
+``deduplicate`` takes a whole table. ``SuffixStore`` is the same family kept
+in shared storage for a collection that grows: its levels are tables of
+anchors in sorted buckets, a batch of documents is merge-scanned against
+them, and levels of equal rank merge.
 
 Defined cases: a null text is empty; texts shorter than ``length`` stay as
 they are; repeated rows remove each other; a null id is given back; an
@@ -33,20 +43,25 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import stored
 
 BLOCK = 16  # offsets decided together in a hot class
-HOT = 256
+HOT = 4_096
 SHARD_RECORDS = 4_096
 BATCH_RECORDS = 1_024
+PART_RECORDS = 2_048  # places matched at a time, but whole classes
 SEGMENT = 1 << 22  # bytes of a long text hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -161,78 +176,93 @@ class Contexts:
         return self.strings(starts, starts + self.spec.length)
 
 
+Record = tuple[int, bytes, int]  # class, bytes in the order of the array, number
+
+
 @dataclass
 class SuffixIndex:
-    """Index family of one shard: suffix arrays of geometric sizes.
+    """Index family of one shard: sorted arrays of geometric sizes.
 
-    A record is (class, bytes from the anchor, its number); a suffix array
-    is a sorted list of records.
-    """
+    A level is (rank, suffix array, prefix array): the same places in the
+    order of the bytes from their anchors and of the bytes before them."""
 
     spec: Spec
-    levels: list[tuple[int, list]] = field(default_factory=list)  # (rank, suffix array)
-    records: list[tuple[int, bytes, bytes]] = field(default_factory=list)
+    levels: list[tuple[int, list[Record], list[Record]]] = field(default_factory=list)
+    records: int = 0
     spans: dict[int, tuple[int, int]] = field(default_factory=dict)  # number -> offsets
 
     def add(self, batch: list[tuple[int, bytes, bytes]]) -> None:
-        """Index (class, left, right) records and compare them with all."""
-        first = len(self.records)
-        self.records += batch
-        array = sorted((c, right, first + i) for i, (c, _, right) in enumerate(batch))
-        runs = self._runs(array)
-        for _, level in self.levels:
-            self._scan(runs, level)
-        self._compare([r for r in runs.values() if len(r) > 1])
+        """Index (class, left, right) places and match them with all."""
+        first = self.records
+        self.records += len(batch)
+        suffixes = sorted((c, right, first + i) for i, (c, _, right) in enumerate(batch))
+        prefixes = sorted((c, left[::-1], first + i) for i, (c, left, _) in enumerate(batch))
+        classes = {c for c, _, _ in batch}
+        self._match(self._scan(classes, suffixes, [level[1] for level in self.levels]),
+                    self._scan(classes, prefixes, [level[2] for level in self.levels]))
         rank = 0
         while self.levels and self.levels[-1][0] == rank:
-            array = sorted(self.levels.pop()[1] + array)  # a merge of two sorted runs
+            _, old_suffixes, old_prefixes = self.levels.pop()
+            suffixes, prefixes = sorted(old_suffixes + suffixes), sorted(old_prefixes + prefixes)
             rank += 1
-        self.levels.append((rank, array))
+        self.levels.append((rank, suffixes, prefixes))
 
     @staticmethod
-    def _runs(array: list) -> dict[int, list[int]]:
-        runs: dict[int, list[int]] = {}
-        for c, _, number in array:
-            runs.setdefault(c, []).append(number)
-        return runs
-
-    @staticmethod
-    def _scan(runs: dict[int, list[int]], level: list) -> None:
-        """Merge-scan: both sides are in the order of their classes."""
-        at = 0
-        for c, run in runs.items():
-            while at < len(level) and level[at][0] < c:
-                at += 1
-            while at < len(level) and level[at][0] == c:
-                run.append(level[at][2])
-                at += 1
-
-    def _compare(self, runs: list[list[int]]) -> None:
-        part: list[int] = []
-        for run in runs:
-            part += run
-            if len(part) >= 2_048:
-                self._windows(part)
-                part = []
-        if part:
-            self._windows(part)
-
-    def _windows(self, numbers: list[int]) -> None:
-        rows = [self.records[i] for i in numbers]
-        found = repeated_offsets(Contexts(self.spec, np.array([r[0] for r in rows], np.int64),
-                                          [r[1] for r in rows], [r[2] for r in rows]))
-        for i, lo, hi in found:
-            old = self.spans.get(numbers[i], (lo, hi))
-            self.spans[numbers[i]] = (min(lo, old[0]), max(hi, old[1]))
-
-
-def repeated_offsets(contexts: Contexts) -> list[tuple[int, int, int]]:
-    """(place, least offset, greatest offset) of the places with a window
-    that another place has too. All of a place's windows hold its anchor, so
-    the bytes they cover are one run."""
-    h, fits = contexts.windows()
-    place, offset = np.nonzero(fits)
-    keys = h[place, offset]
+    def _scan(classes: set[int], own: list[Record], levels: list[list[Record]]) -> list[Record]:
+        """One sorted array of a batch and the places of its classes in the
+        levels: all are sorted runs, which ``sorted`` merges. Classes with one
+        place are left out."""
+        array = sorted(chain(own, *([r for r in level if r[0] in classes] for level in levels)))
+        sizes = Counter(r[0] for r in array)
+        return [r for r in array if sizes[r[0]] > 1]
+
+    def _match(self, suffixes: list[Record], prefixes: list[Record]) -> None:
+        start = 0
+        while start < len(suffixes):
+            end = min(len(suffixes), start + PART_RECORDS)
+            while end < len(suffixes) and suffixes[end][0] == suffixes[end - 1][0]:
+                end += 1
+            # Both are in the order of the classes: the slices hold the same places.
+            for number, lo, hi in repeated_offsets(self.spec, suffixes[start:end], prefixes[start:end]):
+                old = self.spans.get(number, (lo, hi))
+                self.spans[number] = (min(lo, old[0]), max(hi, old[1]))
+            start = end
+
+
+def common_prefixes(array: list[Record], width: int) -> np.ndarray:
+    """Length of the common prefix of each record and the next one, of at
+    most ``width`` bytes; -1 between classes."""
+    width = max(1, width)
+    raw = np.frombuffer(b"".join(r[1].ljust(width, b"\0") for r in array), np.uint8).reshape(-1, width)
+    sizes = np.array([len(r[1]) for r in array])
+    classes = np.array([r[0] for r in array], np.int64)
+    differ = raw[1:] != raw[:-1]
+    common = np.where(differ.any(1), differ.argmax(1), width)
+    common = np.minimum(common, np.minimum(sizes[1:], sizes[:-1]))
+    return np.where(classes[1:] == classes[:-1], common, -1)
+
+
+def intervals(common: np.ndarray, needed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each ``needed`` length (a row) and record (a column): the number of
+    the interval of records that share so long a prefix, and whether it holds
+    more than this one."""
+    cut = np.ones((len(needed), len(common) + 2), bool)
+    cut[:, 1:-1] = common < needed[:, None]
+    return np.cumsum(cut[:, :-1], axis=1, dtype=np.int32), ~(cut[:, :-1] & cut[:, 1:])
+
+
+def repeated_offsets(spec: Spec, suffixes: list[Record], prefixes: list[Record]) -> list[tuple[int, int, int]]:
+    """(number, least offset, greatest offset) of the places with a window
+    that another place has too, from their suffix and prefix arrays. All of
+    a place's windows hold its anchor, so the bytes they cover are one run."""
+    offsets, n = np.arange(spec.offsets), len(suffixes)
+    after, shared_after = intervals(common_prefixes(suffixes, spec.length), spec.length - offsets)
+    before, shared_before = intervals(common_prefixes(prefixes, spec.offsets - 1), offsets)
+    number = np.array([r[2] for r in suffixes])
+    rank = np.empty(n, np.int64)  # of each suffix's place among the prefixes
+    rank[np.argsort(number)] = np.argsort(np.array([r[2] for r in prefixes]))
+    place, offset = np.nonzero((shared_after & shared_before[:, rank]).T)
+    keys = (offset * (n + 1) + after[offset, place]) * (n + 1) + before[offset, rank[place]]
     order = np.argsort(keys, kind="stable")
     same = keys[order[1:]] == keys[order[:-1]]
     twice = np.zeros(len(keys), bool)
@@ -243,7 +273,7 @@ def repeated_offsets(contexts: Contexts) -> list[tuple[int, int, int]]:
         return []
     starts = np.concatenate([[0], np.nonzero(np.diff(place))[0] + 1])
     ends = np.concatenate([starts[1:], [len(place)]]) - 1
-    return list(zip(place[starts].tolist(), offset[starts].tolist(), offset[ends].tolist()))
+    return list(zip(number[place[starts]].tolist(), offset[starts].tolist(), offset[ends].tolist()))
 
 
 def _text_key(text: Column) -> list[Column]:
@@ -251,26 +281,29 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("tid"), F.octet_length(text).alias("n")]
 
 
-def anchor_table(docs: DataFrame, spec: Spec) -> DataFrame:
+def long_texts(docs: DataFrame, spec: Spec) -> DataFrame:
+    """(tid, n, text) of the rows that can hold a repeated string."""
+    return docs.select(*_text_key(F.col("text")), "text").where(F.col("n") >= spec.length)
+
+
+def anchor_table(texts: DataFrame, spec: Spec) -> DataFrame:
     """(tid, n, pos, class, around) of every anchor of every text."""
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [spec.anchors(t.encode("utf-8", "replace")) for t in batch["text"]]
             yield pd.DataFrame({"tid": batch["tid"], "n": batch["n"], "class": [f[0].view(np.int64) for f in found],
                                 "around": [f[1].view(np.int64) for f in found], "pos": [f[2].astype(np.int32) for f in found]})
-    long = docs.select(*_text_key(F.col("text")), "text").where(F.col("n") >= spec.length)
-    kept = stored(long.mapInPandas(index, "tid long, n int, class array<long>, around array<long>, pos array<int>"),
+    kept = stored(texts.mapInPandas(index, "tid long, n int, class array<long>, around array<long>, pos array<int>"),
                   "suffix-anchors")
     return (kept.select("tid", "n", F.explode(F.arrays_zip("class", "around", "pos")).alias("a"))
             .select("tid", "n", "a.pos", "a.class", "a.around"))
 
 
-def _edges(docs: DataFrame, needed: DataFrame, spec: Spec) -> DataFrame:
+def _edges(texts: DataFrame, needed: DataFrame, spec: Spec) -> DataFrame:
     """The places of ``needed`` (tid, n, pos, class, hot) with their bytes."""
     per_text = needed.groupBy("tid", "n").agg(F.collect_list(F.struct("pos", "class", "hot")).alias("places"))
     # Copies of a text are reduced in each task, before the shuffle.
-    texts = (docs.select(*_text_key(F.col("text")), "text").where(F.col("n") >= spec.length)
-             .groupBy("tid", "n").agg(F.first("text").alias("text")))
+    texts = texts.groupBy("tid", "n").agg(F.first("text").alias("text"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -356,14 +389,13 @@ def _hot_spans(edges: DataFrame, spec: Spec) -> DataFrame:
     return done.union(rest)
 
 
-def repeated_spans(docs: DataFrame, spec: Spec = Spec(), hot: int = HOT) -> DataFrame:
-    """(tid, n, spans) of the texts with repeated strings; the spans of
-    (start, end) bytes may overlap.
+def repeated_spans(texts: DataFrame, rows: DataFrame, spec: Spec = Spec(), hot: int = HOT) -> DataFrame:
+    """(tid, n, spans) of the ``texts`` with repeated strings, from the anchors
+    ``rows`` in them; the spans of (start, end) bytes may overlap.
 
     Aggregates are stored before the rows they came from are joined to them:
     both sides of a join are then plain exchanges, whose hot partitions (a
     class, a neighbourhood, a text of very many places) AQE splits."""
-    rows = anchor_table(docs, spec)
     classes = rows.groupBy("class").agg(F.count("*").alias("m"), F.min("around").alias("a"), F.max("around").alias("b"))
     classes = stored(classes.where("m > 1").select("class", (F.col("a") != F.col("b")).alias("mixed")), "suffix-classes")
     rows = stored(rows.join(classes, "class"), "suffix-rows")
@@ -377,11 +409,55 @@ def repeated_spans(docs: DataFrame, spec: Spec = Spec(), hot: int = HOT) -> Data
     one = stored(rows.where("mixed").groupBy(*key).agg(F.min(F.struct("tid", "n", "pos")).alias("p")), "suffix-places")
     sizes = stored(one.groupBy("class").agg((F.count("*") > hot).alias("hot")), "suffix-sizes")
     needed = one.join(sizes, "class").select("p.tid", "p.n", "p.pos", "class", "hot")
-    edges = stored(_edges(docs, needed, spec), "suffix-edges")
+    edges = stored(_edges(texts, needed, spec), "suffix-edges")
     spans = whole.union(_indexed_spans(edges.where("not hot"), spec)).union(_hot_spans(edges.where("hot"), spec))
     return spans.groupBy("tid", "n").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
+class SuffixStore:
+    """Index family of a collection that grows, in the shared folder.
+
+    Each level is a table of anchors (tid, n, pos, class, around) in buckets
+    sorted by class; the texts are kept beside, as given. ``levels`` and
+    ``texts`` name the tables, all that a later session needs."""
+
+    def __init__(self, spark: SparkSession, spec: Spec = Spec(), hot: int = HOT, buckets: int | None = None,
+                 levels: list[tuple[int, str]] | None = None, texts: list[str] | None = None):
+        self.spark, self.spec, self.hot = spark, spec, hot
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels, self.texts = list(levels or []), list(texts or [])
+
+    def _write(self, rows: DataFrame, by: str) -> str:
+        name = f"suffix_{uuid.uuid4().hex}"
+        (rows.repartition(self.buckets, by).write.bucketBy(self.buckets, by).sortBy(by)
+         .option("path", scratch_path(self.spark, "suffix-level")).saveAsTable(name))
+        return name
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """Index a batch of documents. Returns (tid, n, spans) of what is
+        repeated now because of it, in its texts and in earlier ones."""
+        texts = long_texts(docs, self.spec)
+        own = self._write(anchor_table(texts, self.spec), "class")
+        rows = self.spark.table(own)
+        classes = rows.select("class").distinct()
+        for _, level in self.levels:
+            rows = rows.unionByName(self.spark.table(level).join(classes, "class", "left_semi").select(*rows.columns))
+        # Copies of a text are reduced in each task, before the shuffle.
+        once = texts.groupBy("tid", "n").agg(F.first("text").alias("text"))
+        self.texts.append(self._write(once, "tid"))
+        known = self.spark.table(self.texts[0])
+        for name in self.texts[1:]:
+            known = known.unionByName(self.spark.table(name))
+        spans = stored(repeated_spans(known, stored(rows, "suffix-scan"), self.spec, self.hot), "suffix-spans")
+        rank = 0
+        while self.levels and self.levels[-1][0] == rank:
+            _, older = self.levels.pop()
+            own = self._write(self.spark.table(older).unionByName(self.spark.table(own)), "class")
+            rank += 1
+        self.levels.append((rank, own))
+        return spans
+
+
 def merged(spans) -> list[tuple[int, int]]:
     """Maximal runs of overlapping or touching (start, end) spans."""
     out: list[tuple[int, int]] = []
@@ -408,7 +484,8 @@ def deduplicate(docs: DataFrame, spec: Spec = Spec(), hot: int = HOT) -> DataFra
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n"], "kept": kept,
                                 "n_removed": removed, "n_spans": count})
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *_text_key(F.col("text")))
-    spans = stored(repeated_spans(docs, spec, hot), "suffix-spans")
+    long = long_texts(docs, spec)
+    spans = stored(repeated_spans(long, anchor_table(long, spec), spec, hot), "suffix-spans")
     return texts.join(spans, ["tid", "n"], "left").mapInPandas(
         remove, "doc_id long, n_bytes long, kept binary, n_removed long, n_spans long")
 

@@ -61,9 +61,54 @@ def test_index_levels_are_geometric():
     index = S.SuffixIndex(S.Spec(48, 20))
     for i in range(11):
         index.add([(j, b"", b"%d" % (i * 10 + j)) for j in range(4)])
-    assert [r for r, _ in index.levels] == [3, 1, 0]
-    assert [len(a) for _, a in index.levels] == [32, 8, 4]
-    assert all(a == sorted(a) for _, a in index.levels)
+    assert [r for r, _, _ in index.levels] == [3, 1, 0]
+    assert [len(a) for _, a, _ in index.levels] == [32, 8, 4]
+    assert all(a == sorted(a) and b == sorted(b) for _, a, b in index.levels)
+
+
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_index_matches_by_suffix_order_whatever_the_batches(batch):
+    """Places of two classes, with bytes that sort low and short contexts at
+    the ends of a text, against the windows themselves."""
+    r = random.Random(batch)
+    spec, places = S.Spec(12, 5), []
+    for c in (3, 5):
+        anchor = bytes([c]) * 5
+        sides = [bytes(r.choice(b"\0\0\0a") for _ in range(r.randint(0, 7))) for _ in range(40)]
+        places += [(c, r.choice(sides), anchor + r.choice(sides)) for _ in range(80)]
+    places.append((9, b"x" * 7, b"y" * 12))
+    index = S.SuffixIndex(spec)
+    for i in range(0, len(places), batch):
+        index.add(places[i:i + batch])
+    windows = {}
+    for i, (c, left, right) in enumerate(places):
+        for o in range(spec.offsets):
+            if o <= len(left) and spec.length - o <= len(right):
+                windows.setdefault((c, left[len(left) - o:] + right[:spec.length - o], o), []).append(i)
+    want = {}
+    for (_, _, o), found in windows.items():
+        for i in found if len(found) > 1 else []:
+            want[i] = (min(o, want.get(i, (o, o))[0]), max(o, want.get(i, (o, o))[1]))
+    assert want and index.spans == want
+
+
+def test_later_batches_join_a_stored_index(spark):
+    """Spans of three batches added one after another equal brute force over
+    all texts; a store opened from its table names goes on."""
+    spec, texts = S.Spec(48, 20), made_texts(8, 45)
+    docs = [(i, t) for i, t in enumerate(texts)]
+    store = S.SuffixStore(spark, spec, hot=8, buckets=2)
+    found = {}
+    for start in range(0, len(docs), 20):
+        if start == 40:
+            store = S.SuffixStore(spark, spec, hot=8, buckets=2, levels=store.levels, texts=store.texts)
+        for row in store.add(docs_frame(spark, docs[start:start + 20])).collect():
+            found.setdefault((row.tid, row.n), []).extend(row.spans)
+    assert [rank for rank, _ in store.levels] == [1, 0]
+    keys = docs_frame(spark, docs).select("doc_id", *S._text_key(S.F.col("text"))).collect()
+    got = {k.doc_id: S.merged(found.get((k.tid, k.n))) for k in keys}
+    want = brute(texts, 48)
+    assert [(sum(b - a for a, b in got[i]), len(got[i])) for i in range(len(texts))] == [(w[1], w[2]) for w in want]
 
 
 def test_empty_table(spark):
