@@ -15,6 +15,13 @@ with joins.
 The sample only shapes the tree; every point is indexed and every link
 within ``max_bits`` is found, so recall is 1.
 
+The tree on the driver has a bounded number of leaves. Shards that hold more
+than ``SHARD_LIMIT`` points are split again in Spark, each by a small tree grown
+in a task on a bounded sample of its points, with the same boundary overlap,
+until none is larger. Points that no vantage point separates (and those left
+after ``MAX_SPLITS`` rounds) are dealt by the pigeonhole principle instead: of
+``max_bits + 1`` blocks of bits, two linked points have one in common.
+
 Defined cases: a text without words (null, empty) has fingerprint zero and
 is linked like any other; a null doc_id counts as the largest id and is
 given back as null (a component of such rows only has a null id); repeated rows are one point; an empty table gives no
@@ -23,7 +30,9 @@ rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -39,6 +48,10 @@ SEED = 42
 SHARD_POINTS = 1_000  # points of a shard before its boundary points
 MAX_SHARDS = 8_192
 SAMPLE_PER_SHARD = 32
+SHARD_LIMIT = 50_000  # points that one task searches, boundary points included
+FAN_OUT = 8  # leaves of the tree that splits a larger shard
+SPLIT_SAMPLE = 2_000  # points that shape such a tree
+MAX_SPLITS = 12
 LEAF_POINTS = 2_000  # points of a shard that are compared in blocks
 NO_ID = (1 << 63) - 1
 
@@ -170,36 +183,87 @@ def link_points(points: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
     return points[linked], centre[linked]
 
 
-def simhash_components(docs: DataFrame, size: int = 3, max_bits: int = 3, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_hash (of the text, to tell rows
-    with the same id apart), fingerprint (long), group (a fingerprint of the
-    component) and component_id (its smallest doc_id)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    slim = stored(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
-                              F.xxhash64(text).alias("text_hash"),
-                              fingerprints(text, size).alias("fingerprint")), "simhash-slim")
-    points = stored(slim.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "simhash-points")
+def _by_tree(points: DataFrame, r: int) -> DataFrame:
+    """(fingerprint, shard) for every shard of one tree that a point belongs to."""
     n = points.count()
     leaves = max(1, min(MAX_SHARDS, -(-n // SHARD_POINTS)))
     # A bounded sample, the same for every run: it only shapes the tree.
     sample = (points.select("fingerprint").orderBy(F.xxhash64("fingerprint"), "fingerprint")
               .limit(leaves * SAMPLE_PER_SHARD).toPandas()["fingerprint"])
-    tree = grow(sample.to_numpy(np.int64).view(np.uint64), leaves, max_bits)
+    tree = grow(sample.to_numpy(np.int64).view(np.uint64), leaves, r)
 
     def to_shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = batch["fingerprint"].to_numpy(np.int64).view(np.uint64)
-            for shard, rows in route(tree, own, max_bits):
+            for shard, rows in route(tree, own, r):
                 if len(rows):
-                    yield batch.iloc[rows].assign(shard=np.int32(shard))
+                    yield batch.iloc[rows].assign(shard=np.int64(shard))
+    return stored(points.select("fingerprint").mapInPandas(to_shards, "fingerprint long, shard long"), "simhash-placed")
+
+
+def _split_shards(placed: DataFrame, r: int) -> DataFrame:
+    """(fingerprint, shard) with the shards over ``SHARD_LIMIT`` points split,
+    so that the ends of every link still meet in a shard."""
+    def plant(shard: pd.DataFrame) -> pd.DataFrame:
+        points = np.sort(shard["fingerprint"].to_numpy(np.int64).view(np.uint64))
+        return pd.DataFrame({"shard": shard["shard"].iloc[:1], "tree": json.dumps(grow(points, FAN_OUT, r))})
 
+    def to_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (shard, tree), rows in batch.groupby(["shard", "tree"]):
+                own = rows["fingerprint"].to_numpy(np.int64)
+                for leaf, at in route(json.loads(tree), own.view(np.uint64), r):
+                    yield pd.DataFrame({"fingerprint": own[at], "shard": shard, "leaf": leaf})
+
+    ready = []
+    for round_ in range(MAX_SPLITS + 1):
+        sizes = stored(placed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_LIMIT),
+                       "simhash-large")
+        if sizes.isEmpty():
+            return reduce(DataFrame.union, ready, placed)
+        large = placed.join(sizes, "shard")
+        ready.append(placed.join(sizes, "shard", "left_anti").select("fingerprint", "shard"))
+        if round_ < MAX_SPLITS:
+            place = F.pmod(F.xxhash64("shard", "fingerprint"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+            trees = large.where(place * F.col("n") < SPLIT_SAMPLE).select("fingerprint", "shard")
+            trees = stored(trees.groupBy("shard").applyInPandas(plant, "shard long, tree string"), "simhash-trees")
+            trees = trees.where("tree like '[%'")  # a node, not one leaf
+            split_ = large.join(trees, "shard").select("fingerprint", "shard", "tree").mapInPandas(
+                to_leaves, "fingerprint long, shard long, leaf int")
+            placed = stored(split_.select("fingerprint", F.xxhash64("shard", "leaf").alias("shard")), "simhash-split")
+            large = large.join(trees, "shard", "left_anti")
+        ready.append(_by_blocks(large, r))
+    return reduce(DataFrame.union, ready)
+
+
+def _by_blocks(large: DataFrame, r: int) -> DataFrame:
+    """The points dealt by each of r + 1 blocks of their bits."""
+    cuts = [64 * i // (r + 1) for i in range(r + 2)]
+    blocks = [F.shiftrightunsigned(F.shiftleft("fingerprint", 64 - b), 64 - b + a) for a, b in zip(cuts, cuts[1:])]
+    keys = F.array(*[F.xxhash64("shard", F.lit(i), b) for i, b in enumerate(blocks)])
+    return large.select("fingerprint", F.explode(keys).alias("shard"))
+
+
+def find_links(points: DataFrame, r: int) -> DataFrame:
+    """(a, b) edges that connect the different fingerprints of ``points``
+    linked within ``r`` bits: a star per shard and group."""
     def search(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = link_points(group["fingerprint"].to_numpy(np.int64).view(np.uint64), max_bits)
+        a, b = link_points(group["fingerprint"].to_numpy(np.int64).view(np.uint64), r)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+    return _split_shards(_by_tree(points, r), r).groupBy("shard").applyInPandas(search, "a long, b long")
+
 
-    placed = points.select("fingerprint").mapInPandas(to_shards, "fingerprint long, shard int")
-    found = components(placed.groupBy("shard").applyInPandas(search, "a long, b long"))
+def simhash_components(docs: DataFrame, size: int = 3, max_bits: int = 3, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, text_hash (of the text, to tell rows
+    with the same id apart), fingerprint (long), group (a fingerprint of the
+    component) and component_id (its smallest doc_id)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    slim = stored(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                              F.xxhash64(text).alias("text_hash"),
+                              fingerprints(text, size).alias("fingerprint")), "simhash-slim")
+    points = stored(slim.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "simhash-points")
+    found = components(find_links(points, max_bits))
     grouped = stored(points.join(found, points["fingerprint"] == found["node"], "left").select(
         "fingerprint", "id", F.coalesce("component", "fingerprint").alias("group")), "simhash-groups")
     smallest = grouped.groupBy("group").agg(F.min("id").alias("component_id"))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pytest
 from conftest_llm import SF001, docs_frame, odd_rows, table
 from pyspark.sql import functions as F
 
@@ -111,6 +112,25 @@ def test_vantage_point_search_finds_every_link(monkeypatch):
     assert len({find(i) for i in range(len(points))}) == len(set(label)) > 30
 
 
+@pytest.mark.parametrize("splits", [0, 6])
+def test_large_shards_are_split_again(spark, monkeypatch, splits):
+    """A tree of two leaves over spread groups and one dense cluster that no
+    vantage point separates: all links are found, whatever splits them."""
+    for name, value in {"SHARD_POINTS": 100, "MAX_SHARDS": 2, "SHARD_LIMIT": 40, "MAX_SPLITS": splits}.items():
+        monkeypatch.setattr(simhash, name, value)
+    r = np.random.default_rng(5)
+    bit = lambda k: np.bitwise_or.reduce(np.uint64(1) << r.integers(0, 64, k).astype(np.uint64), initial=np.uint64(0))
+    seeds = r.integers(0, 1 << 64, 60, dtype=np.uint64)
+    spread = [s ^ bit(r.integers(0, 4)) for s in seeds for _ in range(4)]
+    points = np.unique(np.array([*seeds, *spread, *(seeds[0] ^ bit(2) for _ in range(150))], np.uint64))
+    frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fingerprint long")
+    shards = simhash._split_shards(simhash._by_tree(frame, 3), 3).groupBy("shard").count().collect()
+    assert len(shards) > 8
+    found = {c.node: c.component for c in components.components(simhash.find_links(frame, 3)).collect()}
+    label, group = brute.groups(points), [found.get(int(p), int(p)) for p in points.view(np.int64)]
+    assert len(set(label)) == len(set(group)) == len(set(zip(label, group))) > 30
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(5, 5), (200, 100)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
