@@ -55,26 +55,29 @@ def csv_source(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def land_csv(df: DataFrame, path: str) -> None:
-    """Write ``df`` as the one CSV file ``path`` (header, NA for NULL), as a
-    source system lands an extract. For small tables: one task writes it."""
+    """Land ``df`` as the CSV extract ``path`` (header, NA for NULL): a folder
+    of part files, each written by the task that holds its rows. It appears
+    under its name when it is whole."""
     spark = df.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder, target = hadoop.Path(f"{path}-parts"), hadoop.Path(path)
-    df.coalesce(1).write.option("header", True).option("nullValue", "NA").csv(folder.toString())
+    df.write.option("header", True).option("nullValue", "NA").csv(folder.toString())
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
-    if not fs.rename(part, target):
+    if fs.exists(target) or not fs.rename(folder, target):
         raise OSError(f"{path} could not be put in place")
-    fs.delete(folder, True)
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> list[str]:
-    """Paths of the files in ``folder`` matching ``glob``, on any file
-    system Spark reads. Only the file listing is read (the content column
-    is pruned away), and the list is as long as the number of files."""
+    """Paths in ``folder`` matching ``glob``: files, and folders of part files
+    (an extract that several tasks wrote), on any file system Spark reads.
+    Only names are read, and the list is as long as their number."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .load(folder).select("path"))
-    return sorted(r["path"] for r in listing.collect())
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    folders = [s.getPath() for s in found if s.isDirectory()]
+    return sorted([r["path"] for r in listing.collect()]
+                  + [p.toString() for p in folders if not p.getName().startswith(("_", "."))])
 
 
 def route_csv(path: str, configs: dict = S.RAW_TABLES) -> str | None:
@@ -86,7 +89,8 @@ def route_csv(path: str, configs: dict = S.RAW_TABLES) -> str | None:
 
 
 def csv_routing(spark: SparkSession, folder: str, configs: dict = S.RAW_TABLES) -> dict:
-    """Every configured ``*.csv`` in ``folder`` -> (table name, DataFrame)."""
+    """Every configured ``*.csv`` (a file, or a folder of part files) in
+    ``folder`` -> (table name, DataFrame)."""
     out = {}
     for path in list_files(spark, folder, "*.csv"):
         table = route_csv(path, configs)

@@ -9,7 +9,7 @@ import pytest
 from conftest import rows
 from shelfline import schemas as S
 from shelfline.operators import upsert as up
-from shelfline.plans.loader import load_dataset
+from shelfline.plans.loader import load_dataset, load_folder
 from shelfline.session import scratch_path
 from shelfline.sources import files
 from shelfline.sources.snapshots import read_table
@@ -104,6 +104,22 @@ def test_csv_routing_skips_unknown(spark, tmp_path):
     assert routed["raw_stores"].first()["Size"] == 151315
 
 
+def test_csv_extract_is_landed_by_all_its_tasks(spark, tmp_path):
+    folder = str(tmp_path)
+    landed = spark.createDataFrame([(i, "A" if i % 2 else None, i * 10) for i in range(40)],
+                                   "Store int, Type string, Size int").repartition(4)
+    files.land_csv(landed, f"{folder}/Stores.csv")
+    (tmp_path / "notes.csv").write_text("a\n1\n")
+    assert len(list((tmp_path / "Stores.csv").glob("part-*.csv"))) == 4
+    assert [p.rsplit("/", 1)[-1] for p in files.list_files(spark, folder)] == ["Stores.csv", "notes.csv"]
+    routed = files.csv_routing(spark, folder)
+    assert list(routed) == ["raw_stores"] and rows(routed["raw_stores"]) == rows(landed)
+    report = load_folder(spark, folder, scratch_path(spark, "landed"))[0]
+    assert (report["file_processed"], report["final_count"]) == ("Stores.csv", 40)
+    with pytest.raises(OSError):
+        files.land_csv(landed, f"{folder}/Stores.csv")
+
+
 def test_missing_file_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         files.csv_dataset(spark, str(tmp_path / "sales.csv"), "raw_sales").collect()
