@@ -543,15 +543,22 @@ def q_stream_customer_analytics(spark, d):
     return stp.read_customers(spark, path, _as_of(spark, d))
 
 
-def _mixed_bus(spark, d) -> str:
-    """Both wire versions on one bus, in two drops."""
-    root = scratch_path(spark, "mixed")
+def _mixed_messages(spark, d) -> DataFrame:
+    """The messages of both wire versions. They are bound by a one-row
+    generator: a filter then reads the text, where else the making of each
+    message is copied into it."""
     v1 = fx.wire_events_v1_json(spark, d).select(F.col("value").cast("string").alias("value"))
     v2 = fx.dirty_wire_json(spark, d).select(F.col("value").cast("string").alias("value"))
+    return v1.unionByName(v2).select(F.inline(F.array(F.struct("value"))))
+
+
+def _mixed_bus(spark, d) -> str:
+    """Both wire versions on one bus, in two drops."""
+    root, both = scratch_path(spark, "mixed"), _mixed_messages(spark, d)
     half = F.xxhash64("value") % 2 == 0
     src = sts.text_file_source(spark, f"{root}/inbox/*")
     for i, part in enumerate((half, ~half)):
-        v1.where(part).unionByName(v2.where(part)).write.text(f"{root}/inbox/{i}")
+        both.where(part).write.text(f"{root}/inbox/{i}")
         sti.stream_mixed_ingest(src, f"{root}/_checkpoint", f"{root}/events", f"{root}/events_v1",
                                 quarantine_path=f"{root}/quarantine", available_now=True).awaitTermination()
     return root

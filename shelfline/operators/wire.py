@@ -27,14 +27,19 @@ def parse_wire(df: DataFrame, value_col: str = "value", keep: tuple = ()) -> Dat
     return bound.withColumn(VERSION, version)
 
 
-def wire_columns(schema: StructType) -> list[Column]:
+def wire_columns(schema: StructType, where: Column | None = None) -> list[Column]:
     """The fields of ``schema`` from the VARIANT; one that is absent or of
-    another type is NULL."""
-    return [F.try_variant_get(MESSAGE, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    another type is NULL, and so are all of messages that are not ``where``."""
+    found = [(f.name, F.try_variant_get(MESSAGE, f"$.{f.name}", f.dataType.simpleString())) for f in schema.fields]
+    return [(c if where is None else F.when(where, c)).alias(name) for name, c in found]
 
 
-def events_v1(messages: DataFrame, keep: tuple = ()) -> DataFrame:
-    """First-generation events in their stored form (time and money typed)."""
-    rows = messages.where(F.col(VERSION) == 1).select(*keep, *wire_columns(S.EVENT_V1_WIRE))
+def typed_v1(rows: DataFrame, keep: tuple = ()) -> DataFrame:
+    """First-generation fields in their stored form (time and money typed)."""
     return rows.select(*keep, "event_id", F.col("event_time").try_cast("timestamp").alias("event_time"), "product_id",
                        "quantity", F.col("price").try_cast(S.MONEY).alias("price"))
+
+
+def events_v1(messages: DataFrame, keep: tuple = ()) -> DataFrame:
+    """First-generation events in their stored form."""
+    return typed_v1(messages.where(F.col(VERSION) == 1).select(*keep, *wire_columns(S.EVENT_V1_WIRE)), keep)

@@ -24,7 +24,7 @@ batch that was not stored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -105,34 +105,56 @@ def id_index(spark: SparkSession, table_path: str) -> IdIndex:
     return IdIndex(spark, f"{table_path.rstrip('/')}/_ids")
 
 
+def _checked(rows: DataFrame, contract: S.Contract, where: Column | None = None) -> DataFrame:
+    """Typed rows with the rules they break (NULL for rows not ``where``);
+    only rejected rows keep their raw text, so what a batch holds in memory
+    is its typed columns."""
+    checked = ev.contract_check(rows, contract)
+    if where is not None:
+        checked = checked.withColumn("failed_rules", F.when(where, F.col("failed_rules")))
+    return checked.withColumn(RAW_COL, F.when(F.size("failed_rules") > 0, F.col(RAW_COL)))
+
+
 def _store_batch(rows: DataFrame, key: str, table_path: str, quarantine_path: str | None, contract: S.Contract,
                  dedupe_against_table: bool, after_write=None) -> None:
     """Check, dedupe and store one micro-batch of typed rows under ``key``."""
-    spark = rows.sparkSession
+    if key in SnapshotTable(rows.sparkSession, table_path).keys():
+        return
+    checked = _checked(rows, contract).persist()
+    try:
+        _store_checked(checked, key, table_path, quarantine_path, dedupe_against_table, after_write)
+    finally:
+        checked.unpersist()
+
+
+def _store_checked(checked: DataFrame, key: str, table_path: str, quarantine_path: str | None,
+                   dedupe_against_table: bool, after_write=None) -> None:
+    """Dedupe and store the checked rows of a micro-batch under ``key``."""
+    spark = checked.sparkSession
     table, index = SnapshotTable(spark, table_path), id_index(spark, table_path)
     committed = table.keys()
     if key in committed:
         return
-    checked = ev.contract_check(rows, contract).persist()
-    new = None
+    ok = F.size("failed_rules") == 0
+    if quarantine_path:
+        checked.where(~ok).write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={key}")
+    new = _first_arrivals(checked.where(ok).drop("failed_rules", RAW_COL)).withColumn(DATE_COL, F.to_date("event_time"))
+    kept = []
     try:
-        ok = F.size("failed_rules") == 0
-        if quarantine_path:
-            checked.where(~ok).write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={key}")
-        new = _first_arrivals(checked.where(ok).drop("failed_rules", RAW_COL)).withColumn(DATE_COL, F.to_date("event_time"))
         if dedupe_against_table:
             # Kept for the lookup of stored ids and the writes (a micro-batch
             # is bounded by the trigger, e.g. maxOffsetsPerTrigger).
-            first = new.persist()
-            new = index.drop_stored(first, committed)
+            kept.append(new.persist())
+            new = index.drop_stored(new, committed)
+            if new is not kept[0]:
+                kept.append(new.persist())  # looked up once, for all writes
             index.add(new, key)
         if after_write is not None:
             after_write(new, key)
         table.put(new, key, [DATE_COL], sort_within=["store_id", "event_time"])
     finally:
-        checked.unpersist()
-        if dedupe_against_table and new is not None:
-            first.unpersist()
+        for rows in reversed(kept):
+            rows.unpersist()
 
 
 def _batch_writer(checkpoint: str, table_path: str, quarantine_path: str | None, contract: S.Contract,
@@ -143,20 +165,30 @@ def _batch_writer(checkpoint: str, table_path: str, quarantine_path: str | None,
     return write
 
 
+FIRST = "first_generation"  # the typed event of a first-generation message
+
+
+def _mixed_rows(messages: DataFrame, contract: S.Contract) -> DataFrame:
+    """Parsed messages of both versions as typed rows: a first-generation
+    event is in ``FIRST``, all others are checked. The VARIANT is let go."""
+    first = F.coalesce(F.col(wire.VERSION) == 1, F.lit(False))
+    typed = messages.select(RAW_COL, F.when(first, F.struct(*wire.wire_columns(S.EVENT_V1_WIRE))).alias(FIRST),
+                            *wire.wire_columns(S.EVENT_V2_WIRE, ~first))
+    rows = ev.event_projection(ev.cast_event_time(typed), keep=(RAW_COL, FIRST))
+    return _checked(rows, contract, F.col(FIRST).isNull())
+
+
 def _mixed_writer(checkpoint: str, table_path: str, v1_path: str, quarantine_path: str | None, contract: S.Contract,
                   after_write=None):
     def write(batch: DataFrame, epoch_id: int) -> None:
         key = epoch_key(batch.sparkSession, checkpoint, epoch_id)
-        messages = batch.persist()
+        rows = _mixed_rows(batch, contract).persist()
         try:
-            first = wire.events_v1(messages).withColumn(DATE_COL, F.to_date("event_time"))
-            SnapshotTable(batch.sparkSession, v1_path).put(first, key, [DATE_COL])
-            rest = messages.where(F.coalesce(F.col(wire.VERSION) != 1, F.lit(True)))
-            parsed = rest.select(RAW_COL, *wire.wire_columns(S.EVENT_V2_WIRE))
-            rows = ev.event_projection(ev.cast_event_time(parsed), keep=(RAW_COL,))
-            _store_batch(rows, key, table_path, quarantine_path, contract, True, after_write)
+            first = wire.typed_v1(rows.where(F.col(FIRST).isNotNull()).select(f"{FIRST}.*"))
+            SnapshotTable(batch.sparkSession, v1_path).put(first.withColumn(DATE_COL, F.to_date("event_time")), key, [DATE_COL])
+            _store_checked(rows.where(F.col(FIRST).isNull()).drop(FIRST), key, table_path, quarantine_path, True, after_write)
         finally:
-            messages.unpersist()
+            rows.unpersist()
     return write
 
 

@@ -162,6 +162,30 @@ def test_mixed_bus_keeps_every_message(spark):
     assert rows(read_table(spark, f"{root}/v1").select(*want.columns)) == rows(want)
 
 
+def test_mixed_batch_holds_typed_rows_only(spark):
+    good = fx.wire_events_json(spark, SF001).limit(3)
+    v1 = fx.wire_events_v1_json(spark, SF001).limit(2)
+    odd = spark.createDataFrame([("no json",), (None,), ("{}",)], "value string")
+    texts = [f.select(F.col("value").cast("string").alias("value")) for f in (good, v1, odd)]
+    messages = texts[0].unionByName(texts[1]).unionByName(texts[2]).withColumn(sti.RAW_COL, F.col("value"))
+    held = sti._mixed_rows(wire.parse_wire(messages, keep=(sti.RAW_COL,)), S.SALES_EVENT_CONTRACT)
+    assert wire.MESSAGE not in held.columns
+    seen = [(r.failed_rules and bool(r.failed_rules), r[sti.RAW_COL], r[sti.FIRST] is not None, r.event_id is not None) for r in held.collect()]
+    assert sorted(seen, key=repr) == sorted([([], None, False, True)] * 3 + [(None, None, True, False)] * 2 + [
+        (True, "no json", False, False), (True, None, False, False), (True, "{}", False, False)], key=repr)
+
+
+def test_a_filter_on_mixed_messages_does_not_make_them_again(spark):
+    from shelfline import catalog
+    half = catalog._mixed_messages(spark, SF001).where(F.xxhash64("value") % 2 == 0)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        text = half._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert text.count("StructsToJson") == 2
+
+
 def test_defaults_fill_absent_columns_in_the_ingest(spark):
     from pyspark.sql.types import StructType
     schema = StructType([f for f in S.EVENT_V2_WIRE.fields if f.name not in ("payment_method", "promotion_applied")])
