@@ -52,7 +52,8 @@ def by_subword(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """The different ids and the sums of their rows."""
     if not len(ids):
         return np.zeros(0, np.int64), rows
-    order = np.argsort(ids, kind="stable")
+    # A stable sort of 16-bit numbers goes by digits, without comparisons.
+    order = np.argsort(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids, kind="stable")
     ids = ids[order]
     first = np.concatenate([[0], np.nonzero(ids[1:] != ids[:-1])[0] + 1])
     return ids[first], np.add.reduceat(rows[order], first, axis=0)
@@ -115,23 +116,28 @@ class Model:
         n = len(x)
         own = np.ascontiguousarray(e[:, CONTEXT:])
         flat = own.reshape(-1, DIM)
-        q, k = (flat @ p["q"]).reshape(n, STRIDE, KEY), (e.reshape(-1, DIM) @ p["k"]).reshape(n, WINDOW, KEY)
-        s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(1 / np.sqrt(KEY))
+        q, k = flat @ (p["q"] * np.float32(1 / np.sqrt(KEY))), e.reshape(-1, DIM) @ p["k"]
+        s = q.reshape(n, STRIDE, KEY) @ k.reshape(n, WINDOW, KEY).transpose(0, 2, 1)
         s += self.mask
-        s += np.where(x == self.vocab, np.float32(-1e9), np.float32(0))[:, None]
-        s -= s.max(axis=2, keepdims=True)
+        pad = x == self.vocab
+        rows = np.nonzero(pad.any(1))[0]
+        s[rows] += np.where(pad[rows], np.float32(-1e9), np.float32(0))[:, None]
+        # A maximum is taken only where exp() could overflow; sums of short
+        # rows are products with ones.
+        if n and (q * q).sum(1).max() * (k * k).sum(1).max() > 40 ** 2:
+            s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
+        s /= (s @ np.ones(WINDOW, np.float32))[..., None]
         v = (e.reshape(-1, DIM) @ p["v"]).reshape(n, WINDOW, DIM)
         h = own + s @ v
         a = np.maximum(h.reshape(-1, DIM) @ p["w1"] + p["b1"], 0)
         o = h.reshape(-1, DIM) + a @ p["w2"]
         z = (o @ p["g"] + p["bg"]).reshape(n, STRIDE, EXPERTS)
         a, o = a.reshape(n, STRIDE, HIDDEN), o.reshape(n, STRIDE, DIM)
-        z -= z.max(axis=2, keepdims=True)
+        if n and (z.max() > 60 or z.min() < -60):
+            z -= z.max(axis=2, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=2, keepdims=True)
+        z /= (z @ np.ones(EXPERTS, np.float32))[..., None]
         return {"e": e, "s": s, "v": v, "h": h, "a": a, "o": o, "gate": z}
 
     def _mixed(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -214,7 +220,7 @@ class Model:
         dv = flat(turned @ dh3)
         # The sum over a row of ds * s is dh . (s @ v), and s @ v is h - own.
         own = np.ascontiguousarray(f["e"][:, CONTEXT:]).reshape(-1, DIM)
-        ds -= ((h - own) * dh).sum(1).reshape(n, STRIDE, 1)
+        ds -= (((h - own) * dh) @ np.ones(DIM, np.float32)).reshape(n, STRIDE, 1)
         ds *= s
         ds *= scale
         q, k = (own @ p["q"]).reshape(n, STRIDE, KEY), (e @ p["k"]).reshape(n, WINDOW, KEY)
@@ -227,7 +233,7 @@ class Model:
 
     def _responsibility(self, f: dict[str, np.ndarray], y: np.ndarray) -> np.ndarray:
         joint = f["gate"] * self.experts[np.maximum(y, 0)]
-        joint /= np.maximum(joint.sum(2, keepdims=True), 1e-30)
+        joint /= np.maximum(joint @ np.ones(EXPERTS, np.float32), 1e-30)[..., None]
         return joint
 
     def add_sums(self, texts: list[np.ndarray], sums: Sums, batch: int = 256) -> None:

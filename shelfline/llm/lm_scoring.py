@@ -9,11 +9,12 @@ subword ids of its words and one end, in overlapping windows.
 Counts come from a grouped sum with a map-side partial count. At most
 ``FREQUENT`` words can hold more than a ``1 / FREQUENT`` share of all
 tokens; only those are broadcast, so the broadcast is bounded whatever the
-corpus. The one pass over the texts adds up their terms and hands on the
-other words, which meet their counts in a shuffle join; by their definition
-none of them is a hot key.
+corpus. The one pass over the texts stores their subword ids, which the
+training and the scoring read, adds up their terms and hands on the other
+words, which meet their counts in a shuffle join; by their definition none of
+them is a hot key.
 
-The model learns from every training document. Their subword ids are
+The model learns from every training document. The subword ids are
 stored in rounds dealt by hash, each a little larger than the one before.
 For a round the parameters are broadcast, the tasks add up gradients and the
 responsibilities by subword and expert, these sums are added by key with a
@@ -113,22 +114,39 @@ def _ids(column: pd.Series) -> list[np.ndarray]:
     return [np.frombuffer(i, "<u2").astype(np.int32) for i in column]
 
 
-def _encoded(docs: DataFrame, model_path: str, rounds: int) -> DataFrame:
-    """round and subword ids of every document; round r gets a share
-    proportional to r + 1."""
+ENCODED = ("round int, row_id long, doc_id long, held_out boolean, n_tokens long, n_frequent long, "
+           "frequent_score double, others array<string>, ids binary")
+
+
+def _encoded(docs: DataFrame, model_path: str, rounds: int, terms: dict[str, float], out: Column) -> DataFrame:
+    """Every document in one pass over its text: subword ids, the sum of the
+    ``terms`` of its words, its other words, and its round. Round r gets a
+    share proportional to r + 1; held ``out`` documents are in round -1."""
     place = F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
     share = F.pmod(place, F.lit(1 << 30)) / F.lit(float(1 << 30))
     number = F.floor((F.sqrt(1 + 4 * share * F.lit(float(rounds * (rounds + 1)))) - 1) / 2)
+    number = F.least(number, F.lit(rounds - 1)).cast("int")
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = subwords(model_path)
+        own, get = subwords(model_path), shared.value.get
+        next_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a in range(0, len(batch), 512):
                 rows = batch.iloc[a:a + 512]
-                ids = own.ids([split_words(t) for t in rows["text"]])
-                yield pd.DataFrame({"round": rows["round"], "ids": [i.astype("<u2").tobytes() for i in ids]})
-    numbered = docs.select(F.least(number, F.lit(rounds - 1)).cast("int").alias("round"), "text")
-    return stored(numbered.mapInPandas(encode, "round int, ids binary"), "lm-ids", by=("round",))
+                texts = [split_words(t) for t in rows["text"]]
+                ids = [i for x, y in _chunks(texts) for i in own.ids(texts[x:y])]
+                found = [list(map(get, [*t, END])) for t in texts]
+                others = [[w for w, x in zip([*t, END], f) if x is None] for t, f in zip(texts, found)]
+                yield pd.DataFrame({
+                    "round": rows["round"].array, "row_id": np.arange(next_id, next_id + len(rows)),
+                    "doc_id": rows["doc_id"].array, "held_out": rows["held_out"].array,
+                    "n_tokens": [len(t) + 1 for t in texts], "n_frequent": [len(f) - len(o) for f, o in zip(found, others)],
+                    "frequent_score": [sum(x for x in f if x is not None) for f in found],
+                    "others": others, "ids": [i.astype("<u2").tobytes() for i in ids]})
+                next_id += len(rows)
+    numbered = docs.select("doc_id", out.alias("held_out"), F.when(out, -1).otherwise(number).alias("round"), "text")
+    return stored(numbered.mapInPandas(encode, ENCODED), "lm-encoded", by=("round",))
 
 
 def _subword_counts(encoded: DataFrame, vocab: int) -> np.ndarray:
@@ -136,8 +154,7 @@ def _subword_counts(encoded: DataFrame, vocab: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = np.zeros(vocab, np.int64)
         for batch in batches:
-            for i in _ids(batch["ids"]):
-                np.add.at(out, i, 1)
+            out += np.bincount(np.frombuffer(b"".join(batch["ids"]), "<u2"), minlength=vocab)
             out[EOS] += len(batch)
         at = np.nonzero(out)[0]
         yield pd.DataFrame({"subword": at.astype(np.int32), "c": out[at]})
@@ -181,9 +198,13 @@ def train_model(docs: DataFrame, model_path: str, sample_docs: int | None = None
                 rate: float = RATE) -> Model:
     """The attention model, trained on all of ``docs`` in ``steps`` rounds.
     (``sample_docs`` is there for older callers: nothing is sampled.)"""
+    return _trained(_encoded(docs, model_path, steps, {}, F.lit(False)), model_path, steps, rate)
+
+
+def _trained(encoded: DataFrame, model_path: str, steps: int, rate: float = RATE) -> Model:
+    """The model trained on the rounds of ``encoded``."""
     vocab = subwords(model_path).model.get_piece_size()
-    encoded = _encoded(docs, model_path, steps)
-    counts = _subword_counts(encoded, vocab)
+    counts = _subword_counts(encoded.where(F.col("round") >= 0), vocab)
     tokens = int(counts.sum())
     model = Model(vocab)
     if not tokens:
@@ -209,7 +230,7 @@ def _chunks(texts: list) -> Iterator[tuple[int, int]]:
 
 
 SCORED = ("row_id long, doc_id long, held_out boolean, n_tokens long, n_frequent long, frequent_score double, "
-          "score double, others array<string>")
+          "score double")
 
 
 def score_documents(docs: DataFrame, model_path: str, frequent: int = FREQUENT,
@@ -224,36 +245,23 @@ def score_documents(docs: DataFrame, model_path: str, frequent: int = FREQUENT,
     steps = steps or min(MAX_ROUNDS, max(MIN_ROUNDS, n // ROUND_WORDS))
     # At most ``frequent`` rows, by the share that each of them holds.
     top = {w: c for w, c in counts.where(F.col("c") * frequent > n).collect()}
-    shared = spark.sparkContext.broadcast((
-        train_model(training, model_path, sample_docs, steps, **fit),
-        {w: float(np.log10((c + 1) / (n + v + 1))) for w, c in top.items()}))
+    encoded = _encoded(docs, model_path, steps, {w: float(np.log10((c + 1) / (n + v + 1))) for w, c in top.items()},
+                       held_out(F.col("doc_id")))
+    shared = spark.sparkContext.broadcast(_trained(encoded, model_path, steps, **fit))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, terms = shared.value
-        own, get = subwords(model_path), terms.get
-        next_id = TaskContext.get().partitionId() << 40
+        model = shared.value
         for batch in batches:
-            for a in range(0, len(batch), 512):
-                rows = batch.iloc[a:a + 512]
-                texts = [split_words(t) for t in rows["text"]]
-                scores = np.concatenate([model.score(own.ids(texts[i:j])) for i, j in _chunks(texts)])
-                found = [list(map(get, [*t, END])) for t in texts]
-                others = [[w for w, x in zip([*t, END], f) if x is None] for t, f in zip(texts, found)]
-                yield pd.DataFrame({
-                    "row_id": np.arange(next_id, next_id + len(rows)), "doc_id": rows["doc_id"].array,
-                    "held_out": rows["held_out"].array, "n_tokens": [len(t) + 1 for t in texts],
-                    "n_frequent": [len(f) - len(o) for f, o in zip(found, others)],
-                    "frequent_score": [sum(x for x in f if x is not None) for f in found],
-                    "score": scores, "others": others})
-                next_id += len(rows)
+            ids = _ids(batch.pop("ids"))
+            scores = [model.score(ids[i:j]) for i, j in _chunks(ids)]
+            yield batch.assign(score=np.concatenate([*scores, np.zeros(0)]))
 
-    scored = stored(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-                    .mapInPandas(score, SCORED), "lm-scored")
+    scored = stored(encoded.drop("round", "others").mapInPandas(score, SCORED), "lm-scored")
     rare = counts.where(F.col("c") * frequent <= n)
-    other = (scored.select("row_id", F.explode("others").alias("word")).join(rare, "word", "left")
+    other = (encoded.select("row_id", F.explode("others").alias("word")).join(rare, "word", "left")
              .groupBy("row_id").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n + v + 1)))).alias("other_score"),
                                     F.count("c").alias("n_other")))
-    return (scored.drop("others").join(other, "row_id", "left")
+    return (scored.join(other, "row_id", "left")
             .select("doc_id", "held_out", "n_tokens",
                     (F.col("n_frequent") + F.coalesce("n_other", F.lit(0))).alias("n_known"),
                     F.lit(n).cast("long").alias("train_tokens"),

@@ -235,6 +235,21 @@ def test_lm_learns_from_every_training_document(spark):
     assert (model.experts[seen].max(1) > 2 * lm.FLOOR / model.vocab).all()
 
 
+def test_lm_encodes_each_text_once(spark):
+    rows = [(i, f"apple river {i} window") for i in range(40)] + [(3, "apple river 3 window"), (50, None), (51, "")]
+    out = lm_scoring.held_out(F.col("doc_id"))
+    docs = docs_frame(spark, rows)
+    got = lm_scoring._encoded(docs, MODEL, 3, {"apple": -1.0, "river": -2.0}, out).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows) and len({r.row_id for r in got}) == len(rows)
+    assert all((r.round == -1) == r.held_out and r.round < 3 for r in got) and any(r.held_out for r in got)
+    own = lm_scoring.subwords(MODEL)
+    for r in got:
+        words = lm_scoring.split_words(dict(rows)[r.doc_id])
+        assert bytes(r.ids) == own.ids([words])[0].astype("<u2").tobytes()
+        assert (r.n_tokens, r.n_frequent, r.frequent_score) == (len(words) + 1, 2 if words else 0, -3.0 if words else 0)
+        assert r.others == [*words[2:], lm_scoring.END]
+
+
 def test_lm_sums_of_tasks_are_those_of_all_texts(spark):
     r = np.random.default_rng(4)
     texts = [r.integers(3, 200, r.integers(0, 90)).astype(np.int32) for _ in range(50)]
