@@ -48,15 +48,17 @@ def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray,
     return x[rows[:, None] + np.arange(WINDOW)], y.reshape(n, STRIDE), counts
 
 
-def by_subword(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different ids and the sums of their rows."""
+def by_subword(ids: np.ndarray, rows: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids and the sums of their rows (those ``at`` places)."""
     if not len(ids):
-        return np.zeros(0, np.int64), rows
+        return np.zeros(0, np.int64), rows[:0]
     # A stable sort of 16-bit numbers goes by digits, without comparisons.
     order = np.argsort(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids, kind="stable")
     ids = ids[order]
     first = np.concatenate([[0], np.nonzero(ids[1:] != ids[:-1])[0] + 1])
-    return ids[first], np.add.reduceat(rows[order], first, axis=0)
+    rows = np.ascontiguousarray(rows, np.float32).take(order if at is None else at[order], axis=0)
+    # Two numbers at a time: complex numbers add up by their parts.
+    return ids[first], np.add.reduceat(rows.view(np.complex64), first, axis=0).view(np.float32)
 
 
 class Sums:
@@ -140,41 +142,56 @@ class Model:
         z /= (z @ np.ones(EXPERTS, np.float32))[..., None]
         return {"e": e, "s": s, "v": v, "h": h, "a": a, "o": o, "gate": z}
 
-    def _mixed(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """The same as ``forward``, for scoring: the probability of each
-        target in fewer passes over memory. Rows of all windows go through
-        one product; where the numbers show that exp() cannot overflow no
-        maximum is taken; sums are products with ones, divided out last."""
-        p, (n, _) = self.p, y.shape
-        e = p["emb"][x]
+    def _hidden(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        """The same as ``forward`` in fewer passes over memory, for windows
+        as ``windows`` makes them, up to the hidden state and the gates
+        before they are divided by their sums. Values carry a column of ones,
+        so that one product gives the weighted sum and the sum of weights,
+        and hidden states keep it for the biases. Rows of all windows go
+        through one product; a maximum is taken only where exp() could
+        overflow."""
+        p, n = self.p, len(x)
+        e = p["emb"].take(x, axis=0)
         e += p["pos"]
-        kv = (e.reshape(-1, DIM) @ np.concatenate([p["k"], p["v"]], 1)).reshape(n, WINDOW, KEY + DIM)
-        k, v = kv[..., :KEY], kv[..., KEY:]
+        flat = e.reshape(-1, DIM)
+        kv1 = flat @ np.concatenate([p["k"], p["v"], np.zeros((DIM, 1), np.float32)], 1)
+        kv1[:, -1] = 1
+        k, v1 = kv1.reshape(n, WINDOW, -1)[..., :KEY], kv1.reshape(n, WINDOW, -1)[..., KEY:]
         own = np.ascontiguousarray(e[:, CONTEXT:]).reshape(-1, DIM)
         q = own @ (p["q"] * np.float32(1 / np.sqrt(KEY)))
-        if not n or (q * q).sum(1).max() * (k * k).sum(2).max() > 40 ** 2:
-            return (self.forward(x)["gate"] * self.experts[np.maximum(y, 0)]).sum(2)
         s = q.reshape(n, STRIDE, KEY) @ k.transpose(0, 2, 1)
-        s += self.mask
         pad = x == self.vocab
-        rows = np.nonzero(pad.any(1))[0]
-        s[rows] += np.where(pad[rows], np.float32(-1e9), np.float32(0))[:, None]
+        rows = np.nonzero(pad[:, 0] | pad[:, -1])[0]
+        keys = kv1[:, :KEY]
+        if np.einsum("ij,ij->i", q, q).max() * np.einsum("ij,ij->i", keys, keys).max() > 40 ** 2:
+            s += self.mask
+            s[rows] += np.where(pad[rows], np.float32(-1e9), np.float32(0))[:, None]
+            s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
-        h = (s @ v).reshape(-1, DIM)
-        h /= (s @ np.ones(WINDOW, np.float32)).reshape(-1, 1)
-        h += own
-        a = h @ p["w1"]
-        a += p["b1"]
+        s *= self.mask == 0
+        s[rows] *= ~pad[rows][:, None]
+        h1 = (s @ v1).reshape(-1, DIM + 1)
+        weight = np.reciprocal(h1[:, -1:])
+        h1 *= weight
+        h1[:, :DIM] += own
+        a = h1 @ np.concatenate([p["w1"], p["b1"][None]])
         np.maximum(a, 0, out=a)
-        z = (h + a @ p["w2"]) @ p["g"]
-        z += p["bg"]
+        o1 = a @ np.concatenate([p["w2"], np.zeros((HIDDEN, 1), np.float32)], 1)
+        o1 += h1
+        z = o1 @ np.concatenate([p["g"], p["bg"][None]])
         if z.max() > 60 or z.min() < -60:
             z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
+        return {"e": flat, "own": own, "q": q, "k": k, "v1": v1, "s": s, "weight": weight, "h1": h1, "a": a, "o1": o1,
+                "z": z}
+
+    def _mixed(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The probability of each target."""
+        z = self._hidden(x)["z"]
         ones = np.ones(EXPERTS, np.float32)
         total = z @ ones
-        z *= self.experts[np.maximum(y, 0).ravel()]
-        return (z @ ones / total).reshape(n, STRIDE)
+        z *= self.experts.take(np.maximum(y, 0).ravel(), axis=0)
+        return (z @ ones / total).reshape(y.shape)
 
     def log_prob(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log10 probability of each window's targets, summed by window."""
@@ -236,25 +253,77 @@ class Model:
         joint /= np.maximum(joint @ np.ones(EXPERTS, np.float32), 1e-30)[..., None]
         return joint
 
-    def add_sums(self, texts: list[np.ndarray], sums: Sums, batch: int = 256) -> None:
+    def _fast_sums(self, x: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """What ``_gradient_sums`` and ``_responsibility`` give, from
+        ``_hidden``: gradients by parameter, the gradient of each input, the
+        responsibilities of each target (0 where there is none)."""
+        p, f, n = self.p, self._hidden(x), len(x)
+        ones, live = np.ones(EXPERTS, np.float32), (y >= 0).ravel()
+        h1, a, z, s, k, v1 = (f[c] for c in ("h1", "a", "z", "s", "k", "v1"))
+        joint = self.experts.take(np.maximum(y, 0).ravel(), axis=0)
+        joint *= z
+        joint *= (live / np.maximum(joint @ ones, 1e-30))[:, None].astype(np.float32)
+        z *= (live / (z @ ones))[:, None].astype(np.float32)
+        dz = np.subtract(joint, z, out=z)
+        g_bg = f["o1"].T @ dz
+        do = dz @ p["g"].T
+        da = do @ p["w2"].T
+        da *= a > 0
+        w1_b1 = h1.T @ da
+        g = {"g": g_bg[:DIM], "bg": g_bg[DIM], "w2": a.T @ do, "w1": w1_b1[:DIM], "b1": w1_b1[DIM]}
+        dh = do
+        dh += da @ p["w1"].T
+        # Weights are exp(s) / sum, and the sum over a row of ds * s is
+        # dh . (h - own): both go into the rows before the products.
+        row1 = np.empty_like(h1)
+        row = np.multiply(dh, f["weight"], out=row1[:, :DIM])
+        row1[:, DIM] = np.einsum("ij,ij->i", row, f["own"] - h1[:, :DIM])
+        row1 = row1.reshape(n, STRIDE, -1)
+        ds = row1 @ v1.transpose(0, 2, 1)
+        ds *= s
+        dq = (ds @ k).reshape(-1, KEY)
+        dkv = np.empty((n, WINDOW, KEY + DIM), np.float32)
+        np.matmul(ds.transpose(0, 2, 1), f["q"].reshape(n, STRIDE, KEY), out=dkv[..., :KEY])
+        np.matmul(s.transpose(0, 2, 1), row1[..., :DIM], out=dkv[..., KEY:])
+        dkv = dkv.reshape(-1, KEY + DIM)
+        dq *= np.float32(1 / np.sqrt(KEY))
+        g["q"], both = f["own"].T @ dq, f["e"].T @ dkv
+        g["k"], g["v"] = both[:, :KEY], both[:, KEY:]
+        de = (dkv @ np.concatenate([p["k"], p["v"]], 1).T).reshape(n, WINDOW, DIM)
+        dh += dq @ p["q"].T
+        de[:, CONTEXT:] += dh.reshape(n, STRIDE, DIM)
+        g["pos"] = (np.ones(n, np.float32) @ de.reshape(n, -1)).reshape(WINDOW, DIM)
+        return g, de, joint
+
+    def add_sums(self, texts: list[np.ndarray], sums: Sums, batch: int = 192) -> None:
         """Add what one update needs of ``texts``: gradients and, by expert
         and subword, responsibilities."""
-        x, y, _ = windows(texts, self.vocab)
+        x, y, counts = windows(texts, self.vocab)
+        if not len(x):
+            return
+        # An input is the target of the place before, so that row r holds the
+        # gradient of place r and the responsibilities of place r - 1.
+        rows = np.zeros((y.size + 1, DIM + EXPERTS), np.float32)
+        places, targets = rows[:-1].reshape(*y.shape, -1)[..., :DIM], rows[1:, DIM:]
         for i in range(0, len(x), batch):
-            bx, by = x[i:i + batch], y[i:i + batch]
-            f = self.forward(bx)
-            responsibility = self._responsibility(f, by)
-            live = by >= 0
-            g = self._gradient_sums(bx, by, f, responsibility)
-            at, rows = by_subword(bx.ravel(), g.pop("e").reshape(-1, DIM))
-            sums.rows[at, :DIM] += rows
-            sums.seen[at] = True
-            at, rows = by_subword(by[live], responsibility[live])
-            sums.rows[at, DIM:] += rows
-            sums.seen[at] = True
-            sums.tokens += int(live.sum())
+            g, de, joint = self._fast_sums(x[i:i + batch], y[i:i + batch])
+            end = i + len(de)
+            targets[i * STRIDE:end * STRIDE] = joint
+            places[i:end] = de[:, CONTEXT:]
+            # A context is the end of the text's window before, or padding.
+            before = max(i, 1)
+            places[before - 1:end - 1, STRIDE - CONTEXT:] += de[before - i:, :CONTEXT]
             for k, d in g.items():
                 sums.dense[k] += d
+        starts = STRIDE * (np.cumsum(counts) - counts)
+        sums.rows[BOS, :DIM] += rows[starts, :DIM].sum(0)
+        sums.seen[BOS] = True
+        rows[starts, :DIM] = 0
+        live = np.nonzero(y.ravel() >= 0)[0]
+        at, added = by_subword(y.ravel()[live], rows, live + 1)
+        sums.rows[at] += added
+        sums.seen[at] = True
+        sums.tokens += len(live)
 
     def start(self, counts: np.ndarray, steps: int, rate: float, seed: int = 11) -> None:
         """Prepare for ``steps`` updates: every expert starts near the

@@ -6,13 +6,13 @@ all training documents. The model score is the log10 probability of the
 text under the causal self-attention model of ``attention_lm``, over the
 subword ids of its words and one end, in overlapping windows.
 
-Counts come from a grouped sum with a map-side partial count. At most
+Tasks count their own words, and a grouped sum adds the counts up. At most
 ``FREQUENT`` words can hold more than a ``1 / FREQUENT`` share of all
 tokens; only those are broadcast, so the broadcast is bounded whatever the
 corpus. The one pass over the texts stores their subword ids, which the
 training and the scoring read, adds up their terms and hands on the other
 words, which meet their counts in a shuffle join; by their definition none of
-them is a hot key.
+them is a hot key. Subwords are counted from the counts of the words.
 
 The model learns from every training document. The subword ids are
 stored in rounds dealt by hash, each a little larger than the one before.
@@ -29,7 +29,10 @@ training documents every count is 0; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .attention_lm import DIM, EOS, EXPERTS, Model, Sums
-from .common import stored, words
+from .common import Memo, stored
 
 FREQUENT = 200_000
 MIN_ROUNDS, MAX_ROUNDS = 48, 96
@@ -46,8 +49,8 @@ ROUND_WORDS = 1_000_000  # a round more for each, between the two bounds
 RATE = 0.1
 TASK_TOKENS = 500_000  # subwords that make a task of a round worth while
 CACHE_WORDS = 500_000  # per generation and Python worker
+COUNTED_WORDS = 500_000  # different words that a task counts before it hands them on
 CHUNK_WORDS = 40_000
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 END = ""  # no word is empty
 
 
@@ -59,22 +62,34 @@ def held_out(doc_id: Column) -> Column:
     return _crc(doc_id) % 7 == 2
 
 
-def split_words(text: str | None) -> list[str]:
-    """Words of a text, A-Z in lower case; other white space than ASCII's
-    belongs to the words."""
-    words_ = (text or "").encode("utf-8", "replace").lower().split()  # bytes: only A-Z
-    return b"\n".join(words_).decode("utf-8").split("\n") if words_ else []
+def lower_words(text: bytes | None) -> list[bytes]:
+    """Words of a text in UTF-8, A-Z in lower case; other white space than
+    ASCII's belongs to the words."""
+    return (text or b"").lower().split()
 
 
-def ascii_lower(word: Column) -> Column:
-    """A-Z in lower case; ``lower`` does just that where all is ASCII."""
-    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+def split_words(text: str | None) -> list[str]:
+    return [w.decode("utf-8") for w in lower_words((text or "").encode("utf-8", "replace"))]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over ``docs``, with one END token per document."""
-    tokens = docs.select(F.explode_outer(F.array_append(words(F.col("text")), END)).alias("word"))
-    return tokens.select(ascii_lower(F.col("word")).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    def rows(found: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in found], "c": list(found.values())})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                found.update(lower_words(text))
+                if len(found) >= COUNTED_WORDS:
+                    yield rows(found)
+                    found = Counter()
+            found[END.encode()] += len(batch)
+        if found:
+            yield rows(found)
+    return (docs.select(F.col("text").cast("binary").alias("text")).mapInPandas(count, "word string, c long")
+            .groupBy("word").agg(F.sum("c").alias("c")))
 
 
 class Subwords:
@@ -85,20 +100,16 @@ class Subwords:
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         if self.model.get_piece_size() > 1 << 16:
             raise ValueError("subword ids must fit in 16 bits")
-        self.cache, self.new, self.old = cache, {}, {}
+        self.known = Memo(self._word, cache)
+
+    def _word(self, word: bytes) -> bytes:
+        return array("H", self.model.encode(word.decode("utf-8", "replace"))).tobytes()
+
+    def joined(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.known.__getitem__, words))
 
     def ids(self, texts: list[list[str]]) -> list[np.ndarray]:
-        missing = set().union(*texts).difference(self.new)
-        if len(self.new) + len(missing) > self.cache:
-            self.old, self.new = self.new, {}
-            missing = set().union(*texts)
-        known = missing.intersection(self.old)
-        self.new.update((w, self.old[w]) for w in known)
-        rest = sorted(missing.difference(known))
-        for w, i in zip(rest, self.model.encode(rest, num_threads=1)):
-            self.new[w] = np.array(i, np.uint16).tobytes()
-        get = self.new.__getitem__
-        return [np.frombuffer(b"".join(map(get, t)), np.uint16).astype(np.int32) for t in texts]
+        return _ids(self.joined([w.encode("utf-8") for w in t]) for t in texts)
 
 
 _SUBWORDS: dict[str, Subwords] = {}
@@ -110,8 +121,8 @@ def subwords(model_path: str) -> Subwords:
     return _SUBWORDS[model_path]
 
 
-def _ids(column: pd.Series) -> list[np.ndarray]:
-    return [np.frombuffer(i, "<u2").astype(np.int32) for i in column]
+def _ids(column: Iterable[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(i, np.uint16).astype(np.int32) for i in column]
 
 
 ENCODED = ("round int, row_id long, doc_id long, held_out boolean, n_tokens long, n_frequent long, "
@@ -126,7 +137,7 @@ def _encoded(docs: DataFrame, model_path: str, rounds: int, terms: dict[str, flo
     share = F.pmod(place, F.lit(1 << 30)) / F.lit(float(1 << 30))
     number = F.floor((F.sqrt(1 + 4 * share * F.lit(float(rounds * (rounds + 1)))) - 1) / 2)
     number = F.least(number, F.lit(rounds - 1)).cast("int")
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    shared = docs.sparkSession.sparkContext.broadcast({w.encode(): x for w, x in terms.items()})
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, get = subwords(model_path), shared.value.get
@@ -134,36 +145,42 @@ def _encoded(docs: DataFrame, model_path: str, rounds: int, terms: dict[str, flo
         for batch in batches:
             for a in range(0, len(batch), 512):
                 rows = batch.iloc[a:a + 512]
-                texts = [split_words(t) for t in rows["text"]]
-                ids = [i for x, y in _chunks(texts) for i in own.ids(texts[x:y])]
-                found = [list(map(get, [*t, END])) for t in texts]
-                others = [[w for w, x in zip([*t, END], f) if x is None] for t, f in zip(texts, found)]
+                texts = [lower_words(t) for t in rows["text"]]
+                ids = [own.joined(t) for t in texts]
+                for t in texts:
+                    t.append(END.encode())
+                found = [list(map(get, t)) for t in texts]
+                others = [[w.decode("utf-8", "replace") for w, x in zip(t, f) if x is None] for t, f in zip(texts, found)]
                 yield pd.DataFrame({
                     "round": rows["round"].array, "row_id": np.arange(next_id, next_id + len(rows)),
                     "doc_id": rows["doc_id"].array, "held_out": rows["held_out"].array,
-                    "n_tokens": [len(t) + 1 for t in texts], "n_frequent": [len(f) - len(o) for f, o in zip(found, others)],
-                    "frequent_score": [sum(x for x in f if x is not None) for f in found],
-                    "others": others, "ids": [i.astype("<u2").tobytes() for i in ids]})
+                    "n_tokens": [len(t) for t in texts], "n_frequent": [len(f) - len(o) for f, o in zip(found, others)],
+                    "frequent_score": [sum(filter(None, f), 0.0) for f in found], "others": others, "ids": ids})
                 next_id += len(rows)
-    numbered = docs.select("doc_id", out.alias("held_out"), F.when(out, -1).otherwise(number).alias("round"), "text")
+    numbered = docs.select("doc_id", out.alias("held_out"), F.when(out, -1).otherwise(number).alias("round"),
+                           F.col("text").cast("binary").alias("text"))
     return stored(numbered.mapInPandas(encode, ENCODED), "lm-encoded", by=("round",))
 
 
-def _subword_counts(encoded: DataFrame, vocab: int) -> np.ndarray:
-    """Counts of the targets: subwords, and an end of each document."""
+def _subword_counts(counts: DataFrame, model_path: str) -> np.ndarray:
+    """Counts of the targets, subwords and an end of each document, from the
+    ``counts`` of words."""
+    vocab = subwords(model_path).model.get_piece_size()
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = np.zeros(vocab, np.int64)
+        own, out = subwords(model_path).model, np.zeros(vocab, np.int64)
         for batch in batches:
-            out += np.bincount(np.frombuffer(b"".join(batch["ids"]), "<u2"), minlength=vocab)
-            out[EOS] += len(batch)
+            c = batch["c"].to_numpy(np.int64)
+            ids = own.encode(batch["word"].tolist(), num_threads=1)
+            np.add.at(out, np.fromiter(chain.from_iterable(ids), np.int64), np.repeat(c, [len(i) for i in ids]))
+            out[EOS] += c[(batch["word"] == END).to_numpy()].sum()
         at = np.nonzero(out)[0]
         yield pd.DataFrame({"subword": at.astype(np.int32), "c": out[at]})
-    found = (encoded.select("ids").mapInPandas(count, "subword int, c long")
-             .groupBy("subword").agg(F.sum("c").alias("c")).collect())
-    counts = np.zeros(vocab, np.int64)
+    found = counts.mapInPandas(count, "subword int, c long").groupBy("subword").agg(F.sum("c").alias("c")).collect()
+    out = np.zeros(vocab, np.int64)
     for subword, c in found:
-        counts[subword] = c
-    return counts
+        out[subword] = c
+    return out
 
 
 SUM_COLUMNS = [f"s{i}" for i in range(DIM + EXPERTS)]
@@ -182,8 +199,8 @@ def _round_sums(texts: DataFrame, model: Model) -> Sums:
                 own.add_sums(ids[i:j], sums)
         if sums.tokens:
             keys, rows = sums.flat()
-            yield pd.DataFrame(rows, columns=SUM_COLUMNS).assign(subword=keys.astype(np.int32))[["subword", *SUM_COLUMNS]]
-    schema = "subword int, " + ", ".join(f"{c} double" for c in SUM_COLUMNS)
+            yield pd.DataFrame(rows.astype(np.float32), columns=SUM_COLUMNS).assign(subword=keys.astype(np.int32))[["subword", *SUM_COLUMNS]]
+    schema = "subword int, " + ", ".join(f"{c} float" for c in SUM_COLUMNS)
     # At most a row per subword of the vocabulary, whatever the corpus.
     found = (texts.mapInPandas(add, schema).groupBy("subword")
              .agg(*[F.sum(c).alias(c) for c in SUM_COLUMNS]).toArrow())
@@ -198,15 +215,15 @@ def train_model(docs: DataFrame, model_path: str, sample_docs: int | None = None
                 rate: float = RATE) -> Model:
     """The attention model, trained on all of ``docs`` in ``steps`` rounds.
     (``sample_docs`` is there for older callers: nothing is sampled.)"""
-    return _trained(_encoded(docs, model_path, steps, {}, F.lit(False)), model_path, steps, rate)
+    counts = _subword_counts(word_counts(docs), model_path)
+    return _trained(_encoded(docs, model_path, steps, {}, F.lit(False)), counts, steps, rate)
 
 
-def _trained(encoded: DataFrame, model_path: str, steps: int, rate: float = RATE) -> Model:
-    """The model trained on the rounds of ``encoded``."""
-    vocab = subwords(model_path).model.get_piece_size()
-    counts = _subword_counts(encoded.where(F.col("round") >= 0), vocab)
+def _trained(encoded: DataFrame, counts: np.ndarray, steps: int, rate: float = RATE) -> Model:
+    """The model trained on the rounds of ``encoded``, with the ``counts`` of
+    their targets."""
     tokens = int(counts.sum())
-    model = Model(vocab)
+    model = Model(len(counts))
     if not tokens:
         counts[EOS] = 1
     model.start(counts, steps, rate)
@@ -247,7 +264,7 @@ def score_documents(docs: DataFrame, model_path: str, frequent: int = FREQUENT,
     top = {w: c for w, c in counts.where(F.col("c") * frequent > n).collect()}
     encoded = _encoded(docs, model_path, steps, {w: float(np.log10((c + 1) / (n + v + 1))) for w, c in top.items()},
                        held_out(F.col("doc_id")))
-    shared = spark.sparkContext.broadcast(_trained(encoded, model_path, steps, **fit))
+    shared = spark.sparkContext.broadcast(_trained(encoded, _subword_counts(counts, model_path), steps, **fit))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value

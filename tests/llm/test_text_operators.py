@@ -264,3 +264,39 @@ def test_lm_sums_of_tasks_are_those_of_all_texts(spark):
         assert (got.seen == whole.seen).all() and np.allclose(got.rows, whole.rows, rtol=1e-3, atol=1e-3)
         assert all(np.allclose(got.dense[k], whole.dense[k], rtol=1e-3, atol=1e-2) for k in whole.dense)
     assert math.isclose(whole.rows[:, lm.DIM:].sum(), whole.tokens, rel_tol=1e-4)
+
+
+def test_lm_fast_sums_equal_the_plain_ones():
+    r = np.random.default_rng(8)
+    texts = [r.integers(3, 60, n) for n in (0, 1, 23, 24, 25, 70, 200)]
+    model = lm.Model(60, seed=5)
+    model.experts = r.dirichlet(np.ones(60), lm.EXPERTS).T.astype(np.float32)
+    x, y, _ = lm.windows(texts, 60)
+
+    def near(a, b):
+        return np.abs(a - b).max() <= 1e-3 * max(1, np.abs(b).max())
+    for scale in (1, 100):  # the second goes beyond the bound of exp()
+        model.p["q"] *= scale
+        f = model.forward(x)
+        share = model._responsibility(f, y) * (y >= 0)[..., None]
+        plain = model._gradient_sums(x, y, f, share)
+        fast, inputs, joint = model._fast_sums(x, y)
+        assert near(joint.reshape(share.shape), share) and near(inputs, plain["e"])
+        assert all(near(fast[k], plain[k]) for k in fast) and {*fast, "e"} == set(plain)
+        want, sums = np.zeros((61, lm.DIM + lm.EXPERTS)), lm.Sums(model)
+        np.add.at(want[:, :lm.DIM], x.ravel(), plain["e"].reshape(-1, lm.DIM))
+        np.add.at(want[:, lm.DIM:], np.maximum(y, 0).ravel(), share.reshape(-1, lm.EXPERTS))
+        model.add_sums(texts, sums, batch=3)
+        assert near(sums.rows, want) and sums.tokens == sum(len(t) + 1 for t in texts)
+
+
+def test_lm_counts_words_and_their_subwords(spark):
+    rows = [(i, f"Apple river\x0b{i} window\tÉTÉ APPLE") for i in range(40)] + [(50, None), (51, ""), (52, "\u2028x")]
+    docs = docs_frame(spark, rows)
+    texts = [brute.words(brute.lower(t)) for _, t in rows]
+    counts = lm_scoring.word_counts(docs)
+    assert {r.word: r.c for r in counts.collect()} == Counter(w for t in texts for w in [*t, lm_scoring.END])
+    want = np.zeros(lm_scoring.subwords(MODEL).model.get_piece_size(), np.int64)
+    for ids in lm_scoring.subwords(MODEL).ids(texts):
+        np.add.at(want, [*ids, lm.EOS], 1)
+    assert (lm_scoring._subword_counts(counts, MODEL) == want).all()
